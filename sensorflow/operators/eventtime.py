@@ -26,12 +26,17 @@ from sensorflow.operators.scan import Agg, running
 LONG_MIN = -(2 ** 63)
 
 
-def watermark_trace(df: DataFrame, delay_s: int, order: list[str], time_col: str = "ts") -> DataFrame:
+def watermark_trace(df: DataFrame, delay_s: int, order: list[str], time_col: str = "ts",
+                    carry_max: int | None = None) -> DataFrame:
     """Add ``wm_before_ms`` / ``wm_after_ms``: the watermark just before and
     just after each record in arrival ``order`` (punctuated: one per record).
-    Before the first record the watermark is Long.MIN_VALUE."""
+    Before the first record the watermark is Long.MIN_VALUE.  ``carry_max``
+    is the max event time of earlier input (e.g. earlier micro-batches)."""
     r = running(df, [], order, [Agg("__max_before", "max", time_col, exclusive=True),
                                 Agg("__max_after", "max", time_col)])
+    if carry_max is not None:
+        r = (r.withColumn("__max_before", F.greatest(F.col("__max_before"), F.lit(carry_max)))
+              .withColumn("__max_after", F.greatest(F.col("__max_after"), F.lit(carry_max))))
     d = delay_s * 1000 + 1
     before = F.when(F.col("__max_before").isNull(), F.lit(LONG_MIN)) \
         .otherwise(F.col("__max_before") * 1000 - d)
@@ -41,11 +46,12 @@ def watermark_trace(df: DataFrame, delay_s: int, order: list[str], time_col: str
 
 
 def classify_window_lateness(df: DataFrame, size_s: int, delay_s: int, lateness_s: int,
-                             order: list[str], time_col: str = "ts") -> DataFrame:
+                             order: list[str], time_col: str = "ts",
+                             carry_max: int | None = None) -> DataFrame:
     """Per row: its tumbling window and whether it arrived ``on_time``,
     ``refire`` (after the window fired, within allowed lateness) or ``late``
     (window already destroyed -> side output)."""
-    tr = watermark_trace(df, delay_s, order, time_col)
+    tr = watermark_trace(df, delay_s, order, time_col, carry_max)
     start = F.col(time_col) - F.pmod(F.col(time_col), F.lit(size_s))
     end_ms = (start + size_s) * 1000
     wm = F.col("wm_before_ms")
