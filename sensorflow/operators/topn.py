@@ -27,17 +27,24 @@ def topn_per_window(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
 
 def topn_per_window_stream(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
                            value: str = "vc", time_col: str = "t") -> DataFrame:
-    """Streaming form (row_number is not allowed on streams): per window,
-    sort the (count, value) pairs and keep the first N.  The list per window
-    is bounded by the number of distinct values in one window."""
-    counts = sliding(df, size_s, slide_s, [value], time_col,
-                     aggs=[F.count(F.lit(1)).alias("cnt")])
-    ranked = counts.groupBy("win_start", "win_end").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"),
-                                                     F.col(value).alias("v"))), True), 1, n).alias("top"))
-    ex = ranked.select("win_start", "win_end", F.posexplode("top").alias("pos", "e"))
+    """Streaming form (``row_number`` is not allowed on streams): count per
+    (window, value), then a second event-time aggregation keyed by the
+    window's event time sorts the (count, value) pairs and keeps the first N.
+    Needs a watermark on ``time_col``; both stateful steps run in append
+    mode.  The list per window is bounded by the distinct values in it."""
+    counts = (df.groupBy(F.window(time_col, f"{size_s} seconds", f"{slide_s} seconds").alias("w"), value)
+              .agg(F.count(F.lit(1)).alias("cnt")))
+    per_window = (counts.select(F.window_time("w").alias("wt"),
+                                F.unix_seconds(F.col("w.start")).alias("ws"),
+                                F.unix_seconds(F.col("w.end")).alias("we"), value, "cnt")
+                  .groupBy("wt")
+                  .agg(F.min("ws").alias("win_start"), F.min("we").alias("win_end"),
+                       F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"),
+                                                                     F.col(value).alias("v"))), True),
+                               1, n).alias("top")))
+    ex = per_window.select("win_start", "win_end", F.posexplode("top").alias("pos", "e"))
     return ex.select("win_start", "win_end", F.col("e.v").alias(value),
-                     (-F.col("e.neg")).alias("cnt"), (F.col("pos") + 1).alias("rank"))
+                     (-F.col("e.neg")).alias("cnt"), (F.col("pos") + 1).cast("int").alias("rank"))
 
 
 def running_topk(df: DataFrame, k: int = 3, key: str = "id", value: str = "vc",

@@ -109,6 +109,23 @@ def s_running_reduce_stream(spark, sf):
     return _tws("running_reduce_stream", PR.RunningSum(), PR.RUNNING_REDUCE_OUT, sf, spark)
 
 
+def s_running_avg_stream(spark, sf):
+    return _tws("running_avg_stream", PR.RunningAvg(), PR.RUNNING_AVG_OUT, sf, spark)
+
+
+def s_topn_window_stream(spark, sf):
+    """Top-2 values by count per sliding window, computed by two chained
+    event-time aggregations (count per value, then per window)."""
+    from sensorflow.operators import topn
+
+    def start(src, run):
+        res = topn.topn_per_window_stream(src.withWatermark("t", f"{STREAM_DELAY_S} seconds"),
+                                          P.WINDOW_S, P.SLIDE_S, P.TOPN)
+        return H.append_sink(res, run, "topn_window_stream")
+    run = H.replay(spark, "topn_window", _arrivals(spark, sf), "arrival", N_BATCHES, start)
+    return H.read_append(spark, run, key_col=None)
+
+
 def s_delta_alert_stream(spark, sf):
     return _tws("delta_alert_stream", PR.DeltaAlert(P.ALERT_VC), PR.DELTA_ALERT_OUT, sf, spark)
 
@@ -313,7 +330,8 @@ _TWINS = {
     "win_tumbling_stream": "win_tumbling", "win_sliding_stream": "win_sliding",
     "win_session_stream": "win_session", "wm_monotonous_stream": "win_tumbling",
     "word_count_stream": "word_count", "running_reduce_stream": "running_reduce",
-    "delta_alert_stream": "delta_alert", "changelog_stream": "changelog_sum",
+    "delta_alert_stream": "delta_alert", "running_avg_stream": "running_avg",
+    "topn_window_stream": "topn_window", "changelog_stream": "changelog_sum",
     "win_count_tumbling_stream": "win_count_tumbling", "win_count_sliding_stream": "win_count_sliding",
     "vc_count_running_stream": "vc_count_running", "running_top3_stream": "running_top3",
     "split_routes_stream": "split_routes", "union_all_stream": "union_all",

@@ -16,6 +16,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 # Output schemas (DDL)
 RUNNING_REDUCE_OUT = "seq bigint, id string, ts bigint, vc bigint"
+RUNNING_AVG_OUT = "seq bigint, id string, vc int, avg_vc double"
 DELTA_ALERT_OUT = "seq bigint, id string, vc int, prev_vc int, message string"
 CHANGELOG_OUT = "seq bigint, id string, pos int, op string, sum_vc bigint"
 COUNT_WINDOW_OUT = "id string, window_no bigint, cnt bigint, vc_sum bigint, first_seq bigint, last_seq bigint"
@@ -55,6 +56,25 @@ class RunningSum(StatefulProcessor):
         pass
 
 
+class RunningAvg(StatefulProcessor):
+    """Aggregating state: running mean with a (sum, count) accumulator."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", StructType([StructField("s", LongType()),
+                                                           StructField("n", LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows)
+        if pdf.empty:
+            return
+        s0, n0 = self.acc.get() if self.acc.exists() else (0, 0)
+        s = pdf["vc"].astype("int64").cumsum() + s0
+        n = pd.Series(range(1, len(pdf) + 1)) + n0
+        self.acc.update((int(s.iloc[-1]), int(n.iloc[-1])))
+        yield pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "vc": pdf["vc"],
+                            "avg_vc": (s / n).round(6)})
+
+
 class DeltaAlert(StatefulProcessor):
     """Value state = previous vc (none -> 0); alert when |vc - prev| > limit."""
 
