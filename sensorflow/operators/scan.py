@@ -160,91 +160,123 @@ def _combine_py(kind: str, a, b):
     raise ValueError(kind)
 
 
+def _is_na(x) -> bool:
+    return x is None or x is pd.NA or (isinstance(x, float) and np.isnan(x))
+
+
+def _combine_vec(kind: str, c, s: pd.Series) -> pd.Series:
+    """combine(carry scalar, local states) for a vector of local states."""
+    if _is_na(c):
+        return s
+    if kind in ("sum", "count"):
+        return s.fillna(0) + c
+    if kind == "max":
+        return s.fillna(c).where(lambda x: x >= c, c)
+    if kind == "min":
+        return s.fillna(c).where(lambda x: x <= c, c)
+    if kind == "first":
+        return pd.Series([c] * len(s), index=s.index, dtype=s.dtype)
+    if kind == "last":
+        return s.fillna(c)
+    raise ValueError(kind)
+
+
+def _as_nullable(s: pd.Series, dtype: T.DataType) -> pd.Series:
+    """Integral columns as pandas nullable Int64 (exact, vectorised to Arrow)."""
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return s.astype("Int64")
+    return s
+
+
 def _make_local_scan(plan: _Plan):
     keys, aggs = plan.keys, plan.aggs
     out_names = [f.name for f in plan.out_fields]
-    state_names = {c for a in aggs for c in _state_cols(a)}
-    state_names |= {"__x" + c for c in state_names}
-    int_cols = [f.name for f in plan.out_fields
-                if f.name in state_names
-                and isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))]
+    out_types = {f.name: f.dataType for f in plan.out_fields}
+
+    def process(pdf: pd.DataFrame, prev_key, carry: dict) -> pd.DataFrame:
+        n = len(pdf)
+        same = _same_as_prev(pdf[keys]) if keys else np.r_[False, np.ones(n - 1, dtype=bool)]
+        first_key = tuple(pdf.loc[0, k] for k in keys)
+        cont = prev_key is not None and _keys_equal(first_key, prev_key)
+        seg = np.cumsum(~same)            # 1-based segment ids within the batch
+        seg_start = np.flatnonzero(~same)
+        seg0 = seg == 1                   # rows of the first segment
+        out = pdf.copy()
+        for a in aggs:
+            cols = _state_cols(a)
+            if a.kind in ("sum", "count", "max", "min", "first", "last"):
+                v = None if a.kind == "count" else _as_nullable(pdf[a.col], plan.schema[a.col].dataType)
+                if a.kind == "count":
+                    loc = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg).cumsum().astype("Int64")
+                elif a.kind == "sum":
+                    loc = _local_sum(v, seg)
+                elif a.kind == "max":
+                    loc = v.groupby(seg).cummax().groupby(seg).ffill()
+                elif a.kind == "min":
+                    loc = v.groupby(seg).cummin().groupby(seg).ffill()
+                elif a.kind == "first":
+                    loc = _local_firsts(v, seg_start, seg - 1)
+                else:  # last non-null
+                    loc = v.groupby(seg).ffill()
+                if cont:
+                    loc = loc.copy()
+                    loc[seg0] = _combine_vec(a.kind, carry.get(cols[0]), loc[seg0])
+                out[cols[0]] = _as_nullable(loc, out_types[cols[0]])
+            elif a.kind in ("max_by", "min_by"):
+                bys, vals = _local_extreme_by(pdf, a, seg)
+                bys = bys.astype(object).where(bys.notna(), None).tolist()
+                vals = vals.astype(object).where(vals.notna(), None).tolist()
+                if cont and not _is_na(carry.get(cols[0])):
+                    cb, cv = carry[cols[0]], carry[cols[1]]
+                    for i in np.flatnonzero(seg0):
+                        b = bys[i]
+                        better = b is not None and (b > cb if a.kind == "max_by" else b < cb)
+                        if not better:
+                            bys[i], vals[i] = cb, cv
+                out[cols[0]] = _as_nullable(pd.Series(bys, dtype=object), out_types[cols[0]])
+                out[cols[1]] = _as_nullable(pd.Series(vals, dtype=object), out_types[cols[1]])
+            elif a.kind == "topk":
+                c = carry.get(cols[0]) if cont else None
+                out[cols[0]] = pd.Series(_local_topk(pdf[a.col], seg, a.k, c), dtype=object)
+            else:
+                raise ValueError(f"unknown running aggregate {a.kind}")
+            if a.exclusive:
+                # state over the preceding rows of the segment (NA at segment start)
+                for c in cols:
+                    sh = out[c].groupby(seg).shift(1)
+                    sh = sh.where(pd.Series(same), None)
+                    if cont:
+                        sh = sh.astype(object) if out[c].dtype == object else sh
+                        sh.iloc[0] = carry.get(c)
+                    out["__x" + c] = _as_nullable(sh, out_types["__x" + c])
+        return out
 
     def scan(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         prev_key = None          # key tuple of the last row of the previous batch
         carry: dict = {}         # inclusive state of that key at the last row
+        pending = None           # output held back one batch to flag the partition's last row
+        first = True
         for pdf in batches:
             if pdf.empty:
                 continue
-            pdf = pdf.reset_index(drop=True)
-            n = len(pdf)
-            same = _same_as_prev(pdf[keys]) if keys else np.r_[False, np.ones(n - 1, dtype=bool)]
-            first_key = tuple(pdf.loc[0, k] for k in keys)
-            cont = prev_key is not None and _keys_equal(first_key, prev_key)
-            seg = np.cumsum(~same)            # 1-based segment ids within the batch
-            seg_start = np.flatnonzero(~same)
-            seg0 = seg == 1                   # rows of the first segment
-            out = pdf.copy()
-            for a in aggs:
-                cols = _state_cols(a)
-                if a.kind in ("sum", "count", "max", "min", "first", "last"):
-                    if a.kind == "count":
-                        loc = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg).cumsum()
-                    elif a.kind == "sum":
-                        loc = _local_sum(pdf[a.col], seg)
-                    elif a.kind == "max":
-                        loc = pdf[a.col].groupby(seg).cummax().groupby(seg).ffill()
-                    elif a.kind == "min":
-                        loc = pdf[a.col].groupby(seg).cummin().groupby(seg).ffill()
-                    elif a.kind == "first":
-                        loc = _local_firsts(pdf[a.col], seg_start, seg - 1)
-                    else:  # last non-null
-                        loc = pdf[a.col].groupby(seg).ffill()
-                    loc = loc.astype(object).where(loc.notna(), None)
-                    if cont:
-                        c = carry.get(cols[0])
-                        vals = loc.tolist()
-                        for i in np.flatnonzero(seg0):
-                            vals[i] = _combine_py(a.kind, c, vals[i])
-                        loc = pd.Series(vals, dtype=object)
-                    out[cols[0]] = loc
-                elif a.kind in ("max_by", "min_by"):
-                    bys, vals = _local_extreme_by(pdf, a, seg)
-                    bys = bys.astype(object).where(bys.notna(), None).tolist()
-                    vals = vals.astype(object).where(vals.notna(), None).tolist()
-                    if cont and carry.get(cols[0]) is not None:
-                        cb, cv = carry[cols[0]], carry[cols[1]]
-                        for i in np.flatnonzero(seg0):
-                            b = bys[i]
-                            better = b is not None and (b > cb if a.kind == "max_by" else b < cb)
-                            if not better:
-                                bys[i], vals[i] = cb, cv
-                    out[cols[0]] = pd.Series(bys, dtype=object)
-                    out[cols[1]] = pd.Series(vals, dtype=object)
-                elif a.kind == "topk":
-                    c = carry.get(cols[0]) if cont else None
-                    out[cols[0]] = pd.Series(_local_topk(pdf[a.col], seg, a.k, c), dtype=object)
-                else:
-                    raise ValueError(f"unknown running aggregate {a.kind}")
-                if a.exclusive:
-                    # state over the preceding rows of the segment (None at segment start)
-                    for c in cols:
-                        col = out[c]
-                        sh = col.groupby(seg).shift(1).astype(object)
-                        sh = sh.where(pd.Series(same), None)
-                        if cont:
-                            first_row = 0
-                            sh.iloc[first_row] = carry.get(c)
-                        out["__x" + c] = sh
+            out = process(pdf.reset_index(drop=True), prev_key, carry)
             last = out.iloc[-1]
             prev_key = tuple(last[k] for k in keys)
             carry = {c: last[c] for a in aggs for c in _state_cols(a)}
             out[PID] = pid
-            for c in int_cols:
-                out[c] = pd.Series([None if v is None or (isinstance(v, float) and np.isnan(v))
-                                    else int(v) for v in out[c].tolist()], dtype=object)
-            yield out[out_names]
+            out["__first"] = False
+            out["__last"] = False
+            if first:
+                out.loc[0, "__first"] = True
+                first = False
+            if pending is not None:
+                yield pending[out_names]
+            pending = out
+        if pending is not None:
+            pending.loc[pending.index[-1], "__last"] = True
+            yield pending[out_names]
 
     return scan
 
@@ -291,11 +323,11 @@ def _summary_carry(local: DataFrame, plan: _Plan) -> DataFrame:
     keys, aggs = plan.keys, plan.aggs
     state_cols = [c for a in aggs for c in _state_cols(a)]
     kstruct = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    ostruct = F.struct(*[F.col(o) for o in plan.order])
-    pos = F.struct(kstruct.alias("k"), ostruct.alias("o"))
-    summ = local.groupBy(PID).agg(
-        F.min_by(kstruct, pos).alias("first_key"),
-        F.max_by(F.struct(kstruct.alias("k"), *[F.col(c) for c in state_cols]), pos).alias("last"))
+    edge = local.where(F.col("__first") | F.col("__last"))   # <= 2 rows per partition
+    summ = edge.groupBy(PID).agg(
+        F.first(F.when(F.col("__first"), kstruct), ignorenulls=True).alias("first_key"),
+        F.first(F.when(F.col("__last"), F.struct(kstruct.alias("k"), *[F.col(c) for c in state_cols])),
+                ignorenulls=True).alias("last"))
     # running combine of last-key states over earlier partitions ending in the same key
     w_key = Window.partitionBy(F.col("last.k")).orderBy(PID) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -336,11 +368,14 @@ def _summary_carry(local: DataFrame, plan: _Plan) -> DataFrame:
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
-            num_partitions: int | None = None) -> DataFrame:
+            num_partitions: int | None = None, chained: bool = False) -> DataFrame:
     """Append the running aggregates ``aggs`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within each key (include a unique column).
-    The output keeps every input row and column.
+    The output keeps every input row and column.  ``chained=True`` marks an
+    input that is the (row-wise projected) output of another ``running`` with
+    the same keys and order: its range partitions and in-partition order are
+    reused, saving a shuffle.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -351,9 +386,12 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
         fields += sf
         if a.exclusive:
             fields += [T.StructField("__x" + f.name, f.dataType) for f in sf]
-    fields.append(T.StructField(PID, T.IntegerType(), False))
+    fields += [T.StructField(PID, T.IntegerType(), False), T.StructField("__first", T.BooleanType(), False),
+               T.StructField("__last", T.BooleanType(), False)]
     plan.out_fields = fields
-    staged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+    staged = df if chained else df.repartitionByRange(n, *keys, *order)
+    # a no-op when the input is already in this order (chained scans)
+    staged = staged.sortWithinPartitions(*keys, *order)
     local = staged.mapInPandas(_make_local_scan(plan), T.StructType(fields))
     # fix the partition index and cut lineage before it is read twice
     local = local.checkpoint(eager=True)

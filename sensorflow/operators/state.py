@@ -56,7 +56,7 @@ def ttl_last_value(df: DataFrame, ttl_s: int, write_above: int = 10, time_col: s
             .withColumn("__wv", F.when(F.col("vc") > write_above, F.col("vc"))))
     s2 = running(s1, ["id"], order, [Agg("__last_w", "last", "__w", exclusive=True),
                                       Agg("__last_wv", "last", "__wv", exclusive=True),
-                                      Agg("__last_brk", "last", "__brk")])
+                                      Agg("__last_brk", "last", "__brk")], chained=True)
     alive = F.col("__last_w").isNotNull() & (F.col("__last_brk").isNull() |
                                              (F.col("__last_brk") <= F.col("__last_w")))
     return s2.select("seq", "id", time_col, "vc",

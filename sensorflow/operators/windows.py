@@ -100,7 +100,7 @@ def sessions(df: DataFrame, keys: list[str], gap_s: int | None = None,
     s1 = running(base, keys, [time_col, order_tiebreak], [Agg("__prev_end", "max", "__end", exclusive=True)])
     flagged = s1.withColumn("__new", (F.col("__prev_end").isNull() |
                                       (F.col(time_col) > F.col("__prev_end"))).cast("int"))
-    s2 = running(flagged, keys, [time_col, order_tiebreak], [Agg("__sno", "sum", "__new")])
+    s2 = running(flagged, keys, [time_col, order_tiebreak], [Agg("__sno", "sum", "__new")], chained=True)
     aggs = aggs or default_aggs()
     g = s2.groupBy(*keys, "__sno").agg(F.min(time_col).alias("win_start"),
                                        F.max("__end").alias("win_end"), *aggs)
