@@ -90,7 +90,8 @@ def s_global_count_restart(spark, sf):
     def start(src, run):
         return H.batch_folder_sink(src.groupBy().agg(F.count(F.lit(1)).alias("cnt")), run,
                                    "global_count_restart", mode="complete")
-    run = H.replay(spark, "global_count", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
+    run = H.replay(spark, "global_count", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False,
+                   restart_each_batch=True)
     out = spark.read.parquet(run.sink)
     return out.agg(F.max_by("cnt", "batch").alias("cnt"))
 
@@ -179,7 +180,7 @@ def s_split_routes_stream(spark, sf):
             finally:
                 bdf.unpersist()
         return (tagged.writeStream.queryName("split_routes_stream").foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
+                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
     run = H.replay(spark, "split_routes", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
     return spark.read.parquet(run.sink).select("route", "seq", "id", "ts", "vc")
 
@@ -220,7 +221,7 @@ def s_exactly_once_pipeline(spark, sf):
             bdf.write.mode("overwrite").parquet(path)
         return (src.select("seq", "id", "ts", "vc").writeStream.queryName("exactly_once")
                 .foreachBatch(write).option("checkpointLocation", run.checkpoint)
-                .trigger(availableNow=True).start())
+                .trigger(**run.writer_trigger()).start())
 
     def start_with_retry(src, run):
         q = start(src, run)
@@ -232,7 +233,8 @@ def s_exactly_once_pipeline(spark, sf):
         if failed:                             # restart from the checkpoint
             return start(spark.readStream.schema(src.schema).parquet(run.source), run)
         return q
-    run = H.replay(spark, "exactly_once", _arrivals(spark, sf), "arrival", N_BATCHES, start_with_retry, flush=False)
+    run = H.replay(spark, "exactly_once", _arrivals(spark, sf), "arrival", N_BATCHES, start_with_retry,
+                   flush=False, restart_each_batch=True)
     return spark.read.parquet(run.sink).select("seq", "id", "ts", "vc")
 
 
@@ -319,7 +321,7 @@ def s_late_side_output_stream(spark, sf):
             spark.createDataFrame([(top,)], "max_ts bigint").write.mode("overwrite") \
                 .parquet(os.path.join(ledger, f"batch={bid}"))
         return (src.writeStream.queryName("late_side_output_stream").foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(availableNow=True).start())
+                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
     run = H.replay(spark, "late_side", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
     return spark.read.parquet(run.sink).drop("batch")
 
