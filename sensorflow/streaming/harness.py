@@ -73,7 +73,7 @@ def sentinel(spark: SparkSession, schema: T.StructType, key_col: str = "id",
              overrides: dict | None = None) -> DataFrame:
     """One row of ``schema`` with the flush key and far-future times."""
     vals = {key_col: F.lit(FLUSH_KEY), "ts": F.lit(FLUSH_TS), "arrival": F.lit(FLUSH_TS),
-            "t": F.timestamp_seconds(F.lit(FLUSH_TS)), "seq": F.lit(-1),
+            "t": F.timestamp_seconds(F.lit(FLUSH_TS)), "seq": F.lit(-1), "vc": F.lit(0),
             "value": F.lit(f"{FLUSH_KEY},{FLUSH_TS},0")}
     vals.update(overrides or {})
     cols = [(vals.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in schema.fields]
