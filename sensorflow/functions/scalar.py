@@ -29,7 +29,8 @@ def java_split(s: Column | str, sep: str) -> Column:
     """
     s = _c(s)
     pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
-    trimmed = F.regexp_replace(s, f"({pattern})+$", "")
+    # one-char separator: trimming that char is a plain (non-regex) rtrim
+    trimmed = F.rtrim(s, F.lit(sep)) if len(sep) == 1 else F.regexp_replace(s, f"({pattern})+$", "")
     return (F.when(s.isNull(), F.lit(None).cast("array<string>"))
             .when(s == "", F.array(F.lit("")))
             .when(trimmed == "", F.array().cast("array<string>"))

@@ -61,7 +61,7 @@ def q_sql_group_sum(spark, sf):
 
 def q_word_count(spark, sf):
     prepare(spark)
-    return keyed.word_count(T.words(spark, sf))
+    return keyed.word_count(T.tokens(spark, sf))
 
 
 def q_running_reduce(spark, sf):

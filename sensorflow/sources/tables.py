@@ -92,6 +92,13 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.select("doc_id", "line_no", F.explode(java_split(F.col("line"), " ")).alias("word"))
 
 
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Just the words of every line (no positions): the lean input of word counts."""
+    d = table(spark, sf_dir, "documents").select("text")
+    lines_ = d.select(F.explode(F.split(F.col("text"), "\n", -1)).alias("line"))
+    return lines_.select(F.explode(java_split(F.col("line"), " ")).alias("word"))
+
+
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(name, score, weight) rows for the weighted-average UDAF."""
     li = table(spark, sf_dir, "lineitem")
