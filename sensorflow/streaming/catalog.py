@@ -85,6 +85,46 @@ def s_word_count_stream(spark, sf):
     return H.read_latest(spark, run, ["word"])
 
 
+def s_word_count_restart(spark, sf):
+    """Stateful word count restarted from its checkpoint for every micro-batch
+    (stop / resume with the same query name and checkpoint)."""
+    prepare(spark)
+    lines = T.text_lines(spark, sf)
+
+    def start(src, run):
+        words = src.select(F.explode(java_split(F.col("value"), " ")).alias("word"))
+        return H.batch_folder_sink(keyed.word_count(words), run, "word_count_restart")
+    run = H.replay(spark, "word_count_restart", lines, "doc_id", N_BATCHES, start, fmt="text",
+                   text_col="line", flush=False, restart_each_batch=True)
+    return H.read_latest(spark, run, ["word"])
+
+
+def s_sink_bucketed_files_stream(spark, sf):
+    """Row-format text sink with hourly bucket folders, written by a stream,
+    read back and counted per bucket."""
+    from sensorflow.sinks import files as file_sinks
+
+    def start(src, run):
+        lines_ = file_sinks.bucketed_lines(src.where(F.col("id") != H.FLUSH_KEY))
+        return (lines_.writeStream.format("text").partitionBy("bucket").queryName("bucketed_files_stream")
+                .option("path", run.sink).option("checkpointLocation", run.checkpoint)
+                .trigger(**run.writer_trigger()).start())
+    run = H.replay(spark, "bucketed_files", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
+    return file_sinks.read_bucket_counts(spark, run.sink)
+
+
+def s_broadcast_static_stream(spark, sf):
+    """Stream-static form of the broadcast config: the newest threshold of
+    the (static) config table is one scalar, applied to every streamed row."""
+    cfg = T.config_log(spark, sf)
+
+    def start(src, run):
+        data = src.where(F.col("kind") != "error").select("seq", "id", "vc")
+        return H.append_sink(joins.static_threshold_alerts(data, cfg), run, "broadcast_static_stream")
+    run = H.replay(spark, "broadcast_static", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
+    return H.read_append(spark, run)
+
+
 def s_global_count_restart(spark, sf):
     """Running global count, complete mode, restarted from its checkpoint every batch."""
     def start(src, run):
@@ -331,7 +371,9 @@ STREAM_QUERIES = {k[2:]: v for k, v in sorted(globals().items()) if k.startswith
 _TWINS = {
     "win_tumbling_stream": "win_tumbling", "win_sliding_stream": "win_sliding",
     "win_session_stream": "win_session", "wm_monotonous_stream": "win_tumbling",
-    "word_count_stream": "word_count", "running_reduce_stream": "running_reduce",
+    "word_count_stream": "word_count", "word_count_restart": "word_count",
+    "sink_bucketed_files_stream": "sink_bucketed_files", "broadcast_static_stream": "broadcast_static",
+"running_reduce_stream": "running_reduce",
     "delta_alert_stream": "delta_alert", "running_avg_stream": "running_avg",
     "topn_window_stream": "topn_window", "changelog_stream": "changelog_sum",
     "win_count_tumbling_stream": "win_count_tumbling", "win_count_sliding_stream": "win_count_sliding",
