@@ -367,6 +367,24 @@ def _summary_carry(local: DataFrame, plan: _Plan) -> DataFrame:
         *[F.when(same, F.lag(c).over(w_all)).alias("__c" + c) for c in state_cols])
 
 
+def target_partitions(df: DataFrame, floor: int | None = None) -> int:
+    """Partitions for a shuffle of ``df``: at least ``spark.sql.shuffle.partitions``
+    and enough that each holds about the advisory partition size (AQE's
+    target) according to the optimizer's size estimate of the input."""
+    spark = df.sparkSession
+    n = floor or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        target = int(str(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864"))
+                     .lower().rstrip("b").replace("m", "") or 64)
+        if target < 1 << 20:           # value given in MB
+            target <<= 20
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        n = max(n, -(-size // target))
+    except Exception:  # no statistics available: keep the configured count
+        pass
+    return n
+
+
 def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
             num_partitions: int | None = None, chained: bool = False) -> DataFrame:
     """Append the running aggregates ``aggs`` per ``keys`` in ``order``.
@@ -378,7 +396,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
     reused, saving a shuffle.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or target_partitions(df)
     plan = _Plan(list(keys), list(order), list(aggs), df.schema)
     fields = list(df.schema.fields)
     for a in aggs:

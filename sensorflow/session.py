@@ -39,7 +39,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
-         .config("spark.python.unix.domain.socket.enabled", "true"))
+         .config("spark.python.unix.domain.socket.enabled", "true")
+         # checkpoint files of scans are removed once their DataFrames are garbage
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
