@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PID = "__pid"
+MAX_PARTITIONS = 200_000   # keeps the per-partition summary (one row each) small
 
 
 @dataclass(frozen=True)
@@ -379,7 +380,8 @@ def target_partitions(df: DataFrame, floor: int | None = None) -> int:
         if target < 1 << 20:           # value given in MB
             target <<= 20
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        n = max(n, -(-size // target))
+        if size < (1 << 62):           # Long.MaxValue-ish means "unknown"
+            n = max(n, min(MAX_PARTITIONS, -(-size // target)))
     except Exception:  # no statistics available: keep the configured count
         pass
     return n

@@ -277,3 +277,27 @@ class EventTimeTimer(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"id": [_key(key)], "timer_ms": [expiredTimerInfo.getExpiryTimeInMs() - 1],
                             "watermark_ms": [timerValues.getCurrentWatermarkInMs()]})
+
+
+class ProcessingTimeTimer(StatefulProcessor):
+    """Register a processing-time timer ``delay_ms`` after the first row of a
+    key arrives; a later row of the key deletes the pending timer and sets a
+    new one (timers can be listed and deleted).  Fires once per quiet key."""
+
+    def __init__(self, delay_ms: int = 5000):
+        self.delay_ms = delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for _ in rows:
+            pass
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay_ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"id": [_key(key)], "timer_ms": [expiredTimerInfo.getExpiryTimeInMs()],
+                            "fired_at_ms": [timerValues.getCurrentProcessingTimeInMs()]})

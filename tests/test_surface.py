@@ -102,3 +102,4 @@ def test_event_time_timer_fires_after_watermark_passes(spark):
         fired.append(spark.read.parquet(out).count() if os.path.exists(out) else 0)
     assert fired[-1] == 1
     assert fired[0] == 0
+
