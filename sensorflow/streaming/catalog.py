@@ -150,6 +150,10 @@ def s_running_reduce_stream(spark, sf):
     return _tws("running_reduce_stream", PR.RunningSum(), PR.RUNNING_REDUCE_OUT, sf, spark)
 
 
+def s_running_sum_stream(spark, sf):
+    return _tws("running_sum_stream", PR.ReducingSum(), PR.RUNNING_REDUCE_OUT, sf, spark)
+
+
 def s_running_avg_stream(spark, sf):
     return _tws("running_avg_stream", PR.RunningAvg(), PR.RUNNING_AVG_OUT, sf, spark)
 
@@ -375,6 +379,7 @@ _TWINS = {
     "sink_bucketed_files_stream": "sink_bucketed_files", "broadcast_static_stream": "broadcast_static",
 "running_reduce_stream": "running_reduce",
     "delta_alert_stream": "delta_alert", "running_avg_stream": "running_avg",
+    "running_sum_stream": "running_sum",
     "topn_window_stream": "topn_window", "changelog_stream": "changelog_sum",
     "win_count_tumbling_stream": "win_count_tumbling", "win_count_sliding_stream": "win_count_sliding",
     "vc_count_running_stream": "vc_count_running", "running_top3_stream": "running_top3",

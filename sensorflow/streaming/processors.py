@@ -56,6 +56,24 @@ class RunningSum(StatefulProcessor):
         pass
 
 
+class ReducingSum(StatefulProcessor):
+    """Reducing state for ``sum("vc")``: vc summed, other fields kept from the
+    key's first record (state = running sum + the first record's ts)."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", StructType([StructField("s", LongType()),
+                                                           StructField("ts0", LongType())]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows)
+        if pdf.empty:
+            return
+        s0, ts0 = self.acc.get() if self.acc.exists() else (0, int(pdf["ts"].iloc[0]))
+        run = pdf["vc"].astype("int64").cumsum() + s0
+        self.acc.update((int(run.iloc[-1]), ts0))
+        yield pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "ts": ts0, "vc": run})
+
+
 class RunningAvg(StatefulProcessor):
     """Aggregating state: running mean with a (sum, count) accumulator."""
 
