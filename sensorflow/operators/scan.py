@@ -368,23 +368,34 @@ def _summary_carry(local: DataFrame, plan: _Plan) -> DataFrame:
         *[F.when(same, F.lag(c).over(w_all)).alias("__c" + c) for c in state_cols])
 
 
-def target_partitions(df: DataFrame, floor: int | None = None) -> int:
-    """Partitions for a shuffle of ``df``: at least ``spark.sql.shuffle.partitions``
-    and enough that each holds about the advisory partition size (AQE's
-    target) according to the optimizer's size estimate of the input."""
+def estimated_partitions(df: DataFrame) -> int | None:
+    """Partitions needed for ``df`` at AQE's advisory partition size, from the
+    optimizer's size estimate; None when there is no estimate."""
     spark = df.sparkSession
-    n = floor or int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        target = int(str(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864"))
-                     .lower().rstrip("b").replace("m", "") or 64)
+        raw = str(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864")).lower()
+        target = int(raw.rstrip("b").replace("m", "") or 64)
         if target < 1 << 20:           # value given in MB
             target <<= 20
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size < (1 << 62):           # Long.MaxValue-ish means "unknown"
-            n = max(n, min(MAX_PARTITIONS, -(-size // target)))
-    except Exception:  # no statistics available: keep the configured count
-        pass
-    return n
+    except Exception:
+        return None
+    if size >= (1 << 62):              # Long.MaxValue-ish means "unknown"
+        return None
+    return min(MAX_PARTITIONS, max(1, -(-size // target)))
+
+
+def _range_partition(df: DataFrame, cols: list[str], num_partitions: int | None) -> DataFrame:
+    """Range exchange on ``cols``.  Small inputs leave the count to the session
+    (AQE may merge neighbouring ranges: still contiguous); inputs larger than
+    ``shuffle.partitions`` x advisory size get an explicit, size-based count."""
+    if num_partitions:
+        return df.repartitionByRange(num_partitions, *cols)
+    conf_n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    est = estimated_partitions(df)
+    if est is not None and est > conf_n:
+        return df.repartitionByRange(est, *cols)
+    return df.repartitionByRange(*cols)
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
@@ -398,7 +409,6 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
     reused, saving a shuffle.
     """
     spark = df.sparkSession
-    n = num_partitions or target_partitions(df)
     plan = _Plan(list(keys), list(order), list(aggs), df.schema)
     fields = list(df.schema.fields)
     for a in aggs:
@@ -409,7 +419,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
     fields += [T.StructField(PID, T.IntegerType(), False), T.StructField("__first", T.BooleanType(), False),
                T.StructField("__last", T.BooleanType(), False)]
     plan.out_fields = fields
-    staged = df if chained else df.repartitionByRange(n, *keys, *order)
+    staged = df if chained else _range_partition(df, [*keys, *order], num_partitions)
     # a no-op when the input is already in this order (chained scans)
     staged = staged.sortWithinPartitions(*keys, *order)
     local = staged.mapInPandas(_make_local_scan(plan), T.StructType(fields))
