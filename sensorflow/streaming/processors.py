@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
@@ -126,23 +127,20 @@ class Changelog(StatefulProcessor):
         pdf = _rows(rows)
         if pdf.empty:
             return
-        have = self.total.exists()
-        cur = self.total.get()[0] if have else None
-        out = []
-        for seq, vc in zip(pdf["seq"].tolist(), pdf["vc"].tolist()):
-            if cur is None:
-                cur = int(vc)
-                out.append((seq, 0, "+I", cur))
-            else:
-                out.append((seq, 0, "-U", cur))
-                cur += int(vc)
-                out.append((seq, 1, "+U", cur))
-        self.total.update((cur,))
-        res = pd.DataFrame(out, columns=["seq", "pos", "op", "sum_vc"])
+        base = self.total.get()[0] if self.total.exists() else None
+        new = pdf["vc"].astype("int64").cumsum() + (base or 0)
+        old = new.shift(1)
+        old.iloc[0] = np.nan if base is None else base
+        self.total.update((int(new.iloc[-1]),))
+        first = old.isna()
+        ins = pd.DataFrame({"seq": pdf["seq"][first], "pos": 0, "op": "+I", "sum_vc": new[first]})
+        ret = pd.DataFrame({"seq": pdf["seq"][~first], "pos": 0, "op": "-U", "sum_vc": old[~first]})
+        upd = pd.DataFrame({"seq": pdf["seq"][~first], "pos": 1, "op": "+U", "sum_vc": new[~first]})
+        res = pd.concat([ins, ret, upd], ignore_index=True)
+        res["sum_vc"] = res["sum_vc"].astype("int64")
         res.insert(1, "id", _key(key))
         yield res[["seq", "id", "pos", "op", "sum_vc"]]
 
-
 class CountTumbling(StatefulProcessor):
     """countWindow(size): list state buffers < size rows; a full buffer fires."""
 
@@ -157,23 +155,22 @@ class CountTumbling(StatefulProcessor):
         pdf = _rows(rows)
         if pdf.empty:
             return
-        buf = list(self.buf.get()) if self.buf.exists() else []
-        buf = [(int(r[0]), int(r[1])) for r in buf]
+        old = [(int(r[0]), int(r[1])) for r in self.buf.get()] if self.buf.exists() else []
+        seqs = np.concatenate([np.array([r[0] for r in old], dtype=np.int64), pdf["seq"].to_numpy(np.int64)])
+        vcs = np.concatenate([np.array([r[1] for r in old], dtype=np.int64), pdf["vc"].to_numpy(np.int64)])
         fired = self.fired.get()[0] if self.fired.exists() else 0
-        out = []
-        for seq, vc in zip(pdf["seq"].tolist(), pdf["vc"].tolist()):
-            buf.append((int(seq), int(vc)))
-            if len(buf) == self.size:
-                out.append((_key(key), fired, self.size, sum(v for _, v in buf), buf[0][0], buf[-1][0]))
-                fired += 1
-                buf = []
+        full = len(seqs) // self.size
+        cut = full * self.size
         self.buf.clear()
-        if buf:
-            self.buf.put(buf)
-        self.fired.update((fired,))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "window_no", "cnt", "vc_sum", "first_seq", "last_seq"])
-
+        if cut < len(seqs):
+            self.buf.put([(int(a), int(b)) for a, b in zip(seqs[cut:], vcs[cut:])])
+        self.fired.update((fired + full,))
+        if full:
+            w_seq = seqs[:cut].reshape(full, self.size)
+            w_vc = vcs[:cut].reshape(full, self.size)
+            yield pd.DataFrame({"id": _key(key), "window_no": np.arange(fired, fired + full, dtype=np.int64),
+                                "cnt": np.full(full, self.size, dtype=np.int64), "vc_sum": w_vc.sum(axis=1),
+                                "first_seq": w_seq[:, 0], "last_seq": w_seq[:, -1]})
 
 class CountSliding(StatefulProcessor):
     """countWindow(size, slide): every slide-th record fires over the last <= size rows."""
@@ -189,23 +186,25 @@ class CountSliding(StatefulProcessor):
         pdf = _rows(rows)
         if pdf.empty:
             return
-        buf = [(int(r[0]), int(r[1])) for r in self.buf.get()] if self.buf.exists() else []
-        n = self.count.get()[0] if self.count.exists() else 0
-        out = []
-        for seq, vc in zip(pdf["seq"].tolist(), pdf["vc"].tolist()):
-            n += 1
-            buf = (buf + [(int(seq), int(vc))])[-self.size:]
-            if n % self.slide == 0:
-                out.append((_key(key), n, len(buf), sum(v for _, v in buf), buf[0][0], buf[-1][0]))
+        old = [(int(r[0]), int(r[1])) for r in self.buf.get()] if self.buf.exists() else []
+        n0 = self.count.get()[0] if self.count.exists() else 0
+        k = len(old)
+        seqs = np.concatenate([np.array([r[0] for r in old], dtype=np.int64), pdf["seq"].to_numpy(np.int64)])
+        vcs = np.concatenate([np.array([r[1] for r in old], dtype=np.int64), pdf["vc"].to_numpy(np.int64)])
+        rn = n0 - k + 1 + np.arange(len(seqs))          # record number of every buffered / new row
+        csum = np.concatenate([[0], np.cumsum(vcs)])
+        fire = np.flatnonzero((np.arange(len(seqs)) >= k) & (rn % self.slide == 0))
+        lo = np.maximum(fire - self.size + 1, 0)
         self.buf.clear()
-        self.buf.put(buf)
-        self.count.update((n,))
-        if out:
-            yield pd.DataFrame(out, columns=["id", "fire_no", "cnt", "vc_sum", "first_seq", "last_seq"])
-
+        self.buf.put([(int(a), int(b)) for a, b in zip(seqs[-self.size:], vcs[-self.size:])])
+        self.count.update((int(n0 + len(pdf)),))
+        if len(fire):
+            yield pd.DataFrame({"id": _key(key), "fire_no": rn[fire], "cnt": (fire - lo + 1).astype(np.int64),
+                                "vc_sum": csum[fire + 1] - csum[lo], "first_seq": seqs[lo], "last_seq": seqs[fire]})
 
 class VcCountMap(StatefulProcessor):
-    """Map state vc -> count; each record outputs its entry after the update."""
+    """Map state vc -> count; each record outputs its entry after the update.
+    State is read and written once per distinct vc of the batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", StructType([StructField("vc", IntegerType())]),
@@ -215,14 +214,15 @@ class VcCountMap(StatefulProcessor):
         pdf = _rows(rows)
         if pdf.empty:
             return
-        out = []
-        for seq, vc in zip(pdf["seq"].tolist(), pdf["vc"].tolist()):
-            k = (int(vc),)
-            n = self.counts.getValue(k)[0] + 1 if self.counts.containsKey(k) else 1
-            self.counts.updateValue(k, (n,))
-            out.append((seq, _key(key), int(vc), n))
-        yield pd.DataFrame(out, columns=["seq", "id", "vc", "n"])
-
+        vc = pdf["vc"].astype("int64")
+        base = {}
+        for v in vc.unique().tolist():
+            k = (int(v),)
+            base[v] = self.counts.getValue(k)[0] if self.counts.containsKey(k) else 0
+        n = vc.groupby(vc).cumcount() + 1 + vc.map(base)
+        for v, last in n.groupby(vc).last().items():
+            self.counts.updateValue((int(v),), (int(last),))
+        yield pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "vc": pdf["vc"], "n": n.astype("int64")})
 
 class RunningTopK(StatefulProcessor):
     """List state of the k largest values (sorted, cut after every add)."""
