@@ -310,6 +310,15 @@ def q_top2_table_agg(spark, sf):
     return r.withColumn("rank", F.col("rank").cast("int"))
 
 
+def q_top2_table_agg_udf(spark, sf):
+    """The same Top2 through the generic user table-aggregate API (Python
+    accumulators, partial per task + merge per key)."""
+    from sensorflow.functions import table_agg as TA
+    s = _sensor(spark, sf).select("id", "vc")
+    return TA.table_aggregate(s, ["id"], ["vc"], TA.top2_create, TA.top2_accumulate, TA.top2_merge,
+                              TA.top2_emit, "id string, value int, rank int")
+
+
 # ---- keyed state (batch twins) -----------------------------------------------
 
 def q_delta_alert(spark, sf):

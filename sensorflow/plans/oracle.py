@@ -173,6 +173,8 @@ ORACLE: dict[str, str] = {
                          "SELECT seq, id, vc, l[1] AS top1, l[2] AS top2, l[3] AS top3 FROM r"),
     "top2_table_agg": S + (", r AS (SELECT id, vc AS value, CAST(row_number() OVER (PARTITION BY id ORDER BY vc DESC) AS INTEGER) AS rank "
                            f"FROM sensor WHERE vc > 0) SELECT * FROM r WHERE rank <= {P.TOPN}"),
+    "top2_table_agg_udf": S + (", r AS (SELECT id, vc AS value, CAST(row_number() OVER (PARTITION BY id ORDER BY vc DESC) AS INTEGER) AS rank "
+                               f"FROM sensor WHERE vc > 0) SELECT * FROM r WHERE rank <= {P.TOPN}"),
     # ---- keyed state (batch twins) ----
     "delta_alert": S + (f", p AS (SELECT seq, id, vc, coalesce(lag(vc) OVER (PARTITION BY id ORDER BY seq), 0) AS prev_vc FROM sensor) "
                         "SELECT seq, id, vc, prev_vc, '传感器=' || id || '==>当前水位值=' || CAST(vc AS VARCHAR) || ',与上一条水位值=' "

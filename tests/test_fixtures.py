@@ -139,3 +139,12 @@ def test_vc_count_map(spark):
     df = sensor_df(spark, [("s1", 1, 5), ("s1", 2, 5), ("s1", 3, 6)])
     assert sorted(rows(state.vc_count_map(df))) == [("s1", 5, 2), ("s1", 6, 1)]
     assert [r[0] for r in rows(state.vc_count_running(df).orderBy("seq"), "n")] == [1, 2, 1]
+
+
+def test_generic_table_aggregate_top2_matches_row_number(spark):
+    from sensorflow.functions import table_agg as TA
+    nums = spark.createDataFrame([("k", n) for n in [3, 6, 12, 5, 8, 9, 4]] + [("j", 7), ("j", 7), ("j", -1)],
+                                 "g string, num int").repartition(3)
+    out = TA.table_aggregate(nums, ["g"], ["num"], TA.top2_create, TA.top2_accumulate, TA.top2_merge,
+                             TA.top2_emit, "g string, value int, rank int")
+    assert sorted(rows(out)) == [("j", 7, 1), ("j", 7, 2), ("k", 9, 2), ("k", 12, 1)]
