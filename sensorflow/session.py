@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,39 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sensorflow`` importable in every Python worker: zip the package
+    once per application and hand it to ``addPyFile`` (what ``--py-files``
+    does), so executors on any machine can run the Arrow UDFs and state
+    processors."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="sensorflow-pyfiles-"), "sensorflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    # Python runners that do not read --py-files (the driver-side runner of
+    # transformWithState) still get our functions: pickle them by value
+    try:
+        from pyspark import cloudpickle
+        import sensorflow
+        cloudpickle.register_pickle_by_value(sensorflow)
+    except Exception:
+        pass
+    _SHIPPED.add(app)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the required confs to a session we did not build ourselves."""
     for k, v in REQUIRED_CONF.items():
@@ -62,6 +96,7 @@ def prepare(spark: SparkSession) -> SparkSession:
         except Exception:  # static conf on a running session: leave it
             pass
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 

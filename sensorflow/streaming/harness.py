@@ -97,6 +97,17 @@ def _await(q: StreamingQuery) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def state_partitions(spark: SparkSession, data: DataFrame) -> int:
+    """Shuffle / state-store partitions for a replayed stream: enough for the
+    data's size (advisory partition size), at least the cluster's cores, at
+    most what the session is configured for.  Fixed by the checkpoint at the
+    first run."""
+    from sensorflow.operators.scan import estimated_partitions
+    conf_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    est = estimated_partitions(data) or conf_n
+    return max(1, min(conf_n, max(spark.sparkContext.defaultParallelism, est)))
+
+
 def replay(spark: SparkSession, name: str, data: DataFrame, order_col: str, n_batches: int,
            start: Callable[[DataFrame, Run], StreamingQuery], fmt: str = "parquet",
            text_col: str | None = None, flush: bool = True,
@@ -105,6 +116,17 @@ def replay(spark: SparkSession, name: str, data: DataFrame, order_col: str, n_ba
     """Stage ``data`` and drive the query built by ``start(source_df, run)``
     through it (see module doc), then flush."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    prev_parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark, data)))
+    try:
+        return _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush, on_batch,
+                       restart_each_batch)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev_parts)
+
+
+def _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush, on_batch,
+            restart_each_batch) -> Run:
     run = Run.new(spark, name)
     schema = data.schema
     n = stage(data, order_col, n_batches, run.stage)
