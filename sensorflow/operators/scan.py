@@ -142,25 +142,6 @@ def _local_topk(v: pd.Series, seg: np.ndarray, k: int, carry: list | None) -> li
     return out
 
 
-def _combine_py(kind: str, a, b):
-    """Combine two states (a earlier, b later); None is the identity."""
-    if a is None or (isinstance(a, float) and np.isnan(a)):
-        return b
-    if b is None or (isinstance(b, float) and np.isnan(b)):
-        return a
-    if kind in ("sum", "count"):
-        return a + b
-    if kind == "max":
-        return max(a, b)
-    if kind == "min":
-        return min(a, b)
-    if kind == "first":
-        return a
-    if kind == "last":
-        return b
-    raise ValueError(kind)
-
-
 def _is_na(x) -> bool:
     return x is None or x is pd.NA or (isinstance(x, float) and np.isnan(x))
 

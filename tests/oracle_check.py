@@ -58,12 +58,23 @@ def compare(spark, name, fn, sql, sf_dir, con):
 
 
 if __name__ == "__main__":
-    sys.path.insert(0, "/root/repo")
-    from sensorflow.session import build_session
-    import __spark_entry__ as E
+    import importlib.util
+    import os
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spec = importlib.util.spec_from_file_location("__spark_entry__", os.path.join(repo, "__spark_entry__.py"))
+    E = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(E)
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     only = sys.argv[2:] or None
-    spark = build_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # what a caller with its own default session sees
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from sensorflow.session import build_session
+        spark = build_session()
     con = duck(sf)
     qs, os_ = E.queries(), E.oracle_sql()
     bad = 0
