@@ -305,7 +305,10 @@ def _summary_carry(local: DataFrame, plan: _Plan) -> DataFrame:
     keys, aggs = plan.keys, plan.aggs
     state_cols = [c for a in aggs for c in _state_cols(a)]
     kstruct = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    edge = local.where(F.col("__first") | F.col("__last"))   # <= 2 rows per partition
+    # <= 2 rows per partition: gather them in one task (a shuffle of only these
+    # rows; coalesce(1) after it marks the single partition so the group-by and
+    # windows below need no further exchange)
+    edge = local.where(F.col("__first") | F.col("__last")).repartition(1).coalesce(1)
     summ = edge.groupBy(PID).agg(
         F.first(F.when(F.col("__first"), kstruct), ignorenulls=True).alias("first_key"),
         F.first(F.when(F.col("__last"), F.struct(kstruct.alias("k"), *[F.col(c) for c in state_cols])),
