@@ -71,3 +71,40 @@ def test_two_input_watermark_is_minimum(spark):
     # watermark before seq 2 = min(100, 10) - 3 s - 1 ms = 6999 ms -> 50 s is on time
     # before seq 3: min(100, 10) -> 6999 ms, 5 s = 5000 ms < 6999 -> late
     assert [r["late"] for r in out.collect()] == [False, False, False, True]
+
+
+def test_foreach_writer_and_table_stream(spark):
+    """SNK-6: a lifecycle writer opens one connection per task and epoch and
+    writes every row through it; SNK-7: a stream inserted into a table."""
+    from sensorflow.sinks import custom
+    from sensorflow.sinks import tables as table_sinks
+    root = scratch_path(spark, "sink-test")
+    src_dir = os.path.join(root, "src")
+    out_dir = os.path.join(root, "out")
+    os.makedirs(out_dir, exist_ok=True)
+    spark.createDataFrame([(i, f"s{i % 3}") for i in range(20)], "seq bigint, id string").write.parquet(src_dir)
+    src = spark.readStream.schema("seq bigint, id string").parquet(src_dir)
+
+    def connect(part, epoch):
+        return open(os.path.join(out_dir, f"part-{part}-{epoch}.txt"), "a")
+
+    writer = custom.LifecycleWriter(connect, lambda f, row: f.write(f"{row.seq},{row.id}\n"), lambda f: f.close())
+    q = (src.writeStream.foreach(writer).option("checkpointLocation", os.path.join(root, "ck1"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    lines = [l for f in os.listdir(out_dir) for l in open(os.path.join(out_dir, f)).read().splitlines()]
+    assert sorted(int(l.split(",")[0]) for l in lines) == list(range(20))
+
+    name = "sink_stream_t"
+    spark.sql(f"CREATE TABLE {name} (seq bigint, id string) USING parquet LOCATION '{os.path.join(root, 'tbl')}'")
+    q2 = table_sinks.start_table_stream(src, name, os.path.join(root, "ck2"), {"availableNow": True})
+    q2.awaitTermination(120)
+    assert spark.table(name).count() == 20
+
+
+def test_text_file_source(spark):
+    from sensorflow.sources.files import text_file
+    root = scratch_path(spark, "text-src")
+    spark.createDataFrame([("hello flink",), ("hello world",), ("hello java",)], "value string") \
+        .coalesce(1).write.text(root)
+    assert sorted(r[0] for r in text_file(spark, root).collect()) == ["hello flink", "hello java", "hello world"]
