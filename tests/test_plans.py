@@ -30,3 +30,32 @@ def test_word_count_partial_aggregation(spark):
 def test_every_oracle_has_a_query():
     qs, os_ = E.queries(), E.oracle_sql()
     assert set(os_) <= set(qs)
+
+
+def test_time_window_is_partial_then_final(spark):
+    plan = _plan(E.queries()["win_tumbling"](spark, SF))
+    assert "partial_count" in plan and "partial_sum" in plan
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+def test_topn_uses_partial_window_group_limit(spark):
+    plan = _plan(E.queries()["topn_window"](spark, SF))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_interval_join_is_bucketed_equi_join(spark):
+    plan = _plan(E.queries()["join_interval"](spark, SF))
+    # the join keys are (id, bucket); the exact time bound is a residual condition
+    assert "__b" in plan and ("SortMergeJoin [id" in plan or "BroadcastHashJoin [id" in plan)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_static_config_is_scalar_subquery(spark):
+    plan = _plan(E.queries()["broadcast_static"](spark, SF))
+    assert "Subquery" in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_no_query_reads_unneeded_event_columns(spark):
+    # props is never used by any sensor-based query
+    for k in ["filter_group_sum", "win_sliding", "join_window", "late_allowed"]:
+        assert "props" not in _plan(E.queries()[k](spark, SF))
