@@ -392,7 +392,6 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
     the same keys and order: its range partitions and in-partition order are
     reused, saving a shuffle.
     """
-    spark = df.sparkSession
     plan = _Plan(list(keys), list(order), list(aggs), df.schema)
     fields = list(df.schema.fields)
     for a in aggs:
