@@ -1,6 +1,8 @@
 """The four user-function families, native first.
 
-* scalar ``java_hash`` (any type)     -> native expression; SQL name registered
+* scalar ``java_hash`` (any type)     -> native expression, dispatched on the
+                                        column type; SQL name ``java_hash_str``
+                                        (strings, Arrow UDF) registered
 * aggregate weighted average          -> native ``sum/sum``; pandas UDAF for SQL
 * table function split -> (word, len) -> native ``inline``; Python UDTF for SQL
 * table aggregate Top2               -> ``row_number() <= 2`` (see operators.topn)

@@ -53,7 +53,8 @@ def read_values(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 
 
 def write_stream(records: DataFrame, options: dict[str, str], checkpoint: str):
-    """At-least-once queue sink (Spark's Kafka sink); pair with an idempotent
-    consumer or use :mod:`sensorflow.streaming.exactly_once` for files/tables."""
+    """At-least-once queue sink (Spark's Kafka sink); pair it with an idempotent
+    consumer.  Exactly-once output goes through the file sink or a
+    batch-id-keyed ``foreachBatch`` (see ``exactly_once_pipeline``)."""
     return (records.writeStream.format("kafka").options(**options)
             .option("checkpointLocation", checkpoint).start())
