@@ -342,61 +342,47 @@ def s_join_connected_stream(spark, sf):
 
 # ---- late data --------------------------------------------------------------------
 
-def s_late_side_output_stream(spark, sf):
-    """Per-record late classification on a stream: ``foreachBatch`` carries
-    the max event time of earlier batches in a small ledger keyed by batch id
-    (a replayed batch reads the same carry) and scans inside the batch in
-    arrival order."""
+def _classified_stream(spark, sf, name: str, keep_late: bool):
+    """Replay the arrivals and classify every row per record (on time /
+    re-fire / too late) inside ``foreachBatch``.  The max event time of
+    earlier batches is carried in a small ledger keyed by batch id, so a
+    replayed batch reads the same carry; inside the batch the scan runs in
+    arrival order.  Writes the late rows (``keep_late``) or the kept rows."""
     def start(src, run):
         ledger = os.path.join(run.root, "ledger")
 
         def write(bdf, bid):
             try:
                 prev = spark.read.parquet(ledger).where(F.col("batch") < bid).agg(F.max("max_ts")).first()[0]
-            except Exception:
+            except Exception:      # first batch: no ledger yet
                 prev = None
-            rows = bdf.select("seq", "id", "ts", "vc", "arrival")
+            rows = bdf.where(F.col("id") != H.FLUSH_KEY).select("seq", "id", "ts", "vc", "arrival")
             cl = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S,
                                                     ["arrival", "seq"], carry_max=prev)
-            cl.where(F.col("status") == "late").select("seq", "id", "ts", "vc", "arrival", "win_start") \
+            out = cl.where(F.col("status") == "late") if keep_late else cl.where(F.col("status") != "late")
+            out.select("seq", "id", "ts", "vc", "arrival", "win_start", "win_end", "status") \
                 .write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
-            mx = rows.agg(F.max("ts").alias("m")).first()[0]
-            top = max(x for x in (prev, mx) if x is not None) if (prev is not None or mx is not None) else None
-            spark.createDataFrame([(top,)], "max_ts bigint").write.mode("overwrite") \
-                .parquet(os.path.join(ledger, f"batch={bid}"))
-        return (src.writeStream.queryName("late_side_output_stream").foreachBatch(write)
+            mx = rows.agg(F.max("ts")).first()[0]
+            seen = [x for x in (prev, mx) if x is not None]
+            spark.createDataFrame([(max(seen) if seen else None,)], "max_ts bigint") \
+                .write.mode("overwrite").parquet(os.path.join(ledger, f"batch={bid}"))
+        return (src.writeStream.queryName(name).foreachBatch(write)
                 .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
-    run = H.replay(spark, "late_side", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
+    run = H.replay(spark, name, _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
     return spark.read.parquet(run.sink).drop("batch")
 
 
+def s_late_side_output_stream(spark, sf):
+    """Late side output on a stream: rows whose window was already destroyed."""
+    late = _classified_stream(spark, sf, "late_side_output_stream", keep_late=True)
+    return late.select("seq", "id", "ts", "vc", "arrival", "win_start")
+
+
 def s_late_allowed_stream(spark, sf):
-    """Allowed lateness on a stream: every micro-batch classifies its rows
-    (on time / re-fire / too late) against the max event time carried from
-    earlier batches (ledger keyed by batch id) and writes the kept rows with
-    their status; the per-window final value and firing count are then
+    """Allowed lateness on a stream: the kept rows are classified per record
+    in the stream; the per-window final value and firing count are then
     aggregated from that sink."""
-    def start(src, run):
-        ledger = os.path.join(run.root, "ledger")
-
-        def write(bdf, bid):
-            try:
-                prev = spark.read.parquet(ledger).where(F.col("batch") < bid).agg(F.max("max_ts")).first()[0]
-            except Exception:
-                prev = None
-            rows = bdf.where(F.col("id") != H.FLUSH_KEY).select("seq", "id", "ts", "vc", "arrival")
-            cl = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S,
-                                                    ["arrival", "seq"], carry_max=prev)
-            cl.where(F.col("status") != "late").select("id", "vc", "win_start", "win_end", "status") \
-                .write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
-            mx = rows.agg(F.max("ts").alias("m")).first()[0]
-            top = max(x for x in (prev, mx) if x is not None) if (prev is not None or mx is not None) else None
-            spark.createDataFrame([(top,)], "max_ts bigint").write.mode("overwrite") \
-                .parquet(os.path.join(ledger, f"batch={bid}"))
-        return (src.writeStream.queryName("late_allowed_stream").foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
-    run = H.replay(spark, "late_allowed", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
-    kept = spark.read.parquet(run.sink)
+    kept = _classified_stream(spark, sf, "late_allowed_stream", keep_late=False)
     return (kept.groupBy("id", "win_start", "win_end")
             .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").cast("bigint").alias("vc_sum"),
                  (F.max((F.col("status") == "on_time").cast("int")) +
