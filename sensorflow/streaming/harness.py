@@ -5,9 +5,10 @@ Structured Streaming query, and read its sink back.
   column (computed distributedly; only the ``n-1`` cut points reach the
   driver) and staged once, partitioned by batch.
 * Default: one query runs continuously; after batch ``b`` is appended to
-  the source folder the harness waits with ``processAllAvailable()``.  At
-  the end the query is stopped and restarted once from its checkpoint with
-  ``trigger(availableNow=True)``, which also runs the final no-data batch.
+  the source folder the harness waits with ``processAllAvailable()``.  For
+  event-time queries the query is then stopped and restarted once from its
+  checkpoint with ``trigger(availableNow=True)`` to take the flush sentinel
+  and run the final no-data batch.
 * ``restart_each_batch=True``: the query is restarted from the checkpoint
   for every batch, so batch boundaries are exact and every run after the
   first is a recovery (used by the restart / exactly-once keys).
@@ -165,8 +166,9 @@ def _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush
             s.select(text_col).write.mode("append").text(run.source)
         else:
             s.write.mode("append").parquet(run.source)
-    # final run from the checkpoint: processes what is left plus the no-data batch
-    _await(start(source(), run))
+        # final run from the checkpoint: the sentinel plus the no-data batch that
+        # lets the last windows close
+        _await(start(source(), run))
     return run
 
 
