@@ -356,13 +356,16 @@ def _classified_stream(spark, sf, name: str, keep_late: bool):
                 prev = spark.read.parquet(ledger).where(F.col("batch") < bid).agg(F.max("max_ts")).first()[0]
             except Exception:      # first batch: no ledger yet
                 prev = None
-            rows = bdf.where(F.col("id") != H.FLUSH_KEY).select("seq", "id", "ts", "vc", "arrival")
-            cl = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S,
-                                                    ["arrival", "seq"], carry_max=prev)
-            out = cl.where(F.col("status") == "late") if keep_late else cl.where(F.col("status") != "late")
-            out.select("seq", "id", "ts", "vc", "arrival", "win_start", "win_end", "status") \
-                .write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
-            mx = rows.agg(F.max("ts")).first()[0]
+            rows = bdf.where(F.col("id") != H.FLUSH_KEY).select("seq", "id", "ts", "vc", "arrival").persist()
+            try:
+                cl = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S,
+                                                        ["arrival", "seq"], carry_max=prev)
+                out = cl.where(F.col("status") == "late") if keep_late else cl.where(F.col("status") != "late")
+                out.select("seq", "id", "ts", "vc", "arrival", "win_start", "win_end", "status") \
+                    .write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
+                mx = rows.agg(F.max("ts")).first()[0]
+            finally:
+                rows.unpersist()
             seen = [x for x in (prev, mx) if x is not None]
             spark.createDataFrame([(max(seen) if seen else None,)], "max_ts bigint") \
                 .write.mode("overwrite").parquet(os.path.join(ledger, f"batch={bid}"))
