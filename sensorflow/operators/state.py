@@ -46,8 +46,12 @@ def ttl_last_value(df: DataFrame, ttl_s: int, write_above: int = 10, time_col: s
     Every record reads the state, so the state survives to record r exactly
     when the last write w happened before r and no two consecutive records of
     the key in (w, r] are ``ttl_s`` or more apart (expired when
-    last_access + ttl <= now).  Time is the record's event time."""
+    last_access + ttl <= now).  Time is the record's event time.  Records are
+    processed in ``seq`` order (break and write positions are compared by
+    ``seq``), so ``order`` may only be ``["seq"]``."""
     order = order or ["seq"]
+    if order != ["seq"]:
+        raise ValueError("ttl_last_value processes records in seq order")
     base = df.select("seq", "id", time_col, "vc")
     s1 = running(base, ["id"], order, [Agg("__prev_t", "last", time_col, exclusive=True)])
     s1 = (s1.withColumn("__brk", F.when(F.col("__prev_t").isNotNull() &
