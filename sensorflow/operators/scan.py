@@ -130,16 +130,40 @@ def _local_extreme_by(pdf: pd.DataFrame, a: Agg, seg: np.ndarray) -> tuple[pd.Se
 
 
 def _local_topk(v: pd.Series, seg: np.ndarray, k: int, carry: list | None) -> list:
-    out = []
-    cur: list = list(carry) if carry is not None else []
-    prev_seg = seg[0] if len(seg) else None
-    for x, s in zip(v.tolist(), seg.tolist()):
-        if s != prev_seg:
-            cur, prev_seg = [], s
-        if x is not None and not (isinstance(x, float) and np.isnan(x)):
-            cur = sorted(cur + [x], reverse=True)[:k]
-        out.append(list(cur))
-    return out
+    """Running k largest values per segment, vectorised by level.
+
+    Inserting x into a sorted top list (t_0 >= t_1 >= ...) and cutting it to k
+    gives t_l' = max(t_l, min(x, t_{l-1})) with t_{-1} = +inf, so level l is a
+    running max of min(x, level l-1 just before x).  ``carry`` is the state
+    the first segment continues from."""
+    x = pd.to_numeric(v, errors="coerce").astype("float64").to_numpy()
+    x = np.where(np.isnan(x), -np.inf, x)
+    n = len(x)
+    first = np.r_[True, seg[1:] != seg[:-1]] if n else np.zeros(0, dtype=bool)
+    in_first_seg = seg == seg[0] if n else np.zeros(0, dtype=bool)
+    c = list(carry or [])
+    c = [float(t) for t in c] + [-np.inf] * (k - len(c))
+    levels = []
+    prev = None
+    for lvl in range(k):
+        if lvl == 0:
+            cand = x
+        else:
+            before = np.empty(n)
+            before[1:] = prev[:-1]
+            before[first] = -np.inf
+            if n:
+                before[0] = c[lvl - 1] if carry is not None else -np.inf
+            cand = np.minimum(x, before)
+        run = pd.Series(cand).groupby(seg).cummax().to_numpy()
+        if carry is not None:
+            run = np.where(in_first_seg, np.maximum(run, c[lvl]), run)
+        levels.append(run)
+        prev = run
+    mat = np.column_stack(levels) if levels else np.empty((n, 0))
+    integral = pd.api.types.is_integer_dtype(v.dtype) or str(v.dtype) == "Int64"
+    conv = int if integral else float
+    return [[conv(t) for t in row if t != -np.inf] for row in mat.tolist()]
 
 
 def _is_na(x) -> bool:

@@ -96,3 +96,34 @@ def test_scan_plan_has_no_single_partition_exchange(spark):
     singles = [i for i, line in enumerate(lines) if "SinglePartition" in line]
     assert len(singles) == 1
     assert "Filter (__first" in lines[singles[0] + 2]
+
+
+def test_scan_all_kinds_across_batches_and_partitions(spark):
+    """Small Arrow batches force the in-partition carry between batches as well
+    as the cross-partition carry; every aggregate kind must equal the
+    single-task window result."""
+    from pyspark.sql import Window
+    prev = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        df = spark.range(2000).select(F.col("id").alias("seq"),
+                                      F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                      .otherwise((F.col("id") % 7).cast("string")).alias("k"),
+                                      ((F.col("id") * 7919) % 101).cast("int").alias("v"))
+        aggs = [Agg("s", "sum", "v"), Agg("n", "count"), Agg("mx", "max", "v"), Agg("mn", "min", "v"),
+                Agg("f", "first", "seq"), Agg("p", "last", "v", exclusive=True),
+                Agg("mb", "max_by", "seq", by="v"), Agg("nb", "min_by", "seq", by="v"),
+                Agg("t3", "topk", "v", k=3), Agg("ps", "sum", "v", exclusive=True)]
+        r = running(df, ["k"], ["seq"], aggs, num_partitions=9)
+        w = Window.partitionBy("k").orderBy("seq")
+        wr = w.rowsBetween(Window.unboundedPreceding, 0)
+        ref = df.select("*", F.sum("v").over(wr).alias("s"), F.count("*").over(wr).alias("n"),
+                        F.max("v").over(wr).alias("mx"), F.min("v").over(wr).alias("mn"),
+                        F.first("seq").over(wr).alias("f"), F.lag("v").over(w).alias("p"),
+                        F.max_by("seq", F.struct("v", -F.col("seq"))).over(wr).alias("mb"),
+                        F.min_by("seq", F.struct("v", "seq")).over(wr).alias("nb"),
+                        F.slice(F.sort_array(F.collect_list("v").over(wr), False), 1, 3).alias("t3"),
+                        F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("ps"))
+        assert r.exceptAll(ref).count() == 0 and ref.exceptAll(r).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", prev)
