@@ -234,11 +234,20 @@ def _make_local_scan(plan: _Plan):
                 vals = vals.astype(object).where(vals.notna(), None).tolist()
                 if cont and not _is_na(carry.get(cols[0])):
                     cb, cv = carry[cols[0]], carry[cols[1]]
-                    for i in np.flatnonzero(seg0):
-                        b = bys[i]
-                        better = b is not None and (b > cb if a.kind == "max_by" else b < cb)
-                        if not better:
-                            bys[i], vals[i] = cb, cv
+                    idx = np.flatnonzero(seg0)
+                    try:                      # numeric order column: vectorised
+                        b = pd.to_numeric(pd.Series([bys[i] for i in idx], dtype=object)).to_numpy(dtype="float64")
+                        better = (b > float(cb)) if a.kind == "max_by" else (b < float(cb))
+                        bys, vals = np.array(bys, dtype=object), np.array(vals, dtype=object)
+                        bys[idx[~better]] = cb
+                        vals[idx[~better]] = cv
+                        bys, vals = bys.tolist(), vals.tolist()
+                    except (TypeError, ValueError):
+                        for i in idx:
+                            b = bys[i]
+                            better = b is not None and (b > cb if a.kind == "max_by" else b < cb)
+                            if not better:
+                                bys[i], vals[i] = cb, cv
                 out[cols[0]] = _as_nullable(pd.Series(bys, dtype=object), out_types[cols[0]])
                 out[cols[1]] = _as_nullable(pd.Series(vals, dtype=object), out_types[cols[1]])
             elif a.kind == "topk":
