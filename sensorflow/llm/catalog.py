@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from sensorflow.llm import exact_dedup, sharding
+from sensorflow.llm import bpe, exact_dedup, mixing, sharding, simhash
 
 LLM_QUERIES = {
+    "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op6_mixing": mixing.op6_mixing,
+    "op8_bpe": bpe.op8_bpe,
     "op10_sharding": sharding.op10_sharding,
 }
 
