@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
-from sensorflow.llm import bpe, exact_dedup, mixing, sharding, simhash
+from sensorflow.llm import bpe, embeddings, exact_dedup, html_text, licenses, maxent, mixing, sharding, simhash, toxicity
 
 LLM_QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
+    "op2_html_extraction": html_text.op2_html_extraction,
+    "op3_lm_scoring": maxent.op3_lm_scoring,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_embedding_near_dedup": embeddings.op5_embedding_near_dedup,
     "op6_mixing": mixing.op6_mixing,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_bpe": bpe.op8_bpe,
+    "op9_license_scan": licenses.op9_license_scan,
     "op10_sharding": sharding.op10_sharding,
 }
 
 LLM_ORACLE = {
+    "op2_html_extraction": html_text.op2_html_extraction,
+    "op3_lm_scoring": maxent.op3_lm_scoring,
     "op4_exact_dedup": exact_dedup.ORACLE,
 }

@@ -98,7 +98,7 @@ def compare_cells(rows: DataFrame, runs: Callable[[Cols, np.ndarray, np.ndarray]
                 hot_rows += e - s
             plain = ~hot & (ends - starts > 1)
             if plain.any():
-                links = runs(numpy_columns(t.select(names)), starts[plain], ends[plain])
+                links = runs(numpy_columns(t.select(["cell", *names])), starts[plain], ends[plain])
                 if len(links[0]):
                     yield batch(links, None, None, schema)
 
@@ -130,7 +130,7 @@ def compare_cells(rows: DataFrame, runs: Callable[[Cols, np.ndarray, np.ndarray]
 
         def close(t: pa.Table) -> pa.RecordBatch | None:
             right = t.column("right").to_numpy(zero_copy_only=False)
-            cols = numpy_columns(t.select(names))
+            cols = numpy_columns(t.select(["cell", *names]))
             if t.column("x")[0].as_py() == t.column("y")[0].as_py():
                 links = runs(cols, np.array([0]), np.array([t.num_rows]))
             else:

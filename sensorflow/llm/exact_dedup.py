@@ -18,6 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sensorflow.llm.common import SPACE_CHARS, stored, table, text_or_empty
 
@@ -142,6 +143,21 @@ def dedup(docs: DataFrame) -> DataFrame:
                          "text_sha256")
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, columns as they are: one for each distinct normalised text."""
+    def key(digest, doc_id):
+        return F.concat_ws("/", digest, F.coalesce(doc_id.cast("string"), F.lit("none")))
+
+    kept = dedup(docs).where("kept").select(key(F.col("text_sha256"), F.col("doc_id")).alias("key"))
+    norm = F.translate(text_or_empty(), SPACE_CHARS, "")
+    rows = docs.select(F.struct("*").alias("row"), F.char_length(text_or_empty()).alias("chars"),
+                       key(F.sha2(norm, 256), F.col("doc_id").cast("bigint")).alias("key"))
+    # a text that stays is there once, unless its row is repeated under one id
+    first = Window.partitionBy("key").orderBy(F.desc("chars"))
+    return (rows.join(kept, "key", "left_semi").withColumn("nth", F.row_number().over(first))
+            .where("nth = 1").select("row.*"))
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),

@@ -159,7 +159,7 @@ def near_dedup(docs: DataFrame, k: int = SHINGLE_WORDS, bits: int = MAX_BITS, li
     nodes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
     tied = stored(components(near_links(nodes, bits, limit)), "components")
     own = tied.join(nodes, tied.node == nodes.fp)
-    best = own.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    best = stored(own.groupBy("root").agg(F.min("first_id").alias("component_id")), "best")
     named = tied.join(best, "root").select(F.col("node").alias("fp"), "component_id")
     labels = stored(nodes.join(named, "fp", "left")
                     .select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "labels")
@@ -167,6 +167,16 @@ def near_dedup(docs: DataFrame, k: int = SHINGLE_WORDS, bits: int = MAX_BITS, li
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, columns as they are, without those whose component bears another doc_id.
+
+    Rows without a doc_id cannot be named as dropped and stay.
+    """
+    found = near_dedup(docs)
+    dropped = found.where("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+
+
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     return near_dedup(table(spark, sf_dir, "documents"))
