@@ -44,7 +44,11 @@ def _to_int32(h: Column) -> Column:
 
 def java_string_hash(s: Column | str) -> Column:
     """``String.hashCode``: h = 31*h + c over UTF-16 units, wrapped to 32 bits."""
-    chars = F.transform(F.split(_c(s), "", -1), lambda ch: F.ascii(ch).cast("bigint"))
+    # a code point beyond the basic plane is two units, a high and a low surrogate
+    points = F.transform(F.split(_c(s), "", -1), lambda ch: F.ascii(ch).cast("bigint"))
+    chars = F.flatten(F.transform(points, lambda p: F.when(p >= 0x10000, F.array(
+        F.lit(0xD800) + F.floor((p - 0x10000) / 0x400), F.lit(0xDC00) + F.pmod(p - 0x10000, F.lit(0x400))))
+        .otherwise(F.array(p))))
     h = F.aggregate(chars, F.lit(0).cast("bigint"),
                     lambda acc, x: F.pmod(acc * F.lit(31) + x, F.lit(_TWO_32)))
     return _to_int32(h)

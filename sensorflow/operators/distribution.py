@@ -25,11 +25,6 @@ def rescale(df: DataFrame, n: int) -> DataFrame:
     return df.coalesce(n)
 
 
-def global_single(df: DataFrame) -> DataFrame:
-    """Everything to one task (only for small, already-reduced data)."""
-    return df.coalesce(1)
-
-
 def replicate(df: DataFrame, n: int, col: str = "replica") -> DataFrame:
     """Every row to every one of ``n`` partitions (row i of replica r lands in partition r)."""
     rep = df.withColumn(col, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))

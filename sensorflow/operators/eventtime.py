@@ -11,14 +11,13 @@ The reference's rules, in milliseconds of event time ``ts * 1000``:
 * a row is late for a join when its event time < the current watermark.
 
 "The watermark when a row arrives" is a global running max over arrival
-order -- computed with the skew-proof scan (range partitions on the
-arrival order, per-partition max, carried prefix over partitions), never
-with an un-partitioned window.
+order -- computed with the two-level scan (maximum per range of the arrival
+order, carried over the ranges), never with an un-partitioned window over rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.operators.scan import Agg, running
@@ -96,7 +95,3 @@ def late_rows_two_inputs(left: DataFrame, right: DataFrame, delay_s: int, order:
     has_wm = F.col("__lmax").isNotNull() & F.col("__rmax").isNotNull()
     late = has_wm & (F.col(time_col) * 1000 < wm)
     return r.withColumn("late", late).drop("__lt", "__rt", "__lmax", "__rmax")
-
-
-def is_late_col(t_ms: Column, wm_ms: Column) -> Column:
-    return t_ms < wm_ms

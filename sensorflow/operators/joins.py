@@ -7,7 +7,7 @@ all rows of a hot key with each other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.scalar import java_split
@@ -75,15 +75,9 @@ def asof_threshold_alerts(data: DataFrame, config: DataFrame, order: str = "seq"
     return out.where(F.col("vc") > F.col("threshold")).drop("__cfg", "__is_cfg")
 
 
-def split_words(line: Column) -> Column:
-    """Table function body: line -> array<struct<word, length>>."""
-    return F.transform(java_split(line, " "),
-                       lambda w: F.struct(w.alias("word"), F.length(w).cast("int").alias("length")))
-
-
 def lateral_split(df: DataFrame, line_col: str, outer: bool = False) -> DataFrame:
     """``FROM t, LATERAL TABLE(split(line))`` (inner) or ``LEFT JOIN LATERAL
     ... ON TRUE`` (outer: a line without words keeps one row of nulls)."""
-    keep = [c for c in df.columns]
-    gen = F.inline_outer(split_words(F.col(line_col))) if outer else F.inline(split_words(F.col(line_col)))
-    return df.select(*keep, gen)
+    words = java_split(F.col(line_col), " ")
+    rows = df.select("*", (F.explode_outer(words) if outer else F.explode(words)).alias("word"))
+    return rows.withColumn("length", F.length("word").cast("int"))

@@ -1,41 +1,40 @@
-"""Running (prefix) aggregates per key in a total order, skew-proof.
+"""Running (prefix) aggregates per key in a total order, without one task per key.
 
 ``Window.partitionBy(key).orderBy(seq)`` puts every row of a key into one
 task; with one key holding a third of the data that is one task reading a
-third of the cluster's input.  ``running`` instead:
-
-1. range-partitions on (key..., order...) -- the sampler splits a hot key
-   across as many partitions as its size needs;
-2. scans each partition in order with vectorised numpy (Arrow batches via
-   ``mapInPandas``), giving partition-local running states and the task's
-   partition index;
-3. checkpoints that result (reliable, in ``spark.checkpoint.dir``) so the
-   partition index is fixed and lineage is cut;
-4. reduces every partition to one summary row (first key, last key, state of
-   its last key) -- at most #partitions rows, so broadcasting it is bounded
-   by the partition count, not by the data;
-5. turns the summaries into a carry per partition (state of the partition's
-   first key accumulated over all earlier partitions) and applies it with a
-   broadcast join on the partition index.
-
-Supported running aggregates (``Agg.kind``): sum, count, max, min, first,
-last (last non-null), max_by / min_by (first row wins ties), topk (k largest
-values, descending, duplicates kept).  ``exclusive=True`` gives the value
-over the rows *before* the current one (lag, "watermark before this row").
+third of the cluster's input.  ``running`` works on two levels, all of it in
+native expressions and lazy:
+
+1. the order is cut into ``buckets`` ranges of its first column, between the
+   column's minimum and maximum (a scalar subquery of the same plan);
+2. ``groupBy(key, bucket)`` reduces each bucket of a key to one state, with
+   partial aggregation on the map side;
+3. a window over the few states of a key carries them forward: the state of
+   all rows in earlier buckets;
+4. the carry is joined on (key, bucket) and a window over (key, bucket) runs
+   through the rows of one bucket only.
+
+A hot key is spread over its buckets, and an un-keyed scan over all buckets.
+Rows that tie in the first order column share a bucket.
+
+Supported aggregates (``Agg.kind``): sum, count, max, min, first, last (last
+non-null), max_by / min_by (first row wins ties), topk (k largest values,
+descending, duplicates kept).  Types are Spark's own: sums widen as
+``sum`` does and raise on overflow, extremes take any orderable type.
+``exclusive=True`` gives the value over the rows *before* the current one
+(lag, "watermark before this row").
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PID = "__pid"
-MAX_PARTITIONS = 200_000   # keeps the per-partition summary (one row each) small
+KEY, BUCKET = "__key", "__bucket"
+BUCKETS = 4096
 
 
 @dataclass(frozen=True)
@@ -48,414 +47,137 @@ class Agg:
     exclusive: bool = False   # value over the preceding rows only
 
 
-@dataclass
-class _Plan:
-    keys: list[str]
-    order: list[str]
-    aggs: list[Agg]
-    schema: T.StructType
-    out_fields: list[T.StructField] = field(default_factory=list)
+def _number(c: Column, kind: T.DataType) -> Column:
+    """An order column as an exact number that sorts the same way."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("decimal(20,0)")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("decimal(20,0)")
+    if isinstance(kind, T.IntegralType):
+        return c.cast("decimal(20,0)")
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return c
+    raise ValueError(f"running aggregates need a numeric or time order, not {kind.simpleString()}")
 
 
-def _state_cols(a: Agg) -> list[str]:
-    if a.kind in ("max_by", "min_by"):
-        return [f"__{a.name}_by", f"__{a.name}_v"]
-    return [f"__{a.name}"]
+def _place(df: DataFrame, order: list[str], negate: bool) -> list[Column]:
+    kinds = [df.schema[o].dataType for o in order]
+    cols = [_number(F.col(o), k) for o, k in zip(order, kinds)]
+    return [(-c if negate else c).alias(f"o{i}") for i, c in enumerate(cols)]
 
 
-def _value_type(a: Agg, schema: T.StructType) -> T.DataType:
+def _input(a: Agg, df: DataFrame, order: list[str]) -> tuple[str, Column]:
+    """The aggregate as sum / max / min of one value per row; records compare by their first fields."""
+    c = F.col(a.col) if a.col else F.lit(1)
+    if a.kind in ("sum", "max", "min"):
+        return a.kind, c
     if a.kind == "count":
-        return T.LongType()
-    src = schema[a.col].dataType
-    if a.kind == "sum":
-        return T.DoubleType() if isinstance(src, (T.FloatType, T.DoubleType)) else T.LongType()
-    if a.kind == "topk":
-        return T.ArrayType(src)
-    return src
-
-
-def _state_fields(a: Agg, schema: T.StructType) -> list[T.StructField]:
+        return "sum", F.lit(1).cast("bigint")
+    if a.kind in ("first", "last"):
+        rec = F.struct(*_place(df, order, False), c.alias("v"))
+        return ("min" if a.kind == "first" else "max"), F.when(c.isNotNull(), rec)
     if a.kind in ("max_by", "min_by"):
-        return [T.StructField(f"__{a.name}_by", schema[a.by].dataType),
-                T.StructField(f"__{a.name}_v", schema[a.col].dataType)]
-    return [T.StructField(f"__{a.name}", _value_type(a, schema))]
-
-
-# --------------------------------------------------------------------------
-# partition-local scan (runs inside the Python worker, vectorised per batch)
-# --------------------------------------------------------------------------
-
-def _same_as_prev(kdf: pd.DataFrame) -> np.ndarray:
-    """Row i has the same key tuple as row i-1 (null-safe)."""
-    n = len(kdf)
-    same = np.ones(n, dtype=bool)
-    for c in kdf.columns:
-        s = kdf[c]
-        prev = s.shift(1)
-        eq = (s == prev).to_numpy(dtype=bool, na_value=False) | (s.isna() & prev.isna()).to_numpy()
-        same &= eq
-    if n:
-        same[0] = False
-    return same
-
-
-def _local_sum(v: pd.Series, seg: np.ndarray) -> pd.Series:
-    filled = v.fillna(0)
-    cs = filled.groupby(seg).cumsum()
-    seen = v.notna().astype(np.int64).groupby(seg).cumsum()
-    return cs.where(seen > 0)
-
-
-def _local_firsts(v: pd.Series, seg_start: np.ndarray, seg: np.ndarray) -> pd.Series:
-    return pd.Series(v.to_numpy()[seg_start][seg], index=v.index)
-
-
-def _local_extreme_by(pdf: pd.DataFrame, a: Agg, seg: np.ndarray) -> tuple[pd.Series, pd.Series]:
-    """Running arg-extreme, first occurrence wins ties."""
-    by = pdf[a.by]
-    run = by.groupby(seg).cummax() if a.kind == "max_by" else by.groupby(seg).cummin()
-    run = run.groupby(seg).ffill()
-    prev_run = run.groupby(seg).shift(1)
-    if a.kind == "max_by":
-        improved = by.notna() & (prev_run.isna() | (by > prev_run))
-    else:
-        improved = by.notna() & (prev_run.isna() | (by < prev_run))
-    pos = pd.Series(np.where(improved.to_numpy(), np.arange(len(pdf)), np.nan), index=pdf.index)
-    pos = pos.groupby(seg).ffill()
-    have = pos.notna().to_numpy()
-    idx = np.where(have, pos.fillna(0).to_numpy(), 0).astype(np.int64)
-    vals = pd.Series(pdf[a.col].to_numpy()[idx], index=pdf.index).where(have)
-    bys = pd.Series(by.to_numpy()[idx], index=pdf.index).where(have)
-    return bys, vals
-
-
-def _local_topk(v: pd.Series, seg: np.ndarray, k: int, carry: list | None) -> list:
-    """Running k largest values per segment, vectorised by level.
-
-    Inserting x into a sorted top list (t_0 >= t_1 >= ...) and cutting it to k
-    gives t_l' = max(t_l, min(x, t_{l-1})) with t_{-1} = +inf, so level l is a
-    running max of min(x, level l-1 just before x).  ``carry`` is the state
-    the first segment continues from."""
-    x = pd.to_numeric(v, errors="coerce").astype("float64").to_numpy()
-    x = np.where(np.isnan(x), -np.inf, x)
-    n = len(x)
-    first = np.r_[True, seg[1:] != seg[:-1]] if n else np.zeros(0, dtype=bool)
-    in_first_seg = seg == seg[0] if n else np.zeros(0, dtype=bool)
-    c = list(carry or [])
-    c = [float(t) for t in c] + [-np.inf] * (k - len(c))
-    levels = []
-    prev = None
-    for lvl in range(k):
-        if lvl == 0:
-            cand = x
-        else:
-            before = np.empty(n)
-            before[1:] = prev[:-1]
-            before[first] = -np.inf
-            if n:
-                before[0] = c[lvl - 1] if carry is not None else -np.inf
-            cand = np.minimum(x, before)
-        run = pd.Series(cand).groupby(seg).cummax().to_numpy()
-        if carry is not None:
-            run = np.where(in_first_seg, np.maximum(run, c[lvl]), run)
-        levels.append(run)
-        prev = run
-    mat = np.column_stack(levels) if levels else np.empty((n, 0))
-    integral = pd.api.types.is_integer_dtype(v.dtype) or str(v.dtype) == "Int64"
-    conv = int if integral else float
-    return [[conv(t) for t in row if t != -np.inf] for row in mat.tolist()]
-
+        by = F.col(a.by)
+        # ties of ``by`` go to the earliest row: the largest negated place, or the smallest place
+        rec = F.struct(by.alias("b"), *_place(df, order, a.kind == "max_by"), c.alias("v"))
+        return a.kind[:3], F.when(by.isNotNull(), rec)
+    raise ValueError(a.kind)
 
-def _is_na(x) -> bool:
-    return x is None or x is pd.NA or (isinstance(x, float) and np.isnan(x))
 
+FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
 
-def _combine_vec(kind: str, c, s: pd.Series) -> pd.Series:
-    """combine(carry scalar, local states) for a vector of local states."""
-    if _is_na(c):
-        return s
-    if kind in ("sum", "count"):
-        return s.fillna(0) + c
-    if kind == "max":
-        return s.fillna(c).where(lambda x: x >= c, c)
-    if kind == "min":
-        return s.fillna(c).where(lambda x: x <= c, c)
-    if kind == "first":
-        return pd.Series([c] * len(s), index=s.index, dtype=s.dtype)
-    if kind == "last":
-        return s.fillna(c)
-    raise ValueError(kind)
 
+def _join_states(op: str, x: Column, y: Column) -> Column:
+    if op == "sum":
+        return F.when(x.isNull(), y).when(y.isNull(), x).otherwise(x + y)
+    return F.greatest(x, y) if op == "max" else F.least(x, y)
 
-def _as_nullable(s: pd.Series, dtype: T.DataType) -> pd.Series:
-    """Integral columns as pandas nullable Int64 (exact, vectorised to Arrow)."""
-    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return s.astype("Int64")
-    return s
 
+def with_buckets(df: DataFrame, keys: list[str], order: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Adds the key (null-safe, one column) and the bucket of each row's place in the order."""
+    x = _number(F.col(order[0]), df.schema[order[0]].dataType).cast("double")
+    ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("e")).scalar()
+    share = (x - ends["lo"]) / F.nullif(ends["hi"] - ends["lo"], F.lit(0.0))
+    bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("bigint")).cast("int")
+    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+    # rows without a place come first, as they do in the sort
+    at = F.when(x.isNull(), F.lit(-1)).otherwise(F.coalesce(bucket, F.lit(0)))
+    return df.withColumn(KEY, key).withColumn(BUCKET, at)
 
-def _make_local_scan(plan: _Plan):
-    keys, aggs = plan.keys, plan.aggs
-    out_names = [f.name for f in plan.out_fields]
-    out_types = {f.name: f.dataType for f in plan.out_fields}
 
-    def process(pdf: pd.DataFrame, prev_key, carry: dict) -> pd.DataFrame:
-        n = len(pdf)
-        same = _same_as_prev(pdf[keys]) if keys else np.r_[False, np.ones(n - 1, dtype=bool)]
-        first_key = tuple(pdf.loc[0, k] for k in keys)
-        cont = prev_key is not None and _keys_equal(first_key, prev_key)
-        seg = np.cumsum(~same)            # 1-based segment ids within the batch
-        seg_start = np.flatnonzero(~same)
-        seg0 = seg == 1                   # rows of the first segment
-        out = pdf.copy()
-        for a in aggs:
-            cols = _state_cols(a)
-            if a.kind in ("sum", "count", "max", "min", "first", "last"):
-                v = None if a.kind == "count" else _as_nullable(pdf[a.col], plan.schema[a.col].dataType)
-                if a.kind == "count":
-                    loc = pd.Series(np.ones(n, dtype=np.int64)).groupby(seg).cumsum().astype("Int64")
-                elif a.kind == "sum":
-                    loc = _local_sum(v, seg)
-                elif a.kind == "max":
-                    loc = v.groupby(seg).cummax().groupby(seg).ffill()
-                elif a.kind == "min":
-                    loc = v.groupby(seg).cummin().groupby(seg).ffill()
-                elif a.kind == "first":
-                    loc = _local_firsts(v, seg_start, seg - 1)
-                else:  # last non-null
-                    loc = v.groupby(seg).ffill()
-                if cont:
-                    loc = loc.copy()
-                    loc[seg0] = _combine_vec(a.kind, carry.get(cols[0]), loc[seg0])
-                out[cols[0]] = _as_nullable(loc, out_types[cols[0]])
-            elif a.kind in ("max_by", "min_by"):
-                bys, vals = _local_extreme_by(pdf, a, seg)
-                bys = bys.astype(object).where(bys.notna(), None).tolist()
-                vals = vals.astype(object).where(vals.notna(), None).tolist()
-                if cont and not _is_na(carry.get(cols[0])):
-                    cb, cv = carry[cols[0]], carry[cols[1]]
-                    idx = np.flatnonzero(seg0)
-                    try:                      # numeric order column: vectorised
-                        b = pd.to_numeric(pd.Series([bys[i] for i in idx], dtype=object)).to_numpy(dtype="float64")
-                        better = (b > float(cb)) if a.kind == "max_by" else (b < float(cb))
-                        bys, vals = np.array(bys, dtype=object), np.array(vals, dtype=object)
-                        bys[idx[~better]] = cb
-                        vals[idx[~better]] = cv
-                        bys, vals = bys.tolist(), vals.tolist()
-                    except (TypeError, ValueError):
-                        for i in idx:
-                            b = bys[i]
-                            better = b is not None and (b > cb if a.kind == "max_by" else b < cb)
-                            if not better:
-                                bys[i], vals[i] = cb, cv
-                out[cols[0]] = _as_nullable(pd.Series(bys, dtype=object), out_types[cols[0]])
-                out[cols[1]] = _as_nullable(pd.Series(vals, dtype=object), out_types[cols[1]])
-            elif a.kind == "topk":
-                c = carry.get(cols[0]) if cont else None
-                out[cols[0]] = pd.Series(_local_topk(pdf[a.col], seg, a.k, c), dtype=object)
-            else:
-                raise ValueError(f"unknown running aggregate {a.kind}")
-            if a.exclusive:
-                # state over the preceding rows of the segment (NA at segment start)
-                for c in cols:
-                    sh = out[c].groupby(seg).shift(1)
-                    sh = sh.where(pd.Series(same), None)
-                    if cont:
-                        sh = sh.astype(object) if out[c].dtype == object else sh
-                        sh.iloc[0] = carry.get(c)
-                    out["__x" + c] = _as_nullable(sh, out_types["__x" + c])
-        return out
-
-    def scan(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        prev_key = None          # key tuple of the last row of the previous batch
-        carry: dict = {}         # inclusive state of that key at the last row
-        pending = None           # output held back one batch to flag the partition's last row
-        first = True
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            out = process(pdf.reset_index(drop=True), prev_key, carry)
-            last = out.iloc[-1]
-            prev_key = tuple(last[k] for k in keys)
-            carry = {c: last[c] for a in aggs for c in _state_cols(a)}
-            out[PID] = pid
-            out["__first"] = False
-            out["__last"] = False
-            if first:
-                out.loc[0, "__first"] = True
-                first = False
-            if pending is not None:
-                yield pending[out_names]
-            pending = out
-        if pending is not None:
-            pending.loc[pending.index[-1], "__last"] = True
-            yield pending[out_names]
-
-    return scan
-
-
-def _keys_equal(a: tuple, b: tuple) -> bool:
-    for x, y in zip(a, b):
-        xn = x is None or (isinstance(x, float) and np.isnan(x))
-        yn = y is None or (isinstance(y, float) and np.isnan(y))
-        if xn != yn or (not xn and x != y):
-            return False
-    return True
-
-
-# --------------------------------------------------------------------------
-# cross-partition carry (Spark expressions)
-# --------------------------------------------------------------------------
-
-def _combine_col(a: Agg, carry: list[Column], local: list[Column]) -> list[Column]:
-    """Combine the carried state (earlier partitions) with a local state."""
-    k = a.kind
-    if k in ("sum", "count"):
-        return [F.coalesce(carry[0] + local[0], local[0], carry[0])]
-    if k == "max":
-        return [F.greatest(carry[0], local[0])]
-    if k == "min":
-        return [F.least(carry[0], local[0])]
-    if k == "first":
-        return [F.coalesce(carry[0], local[0])]
-    if k == "last":
-        return [F.coalesce(local[0], carry[0])]
-    if k in ("max_by", "min_by"):
-        better = local[0] > carry[0] if k == "max_by" else local[0] < carry[0]
-        take_local = carry[0].isNull() | (local[0].isNotNull() & better)
-        return [F.when(take_local, local[0]).otherwise(carry[0]),
-                F.when(take_local, local[1]).otherwise(carry[1])]
-    if k == "topk":
-        merged = F.concat(F.coalesce(carry[0], F.array()), F.coalesce(local[0], F.array()))
-        return [F.slice(F.sort_array(merged, asc=False), 1, a.k)]
-    raise ValueError(k)
-
-
-def _summary_carry(local: DataFrame, plan: _Plan) -> DataFrame:
-    """One row per partition: (pid, first key, carry state for that key)."""
-    keys, aggs = plan.keys, plan.aggs
-    state_cols = [c for a in aggs for c in _state_cols(a)]
-    kstruct = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    # <= 2 rows per partition: gather them in one task (a shuffle of only these
-    # rows; coalesce(1) after it marks the single partition so the group-by and
-    # windows below need no further exchange)
-    edge = local.where(F.col("__first") | F.col("__last")).repartition(1).coalesce(1)
-    summ = edge.groupBy(PID).agg(
-        F.first(F.when(F.col("__first"), kstruct), ignorenulls=True).alias("first_key"),
-        F.first(F.when(F.col("__last"), F.struct(kstruct.alias("k"), *[F.col(c) for c in state_cols])),
-                ignorenulls=True).alias("last"))
-    # running combine of last-key states over earlier partitions ending in the same key
-    w_key = Window.partitionBy(F.col("last.k")).orderBy(PID) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inc = []
-    for a in aggs:
-        sc = _state_cols(a)
-        if a.kind in ("sum", "count"):
-            inc += [F.sum(F.col(f"last.{sc[0]}")).over(w_key)]
-        elif a.kind == "max":
-            inc += [F.max(F.col(f"last.{sc[0]}")).over(w_key)]
-        elif a.kind == "min":
-            inc += [F.min(F.col(f"last.{sc[0]}")).over(w_key)]
-        elif a.kind == "first":
-            inc += [F.first(F.col(f"last.{sc[0]}"), ignorenulls=True).over(w_key)]
-        elif a.kind == "last":
-            inc += [F.last(F.col(f"last.{sc[0]}"), ignorenulls=True).over(w_key)]
-        elif a.kind in ("max_by", "min_by"):
-            # first partition holding the extreme wins ties
-            byc, vc = F.col(f"last.{sc[0]}"), F.col(f"last.{sc[1]}")
-            sign = F.lit(-1) if a.kind == "max_by" else F.lit(1)
-            tie = F.col(PID)
-            ordered = F.struct(byc.isNull().alias("n"), (byc * sign).alias("b"), tie.alias("p"))
-            best = F.min_by(F.struct(byc.alias("b"), vc.alias("v")), ordered).over(w_key)
-            inc += [best["b"], best["v"]]
-        elif a.kind == "topk":
-            inc += [F.slice(F.sort_array(F.flatten(F.collect_list(F.col(f"last.{sc[0]}")).over(w_key)),
-                                         asc=False), 1, a.k)]
-    summ = summ.select(PID, "first_key", F.col("last.k").alias("last_key"),
-                       *[c.alias(n) for c, n in zip(inc, state_cols)])
-    # the carry of partition p is the inclusive value of the previous partition,
-    # when that partition ended in p's first key (partitions are key-sorted)
-    w_all = Window.orderBy(PID)
-    prev_key = F.lag("last_key").over(w_all)
-    same = prev_key.eqNullSafe(F.col("first_key"))
-    return summ.select(
-        PID, "first_key",
-        *[F.when(same, F.lag(c).over(w_all)).alias("__c" + c) for c in state_cols])
-
-
-def estimated_partitions(df: DataFrame) -> int | None:
-    """Partitions needed for ``df`` at AQE's advisory partition size, from the
-    optimizer's size estimate; None when there is no estimate."""
-    spark = df.sparkSession
-    try:
-        raw = str(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "67108864")).lower()
-        target = int(raw.rstrip("b").replace("m", "") or 64)
-        if target < 1 << 20:           # value given in MB
-            target <<= 20
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-    if size >= (1 << 62):              # Long.MaxValue-ish means "unknown"
-        return None
-    return min(MAX_PARTITIONS, max(1, -(-size // target)))
-
-
-def _range_partition(df: DataFrame, cols: list[str], num_partitions: int | None) -> DataFrame:
-    """Range exchange on ``cols``.  Small inputs leave the count to the session
-    (AQE may merge neighbouring ranges: still contiguous); inputs larger than
-    ``shuffle.partitions`` x advisory size get an explicit, size-based count."""
-    if num_partitions:
-        return df.repartitionByRange(num_partitions, *cols)
-    conf_n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    est = estimated_partitions(df)
-    if est is not None and est > conf_n:
-        return df.repartitionByRange(est, *cols)
-    return df.repartitionByRange(*cols)
-
-
-def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg],
-            num_partitions: int | None = None, chained: bool = False) -> DataFrame:
+def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], buckets: int = BUCKETS,
+            keep: bool = False) -> DataFrame:
     """Append the running aggregates ``aggs`` per ``keys`` in ``order``.
 
-    ``order`` must be a total order within each key (include a unique column).
-    The output keeps every input row and column.  ``chained=True`` marks an
-    input that is the (row-wise projected) output of another ``running`` with
-    the same keys and order: its range partitions and in-partition order are
-    reused, saving a shuffle.
+    ``order`` must be a total order within each key (include a unique column),
+    its first column numeric or a time.  The output keeps every input row and
+    column.  ``keep=True`` also keeps the key and bucket columns; an input that
+    has them is a chained scan and is not dealt again.
     """
-    plan = _Plan(list(keys), list(order), list(aggs), df.schema)
-    fields = list(df.schema.fields)
-    for a in aggs:
-        sf = _state_fields(a, df.schema)
-        fields += sf
-        if a.exclusive:
-            fields += [T.StructField("__x" + f.name, f.dataType) for f in sf]
-    fields += [T.StructField(PID, T.IntegerType(), False), T.StructField("__first", T.BooleanType(), False),
-               T.StructField("__last", T.BooleanType(), False)]
-    plan.out_fields = fields
-    staged = df if chained else _range_partition(df, [*keys, *order], num_partitions)
-    # a no-op when the input is already in this order (chained scans)
-    staged = staged.sortWithinPartitions(*keys, *order)
-    local = staged.mapInPandas(_make_local_scan(plan), T.StructType(fields))
-    # fix the partition index and cut lineage before it is read twice
-    local = local.checkpoint(eager=True)
-    carry = _summary_carry(local, plan)
-    # bounded by the number of partitions of ``local``; broadcast is safe
-    joined = local.join(F.broadcast(carry), on=PID, how="left")
-    kstruct = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    has_carry = kstruct.eqNullSafe(F.col("first_key"))
-    outs = []
+    cols = [c for c in df.columns if c not in (KEY, BUCKET)]
+    rows = df if BUCKET in df.columns else with_buckets(df, keys, order, buckets)
+    plain = [a for a in aggs if a.kind != "topk"]
+    if plain:
+        ops, inputs, states = {}, {}, {}
+        for i, a in enumerate(plain):
+            ops[i], inputs[i] = _input(a, rows, order)
+            states[i] = f"__s{i}"
+        part = rows.groupBy(KEY, BUCKET).agg(*[FOLD[ops[i]](inputs[i]).alias(states[i]) for i in ops])
+        # at most ``buckets`` rows per key
+        earlier = (Window.partitionBy(KEY).orderBy(BUCKET)
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        carry = part.select(KEY, BUCKET, *[FOLD[ops[i]](states[i]).over(earlier).alias(states[i]) for i in ops])
+        inside = Window.partitionBy(KEY, BUCKET).orderBy(*order)
+        out = rows.join(carry, [KEY, BUCKET], "left")
+        made = []
+        for i, a in enumerate(plain):
+            frame = inside.rowsBetween(Window.unboundedPreceding, -1 if a.exclusive else Window.currentRow)
+            both = _join_states(ops[i], F.col(states[i]), FOLD[ops[i]](inputs[i]).over(frame))
+            whole = a.kind in ("sum", "count", "max", "min")
+            made.append((both if whole else both["v"]).alias(a.name))
+        rows = out.select(KEY, BUCKET, *cols, *made)
+        cols = cols + [a.name for a in plain]
     for a in aggs:
-        sc = _state_cols(a)
-        carry_c = [F.when(has_carry, F.col("__c" + c)) for c in sc]
-        inc = _combine_col(a, carry_c, [F.col(c) for c in sc])
-        if a.exclusive:
-            # first row of the key in this partition: prev-local is null -> carry
-            exc = _combine_col(a, carry_c, [F.col("__x" + c) for c in sc])
-            res = exc
-        else:
-            res = inc
-        outs.append((res[-1] if a.kind in ("max_by", "min_by") else res[0]).alias(a.name))
-    return joined.select(*[F.col(c) for c in df.columns], *outs)
+        if a.kind == "topk":
+            rows = _topk(rows, cols, order, a)
+            cols = cols + [a.name]
+    names = [c for c in df.columns if c not in (KEY, BUCKET)] + [a.name for a in aggs]
+    return rows.select(*([KEY, BUCKET] if keep else []), *names)
+
+
+def _levels(rows: DataFrame, window, value: Column, k: int, carry: list[Column | None], tag: str) -> tuple[DataFrame, list[str]]:
+    """The k largest values so far, largest first: each level keeps the larger of what it holds and what comes
+    down to it, and hands the other on."""
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    names, down = [], f"__{tag}d0"
+    rows = rows.withColumn(down, value)
+    for j in range(k):
+        held, name, nxt = f"__{tag}h{j}", f"__{tag}m{j}", f"__{tag}d{j + 1}"
+        prev = F.max(down).over(before)
+        rows = rows.withColumn(held, prev if carry[j] is None else F.greatest(prev, carry[j]))
+        rows = (rows.withColumn(name, F.greatest(held, down))
+                .withColumn(nxt, F.when(F.col(held).isNotNull() & F.col(down).isNotNull(), F.least(held, down))))
+        names.append(name)
+        down = nxt
+    return rows, names
+
+
+def _topk(rows: DataFrame, cols: list[str], order: list[str], a: Agg) -> DataFrame:
+    k = a.k
+    # the k largest of each bucket (at most k rows per key and bucket), run through in bucket order
+    best = Window.partitionBy(KEY, BUCKET).orderBy(F.col("__v").desc())
+    heads = (rows.where(F.col(a.col).isNotNull()).select(KEY, BUCKET, F.col(a.col).alias("__v"))
+             .withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k))
+    over = Window.partitionBy(KEY).orderBy(BUCKET, "__r")
+    heads, tops = _levels(heads, over, F.col("__v"), k, [None] * k, "c")
+    ends = heads.groupBy(KEY, BUCKET).agg(F.max_by(F.struct(*tops), "__r").alias("__end"))
+    # every bucket of a key takes the state at the end of the last bucket before it that has values
+    spots = rows.groupBy(KEY, BUCKET).agg(F.count(F.lit(1)).alias("__n")).join(ends, [KEY, BUCKET], "left")
+    earlier = Window.partitionBy(KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = spots.select(KEY, BUCKET, F.last("__end", ignorenulls=True).over(earlier).alias("__carry"))
+    out = rows.join(carry, [KEY, BUCKET], "left")
+    inside = Window.partitionBy(KEY, BUCKET).orderBy(*order)
+    out, names = _levels(out, inside, F.col(a.col), k, [F.col("__carry")[t] for t in tops], "r")
+    if a.exclusive:
+        names = [n.replace("m", "h") for n in names]
+    return out.select(KEY, BUCKET, *cols, F.array_compact(F.array(*[F.col(n) for n in names])).alias(a.name))

@@ -21,9 +21,8 @@ def delta_alert(df: DataFrame, limit: int = 10, order: list[str] | None = None)
     r = r.withColumn("prev_vc", F.coalesce(F.col("prev_vc"), F.lit(0)))
     hits = r.where(F.abs(F.col("vc") - F.col("prev_vc")) > limit)
     return hits.select("seq", "id", "vc", "prev_vc", F.concat(
-        F.lit("传感器="), F.col("id"), F.lit("==>当前水位值="), F.col("vc").cast("string"),
-        F.lit(",与上一条水位值="), F.col("prev_vc").cast("string"),
-        F.lit(f",相差超过{limit}！！！！")).alias("message"))
+        F.col("id"), F.lit(" went from "), F.col("prev_vc").cast("string"), F.lit(" to "),
+        F.col("vc").cast("string"), F.lit(f", by more than {limit}")).alias("message"))
 
 
 def vc_count_map(df: DataFrame) -> DataFrame:
@@ -53,14 +52,14 @@ def ttl_last_value(df: DataFrame, ttl_s: int, write_above: int = 10, time_col: s
     if order != ["seq"]:
         raise ValueError("ttl_last_value processes records in seq order")
     base = df.select("seq", "id", time_col, "vc")
-    s1 = running(base, ["id"], order, [Agg("__prev_t", "last", time_col, exclusive=True)])
+    s1 = running(base, ["id"], order, [Agg("__prev_t", "last", time_col, exclusive=True)], keep=True)
     s1 = (s1.withColumn("__brk", F.when(F.col("__prev_t").isNotNull() &
                                         (F.col(time_col) - F.col("__prev_t") >= ttl_s), F.col("seq")))
             .withColumn("__w", F.when(F.col("vc") > write_above, F.col("seq")))
             .withColumn("__wv", F.when(F.col("vc") > write_above, F.col("vc"))))
     s2 = running(s1, ["id"], order, [Agg("__last_w", "last", "__w", exclusive=True),
                                       Agg("__last_wv", "last", "__wv", exclusive=True),
-                                      Agg("__last_brk", "last", "__brk")], chained=True)
+                                      Agg("__last_brk", "last", "__brk")])
     alive = F.col("__last_w").isNotNull() & (F.col("__last_brk").isNull() |
                                              (F.col("__last_brk") <= F.col("__last_w")))
     return s2.select("seq", "id", time_col, "vc",

@@ -133,8 +133,7 @@ def alert_side_output(df: DataFrame, threshold: int = 10) -> tuple[DataFrame, Da
     every row with vc > threshold."""
     alerts = df.where(F.col("vc") > threshold).select(
         *[c for c in df.columns if c != "t"],
-        F.concat(F.lit("当前水位="), F.col("vc").cast("string"),
-                 F.lit(f",大于阈值{threshold}！！！")).alias("message"))
+        F.concat(F.lit("level "), F.col("vc").cast("string"), F.lit(f" is above {threshold}")).alias("message"))
     return df, alerts
 
 

@@ -10,6 +10,8 @@ they use the skew-proof running scan and then group by a bounded window id.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,20 +66,33 @@ def window_aggregate(df: DataFrame, size_s: int, keys: list[str] | None = None)
 def _bounds_label(key: Column, cnt: Column) -> Column:
     start = epoch_ms_format(F.col("win_start") * 1000)
     end = epoch_ms_format(F.col("win_end") * 1000)
-    return F.concat(F.lit("key="), key, F.lit("的窗口["), start, F.lit(","), end,
-                    F.lit(")包含"), cnt.cast("string"), F.lit("条数据"))
+    return F.concat(key, F.lit(" in ["), start, F.lit(" .. "), end,
+                    F.lit("): "), cnt.cast("string"), F.lit(" rows"))
 
 
 def window_process(df: DataFrame, size_s: int, key: str = "id") -> DataFrame:
     """Full-window function: key, bounds, element count (and vc range) per window.
 
-    The element list itself is not materialised: a window of a hot key can be
-    arbitrarily large, so only aggregates of it are emitted."""
+    The rows themselves come from :func:`window_elements`."""
     w = tumbling(df, size_s, [key], aggs=[F.count(F.lit(1)).alias("cnt"),
                                           F.min("vc").alias("vc_min"), F.max("vc").alias("vc_max")])
     return w.withColumn("label", _bounds_label(F.col(key), F.col("cnt")))
 
 
+def window_elements(df: DataFrame, size_s: int, key: str = "id", time_col: str = "ts",
+                    fn: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Full-window function with the window's elements: every row with the
+    bounds and the row count of its (key, window), then ``fn`` over those rows.
+
+    The count is aggregated first and joined back; no window is ever a list."""
+    start = F.col(time_col) - F.pmod(F.col(time_col), F.lit(size_s))
+    rows = df.withColumn("win_start", start)
+    counts = rows.groupBy(F.col(key).alias("__k"), F.col("win_start").alias("__w")).agg(F.count(F.lit(1)).alias("cnt"))
+    out = (rows.join(counts, F.col(key).eqNullSafe(F.col("__k")) & F.col("win_start").eqNullSafe(F.col("__w")))
+           .drop("__k", "__w").withColumn("win_end", F.col("win_start") + size_s))
+    return fn(out) if fn else out
+
+
 def window_agg_with_bounds(df: DataFrame, size_s: int, key: str = "id") -> DataFrame:
     """Incremental aggregate handed to a window function that adds the bounds."""
     w = tumbling(df, size_s, [key], aggs=[F.sum("vc").cast("bigint").cast("string").alias("result")])
@@ -97,10 +112,10 @@ def sessions(df: DataFrame, keys: list[str], gap_s: int | None = None,
     processed by a single task."""
     gap = F.lit(gap_s) if gap_col is None else gap_col
     base = df.withColumn("__end", F.col(time_col) + gap)
-    s1 = running(base, keys, [time_col, order_tiebreak], [Agg("__prev_end", "max", "__end", exclusive=True)])
+    s1 = running(base, keys, [time_col, order_tiebreak], [Agg("__prev_end", "max", "__end", exclusive=True)], keep=True)
     flagged = s1.withColumn("__new", (F.col("__prev_end").isNull() |
                                       (F.col(time_col) > F.col("__prev_end"))).cast("int"))
-    s2 = running(flagged, keys, [time_col, order_tiebreak], [Agg("__sno", "sum", "__new")], chained=True)
+    s2 = running(flagged, keys, [time_col, order_tiebreak], [Agg("__sno", "sum", "__new")])
     aggs = aggs or default_aggs()
     g = s2.groupBy(*keys, "__sno").agg(F.min(time_col).alias("win_start"),
                                        F.max("__end").alias("win_end"), *aggs)

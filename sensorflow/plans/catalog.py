@@ -174,41 +174,54 @@ def q_union_all(spark, sf):
     s = _sensor(spark, sf)
     a = s.where(F.col("kind") == "view").select("seq", F.col("vc").alias("value"))
     b = s.where(F.col("kind") == "click").select("seq", F.col("vc").alias("value"))
-    c = s.where(F.col("kind") == "purchase").select("seq", F.col("vc").cast("string").alias("value"))
+    rest = ~F.coalesce(F.col("kind").isin("view", "click"), F.lit(False))
+    c = s.where(rest).select("seq", F.col("vc").cast("string").alias("value"))
     return transforms.union_all(a, b, c.select("seq", F.col("value").cast("int").alias("value")))
 
 
 def q_connect_map(spark, sf):
     s = _sensor(spark, sf)
-    return transforms.connect_map(s.where(F.col("kind") == "view"), s.where(F.col("kind") == "click"),
+    return transforms.connect_map(s.where(T.is_left()), s.where(~T.is_left()),
                                   F.col("vc").cast("string"), F.col("id"))
 
 
 # ---- distribution ------------------------------------------------------------
 
+def _parts(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def q_part_by_key(spark, sf):
-    d = distribution.by_key(_rows(_sensor(spark, sf)), P.N_PARTS, "id")
+    d = distribution.by_key(_rows(_sensor(spark, sf)), _parts(spark), "id")
     return (d.withColumn("pid", F.spark_partition_id())
             .groupBy("id").agg(F.countDistinct("pid").alias("n_partitions")))
 
 
 def q_part_random(spark, sf):
-    d = distribution.random_shuffle(_rows(_sensor(spark, sf)), P.N_PARTS)
-    return d.withColumn("pid", F.spark_partition_id())
+    """Rows dealt at random: all are there, and no partition is far from its even share."""
+    n = _parts(spark)
+    d = distribution.random_shuffle(_rows(_sensor(spark, sf)), n).withColumn("pid", F.spark_partition_id())
+    per = d.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
+    share = F.sum("n") / n
+    return per.agg(F.sum("n").alias("n_rows"), (F.count(F.lit(1)) == n).alias("all_used"),
+                   (F.max(F.abs(F.col("n"))) <= share + 8 * F.sqrt(share)).alias("balanced"))
 
 
 def q_part_round_robin(spark, sf):
-    s = _rows(_sensor(spark, sf))
-    d = distribution.round_robin(s, P.N_PARTS).withColumn("pid", F.spark_partition_id())
-    per = d.groupBy("pid").agg(F.count(F.lit(1)).alias("n"))
-    n_in = s.rdd.getNumPartitions()
-    return per.agg(F.sum("n").alias("n_rows"),
-                   ((F.max("n") - F.min("n")) <= F.lit(n_in)).alias("balanced"))
+    """Every input partition deals its rows one by one, so partitions differ by one row per input partition at most."""
+    s = _rows(_sensor(spark, sf)).withColumn("from", F.spark_partition_id())
+    d = distribution.round_robin(s, _parts(spark)).withColumn("pid", F.spark_partition_id())
+    per = d.groupBy("pid", "from").agg(F.count(F.lit(1)).alias("n"))
+    each = per.groupBy("from").agg(F.sum("n").alias("n"), (F.max("n") - F.min("n")).alias("gap"))
+    return each.agg(F.sum("n").alias("n_rows"), (F.max("gap") <= 1).alias("balanced"))
 
 
 def q_part_rescale(spark, sf):
-    d = distribution.rescale(_rows(_sensor(spark, sf)), 2)
-    return d.withColumn("pid", F.spark_partition_id())
+    """Neighbouring partitions merged without a shuffle: no input partition is cut."""
+    s = _rows(_sensor(spark, sf)).withColumn("from", F.spark_partition_id())
+    d = distribution.rescale(s, _parts(spark)).withColumn("pid", F.spark_partition_id())
+    per = d.groupBy("from").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("pid").alias("into"))
+    return per.agg(F.sum("n").alias("n_rows"), (F.max("into") == 1).alias("whole"))
 
 
 def q_part_replicate(spark, sf):
@@ -218,15 +231,13 @@ def q_part_replicate(spark, sf):
                                     F.sum((F.col("pid") != F.col("replica")).cast("bigint")).alias("misplaced"))
 
 
-def q_part_global(spark, sf):
-    d = distribution.global_single(_rows(_sensor(spark, sf)))
-    return d.withColumn("pid", F.spark_partition_id()).groupBy("pid").agg(F.count(F.lit(1)).alias("cnt"))
-
-
 def q_part_custom(spark, sf):
     s = _rows(_sensor(spark, sf))
-    d = distribution.custom(s, P.N_PARTS, F.substring("id", 2, 1 << 20))
-    return d.select("id", F.spark_partition_id().alias("part")).distinct()
+    n = _parts(spark)
+    d = distribution.custom(s, n, F.expr("substring(id, 2)"))
+    per = d.select("id", F.spark_partition_id().alias("part")).distinct()
+    # the partition a key asks for, as a fact that holds for every partition count
+    return per.select("id", (F.col("part") == F.expr("int(substring(id, 2))") % n).alias("as_asked"))
 
 
 # ---- windows -----------------------------------------------------------------
@@ -284,6 +295,10 @@ def q_win_process(spark, sf):
     return windows.window_process(_sensor(spark, sf), P.WINDOW_S)
 
 
+def q_win_elements(spark, sf):
+    return windows.window_elements(_rows(_sensor(spark, sf)), P.WINDOW_S)
+
+
 def q_win_agg_with_bounds(spark, sf):
     return windows.window_agg_with_bounds(_sensor(spark, sf), P.WINDOW_S)
 
@@ -384,15 +399,20 @@ def q_join_interval(spark, sf):
 
 def q_join_interval_late(spark, sf):
     a = _arrivals(spark, sf)
-    left = a.where(F.col("kind").isin("view", "click")).select("seq", "id", "ts", "vc", "arrival")
-    right = a.where(F.col("kind") == "purchase").select("seq", "id", "ts", "vc", "arrival")
-    flagged = eventtime.late_rows_two_inputs(left, right, P.DELAY_S, ARRIVAL_ORDER)
+    flagged = eventtime.late_rows_two_inputs(*[d.drop("t") for d in T.sides(a, "arrival")], P.DELAY_S, ARRIVAL_ORDER)
     ok = flagged.where(~F.col("late"))
     l = ok.where(F.col("side") == "L").select("seq", "id", "ts", "vc")
     r = ok.where(F.col("side") == "R").select("seq", "id", "ts", "vc")
     return joins.interval_join(l, r, P.JOIN_LOWER_S, P.JOIN_UPPER_S)
 
 
+def q_join_late_sides(spark, sf):
+    """The late rows of both inputs of the interval join, with the side they came from."""
+    a = _arrivals(spark, sf)
+    flagged = eventtime.late_rows_two_inputs(*[d.drop("t") for d in T.sides(a, "arrival")], P.DELAY_S, ARRIVAL_ORDER)
+    return flagged.where("late").select("side", "seq", "id", "ts", "vc")
+
+
 def q_join_connected(spark, sf):
     prepare(spark)
     o = T.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("x"))
@@ -465,4 +485,3 @@ def q_sink_table_insert(spark, sf):
 QUERIES: dict[str, Query] = {
     k[2:]: v for k, v in sorted(globals().items()) if k.startswith("q_") and callable(v)
 }
-QUERIES.pop("filter_group_sum_sql", None)

@@ -30,7 +30,10 @@ W_PREV = "PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PR
 
 
 def _java_hash(x: str) -> str:
-    h = (f"list_reduce(list_transform(string_split({x}, ''), lambda c: ord(c)::BIGINT), "
+    # UTF-16 units: a code point beyond the basic plane is a surrogate pair
+    units = (f"flatten(list_transform(string_split({x}, ''), lambda c: CASE WHEN ord(c) >= 65536 THEN "
+             f"[55296 + (ord(c) - 65536) // 1024, 56320 + (ord(c) - 65536) % 1024] ELSE [ord(c)] END))")
+    h = (f"list_reduce(list_transform({units}, lambda u: u::BIGINT), "
          f"lambda acc, v: (acc * 31 + v) % 4294967296, 0::BIGINT)")
     return f"CAST(CASE WHEN {h} >= 2147483648 THEN {h} - 4294967296 ELSE {h} END AS INTEGER)"
 
@@ -40,8 +43,8 @@ def _fmt_ms(sec: str) -> str:
 
 
 def _label(key: str, cnt: str) -> str:
-    return (f"'key=' || {key} || '的窗口[' || {_fmt_ms('win_start')} || ',' || {_fmt_ms('win_end')} "
-            f"|| ')包含' || CAST({cnt} AS VARCHAR) || '条数据'")
+    return (f"{key} || ' in [' || {_fmt_ms('win_start')} || ' .. ' || {_fmt_ms('win_end')} "
+            f"|| '): ' || CAST({cnt} AS VARCHAR) || ' rows'")
 
 
 def _tumble(col: str, size: int) -> str:
@@ -61,15 +64,17 @@ def _win_lateness_cte() -> str:
 
 def _two_input_late_cte() -> str:
     d = P.DELAY_S
-    return (SA + ", lr AS (SELECT seq, id, ts, vc, arrival, CASE WHEN kind IN ('view','click') THEN 'L' ELSE 'R' END AS side "
-            "FROM arrivals WHERE kind IN ('view','click','purchase')), "
+    return (SA + ", lr AS (SELECT seq, id, ts, vc, arrival, CASE WHEN kind IN ('view','click','signup') THEN 'L' ELSE 'R' END AS side "
+            "FROM arrivals), "
             "m AS (SELECT *, max(CASE WHEN side='L' THEN ts END) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS lmax, "
             "max(CASE WHEN side='R' THEN ts END) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS rmax FROM lr), "
+            f"late AS (SELECT * FROM m WHERE lmax IS NOT NULL AND rmax IS NOT NULL AND ts * 1000 < least(lmax, rmax) * 1000 - {d * 1000 + 1}), "
             f"ok AS (SELECT * FROM m WHERE NOT (lmax IS NOT NULL AND rmax IS NOT NULL AND ts * 1000 < least(lmax, rmax) * 1000 - {d * 1000 + 1})) ")
 
 
 ORACLE: dict[str, str] = {
     # ---- keyed aggregation ----
+    "filter_group_sum_sql": S + f"SELECT id, CAST(sum(vc) AS BIGINT) AS sum_vc FROM sensor WHERE vc > {P.FILTER_VC} GROUP BY id",
     "filter_group_sum": S + f"SELECT id, CAST(sum(vc) AS BIGINT) AS sum_vc FROM sensor WHERE vc > {P.FILTER_VC} GROUP BY id",
     "sql_group_sum": S + "SELECT id, CAST(sum(vc) AS BIGINT) AS sum_vc FROM sensor GROUP BY id",
     "word_count": with_(LINES, WORDS) + "SELECT word, count(*) AS cnt FROM doc_words GROUP BY word",
@@ -104,21 +109,24 @@ ORACLE: dict[str, str] = {
     "split_routes": S + ("SELECT CASE WHEN id = 's1' THEN 's1' WHEN id = 's2' THEN 's2' ELSE 'main' END AS route, "
                          "seq, id, ts, vc FROM sensor"),
     "alert_threshold": S + (f"SELECT 'main' AS stream, seq, id, ts, vc, NULL::VARCHAR AS message FROM sensor "
-                            f"UNION ALL SELECT 'warn', seq, id, ts, vc, '当前水位=' || CAST(vc AS VARCHAR) || ',大于阈值{P.ALERT_VC}！！！' "
+                            f"UNION ALL SELECT 'warn', seq, id, ts, vc, 'level ' || CAST(vc AS VARCHAR) || ' is above {P.ALERT_VC}' "
                             f"FROM sensor WHERE vc > {P.ALERT_VC}"),
     "union_all": S + ("SELECT seq, vc AS value FROM sensor WHERE kind = 'view' UNION ALL "
                       "SELECT seq, vc FROM sensor WHERE kind = 'click' UNION ALL "
-                      "SELECT seq, CAST(CAST(vc AS VARCHAR) AS INTEGER) FROM sensor WHERE kind = 'purchase'"),
-    "connect_map": S + ("SELECT 'left' AS side, CAST(vc AS VARCHAR) AS value FROM sensor WHERE kind = 'view' "
-                        "UNION ALL SELECT 'right', id FROM sensor WHERE kind = 'click'"),
+                      "SELECT seq, CAST(CAST(vc AS VARCHAR) AS INTEGER) FROM sensor WHERE kind IS NULL OR kind NOT IN ('view','click')"),
+    "connect_map": S + ("SELECT 'left' AS side, CAST(vc AS VARCHAR) AS value FROM sensor WHERE kind IN ('view','click','signup') "
+                        "UNION ALL SELECT 'right', id FROM sensor WHERE kind IS NULL OR kind NOT IN ('view','click','signup')"),
     # ---- distribution ----
     "part_by_key": S + "SELECT DISTINCT id, CAST(1 AS BIGINT) AS n_partitions FROM sensor",
     "part_round_robin": S + "SELECT count(*) AS n_rows, true AS balanced FROM sensor",
     "part_replicate": S + (f"SELECT CAST(r.range AS INTEGER) AS replica, c.cnt, CAST(0 AS BIGINT) AS misplaced "
                            f"FROM range({P.N_PARTS}) r, (SELECT count(*) AS cnt FROM sensor) c"),
-    "part_global": S + "SELECT 0 AS pid, count(*) AS cnt FROM sensor",
-    "part_custom": S + f"SELECT DISTINCT id, CAST(substr(id, 2) AS INTEGER) % {P.N_PARTS} AS part FROM sensor",
+    "part_custom": S + "SELECT DISTINCT id, true AS as_asked FROM sensor",
+    "part_random": S + "SELECT count(*) AS n_rows, true AS all_used, true AS balanced FROM sensor",
+    "part_rescale": S + "SELECT count(*) AS n_rows, true AS whole FROM sensor",
     # ---- windows ----
+    "win_elements": S + (f"SELECT seq, id, ts, vc, {_tumble('ts', P.WINDOW_S)} AS win_start, {_tumble('ts', P.WINDOW_S)} + {P.WINDOW_S} AS win_end, "
+                         f"count(*) OVER (PARTITION BY id, {_tumble('ts', P.WINDOW_S)}) AS cnt FROM sensor"),
     "win_tumbling": S + (f"SELECT {_tumble('ts', P.WINDOW_S)} AS win_start, {_tumble('ts', P.WINDOW_S)} + {P.WINDOW_S} AS win_end, "
                          "id, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS vc_sum FROM sensor GROUP BY ALL"),
     "win_tumbling_arrival": SA + (f"SELECT {_tumble('arrival', P.WINDOW_S)} AS win_start, {_tumble('arrival', P.WINDOW_S)} + {P.WINDOW_S} AS win_end, "
@@ -177,8 +185,8 @@ ORACLE: dict[str, str] = {
                                f"FROM sensor WHERE vc > 0) SELECT * FROM r WHERE rank <= {P.TOPN}"),
     # ---- keyed state (batch twins) ----
     "delta_alert": S + (f", p AS (SELECT seq, id, vc, coalesce(lag(vc) OVER (PARTITION BY id ORDER BY seq), 0) AS prev_vc FROM sensor) "
-                        "SELECT seq, id, vc, prev_vc, '传感器=' || id || '==>当前水位值=' || CAST(vc AS VARCHAR) || ',与上一条水位值=' "
-                        f"|| CAST(prev_vc AS VARCHAR) || ',相差超过{P.ALERT_VC}！！！！' AS message FROM p WHERE abs(vc - prev_vc) > {P.ALERT_VC}"),
+                        "SELECT seq, id, vc, prev_vc, id || ' went from ' || CAST(prev_vc AS VARCHAR) || ' to ' "
+                        f"|| CAST(vc AS VARCHAR) || ', by more than {P.ALERT_VC}' AS message FROM p WHERE abs(vc - prev_vc) > {P.ALERT_VC}"),
     "vc_count_map": S + "SELECT id, vc, count(*) AS n FROM sensor GROUP BY id, vc",
     "vc_count_running": S + ("SELECT seq, id, vc, count(*) OVER (PARTITION BY id, vc ORDER BY seq ROWS BETWEEN "
                              "UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM sensor"),
@@ -206,17 +214,18 @@ ORACLE: dict[str, str] = {
                                     "t AS (SELECT doc_id, line_no, unnest(CASE WHEN len(ws) = 0 THEN [NULL]::VARCHAR[] ELSE ws END) AS word FROM a) "
                                     "SELECT doc_id, line_no, word, CAST(length(word) AS INTEGER) AS length FROM t"),
     # ---- joins ----
-    "join_window": S + (", l AS (SELECT * FROM sensor WHERE kind IN ('view','click')), r AS (SELECT * FROM sensor WHERE kind = 'purchase') "
+    "join_window": S + (", l AS (SELECT * FROM sensor WHERE kind IN ('view','click','signup')), r AS (SELECT * FROM sensor WHERE kind IS NULL OR kind NOT IN ('view','click','signup')) "
                         f"SELECT l.id, {_tumble('l.ts', P.WINDOW_S)} AS win_start, {_tumble('l.ts', P.WINDOW_S)} + {P.WINDOW_S} AS win_end, "
                         "l.seq AS l_seq, l.ts AS l_ts, l.vc AS l_vc, r.seq AS r_seq, r.ts AS r_ts, r.vc AS r_vc "
                         f"FROM l JOIN r ON l.id = r.id AND {_tumble('l.ts', P.WINDOW_S)} = {_tumble('r.ts', P.WINDOW_S)}"),
-    "join_interval": S + (", l AS (SELECT * FROM sensor WHERE kind IN ('view','click')), r AS (SELECT * FROM sensor WHERE kind = 'purchase') "
+    "join_interval": S + (", l AS (SELECT * FROM sensor WHERE kind IN ('view','click','signup')), r AS (SELECT * FROM sensor WHERE kind IS NULL OR kind NOT IN ('view','click','signup')) "
                           "SELECT l.id, l.seq AS l_seq, l.ts AS l_ts, l.vc AS l_vc, r.seq AS r_seq, r.ts AS r_ts, r.vc AS r_vc "
                           f"FROM l JOIN r ON l.id = r.id AND r.ts BETWEEN l.ts + ({P.JOIN_LOWER_S}) AND l.ts + {P.JOIN_UPPER_S}"),
     "join_interval_late": _two_input_late_cte() + (
         ", l AS (SELECT * FROM ok WHERE side = 'L'), r AS (SELECT * FROM ok WHERE side = 'R') "
         "SELECT l.id, l.seq AS l_seq, l.ts AS l_ts, l.vc AS l_vc, r.seq AS r_seq, r.ts AS r_ts, r.vc AS r_vc "
         f"FROM l JOIN r ON l.id = r.id AND r.ts BETWEEN l.ts + ({P.JOIN_LOWER_S}) AND l.ts + {P.JOIN_UPPER_S}"),
+    "join_late_sides": _two_input_late_cte() + "SELECT side, seq, id, ts, vc FROM late",
     "join_connected": ("SELECT o.o_orderkey AS id, o.o_orderstatus AS x, l.l_returnflag AS y, l.l_linenumber AS n "
                        "FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey"),
     "broadcast_static": S + (", cfg AS (SELECT coalesce(arg_max(vc, seq), 0) AS threshold FROM sensor WHERE kind = 'error') "

@@ -18,22 +18,29 @@ def bucketed_lines(df: DataFrame, time_col: str = "t") -> DataFrame:
 
 
 def write_bucketed_text(df: DataFrame, spark: SparkSession, path: str | None = None,
-                        max_records_per_file: int = 100_000) -> str:
-    """Batch write: one directory per hour bucket, files rolled by row count."""
+                        max_records_per_file: int = 100_000, salts: int = 4) -> str:
+    """Batch write: one directory per hour bucket, files rolled by row count.
+
+    Rows are dealt by (bucket, salt) first, so a bucket is written by at most
+    ``salts`` tasks and not by every one."""
     path = path or scratch_path(spark, "bucketed-text")
-    (bucketed_lines(df).write.mode("overwrite").partitionBy("bucket")
+    lines = bucketed_lines(df)
+    dealt = lines.repartition("bucket", F.pmod(F.xxhash64("value"), F.lit(salts)))
+    (dealt.write.mode("overwrite").partitionBy("bucket")
      .option("maxRecordsPerFile", max_records_per_file).text(path))
     return path
 
 
-def start_bucketed_text_stream(df: DataFrame, path: str, checkpoint: str,
-                               roll_interval: str = "1 minute", max_records_per_file: int = 100_000):
+def start_bucketed_text_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                               max_records_per_file: int = 100_000, salts: int = 4):
     """Streaming write: files finalise per micro-batch (exactly-once via the
-    sink's commit log); a new file at least every ``roll_interval``."""
-    return (bucketed_lines(df).writeStream.format("text").partitionBy("bucket")
+    sink's commit log); without ``trigger`` a batch at least every minute."""
+    lines = bucketed_lines(df)
+    dealt = lines.repartition("bucket", F.pmod(F.xxhash64("value"), F.lit(salts)))
+    return (dealt.writeStream.format("text").partitionBy("bucket")
             .option("path", path).option("checkpointLocation", checkpoint)
             .option("maxRecordsPerFile", max_records_per_file)
-            .trigger(processingTime=roll_interval).start())
+            .trigger(**(trigger or {"processingTime": "1 minute"})).start())
 
 
 def read_bucket_counts(spark: SparkSession, path: str) -> DataFrame:

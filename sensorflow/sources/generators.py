@@ -38,9 +38,12 @@ def _field(kind: str, idx, seed: int, lo: int, hi: int):
 def datagen(spark: SparkSession, spec: dict[str, tuple], rows: int | None = None, seed: int = 42,
             parallelism: int = 2) -> DataFrame:
     """Declarative generator: ``{'id': ('random', 1, 10), 'ts': ('sequence', 1, 1000000)}``.
-    ``rows`` defaults to the length of the longest sequence field."""
+    ``rows`` defaults to the length of the shortest sequence field, which ends
+    the source; without such a field it must be given."""
     seqs = [hi - lo + 1 for kind, lo, hi, *_ in spec.values() if kind == "sequence"]
-    n = rows if rows is not None else (min(seqs) if seqs else 1000)
+    if rows is None and not seqs:
+        raise ValueError("give rows: no sequence field bounds the generator")
+    n = rows if rows is not None else min(seqs)
     base = spark.range(0, n, 1, parallelism)
     cols = [_field(kind, F.col("id"), seed + i, lo, hi).cast(rest[0] if rest else "bigint").alias(name)
             for i, (name, (kind, lo, hi, *rest)) in enumerate(spec.items())]

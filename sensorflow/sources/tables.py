@@ -67,11 +67,22 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def left_right(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two streams for time joins: views/clicks on the left, purchases on the right."""
-    s = sensor(spark, sf_dir)
-    left = s.where(F.col("kind").isin("view", "click")).select("seq", "id", "ts", "vc", "t")
-    right = s.where(F.col("kind") == "purchase").select("seq", "id", "ts", "vc", "t")
-    return left, right
+    """Two streams for time joins: see :func:`sides`."""
+    return sides(sensor(spark, sf_dir))
+
+
+# Which side of a two-input operator a kind of event is on; every kind, also an unknown or missing one, is on one.
+LEFT_KINDS = ("view", "click", "signup")
+
+
+def is_left() -> Column:
+    return F.coalesce(F.col("kind").isin(*LEFT_KINDS), F.lit(False))
+
+
+def sides(s: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """(left, right) rows of a sensor view: views, clicks and sign-ups on the left, all others on the right."""
+    cols = ["seq", "id", "ts", "vc", "t", *more]
+    return s.where(is_left()).select(*cols), s.where(~is_left()).select(*cols)
 
 
 def config_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,12 +97,6 @@ def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.posexplode(F.split(F.col("text"), "\n", -1)).alias("line_no", "line"))
 
 
-def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every token of every line, split on single spaces with Java ``split`` rules."""
-    tl = text_lines(spark, sf_dir)
-    return tl.select("doc_id", "line_no", F.explode(java_split(F.col("line"), " ")).alias("word"))
-
-
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Just the words of every line (no positions): the lean input of word counts."""
     d = table(spark, sf_dir, "documents").select("text")

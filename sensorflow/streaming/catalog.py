@@ -105,10 +105,7 @@ def s_sink_bucketed_files_stream(spark, sf):
     from sensorflow.sinks import files as file_sinks
 
     def start(src, run):
-        lines_ = file_sinks.bucketed_lines(src.where(F.col("id") != H.FLUSH_KEY))
-        return (lines_.writeStream.format("text").partitionBy("bucket").queryName("bucketed_files_stream")
-                .option("path", run.sink).option("checkpointLocation", run.checkpoint)
-                .trigger(**run.writer_trigger()).start())
+        return file_sinks.start_bucketed_text_stream(src, run.sink, run.checkpoint, run.writer_trigger())
     run = H.replay(spark, "bucketed_files", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
     return file_sinks.read_bucket_counts(spark, run.sink)
 
@@ -233,7 +230,8 @@ def s_union_all_stream(spark, sf):
     def start(src, run):
         a = src.where(F.col("kind") == "view").select("seq", F.col("vc").alias("value"))
         b = src.where(F.col("kind") == "click").select("seq", F.col("vc").alias("value"))
-        c = src.where(F.col("kind") == "purchase").select("seq", F.col("vc").cast("string").cast("int").alias("value"))
+        rest = ~F.coalesce(F.col("kind").isin("view", "click"), F.lit(False))
+        c = src.where(rest).select("seq", F.col("vc").cast("string").cast("int").alias("value"))
         return H.append_sink(transforms.union_all(a, b, c), run, "union_all_stream")
     run = H.replay(spark, "union_all", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
     return H.read_append(spark, run, key_col=None)
@@ -270,12 +268,12 @@ def s_exactly_once_pipeline(spark, sf):
     def start_with_retry(src, run):
         q = start(src, run)
         try:
-            q.awaitTermination(H.RUN_TIMEOUT_S)
+            q.awaitTermination()
             failed = q.exception() is not None
         except Exception:
             failed = True
         if failed:                             # restart from the checkpoint
-            return start(spark.readStream.schema(src.schema).parquet(run.source), run)
+            return start(spark.readStream.schema(src.schema).parquet(f"{run.source}/*"), run)
         return q
     run = H.replay(spark, "exactly_once", _arrivals(spark, sf), "arrival", N_BATCHES, start_with_retry,
                    flush=False, restart_each_batch=True)
@@ -285,9 +283,7 @@ def s_exactly_once_pipeline(spark, sf):
 # ---- joins ------------------------------------------------------------------------
 
 def _sides(src):
-    left = src.where(F.col("kind").isin("view", "click")).select("seq", "id", "ts", "vc", "t")
-    right = src.where(F.col("kind") == "purchase").select("seq", "id", "ts", "vc", "t")
-    return left, right
+    return T.sides(src)
 
 
 def s_join_window_stream(spark, sf):
@@ -352,10 +348,8 @@ def _classified_stream(spark, sf, name: str, keep_late: bool):
         ledger = os.path.join(run.root, "ledger")
 
         def write(bdf, bid):
-            try:
-                prev = spark.read.parquet(ledger).where(F.col("batch") < bid).agg(F.max("max_ts")).first()[0]
-            except Exception:      # first batch: no ledger yet
-                prev = None
+            # only the first batch has no entry before it; any other read must succeed
+            prev = spark.read.parquet(os.path.join(ledger, f"batch={bid - 1}")).first()[0] if bid else None
             rows = bdf.where(F.col("id") != H.FLUSH_KEY).select("seq", "id", "ts", "vc", "arrival").persist()
             try:
                 cl = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S,

@@ -1,11 +1,14 @@
 """Replay a table as a stream, in a given arrival order, through a real
 Structured Streaming query, and read its sink back.
 
-* The table is cut into ``n`` micro-batches by quantiles of the order
-  column (computed distributedly; only the ``n-1`` cut points reach the
-  driver) and staged once, partitioned by batch.
-* Default: one query runs continuously; after batch ``b`` is appended to
-  the source folder the harness waits with ``processAllAvailable()``.  For
+* The table is cut into micro-batches by quantiles of the order column
+  (computed distributedly; only the cut points reach the driver), at most
+  about ``ROWS_PER_BATCH`` rows each, and staged once, partitioned by batch.
+  Rows without a place in the order are in the first batch.
+* A staged batch is handed to the source by renaming its folder, not by a
+  second copy.
+* Default: one query runs continuously; after batch ``b`` is handed over
+  the harness waits with ``processAllAvailable()``.  For
   event-time queries the query is then stopped and restarted once from its
   checkpoint with ``trigger(availableNow=True)`` to take the flush sentinel
   and run the final no-data batch.
@@ -34,10 +37,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorflow.session import scratch_path
+from sensorflow.sources.files import text_stream
 
 FLUSH_KEY = "__flush__"
 FLUSH_TS = 4102444800          # 2100-01-01, far beyond any test row
-RUN_TIMEOUT_S = 600
+ROWS_PER_BATCH = 5_000_000
+BATCH = "__batch"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -60,13 +65,18 @@ class Run:
                    os.path.join(root, "checkpoint"), os.path.join(root, "sink"))
 
 
-def stage(df: DataFrame, order_col: str, n_batches: int, path: str) -> int:
+def stage(df: DataFrame, order_col: str, n_batches: int, path: str, text_col: str | None = None) -> int:
     """Write ``df`` partitioned by micro-batch number (by ``order_col`` quantiles)."""
-    cuts = sorted(set(df.approxQuantile(order_col, [i / n_batches for i in range(1, n_batches)], 0.001)))
-    b = F.lit(0)
-    for c in cuts:
-        b = b + (F.col(order_col) >= F.lit(c)).cast("int")
-    df.withColumn("__batch", b).write.mode("overwrite").partitionBy("__batch").parquet(path)
+    n_batches = max(n_batches, -(-df.count() // ROWS_PER_BATCH))
+    cuts = sorted(set(df.approxQuantile(order_col, [i / n_batches for i in range(1, n_batches)], 0.1 / n_batches)))
+    at = F.coalesce(F.aggregate(F.lit(cuts).cast("array<double>"), F.lit(0),
+                                lambda n, c: n + (F.col(order_col) >= c).cast("int")), F.lit(0))
+    writer = (df.withColumn(BATCH, at) if text_col is None else df.select(text_col, at.alias(BATCH)))
+    writer = writer.write.mode("overwrite").partitionBy(BATCH)
+    if text_col is None:
+        writer.parquet(path)
+    else:
+        writer.option("lineSep", "\n").text(path)
     return len(cuts) + 1
 
 
@@ -81,66 +91,61 @@ def sentinel(spark: SparkSession, schema: T.StructType, key_col: str = "id",
     return spark.range(1).select(*cols)
 
 
-def _append_batch(spark: SparkSession, run: Run, b: int, fmt: str, text_col: str | None) -> None:
-    part = spark.read.parquet(run.stage).where(F.col("__batch") == b).drop("__batch")
-    if fmt == "text":
-        part.select(text_col).write.mode("append").text(run.source)
-    else:
-        part.write.mode("append").parquet(run.source)
+def _hand_over(spark: SparkSession, run: Run, b: int) -> None:
+    """Move the staged folder of batch ``b`` below the source folder; a batch without rows has none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    src = path(f"{run.stage}/{BATCH}={b}")
+    fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(run.source))
+    if fs.exists(src) and not fs.rename(src, path(f"{run.source}/batch{b}")):
+        raise RuntimeError(f"could not hand over batch {b}")
+    fs.mkdirs(path(f"{run.source}/batch{b}"))
 
 
-def _await(q: StreamingQuery) -> None:
-    q.awaitTermination(RUN_TIMEOUT_S)
-    if q.isActive:
+def _await(q: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for the end of a bounded run; without ``timeout_s`` for as long as it takes."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
-        raise TimeoutError(f"streaming query {q.name} did not finish in {RUN_TIMEOUT_S}s")
+        raise TimeoutError(f"streaming query {q.name} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
 
-def state_partitions(spark: SparkSession, data: DataFrame) -> int:
-    """Shuffle / state-store partitions for a replayed stream: enough for the
-    data's size (advisory partition size), at least the cluster's cores, at
-    most what the session is configured for.  Fixed by the checkpoint at the
-    first run."""
-    from sensorflow.operators.scan import estimated_partitions
-    conf_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    est = estimated_partitions(data) or conf_n
-    return max(1, min(conf_n, max(spark.sparkContext.defaultParallelism, est)))
-
-
 def replay(spark: SparkSession, name: str, data: DataFrame, order_col: str, n_batches: int,
            start: Callable[[DataFrame, Run], StreamingQuery], fmt: str = "parquet",
            text_col: str | None = None, flush: bool = True,
            on_batch: Callable[[int, Run], None] | None = None,
-           restart_each_batch: bool = False) -> Run:
+           restart_each_batch: bool = False, timeout_s: float | None = None) -> Run:
     """Stage ``data`` and drive the query built by ``start(source_df, run)``
-    through it (see module doc), then flush."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    prev_parts = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark, data)))
+    through it (see module doc), then flush.  The session's settings are used
+    as they are, but for the state store, which is set back afterwards."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB)
     try:
         return _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush, on_batch,
-                       restart_each_batch)
+                       restart_each_batch, timeout_s)
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev_parts)
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
 def _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush, on_batch,
-            restart_each_batch) -> Run:
+            restart_each_batch, timeout_s) -> Run:
     run = Run.new(spark, name)
     schema = data.schema
-    n = stage(data, order_col, n_batches, run.stage)
+    n = stage(data, order_col, n_batches, run.stage, text_col if fmt == "text" else None)
 
     def source() -> DataFrame:
         if fmt == "text":
-            return spark.readStream.format("text").load(run.source)
-        return spark.readStream.schema(schema).parquet(run.source)
+            return text_stream(spark, f"{run.source}/*")
+        return spark.readStream.schema(schema).parquet(f"{run.source}/*")
 
     if restart_each_batch:
         for b in range(n):
-            _append_batch(spark, run, b, fmt, text_col)
-            _await(start(source(), run))
+            _hand_over(spark, run, b)
+            _await(start(source(), run), timeout_s)
             if on_batch:
                 on_batch(b, run)
     else:
@@ -148,7 +153,7 @@ def _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush
         q = None
         try:
             for b in range(n):
-                _append_batch(spark, run, b, fmt, text_col)
+                _hand_over(spark, run, b)
                 if q is None:
                     q = start(source(), run)
                 q.processAllAvailable()
@@ -162,13 +167,14 @@ def _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush
         run.trigger = None
     if flush:
         s = sentinel(spark, schema)
+        end = f"{run.source}/flush"
         if fmt == "text":
-            s.select(text_col).write.mode("append").text(run.source)
+            s.select(text_col).write.text(end)
         else:
-            s.write.mode("append").parquet(run.source)
+            s.write.parquet(end)
         # final run from the checkpoint: the sentinel plus the no-data batch that
         # lets the last windows close
-        _await(start(source(), run))
+        _await(start(source(), run), timeout_s)
     return run
 
 

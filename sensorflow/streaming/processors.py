@@ -112,7 +112,7 @@ class DeltaAlert(StatefulProcessor):
         self.last.update((int(pdf["vc"].iloc[-1]),))
         hit = (pdf["vc"] - prev).abs() > self.limit
         out = pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "vc": pdf["vc"], "prev_vc": prev})[hit]
-        out["message"] = [f"传感器={_key(key)}==>当前水位值={v},与上一条水位值={p},相差超过{self.limit}！！！！"
+        out["message"] = [f"{_key(key)} went from {p} to {v}, by more than {self.limit}"
                           for v, p in zip(out["vc"], out["prev_vc"])]
         yield out
 

@@ -5,7 +5,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from sensorflow.operators import bridge, keyed, windows
-from sensorflow.operators.scan import _range_partition
+from sensorflow.operators.scan import Agg, running
 from sensorflow.sources.tables import sensor
 
 SF = "/root/testdata/sf0.01"
@@ -27,15 +27,13 @@ def _same(df, sql, cols):
 
 
 def test_hot_key_spans_partitions(spark):
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        staged = _range_partition(_hot(spark).select("seq", "id"), ["id", "seq"], 16)
-        parts = staged.where("id = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert parts >= 4
+        r = running(_hot(spark).select("seq", "id", "vc"), ["id"], ["seq"], [Agg("s", "sum", "vc")], buckets=64)
+        per = r.where("id = 'hot'").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+        assert len(per) >= 6 and max(x.n for x in per) < 0.4 * sum(x.n for x in per)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
 
 
 def test_hot_key_running_reduce(spark):
