@@ -6,11 +6,14 @@ aggregates, so a hot key ships one partial row per map task.
 
 Running aggregates (a stream's per-record output replayed on a table) go
 through :func:`sensorflow.operators.scan.running`, which splits hot keys
-across tasks instead of ``Window.partitionBy(key)``.
+across tasks instead of ``Window.partitionBy(key)``.  ``scan`` lets a stream
+put in a scan that goes on from earlier batches.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,16 +43,16 @@ def _rows(df: DataFrame) -> DataFrame:
     return df.select("seq", "id", "ts", "vc")
 
 
-def running_reduce(df: DataFrame, order: list[str] = ORDER) -> DataFrame:
+def running_reduce(df: DataFrame, order: list[str] = ORDER, scan: Callable = running) -> DataFrame:
     """reduce((a, b) -> (a.id, b.ts, a.vc + b.vc)): the first record passes
     unchanged, later ones carry the newest ts and the vc sum so far."""
-    r = running(_rows(df), ["id"], order, [Agg("vc_sum", "sum", "vc")])
+    r = scan(_rows(df), ["id"], order, [Agg("vc_sum", "sum", "vc")])
     return r.select("seq", "id", "ts", F.col("vc_sum").alias("vc"))
 
 
-def running_sum(df: DataFrame, order: list[str] = ORDER) -> DataFrame:
+def running_sum(df: DataFrame, order: list[str] = ORDER, scan: Callable = running) -> DataFrame:
     """sum("vc"): vc summed, every other field kept from the key's first record."""
-    r = running(_rows(df), ["id"], order, [Agg("vc_sum", "sum", "vc"), Agg("ts0", "first", "ts")])
+    r = scan(_rows(df), ["id"], order, [Agg("vc_sum", "sum", "vc"), Agg("ts0", "first", "ts")])
     return r.select("seq", "id", F.col("ts0").alias("ts"), F.col("vc_sum").alias("vc"))
 
 
@@ -65,7 +68,7 @@ def running_extreme_by(df: DataFrame, kind: str = "max_by", order: list[str] = O
     return r.select("seq", "id", F.col("ts_x").alias("ts"), F.col("vc_x").alias("vc"))
 
 
-def running_avg(df: DataFrame, order: list[str] = ORDER) -> DataFrame:
+def running_avg(df: DataFrame, order: list[str] = ORDER, scan: Callable = running) -> DataFrame:
     """Running mean of vc with a (sum, count) accumulator."""
-    r = running(_rows(df), ["id"], order, [Agg("s", "sum", "vc"), Agg("n", "count")])
+    r = scan(_rows(df), ["id"], order, [Agg("s", "sum", "vc"), Agg("n", "count")])
     return r.select("seq", "id", "vc", (F.col("s") / F.col("n")).alias("avg_vc"))

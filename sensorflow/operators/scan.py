@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEY, BUCKET = "__key", "__bucket"
+BEFORE = -2  # the bucket of states from earlier input
 BUCKETS = 4096
 
 
@@ -105,46 +106,67 @@ def with_buckets(df: DataFrame, keys: list[str], order: list[str], buckets: int
     return df.withColumn(KEY, key).withColumn(BUCKET, at)
 
 
+def _states(rows: DataFrame, plain: list[Agg], order: list[str], initial: DataFrame | None) -> tuple[DataFrame, list]:
+    """One state per key and bucket; states of earlier input stand in a bucket before all others."""
+    parts = [(*_input(a, rows, order), f"__s{i}") for i, a in enumerate(plain)]
+    part = rows.groupBy(KEY, BUCKET).agg(F.count(F.lit(1)).alias("__n"), *[FOLD[op](x).alias(s) for op, x, s in parts])
+    part = part.drop("__n")
+    if initial is not None:
+        part = part.union(initial.select(KEY, F.lit(BEFORE), *[s for _, _, s in parts]))
+    return part, parts
+
+
 def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], buckets: int = BUCKETS,
-            keep: bool = False) -> DataFrame:
+            keep: bool = False, initial: DataFrame | None = None) -> DataFrame:
     """Append the running aggregates ``aggs`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within each key (include a unique column),
     its first column numeric or a time.  The output keeps every input row and
     column.  ``keep=True`` also keeps the key and bucket columns; an input that
-    has them is a chained scan and is not dealt again.
+    has them is a chained scan and is not dealt again.  ``initial`` holds the
+    keys' states after earlier input, as :func:`end_states` gives them.
     """
     cols = [c for c in df.columns if c not in (KEY, BUCKET)]
     rows = df if BUCKET in df.columns else with_buckets(df, keys, order, buckets)
     plain = [a for a in aggs if a.kind != "topk"]
     if plain:
-        ops, inputs, states = {}, {}, {}
-        for i, a in enumerate(plain):
-            ops[i], inputs[i] = _input(a, rows, order)
-            states[i] = f"__s{i}"
-        part = rows.groupBy(KEY, BUCKET).agg(*[FOLD[ops[i]](inputs[i]).alias(states[i]) for i in ops])
+        part, parts = _states(rows, plain, order, initial)
         # at most ``buckets`` rows per key
         earlier = (Window.partitionBy(KEY).orderBy(BUCKET)
                    .rowsBetween(Window.unboundedPreceding, -1))
-        carry = part.select(KEY, BUCKET, *[FOLD[ops[i]](states[i]).over(earlier).alias(states[i]) for i in ops])
+        carry = part.select(KEY, BUCKET, *[FOLD[op](s).over(earlier).alias(s) for op, _, s in parts])
         inside = Window.partitionBy(KEY, BUCKET).orderBy(*order)
         out = rows.join(carry, [KEY, BUCKET], "left")
         made = []
-        for i, a in enumerate(plain):
+        for a, (op, x, s) in zip(plain, parts):
             frame = inside.rowsBetween(Window.unboundedPreceding, -1 if a.exclusive else Window.currentRow)
-            both = _join_states(ops[i], F.col(states[i]), FOLD[ops[i]](inputs[i]).over(frame))
+            both = _join_states(op, F.col(s), FOLD[op](x).over(frame))
             whole = a.kind in ("sum", "count", "max", "min")
             made.append((both if whole else both["v"]).alias(a.name))
         rows = out.select(KEY, BUCKET, *cols, *made)
         cols = cols + [a.name for a in plain]
-    for a in aggs:
-        if a.kind == "topk":
-            rows = _topk(rows, cols, order, a)
-            cols = cols + [a.name]
+    for j, a in enumerate(a for a in aggs if a.kind == "topk"):
+        rows = _topk(rows, cols, order, a, initial, f"__t{j}")
+        cols = cols + [a.name]
     names = [c for c in df.columns if c not in (KEY, BUCKET)] + [a.name for a in aggs]
     return rows.select(*([KEY, BUCKET] if keep else []), *names)
 
 
+def end_states(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], buckets: int = BUCKETS,
+               initial: DataFrame | None = None) -> DataFrame:
+    """One row per key of ``df`` and ``initial``: its states after all rows, for the next call's ``initial``."""
+    rows = with_buckets(df, keys, order, buckets)
+    plain = [a for a in aggs if a.kind != "topk"]
+    part, parts = _states(rows, plain, order, initial)
+    out = part.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n"), *[FOLD[op](s).alias(s) for op, _, s in parts]).drop("__n")
+    for j, a in enumerate(a for a in aggs if a.kind == "topk"):
+        ends, tops = _bucket_ends(rows, a, initial, f"__t{j}")
+        last = ends.groupBy(KEY).agg(F.max_by("__end", BUCKET).alias("__e"))
+        top = F.array_compact(F.array(*[F.col("__e")[t] for t in tops]))
+        out = out.join(last, KEY, "left").withColumn(f"__t{j}", top).drop("__e")
+    return out
+
+
 def _levels(rows: DataFrame, window, value: Column, k: int, carry: list[Column | None], tag: str) -> tuple[DataFrame, list[str]]:
     """The k largest values so far, largest first: each level keeps the larger of what it holds and what comes
     down to it, and hands the other on."""
@@ -162,22 +184,29 @@ def _levels(rows: DataFrame, window, value: Column, k: int, carry: list[Column |
     return rows, names
 
 
-def _topk(rows: DataFrame, cols: list[str], order: list[str], a: Agg) -> DataFrame:
-    k = a.k
+def _bucket_ends(rows: DataFrame, a: Agg, initial: DataFrame | None, state: str) -> tuple[DataFrame, list[str]]:
+    """The k largest values at the end of each bucket that has values."""
     # the k largest of each bucket (at most k rows per key and bucket), run through in bucket order
     best = Window.partitionBy(KEY, BUCKET).orderBy(F.col("__v").desc())
     heads = (rows.where(F.col(a.col).isNotNull()).select(KEY, BUCKET, F.col(a.col).alias("__v"))
-             .withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k))
+             .withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= a.k))
+    if initial is not None:
+        heads = heads.unionByName(initial.select(KEY, F.lit(BEFORE).alias(BUCKET), F.posexplode(state).alias("__r", "__v")))
     over = Window.partitionBy(KEY).orderBy(BUCKET, "__r")
-    heads, tops = _levels(heads, over, F.col("__v"), k, [None] * k, "c")
-    ends = heads.groupBy(KEY, BUCKET).agg(F.max_by(F.struct(*tops), "__r").alias("__end"))
+    heads, tops = _levels(heads, over, F.col("__v"), a.k, [None] * a.k, "c")
+    return heads.groupBy(KEY, BUCKET).agg(F.max_by(F.struct(*tops), "__r").alias("__end")), tops
+
+
+def _topk(rows: DataFrame, cols: list[str], order: list[str], a: Agg, initial: DataFrame | None, state: str) -> DataFrame:
+    ends, tops = _bucket_ends(rows, a, initial, state)
     # every bucket of a key takes the state at the end of the last bucket before it that has values
-    spots = rows.groupBy(KEY, BUCKET).agg(F.count(F.lit(1)).alias("__n")).join(ends, [KEY, BUCKET], "left")
+    spots = (rows.groupBy(KEY, BUCKET).agg(F.count(F.lit(1)).alias("__n")).drop("__n")
+             .join(ends, [KEY, BUCKET], "full" if initial is not None else "left"))
     earlier = Window.partitionBy(KEY).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = spots.select(KEY, BUCKET, F.last("__end", ignorenulls=True).over(earlier).alias("__carry"))
     out = rows.join(carry, [KEY, BUCKET], "left")
     inside = Window.partitionBy(KEY, BUCKET).orderBy(*order)
-    out, names = _levels(out, inside, F.col(a.col), k, [F.col("__carry")[t] for t in tops], "r")
+    out, names = _levels(out, inside, F.col(a.col), a.k, [F.col("__carry")[t] for t in tops], "r")
     if a.exclusive:
         names = [n.replace("m", "h") for n in names]
     return out.select(KEY, BUCKET, *cols, F.array_compact(F.array(*[F.col(n) for n in names])).alias(a.name))

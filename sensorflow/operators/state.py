@@ -7,17 +7,20 @@ versions (``transformWithState``) live in ``sensorflow.streaming.processors``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.operators.scan import Agg, running
 
 
-def delta_alert(df: DataFrame, limit: int = 10, order: list[str] | None = None) -> DataFrame:
+def delta_alert(df: DataFrame, limit: int = 10, order: list[str] | None = None,
+                scan: Callable = running) -> DataFrame:
     """Value state holding the previous vc (none -> 0): alert when
     |vc - previous| > limit."""
-    r = running(df.select("seq", "id", "vc"), ["id"], order or ["seq"],
-                [Agg("prev_vc", "last", "vc", exclusive=True)])
+    r = scan(df.select("seq", "id", "vc"), ["id"], order or ["seq"],
+             [Agg("prev_vc", "last", "vc", exclusive=True)])
     r = r.withColumn("prev_vc", F.coalesce(F.col("prev_vc"), F.lit(0)))
     hits = r.where(F.abs(F.col("vc") - F.col("prev_vc")) > limit)
     return hits.select("seq", "id", "vc", "prev_vc", F.concat(
@@ -31,9 +34,9 @@ def vc_count_map(df: DataFrame) -> DataFrame:
     return df.groupBy("id", "vc").agg(F.count(F.lit(1)).alias("n"))
 
 
-def vc_count_running(df: DataFrame, order: list[str] | None = None) -> DataFrame:
+def vc_count_running(df: DataFrame, order: list[str] | None = None, scan: Callable = running) -> DataFrame:
     """The map entry updated by each record: its count right after the record."""
-    r = running(df.select("seq", "id", "vc"), ["id", "vc"], order or ["seq"], [Agg("n", "count")])
+    r = scan(df.select("seq", "id", "vc"), ["id", "vc"], order or ["seq"], [Agg("n", "count")])
     return r.select("seq", "id", "vc", "n")
 
 

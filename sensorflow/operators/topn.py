@@ -7,6 +7,8 @@ rows per group even for a hot group.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,10 +50,10 @@ def topn_per_window_stream(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
 
 
 def running_topk(df: DataFrame, k: int = 3, key: str = "id", value: str = "vc",
-                 order: list[str] | None = None) -> DataFrame:
+                 order: list[str] | None = None, scan: Callable = running) -> DataFrame:
     """At every record, the k largest values of the key so far (descending,
     duplicates kept) -- list state sorted and cut after each add."""
-    r = running(df.select("seq", key, value), [key], order or ["seq"], [Agg("top", "topk", value, k=k)])
+    r = scan(df.select("seq", key, value), [key], order or ["seq"], [Agg("top", "topk", value, k=k)])
     return r.select("seq", key, value, "top")
 
 

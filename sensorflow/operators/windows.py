@@ -124,36 +124,45 @@ def sessions(df: DataFrame, keys: list[str], gap_s: int | None = None,
 
 # ---- count windows -----------------------------------------------------------
 
+def tumbling_places(df: DataFrame, size: int, keys: list[str], order: list[str], scan: Callable = running) -> DataFrame:
+    """Each row with the number of the one count window it is in."""
+    r = scan(df, keys, order, [Agg("__rn", "count")])
+    return r.withColumn("window_no", F.floor((F.col("__rn") - 1) / size).cast("bigint"))
+
+
+def sliding_places(df: DataFrame, size: int, slide: int, keys: list[str], order: list[str],
+                   scan: Callable = running) -> DataFrame:
+    """Each row with the numbers of the firings that contain it (at most ceil(size/slide) copies)."""
+    r = scan(df, keys, order, [Agg("__rn", "count")])
+    # firing numbers f (multiples of slide) with rn <= f <= rn + size - 1
+    first_f = F.ceil(F.col("__rn") / slide) * slide
+    fires = F.sequence(first_f.cast("bigint"), (F.col("__rn") + size - 1).cast("bigint"),
+                       F.lit(slide).cast("bigint"))
+    # a window shorter than the slide skips rows: sequence would run backwards
+    fires = F.when(first_f <= F.col("__rn") + size - 1, fires).otherwise(F.array().cast("array<bigint>"))
+    return r.withColumn("fire_no", F.explode(fires))
+
+
+def fired(places: DataFrame, keys: list[str], number: str, full: Column) -> DataFrame:
+    """Count windows that are complete (``full``, over cnt and the last row number): one row each."""
+    g = (places.groupBy(*keys, number)
+         .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").cast("bigint").alias("vc_sum"),
+              F.max("__rn").alias("__last_rn"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")))
+    return g.where(full).drop("__last_rn")
+
+
 def count_tumbling(df: DataFrame, size: int, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """countWindow(size): every ``size`` records of a key form one window; an
     incomplete tail never fires."""
-    order = order or ["seq"]
-    r = running(df, keys, order, [Agg("__rn", "count")])
-    g = (r.withColumn("window_no", F.floor((F.col("__rn") - 1) / size).cast("bigint"))
-         .groupBy(*keys, "window_no")
-         .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").cast("bigint").alias("vc_sum"),
-              F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")))
-    return g.where(F.col("cnt") == size)
+    return fired(tumbling_places(df, size, keys, order or ["seq"]), keys, "window_no", F.col("cnt") == size)
 
 
 def count_sliding(df: DataFrame, size: int, slide: int, keys: list[str],
                   order: list[str] | None = None) -> DataFrame:
     """countWindow(size, slide): fires at every ``slide``-th record of a key
-    over its last <= ``size`` records.  Each row is copied to the (at most
-    ceil(size/slide)) firings that contain it, then grouped."""
-    order = order or ["seq"]
-    r = running(df, keys, order, [Agg("__rn", "count")])
-    # firing numbers f (multiples of slide) with rn <= f <= rn + size - 1
-    first_f = F.ceil(F.col("__rn") / slide) * slide
-    fires = F.sequence(first_f.cast("bigint"), (F.col("__rn") + size - 1).cast("bigint"),
-                       F.lit(slide).cast("bigint"))
-    ex = r.withColumn("fire_no", F.explode(fires))
-    g = (ex.groupBy(*keys, "fire_no")
-         .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").cast("bigint").alias("vc_sum"),
-              F.max("__rn").alias("__last_rn"), F.min("seq").alias("first_seq"),
-              F.max("seq").alias("last_seq")))
-    # keep only firings whose triggering record exists
-    return g.where(F.col("__last_rn") == F.col("fire_no")).drop("__last_rn")
+    over its last <= ``size`` records; a firing needs its triggering record."""
+    return fired(sliding_places(df, size, slide, keys, order or ["seq"]), keys, "fire_no",
+                 F.col("__last_rn") == F.col("fire_no"))
 
 
 # ---- global / all ---------------------------------------------------------------

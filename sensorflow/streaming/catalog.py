@@ -11,13 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.scalar import java_split
-from sensorflow.operators import eventtime, joins, keyed, transforms, windows
+from sensorflow.operators import bridge, eventtime, joins, keyed, scan, state, topn, transforms, windows
 from sensorflow.plans import params as P
 from sensorflow.plans.oracle import ORACLE, S
 from sensorflow.session import prepare
 from sensorflow.sources import tables as T
 from sensorflow.streaming import harness as H
-from sensorflow.streaming import processors as PR
 
 N_BATCHES = 4
 STREAM_DELAY_S = 1800     # >= the test data's largest disorder: no row is dropped
@@ -133,33 +132,77 @@ def s_global_count_restart(spark, sf):
     return out.agg(F.max_by("cnt", "batch").alias("cnt"))
 
 
-def _tws(name, proc, out_schema, sf, spark, order="seq"):
+def _carried(name, sf, spark, op):
+    """A running scan over a stream: each micro-batch is scanned in two levels, so a
+    hot key is spread over its order buckets, and goes on from the keys' states
+    after the batch before.  States are a table per batch id: a replayed batch
+    reads the same states and overwrites its own."""
     def start(src, run):
-        rows = src.select("seq", "id", "ts", "vc")
-        res = rows.groupBy("id").transformWithStateInPandas(
-            statefulProcessor=proc, outputStructType=out_schema, outputMode="Append", timeMode="None")
-        return H.append_sink(res, run, name)
-    run = H.replay(spark, name, _twin_order(spark, sf), order, N_BATCHES, start, flush=False)
-    return H.read_append(spark, run)
+        def write(bdf, bid):
+            rows = bdf.select("seq", "id", "ts", "vc")
+            _state_scan(spark, run, bid, lambda scan: op(rows, scan).write.mode("overwrite")
+                        .parquet(os.path.join(run.sink, f"batch={bid}")))
+        return (src.writeStream.queryName(name).foreachBatch(write)
+                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
+    run = H.replay(spark, name, _twin_order(spark, sf), "seq", N_BATCHES, start, flush=False)
+    return spark.read.parquet(run.sink).drop("batch")
+
+
+def _state_scan(spark, run, bid, work):
+    """Run ``work(scan)`` with a scan that starts from the states of batch ``bid - 1`` and writes those of ``bid``."""
+    path = os.path.join(run.root, "state")
+
+    def scan_rows(df, keys, order, aggs):
+        before = spark.read.parquet(f"{path}/batch{bid - 1}") if bid else None
+        after = scan.end_states(df, keys, order, aggs, initial=before)
+        after.write.mode("overwrite").parquet(f"{path}/batch{bid}")
+        return scan.running(df, keys, order, aggs, initial=before)
+    work(scan_rows)
+
+
+def _count_windows(name, sf, spark, places, number, full):
+    """Count windows on a stream: a batch's complete windows fire; the rows of the
+    others (fewer than a window per key and firing) wait in a table per batch id."""
+    def start(src, run):
+        path = os.path.join(run.root, "waiting")
+
+        def write(bdf, bid):
+            rows = bdf.select("seq", "id", "ts", "vc")
+
+            def work(scan_rows):
+                here = places(rows, scan_rows)
+                if bid:
+                    here = here.unionByName(spark.read.parquet(f"{path}/batch{bid - 1}"))
+                out = windows.fired(here, ["id"], number, full)
+                out.write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
+                done = spark.read.parquet(os.path.join(run.sink, f"batch={bid}")).select("id", number)
+                (here.join(done, ["id", number], "left_anti").select(*here.columns)
+                 .write.mode("overwrite").parquet(f"{path}/batch{bid}"))
+            _state_scan(spark, run, bid, work)
+        return (src.writeStream.queryName(name).foreachBatch(write)
+                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
+    run = H.replay(spark, name, _twin_order(spark, sf), "seq", N_BATCHES, start, flush=False)
+    return spark.read.parquet(run.sink).drop("batch")
 
 
 def s_running_reduce_stream(spark, sf):
-    return _tws("running_reduce_stream", PR.RunningSum(), PR.RUNNING_REDUCE_OUT, sf, spark)
+    return _carried("running_reduce_stream", sf, spark, lambda d, scan: keyed.running_reduce(d, scan=scan))
 
 
 def s_running_sum_stream(spark, sf):
-    return _tws("running_sum_stream", PR.ReducingSum(), PR.RUNNING_REDUCE_OUT, sf, spark)
+    return _carried("running_sum_stream", sf, spark, lambda d, scan: keyed.running_sum(d, scan=scan))
 
 
 def s_running_avg_stream(spark, sf):
-    return _tws("running_avg_stream", PR.RunningAvg(), PR.RUNNING_AVG_OUT, sf, spark)
+    def op(d, scan):
+        r = keyed.running_avg(d, scan=scan)
+        return r.withColumn("avg_vc", F.round("avg_vc", 6))
+    return _carried("running_avg_stream", sf, spark, op)
 
 
 def s_topn_window_stream(spark, sf):
     """Top-2 values by count per sliding window, computed by two chained
     event-time aggregations (count per value, then per window)."""
-    from sensorflow.operators import topn
-
     def start(src, run):
         res = topn.topn_per_window_stream(src.withWatermark("t", f"{STREAM_DELAY_S} seconds"),
                                           P.WINDOW_S, P.SLIDE_S, P.TOPN)
@@ -169,27 +212,34 @@ def s_topn_window_stream(spark, sf):
 
 
 def s_delta_alert_stream(spark, sf):
-    return _tws("delta_alert_stream", PR.DeltaAlert(P.ALERT_VC), PR.DELTA_ALERT_OUT, sf, spark)
+    return _carried("delta_alert_stream", sf, spark, lambda d, scan: state.delta_alert(d, P.ALERT_VC, scan=scan))
 
 
 def s_changelog_stream(spark, sf):
-    return _tws("changelog_stream", PR.Changelog(), PR.CHANGELOG_OUT, sf, spark)
+    return _carried("changelog_stream", sf, spark, lambda d, scan: bridge.changelog_group_sum(d, scan=scan))
 
 
 def s_win_count_tumbling_stream(spark, sf):
-    return _tws("count_tumbling_stream", PR.CountTumbling(P.COUNT_SIZE), PR.COUNT_WINDOW_OUT, sf, spark)
+    return _count_windows("count_tumbling_stream", sf, spark,
+                          lambda d, scan: windows.tumbling_places(d, P.COUNT_SIZE, ["id"], ["seq"], scan),
+                          "window_no", F.col("cnt") == P.COUNT_SIZE)
 
 
 def s_win_count_sliding_stream(spark, sf):
-    return _tws("count_sliding_stream", PR.CountSliding(P.COUNT_SIZE, P.COUNT_SLIDE), PR.COUNT_SLIDING_OUT, sf, spark)
+    return _count_windows("count_sliding_stream", sf, spark,
+                          lambda d, scan: windows.sliding_places(d, P.COUNT_SIZE, P.COUNT_SLIDE, ["id"], ["seq"], scan),
+                          "fire_no", F.col("__last_rn") == F.col("fire_no"))
 
 
 def s_vc_count_running_stream(spark, sf):
-    return _tws("vc_count_stream", PR.VcCountMap(), PR.VC_COUNT_OUT, sf, spark)
+    return _carried("vc_count_stream", sf, spark, lambda d, scan: state.vc_count_running(d, scan=scan))
 
 
 def s_running_top3_stream(spark, sf):
-    return _tws("running_top3_stream", PR.RunningTopK(P.TOPK_RUNNING), PR.TOPK_OUT, sf, spark)
+    def op(d, scan):
+        r = topn.running_topk(d, P.TOPK_RUNNING, scan=scan)
+        return r.select("seq", "id", "vc", *[F.get(F.col("top"), i).alias(f"top{i + 1}") for i in range(3)])
+    return _carried("running_top3_stream", sf, spark, op)
 
 
 # ---- sources / routing / sets --------------------------------------------------------
@@ -251,14 +301,14 @@ def s_exactly_once_pipeline(spark, sf):
     """Checkpointed query with an idempotent batch-id-keyed sink.  Batch 1
     fails after writing part of its output; the restart replays it and the
     overwrite by batch id leaves no duplicate and no loss."""
-    state = {"failed": False}
+    crash = {"failed": False}
 
     def start(src, run):
         def write(bdf, bid):
             path = os.path.join(run.sink, f"batch={bid}")
-            if bid == 1 and not state["failed"]:
+            if bid == 1 and not crash["failed"]:
                 bdf.limit(1).write.mode("overwrite").parquet(path)   # partial output, then crash
-                state["failed"] = True
+                crash["failed"] = True
                 raise RuntimeError("injected failure after partial write")
             bdf.write.mode("overwrite").parquet(path)
         return (src.select("seq", "id", "ts", "vc").writeStream.queryName("exactly_once")
