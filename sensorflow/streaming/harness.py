@@ -69,7 +69,7 @@ def stage(df: DataFrame, order_col: str, n_batches: int, path: str, text_col: st
     """Write ``df`` partitioned by micro-batch number (by ``order_col`` quantiles)."""
     n_batches = max(n_batches, -(-df.count() // ROWS_PER_BATCH))
     cuts = sorted(set(df.approxQuantile(order_col, [i / n_batches for i in range(1, n_batches)], 0.1 / n_batches)))
-    at = F.coalesce(F.aggregate(F.lit(cuts).cast("array<double>"), F.lit(0),
+    at = F.coalesce(F.aggregate(F.array(*map(F.lit, cuts)).cast("array<double>"), F.lit(0),
                                 lambda n, c: n + (F.col(order_col) >= c).cast("int")), F.lit(0))
     writer = (df.withColumn(BATCH, at) if text_col is None else df.select(text_col, at.alias(BATCH)))
     writer = writer.write.mode("overwrite").partitionBy(BATCH)
