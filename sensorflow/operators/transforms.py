@@ -68,12 +68,12 @@ def flatmap_conditional(df: DataFrame) -> DataFrame:
 
 # ---- PRJ-6: map with per-task set-up / tear-down ---------------------------
 
-def map_with_lifecycle(df: DataFrame, fn: Callable[[pd.DataFrame, int], pd.DataFrame], schema: str,
+def map_with_lifecycle(df: DataFrame, fn: Callable[[pd.DataFrame, object], pd.DataFrame], schema: str,
                        open_fn: Callable[[int], object] | None = None,
                        close_fn: Callable[[object], None] | None = None) -> DataFrame:
     """Rich-function style map: ``open_fn(partition)`` runs once per task
     before the first batch, ``close_fn`` once after the last (also on error),
-    ``fn(batch, partition)`` on every Arrow batch in between."""
+    ``fn(batch, what open_fn gave)`` on every Arrow batch in between."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -81,7 +81,7 @@ def map_with_lifecycle(df: DataFrame, fn: Callable[[pd.DataFrame, int], pd.DataF
         resource = open_fn(part) if open_fn else None
         try:
             for pdf in batches:
-                yield fn(pdf, part)
+                yield fn(pdf, resource)
         finally:
             if close_fn:
                 close_fn(resource)
@@ -93,14 +93,17 @@ def parse_int_plus_one(df: DataFrame, col: str = "value") -> DataFrame:
     """The lifecycle demo's body: ``Integer.parseInt(value) + 1`` per record."""
     keep = [c for c in df.columns if c != col]
 
-    def body(pdf: pd.DataFrame, part: int) -> pd.DataFrame:
+    def parser(part: int) -> Callable[[pd.Series], pd.Series]:
+        return lambda texts: pd.to_numeric(texts, errors="raise").astype("int64")
+
+    def body(pdf: pd.DataFrame, parse: Callable[[pd.Series], pd.Series]) -> pd.DataFrame:
         out = pdf[keep].copy()
-        out["result"] = pd.to_numeric(pdf[col], errors="raise").astype("int64") + 1
+        out["result"] = parse(pdf[col]) + 1
         return out
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name != col)
     schema = (fields + ", " if fields else "") + "result bigint"
-    return map_with_lifecycle(df, body, schema)
+    return map_with_lifecycle(df, body, schema, parser)
 
 
 # ---- SPL-1 / SPL-2 / SPL-3 -------------------------------------------------

@@ -77,3 +77,70 @@ def test_print_sink_can_use_the_error_stream(spark, capsys):
     q.awaitTermination()
     err = capsys.readouterr().err
     assert all(f"warn {i}" in err for i in range(3))
+
+
+def test_lifecycle_opens_and_closes_once_per_task(spark, tmp_path):
+    from sensorflow.operators.transforms import map_with_lifecycle
+    folder = str(tmp_path)
+
+    def opened(part):
+        f = open(os.path.join(folder, f"{part}.log"), "a")
+        f.write("open\n")
+        return f
+
+    def body(pdf, f):
+        f.write("batch\n")
+        return pdf
+
+    def closed(f):
+        f.write("close\n")
+        f.close()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        assert map_with_lifecycle(spark.range(0, 60, 1, 2), body, "id bigint", opened, closed).count() == 60
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    logs = [open(os.path.join(folder, n)).read().split() for n in os.listdir(folder)]
+    assert len(logs) == 2
+    for log in logs:
+        assert log[0] == "open" and log[-1] == "close" and log.count("open") == log.count("close") == 1 and log.count("batch") >= 3
+
+
+def test_a_late_row_deletes_the_pending_timer(spark):
+    """Two rows of a key in two micro-batches: the first one's timer is deleted, one timer fires."""
+    from sensorflow.streaming.processors import ProcessingTimeTimer
+    import time
+    root = scratch_path(spark, "timer")
+    src_dir, out = os.path.join(root, "src"), os.path.join(root, "out")
+    spark.createDataFrame([(1, "s1")], "seq bigint, id string").write.parquet(src_dir)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", H.ROCKSDB)
+    src = spark.readStream.schema("seq bigint, id string").parquet(src_dir)
+    res = src.groupBy("id").transformWithStateInPandas(
+        statefulProcessor=ProcessingTimeTimer(delay_ms=25_000), outputMode="Append", timeMode="ProcessingTime",
+        outputStructType="id string, timer_ms bigint, fired_at_ms bigint")
+    q = (res.writeStream.format("parquet").option("path", out).option("checkpointLocation", os.path.join(root, "ck"))
+         .trigger(processingTime="1 second").start())
+    try:
+        def waits(n, seconds):
+            end = time.time() + seconds
+            while time.time() < end and sum(p["numInputRows"] for p in q.recentProgress) < n:
+                time.sleep(0.5)
+        waits(1, 60)
+        spark.createDataFrame([(2, "s1")], "seq bigint, id string").write.mode("append").parquet(src_dir)
+        waits(2, 60)
+        end = time.time() + 90
+        rows = []
+        while time.time() < end and not rows:
+            time.sleep(1)
+            try:
+                rows = spark.read.schema("id string, timer_ms bigint, fired_at_ms bigint").parquet(out).collect()
+            except Exception:  # nothing written yet
+                rows = []
+        assert len(rows) == 1 and rows[0].id == "s1"
+        time.sleep(5)
+        assert spark.read.parquet(out).count() == 1
+    finally:
+        q.stop()
+        if before is not None:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)

@@ -80,7 +80,7 @@ def test_foreach_writer_and_table_stream(spark):
     from sensorflow.sinks import tables as table_sinks
     root = scratch_path(spark, "sink-test")
     src_dir = os.path.join(root, "src")
-    out_dir = os.path.join(root, "out")
+    out_dir = os.path.join(root, "out").removeprefix("file:")
     os.makedirs(out_dir, exist_ok=True)
     spark.createDataFrame([(i, f"s{i % 3}") for i in range(20)], "seq bigint, id string").write.parquet(src_dir)
     src = spark.readStream.schema("seq bigint, id string").parquet(src_dir)
