@@ -2,9 +2,11 @@
 accumulators, run as partial + final aggregation.
 
 1. ``mapInPandas``: every task folds its rows into one accumulator per key
-   (``create`` / ``accumulate``) and emits (key, pickled accumulator);
-2. ``groupBy(keys).applyInPandas``: the partial accumulators of a key (at
-   most one per input partition, whatever the key's row count) are folded
+   (``create`` / ``accumulate``, or ``accumulate_many`` for all values of a key
+   in an Arrow batch at once) and emits (key, pickled accumulator); it holds at
+   most ``held_keys`` keys at a time and emits them when there are more;
+2. ``groupBy(keys).applyInPandas``: the partial accumulators of a key (one
+   per input partition, a few where a task had to emit early) are folded
    with ``merge`` and turned into output rows by ``emit``.
 
 So a hot key never brings its rows into one task -- only its partials.
@@ -22,18 +24,32 @@ from pyspark.sql import DataFrame
 def table_aggregate(df: DataFrame, keys: list[str], value_cols: list[str],
                     create: Callable[[], object], accumulate: Callable[[object, tuple], object],
                     merge: Callable[[object, object], object], emit: Callable[[object], Iterable[tuple]],
-                    out_schema: str) -> DataFrame:
+                    out_schema: str, held_keys: int = 100_000,
+                    accumulate_many: Callable[[object, pd.DataFrame], object] | None = None) -> DataFrame:
     """``out_schema`` lists the key columns first, then the emitted fields."""
     key_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keys)
 
     def partial(batches):
         accs: dict = {}
+
+        def out() -> pd.DataFrame:
+            return pd.DataFrame([(*k, pickle.dumps(a)) for k, a in accs.items()], columns=keys + ["__acc"])
+
         for pdf in batches:
-            for row in pdf[keys + value_cols].itertuples(index=False, name=None):
-                k, v = row[:len(keys)], row[len(keys):]
-                accs[k] = accumulate(accs[k] if k in accs else create(), v)
-        rows = [(*k, pickle.dumps(a)) for k, a in accs.items()]
-        yield pd.DataFrame(rows, columns=keys + ["__acc"])
+            for k, group in pdf.groupby(keys, sort=False, dropna=False)[value_cols]:
+                k = k if isinstance(k, tuple) else (k,)
+                k = tuple(None if pd.isna(x) else x for x in k)
+                acc = accs[k] if k in accs else create()
+                if accumulate_many is not None:
+                    acc = accumulate_many(acc, group)
+                else:
+                    for v in group.itertuples(index=False, name=None):
+                        acc = accumulate(acc, v)
+                accs[k] = acc
+            if len(accs) > held_keys:
+                yield out()
+                accs.clear()
+        yield out()
 
     parts = df.select(*keys, *value_cols).mapInPandas(partial, f"{key_ddl}, __acc binary")
 
@@ -70,6 +86,11 @@ def top2_accumulate(acc, v):
     return acc
 
 
+def top2_accumulate_many(acc, group):
+    best = group.iloc[:, 0].dropna().nlargest(2)
+    return top2_merge(acc, tuple(best.tolist()))
+
+
 def top2_merge(a, b):
     acc = a
     for num in b:

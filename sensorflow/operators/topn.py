@@ -28,22 +28,24 @@ def topn_per_window(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
 
 
 def topn_per_window_stream(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
-                           value: str = "vc", time_col: str = "t") -> DataFrame:
+                           value: str = "vc", time_col: str = "t", salts: int = 16) -> DataFrame:
     """Streaming form (``row_number`` is not allowed on streams): count per
-    (window, value), then a second event-time aggregation keyed by the
-    window's event time sorts the (count, value) pairs and keeps the first N.
-    Needs a watermark on ``time_col``; both stateful steps run in append
-    mode.  The list per window is bounded by the distinct values in it."""
+    (window, value), then the N first of each (window, salt of the value), then
+    the N first of those.  A task holds a window's values of one salt, the last
+    step at most N per salt.  Needs a watermark on ``time_col``; all three
+    stateful steps run in append mode."""
     counts = (df.groupBy(F.window(time_col, f"{size_s} seconds", f"{slide_s} seconds").alias("w"), value)
               .agg(F.count(F.lit(1)).alias("cnt")))
-    per_window = (counts.select(F.window_time("w").alias("wt"),
-                                F.unix_seconds(F.col("w.start")).alias("ws"),
-                                F.unix_seconds(F.col("w.end")).alias("we"), value, "cnt")
-                  .groupBy("wt")
+    placed = counts.select(F.window_time("w").alias("wt"), F.unix_seconds(F.col("w.start")).alias("ws"),
+                           F.unix_seconds(F.col("w.end")).alias("we"),
+                           F.pmod(F.xxhash64(value), F.lit(salts)).alias("salt"),
+                           F.struct((-F.col("cnt")).alias("neg"), F.col(value).alias("v")).alias("e"))
+    per_salt = (placed.groupBy("wt", "salt")
+                .agg(F.min("ws").alias("ws"), F.min("we").alias("we"),
+                     F.slice(F.sort_array(F.collect_list("e")), 1, n).alias("top")))
+    per_window = (per_salt.groupBy("wt")
                   .agg(F.min("ws").alias("win_start"), F.min("we").alias("win_end"),
-                       F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cnt")).alias("neg"),
-                                                                     F.col(value).alias("v"))), True),
-                               1, n).alias("top")))
+                       F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top")))
     ex = per_window.select("win_start", "win_end", F.posexplode("top").alias("pos", "e"))
     return ex.select("win_start", "win_end", F.col("e.v").alias(value),
                      (-F.col("e.neg")).alias("cnt"), (F.col("pos") + 1).cast("int").alias("rank"))

@@ -331,7 +331,8 @@ def q_top2_table_agg_udf(spark, sf):
     from sensorflow.functions import table_agg as TA
     s = _sensor(spark, sf).select("id", "vc")
     return TA.table_aggregate(s, ["id"], ["vc"], TA.top2_create, TA.top2_accumulate, TA.top2_merge,
-                              TA.top2_emit, "id string, value int, rank int")
+                              TA.top2_emit, "id string, value int, rank int",
+                              accumulate_many=TA.top2_accumulate_many)
 
 
 # ---- keyed state (batch twins) -----------------------------------------------
