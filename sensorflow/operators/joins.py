@@ -7,6 +7,8 @@ all rows of a hot key with each other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,8 @@ def static_threshold_alerts(data: DataFrame, config: DataFrame) -> DataFrame:
     return data.withColumn("threshold", threshold).where(F.col("vc") > F.col("threshold"))
 
 
-def asof_threshold_alerts(data: DataFrame, config: DataFrame, order: str = "seq") -> DataFrame:
+def asof_threshold_alerts(data: DataFrame, config: DataFrame, order: str = "seq",
+                          scan: Callable = running) -> DataFrame:
     """Broadcast config, dynamic form: each data row is checked against the
     newest threshold that arrived before it (none -> 0).  Both streams are
     merged in arrival order and the latest threshold is carried forward by
@@ -70,7 +73,7 @@ def asof_threshold_alerts(data: DataFrame, config: DataFrame, order: str = "seq"
             c = c.withColumn(col, F.lit(None).cast(data.schema[col].dataType))
     c = c.withColumn("__is_cfg", F.lit(True)).select(*d.columns)
     merged = d.unionByName(c)
-    r = running(merged, [], [order], [Agg("threshold", "last", "__cfg")])
+    r = scan(merged, [], [order], [Agg("threshold", "last", "__cfg")])
     out = r.where(~F.col("__is_cfg")).withColumn("threshold", F.coalesce(F.col("threshold"), F.lit(0)))
     return out.where(F.col("vc") > F.col("threshold")).drop("__cfg", "__is_cfg")
 

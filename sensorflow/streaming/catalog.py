@@ -121,6 +121,16 @@ def s_broadcast_static_stream(spark, sf):
     return H.read_append(spark, run)
 
 
+def s_broadcast_asof_stream(spark, sf):
+    """Dynamic broadcast config on a stream: each row meets the newest threshold
+    that came before it, also from an earlier batch (the carried state)."""
+    def op(d, scan):
+        data = d.where(F.col("kind") != "error").select("seq", "id", "vc")
+        cfg = d.where(F.col("kind") == "error").select("seq", F.col("vc").alias("threshold"))
+        return joins.asof_threshold_alerts(data, cfg, scan=scan)
+    return _carried("broadcast_asof_stream", sf, spark, op)
+
+
 def s_global_count_restart(spark, sf):
     """Running global count, complete mode, restarted from its checkpoint every batch."""
     def start(src, run):
@@ -139,7 +149,7 @@ def _carried(name, sf, spark, op):
     reads the same states and overwrites its own."""
     def start(src, run):
         def write(bdf, bid):
-            rows = bdf.select("seq", "id", "ts", "vc")
+            rows = bdf.select("seq", "id", "kind", "ts", "vc")
             _state_scan(spark, run, bid, lambda scan: op(rows, scan).write.mode("overwrite")
                         .parquet(os.path.join(run.sink, f"batch={bid}")))
         return (src.writeStream.queryName(name).foreachBatch(write)
@@ -426,14 +436,70 @@ def s_late_side_output_stream(spark, sf):
 
 
 def s_late_allowed_stream(spark, sf):
-    """Allowed lateness on a stream: the kept rows are classified per record
-    in the stream; the per-window final value and firing count are then
-    aggregated from that sink."""
-    kept = _classified_stream(spark, sf, "late_allowed_stream", keep_late=False)
-    return (kept.groupBy("id", "win_start", "win_end")
-            .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").cast("bigint").alias("vc_sum"),
-                 (F.max((F.col("status") == "on_time").cast("int")) +
-                  F.sum((F.col("status") == "refire").cast("int"))).cast("bigint").alias("firings")))
+    """Allowed lateness on a stream: a window fires when the watermark passes its
+    end and again for every row that is late but allowed; each firing is a row of
+    the sink with the window's value then.  Windows still open at the end of the
+    input fire there.  The result is the last firing of each window."""
+    keys = ["id", "win_start", "win_end"]
+    on = F.col("status") == "on_time"
+    aggs = [scan.Agg("cnt", "count"), scan.Agg("vc_sum", "sum", "vc"), scan.Agg("re", "sum", "is_re"),
+            scan.Agg("on_cnt", "sum", "is_on"), scan.Agg("on_sum", "sum", "on_vc")]
+    names = dict(zip((f"__s{i}" for i in range(len(aggs))), (x.name for x in aggs)))
+    cols = [*keys, "cnt", "vc_sum", "firings"]
+
+    def marked(rows):
+        return (rows.withColumn("is_re", F.when(on, 0).otherwise(1)).withColumn("is_on", F.when(on, 1).otherwise(0))
+                .withColumn("on_vc", F.when(on, F.col("vc")).otherwise(0)))
+
+    def first_firings(states):
+        w = states.select(f"{scan.KEY}.*", *[F.col(s).alias(n) for s, n in names.items()]).where("on_cnt > 0")
+        return w.select(*keys, F.col("on_cnt").cast("bigint").alias("cnt"), F.col("on_sum").cast("bigint").alias("vc_sum"),
+                        F.lit(1).cast("bigint").alias("firings"))
+
+    def passed(wm):
+        return F.col("win_end") * 1000 - 1 <= wm
+
+    def start(src, run):
+        path = os.path.join(run.root, "windows")
+
+        def write(bdf, bid):
+            before = spark.read.parquet(f"{path}/batch{bid - 1}") if bid else None
+            prev = spark.read.parquet(f"{path}/max{bid - 1}").first()[0] if bid else None
+            rows = bdf.select("seq", "id", "ts", "vc", "arrival").persist()
+            try:
+                seen = [x for x in (prev, rows.agg(F.max("ts")).first()[0]) if x is not None]
+                wm = max(seen) * 1000 - (P.DELAY_S * 1000 + 1) if seen else None
+                was = prev * 1000 - (P.DELAY_S * 1000 + 1) if prev is not None else eventtime.LONG_MIN
+                spark.createDataFrame([(max(seen) if seen else None,)], "max_ts bigint") \
+                    .write.mode("overwrite").parquet(f"{path}/max{bid}")
+                here = marked(eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S, ["arrival", "seq"],
+                                                                 carry_max=prev).where(F.col("status") != "late"))
+                after = scan.end_states(here, keys, ["arrival", "seq"], aggs, initial=before)
+                after.write.mode("overwrite").parquet(f"{path}/all{bid}")
+                after = spark.read.parquet(f"{path}/all{bid}")
+                run_through = scan.running(here, keys, ["arrival", "seq"], aggs, initial=before)
+                again = run_through.where("is_re = 1").select(
+                    *keys, "cnt", F.col("vc_sum").cast("bigint"),
+                    (F.col("re") + (F.col("on_cnt") > 0).cast("int")).cast("bigint").alias("firings"))
+                fires = first_firings(after)
+                fires = fires.where(passed(wm) & ~passed(was)) if wm is not None else fires.limit(0)
+                again.unionByName(fires).write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
+                # a window whose allowed lateness is over is never read again
+                gone = F.col(f"{scan.KEY}.win_end") * 1000 - 1 + P.LATENESS_S * 1000 <= (wm if wm is not None else eventtime.LONG_MIN)
+                after.where(~gone).write.mode("overwrite").parquet(f"{path}/batch{bid}")
+            finally:
+                rows.unpersist()
+        return (src.writeStream.queryName("late_allowed_stream").foreachBatch(write)
+                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
+    run = H.replay(spark, "late_allowed", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
+    fired = spark.read.parquet(run.sink).drop("batch").select(*cols)
+    last = spark.read.parquet(run.sink).agg(F.max("batch")).first()[0]
+    path = os.path.join(run.root, "windows")
+    top = spark.read.parquet(f"{path}/max{last}").first()[0]
+    still = first_firings(spark.read.parquet(f"{path}/batch{last}")).where(~passed(top * 1000 - (P.DELAY_S * 1000 + 1)))
+    every = fired.unionByName(still)
+    return every.groupBy(*keys).agg(F.max(F.struct("firings", "cnt", "vc_sum")).alias("f")).select(
+        *keys, "f.cnt", "f.vc_sum", "f.firings")
 
 
 STREAM_QUERIES = {k[2:]: v for k, v in sorted(globals().items()) if k.startswith("s_") and callable(v)}
@@ -443,7 +509,8 @@ _TWINS = {
     "win_session_stream": "win_session", "wm_monotonous_stream": "win_tumbling",
     "word_count_stream": "word_count", "word_count_restart": "word_count",
     "sink_bucketed_files_stream": "sink_bucketed_files", "broadcast_static_stream": "broadcast_static",
-"running_reduce_stream": "running_reduce",
+    "broadcast_asof_stream": "broadcast_asof",
+    "running_reduce_stream": "running_reduce",
     "delta_alert_stream": "delta_alert", "running_avg_stream": "running_avg",
     "running_sum_stream": "running_sum",
     "topn_window_stream": "topn_window", "changelog_stream": "changelog_sum",
