@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm.common import table
+from sensorflow.llm.common import stored, table
 
 FOLDS, HELD_OUT = 5, 0
 FIT_ROWS = {0: 16_000, 1: 8_000}
@@ -97,28 +97,19 @@ class Machine:
         return out
 
 
-def fit(rows: list[np.ndarray], label: np.ndarray, w: np.ndarray) -> Machine:
-    """Fits the machine by Adam on log loss, row i weighted by w[i].  ``rows``: buckets of each row, sorted and distinct."""
-    n = len(rows)
-    total = np.concatenate(rows) if n else np.empty(0, np.int64)
+def fit(at: np.ndarray, rows: list[np.ndarray], label: np.ndarray, w: np.ndarray) -> Machine:
+    """Fits the machine over the buckets ``at`` by Adam on log loss.
+
+    ``rows``: for each row the positions in ``at`` of its terms; row i is weighted by w[i].
+    """
+    n, best = len(rows), at
+    index = np.concatenate(rows).astype(np.int64) if n else np.empty(0, np.int64)
     owner = np.repeat(np.arange(n), [len(r) for r in rows])
-    at, inverse, count = np.unique(total, return_inverse=True, return_counts=True)
-    # how far a bucket's share of rows with label 1 lies from the share overall, in squared standard errors
     p = float((w * label).sum() / w.sum()) if n else 0.0
-    ones = np.bincount(inverse, weights=label[owner].astype(float), minlength=len(at))
-    share = float(label.mean()) if n else 0.0
-    gain = (ones - count * share) ** 2 / (count * max(share * (1 - share), 1e-9))
-    gain[count < LEAST_ROWS] = -1
-    best = np.sort(np.argsort(-gain, kind="stable")[:TERMS])
-    best = best[gain[best] >= LEAST_GAIN]
-    place = np.full(len(at), -1)
-    place[best] = np.arange(len(best))
-    index = place[inverse]
-    owner, index = owner[index >= 0], index[index >= 0]
     rng = np.random.default_rng(SEED)
     bias = math.log(max(p, 1e-6) / max(1 - p, 1e-6))
-    m = Machine(at[best], np.zeros(len(best)), rng.normal(0, 0.01, (len(best), FACTORS)), bias)
-    if not 0 < share < 1:
+    m = Machine(at, np.zeros(len(best)), rng.normal(0, 0.01, (len(best), FACTORS)), bias)
+    if not 0 < p < 1 or not len(at):
         return m
     first = np.searchsorted(owner, np.arange(n + 1))
     params = np.concatenate([m.weight[:, None], m.factor], 1)
@@ -173,15 +164,45 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
                                              names=["doc_id", "toxic", "terms"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    got = (texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
-           .mapInArrow(terms, "doc_id bigint, toxic int, terms array<int>").toArrow()
-           .sort_by([("doc_id", "ascending"), ("toxic", "ascending")]).combine_chunks())
+    rows = stored(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+                  .mapInArrow(terms, "doc_id bigint, toxic int, terms array<int>"), "terms")
+    at = told_apart(rows)
+    got = rows.mapInArrow(_places(at), "doc_id bigint, toxic int, terms array<int>").toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     label = got.column("toxic").to_numpy().astype(np.int64)
-    lists = got.column("terms").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
-    rows = [np.asarray(r.values, np.int64) for r in lists] if len(label) else []
+    lists = [np.asarray(x.values) if x.is_valid else np.empty(0, np.int64) for x in got.column("terms")]
     per_class = np.maximum(np.bincount(label, minlength=2), 1)
-    return fit(rows, label, len(label) / (2 * per_class[label]))
+    return fit(at, lists, label, len(label) / (2 * per_class[label]))
+
+
+def told_apart(rows: DataFrame) -> np.ndarray:
+    """The TERMS buckets, ascending, whose share of rows with label 1 lies farthest from the share overall."""
+    n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not 0 < ones < n:
+        return np.empty(0, np.int64)
+    share = ones / n
+    far = F.pow(F.col("ones") - F.col("n") * share, 2) / (F.col("n") * (share * (1 - share)))
+    best = (rows.select("toxic", F.explode("terms").alias("term")).groupBy("term")
+            .agg(F.count("*").alias("n"), F.sum("toxic").alias("ones")).withColumn("gain", far)
+            .where((F.col("n") >= LEAST_ROWS) & (F.col("gain") >= LEAST_GAIN))
+            .orderBy(F.desc("gain"), "term").limit(TERMS).select("term"))
+    return np.sort(best.toArrow().column("term").to_numpy()).astype(np.int64)
+
+
+def _places(at: np.ndarray):
+    """Terms to their positions in ``at``; the others go."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for t in b.column(2):
+                terms = np.asarray(t.values)
+                place = np.searchsorted(at, terms)
+                found.append(place[(place < len(at)) & (at[np.minimum(place, len(at) - 1)] == terms)] if len(at) else [])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32()))],
+                                             names=["doc_id", "toxic", "terms"])
+
+    return work
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
