@@ -51,6 +51,8 @@ MIXED_NAMES = {"with", "has", "no"}  # "has-sidebar" names a layout, not a sideb
 BAD_NAME, HEADER_NAME, GOOD_NAME, HIDDEN = -9.0, -6.0, 1.5, -12.0
 TAG = {"p": 1.0, "h1": 1.5, "h2": 1.0, "h3": 1.0, "h4": 0.5, "blockquote": 1.0, "pre": 1.0, "li": -0.3}
 LENGTH_PER, LENGTH_MOST, BIAS, LINKS = 60.0, 3.0, 0.4, -4.0
+# Elements nested deeper than browsers build them belong to the deepest one kept; their text is read all the same.
+MOST_DEPTH = 512
 # Smoothness: next to each other, and one parent.
 NEXT, SAME_PARENT, UNIT = 0.25, 0.5, 1000
 
@@ -179,7 +181,7 @@ def read_blocks(page: str) -> list[Block]:
             continue
         number += 1
         element = _element(tag, m[3], number, stack[-1])
-        if not m[0].endswith("/>"):
+        if not m[0].endswith("/>") and len(stack) < MOST_DEPTH:
             stack.append(element)
     out = []
     for b in blocks:
