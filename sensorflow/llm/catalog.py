@@ -20,4 +20,5 @@ LLM_QUERIES = {
 # The other queries hash, learn or search in ways that SQL cannot express; tests hold them against brute force.
 LLM_ORACLE = {
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op9_license_scan": licenses.oracle(),
 }

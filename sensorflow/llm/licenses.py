@@ -5,9 +5,12 @@ compared with licence templates by cosine.  A file without a licence of its own
 takes that of a licence file in its nearest ancestor directory, found by joining
 paths.
 
-Most text holds no licence words.  A text can reach the threshold only if it has
-one of the anchor terms: the terms left out of the anchors weigh so little in
-every template that, by Cauchy-Schwarz, a text with none but those stays below.
+Most text holds no licence words and is passed over without loss, in two steps.
+A text without an anchor term stays below the threshold: outside the anchors every
+template has at most LEFT of its squared length, and LEFT is below the threshold
+squared (Cauchy-Schwarz).  And no cosine is above the sum, over the text's words,
+of idf times the word's largest weight in a template, divided by the length of the
+text's part that no template has.
 """
 
 from __future__ import annotations
@@ -50,14 +53,21 @@ TEMPLATES = [
 ]
 THRESHOLD = 0.7
 SPLIT = "[^a-z0-9]+"
+# Most squared weight of a template that the terms left out of the anchors may have; below THRESHOLD squared.
+LEFT = 0.45
+# Words too common to tell licences apart; they weigh least and are left out of the anchors first.
+COMMON = set("""a all am an and any are as at be been but by can do does for from had has have he if in into is it its
+may more most no not of on one or other she so than that the their then there these they this those to under use
+was we were what when where which who will with without would you""".split())
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)[^/]*$"
 
 
 def _weights(templates: list[tuple[str, str]]) -> tuple[dict[str, float], float, list[dict[str, float]]]:
-    """(idf of template terms, idf of all other terms, unit vector of each template)."""
+    """(idf of template terms and common words, idf of all other terms, unit vector of each template)."""
     bags = [Counter(w for w in re.split(SPLIT, t.lower()) if w) for _, t in templates]
     df = Counter(w for b in bags for w in b)
-    idf = {w: math.log((1 + len(bags)) / (1 + n)) + 1 for w, n in df.items()}
+    # common words count as if they were in every template
+    idf = {w: math.log((1 + len(bags)) / (1 + n)) + 1 for w, n in df.items()} | dict.fromkeys(COMMON, 1.0)
     vectors = []
     for b in bags:
         norm = math.sqrt(sum((n * idf[w]) ** 2 for w, n in b.items()))
@@ -65,14 +75,14 @@ def _weights(templates: list[tuple[str, str]]) -> tuple[dict[str, float], float,
     return idf, math.log(1 + len(bags)) + 1, vectors
 
 
-def _anchors(vectors: list[dict[str, float]], threshold: float) -> list[str]:
-    """All template terms but the most widespread that together stay under the threshold in every template."""
+def _anchors(vectors: list[dict[str, float]]) -> list[str]:
+    """Terms left when common words, then widespread terms, are left out while every template keeps all but LEFT."""
     spread = Counter(w for v in vectors for w in v)
     left = [0.0] * len(vectors)
     out = []
-    for w in sorted(spread, key=lambda w: (-spread[w], w)):
+    for w in sorted(spread, key=lambda w: (w not in COMMON, -spread[w], w)):
         mass = [left[i] + v.get(w, 0.0) ** 2 for i, v in enumerate(vectors)]
-        if spread[w] > 2 and max(mass) < 0.99 * threshold ** 2:
+        if max(mass) <= LEFT:
             left = mass
         else:
             out.append(w)
@@ -89,15 +99,23 @@ def detect(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thres
     Of equal cosines the first template wins.
     """
     idf, other, vectors = _weights(templates)
-    anchors = F.array(*map(F.lit, _anchors(vectors, threshold)))
+    if threshold ** 2 <= LEFT:
+        raise ValueError(f"thresholds are above {math.sqrt(LEFT):.2f}")
+    anchors, terms_known = F.array(*map(F.lit, _anchors(vectors))), F.array(*map(F.lit, idf))
+    largest = {w: max(v.get(w, 0.0) for v in vectors) for v in vectors for w in v}
+    lead = F.create_map(*[F.lit(x) for w, y in largest.items() for x in (w, idf[w] * y)])
     content = text_or_empty("content")
     near = files.where(F.arrays_overlap(_words(content), anchors)).select("file", "path", content.alias("content"))
     parts = F.array_distinct(F.concat(
         F.split("content", "\n"), F.split("content", r"\n[ \t\r]*\n"),
         F.when(F.coalesce(F.col("path").rlike(LICENSE_FILE), F.lit(False)), F.array("content"))
         .otherwise(F.array().cast("array<string>"))))
-    units = (near.select("file", F.explode(parts).alias("unit")).withColumn("words", _words(F.col("unit")))
-             .where(F.arrays_overlap("words", anchors)).select("file", F.xxhash64("unit").alias("unit"), "words"))
+    # no less than any cosine's numerator, and no more than the text's length
+    most = F.aggregate("words", F.lit(0.0), lambda n, w: n + F.coalesce(lead[w], F.lit(0.0)))
+    least = F.sqrt(F.greatest(F.size(F.array_except("words", terms_known)) - 1, F.lit(0))) * other
+    units = (near.select("file", F.explode(parts).alias("unit"))
+             .select("file", F.xxhash64("unit").alias("unit"), _words(F.col("unit")).alias("words"))
+             .where(F.arrays_overlap("words", anchors)).where(most >= threshold * least - 1e-9))
     # one row per template term, whatever the input
     known = F.create_map(*[F.lit(x) for w, v in idf.items() for x in (w, v)])
     terms = (units.select("file", "unit", F.explode("words").alias("term")).where("term != ''")
@@ -171,6 +189,40 @@ def file_tree(docs: DataFrame) -> DataFrame:
     return docs.select(i.alias("file"), F.col("source").alias("repo"), path.alias("path"), F.col("text").alias("content"))
 
 
+def oracle() -> str:
+    """The scan of the stand-in tree in SQL, without the anchors."""
+    idf, other, vectors = _weights(TEMPLATES)
+    values = lambda rows: ", ".join("(" + ", ".join(repr(x) for x in r) + ")" for r in rows)
+    return rf"""
+WITH w(term, idf) AS (VALUES {values(idf.items())}),
+y(term, template, y) AS (VALUES {values((t, i, x) for i, v in enumerate(vectors) for t, x in v.items())}),
+names(template, name) AS (VALUES {values((i, n) for i, (n, _) in enumerate(TEMPLATES))}),
+f AS (SELECT doc_id, source AS repo, coalesce(source, '') AS r, coalesce(text, '') AS content, doc_id % 40 = 0 AS is_license,
+             'a' || (doc_id % 5) || '/b' || (doc_id % 35) AS dir FROM documents),
+u AS (SELECT DISTINCT * FROM (SELECT doc_id, unnest(string_split(content, chr(10))) AS unit FROM f
+      UNION ALL SELECT doc_id, unnest(regexp_split_to_array(content, '\n[ \t\r]*\n')) FROM f
+      UNION ALL SELECT doc_id, content FROM f WHERE is_license)),
+t AS (SELECT doc_id, unit, term, count(*) AS tf FROM (SELECT doc_id, unit,
+      unnest(regexp_split_to_array(lower(unit), '[^a-z0-9]+')) AS term FROM u) WHERE term <> '' GROUP BY ALL),
+x AS (SELECT doc_id, unit, term, tf * coalesce(idf::DOUBLE, {other!r}::DOUBLE) AS x FROM t LEFT JOIN w USING (term)),
+n AS (SELECT doc_id, unit, sqrt(sum(x * x)) AS norm FROM x GROUP BY ALL),
+c AS (SELECT doc_id, template, sum(x * y::DOUBLE) / any_value(norm) AS cosine FROM x JOIN y USING (term) JOIN n USING (doc_id, unit)
+      GROUP BY doc_id, unit, template HAVING sum(x * y::DOUBLE) / any_value(norm) >= {THRESHOLD}),
+o AS (SELECT doc_id, name AS own_license, round(cosine, 9) AS own_cosine FROM c JOIN names USING (template)
+      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(cosine, 9) DESC, template) = 1),
+g AS (SELECT r, dir AS license_dir, own_license AS given FROM f JOIN o USING (doc_id) WHERE is_license
+      QUALIFY row_number() OVER (PARTITION BY r, dir ORDER BY own_cosine DESC, own_license) = 1),
+i AS (SELECT doc_id, license_dir, given FROM f JOIN g ON f.r = g.r AND
+      (dir = license_dir OR license_dir = '' OR starts_with(dir, license_dir || '/'))
+      QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(license_dir) DESC) = 1)
+SELECT doc_id, repo, dir || '/' || CASE WHEN is_license THEN 'LICENSE' ELSE 'doc' || doc_id || '.txt' END AS path, own_license,
+       round(own_cosine, 6) AS own_cosine, CASE WHEN own_license IS NULL THEN license_dir END AS license_dir,
+       coalesce(own_license, given) AS license
+FROM f LEFT JOIN o USING (doc_id) LEFT JOIN i USING (doc_id)
+"""
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents, read as files of a tree."""
-    return scan(file_tree(table(spark, sf_dir, "documents"))).withColumnRenamed("file", "doc_id")
+    found = scan(file_tree(table(spark, sf_dir, "documents"))).withColumnRenamed("file", "doc_id")
+    return found.withColumn("own_cosine", F.round("own_cosine", 6))

@@ -116,6 +116,7 @@ def test_main_text_of_pages(spark):
     want = "Title & more\nFirst paragraph says something with a link inside it.\nShort.\nOne point\nTwo\nLast one here."
     assert html_text.main_text(PAGE) == want
     assert html_text.main_text("") == "" and html_text.main_text("<nav><a>x</a></nav>") == ""
+    assert html_text.main_text("<div>" * 20_000 + "deep text" + "<p>x" * 3000) == "deep text" + "\nx" * 3000
     assert html_text.main_text("just a text &lt;b&gt;") == "just a text <b>"
     rows = [(1, "u", PAGE), (2, None, None), (3, "v", ""), (1, "u", PAGE), (4, "w", "<article><p>" + "word " * 100_000),
             (5, "z", "<p" + "<" * 1000)]
@@ -204,7 +205,7 @@ def brute_licenses(files, threshold=licenses.THRESHOLD):
     words = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
     bags = [Counter(words(t)) for _, t in licenses.TEMPLATES]
     df = Counter(w for b in bags for w in b)
-    idf = lambda w: math.log((1 + len(bags)) / (1 + df[w])) + 1
+    idf = lambda w: 1.0 if w in licenses.COMMON else math.log((1 + len(bags)) / (1 + df[w])) + 1
     norm = lambda b: math.sqrt(sum((n * idf(w)) ** 2 for w, n in b.items()))
     is_file = lambda p: bool(p and re.search(licenses.LICENSE_FILE, p))
     own = {}
