@@ -5,8 +5,8 @@ to).  On that aggregate a min-cost flow routes token capacity from patterns to
 source quotas: the k-th copy of a pattern's tokens is an edge of cost 2k - 1, so
 repetition is spread before anything is repeated more.  The flow leaves a token
 count per pattern and copy; documents are then selected in the order of a seeded
-hash up to those counts.  A cut in that order is one hash value per pattern and
-copy, so selecting reads each document once and moves none.
+hash up to those counts, and the one document that fits best into what is missing
+then.  That is two hash values per pattern and copy, so selecting moves no document.
 
 What reaches the driver is one row per membership pattern.
 """
@@ -148,8 +148,9 @@ def fit(docs: DataFrame, sources: Column, weights: tuple[int, ...] = WEIGHTS, sh
 
 
 def _taken(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Adds ``copies`` to rows that have pattern and h: one for each cut at or above h."""
-    n = F.aggregate("cuts", F.lit(0), lambda n, c: n + F.when(F.col("h") <= c, 1).otherwise(0))
+    """Adds ``copies`` to rows that have pattern and h: one for each cut that takes h."""
+    h = F.col("h")
+    n = F.aggregate("cuts", F.lit(0), lambda n, c: n + F.when((h <= c["cut"]) | h.eqNullSafe(c["extra"]), 1).otherwise(0))
     return rows.join(F.broadcast(cuts), "pattern").withColumn("copies", n).drop("cuts")
 
 
@@ -179,7 +180,7 @@ def mixed(docs: DataFrame, sources: Column, **how) -> DataFrame:
 
 
 def _cuts(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(pattern, cuts): for each copy the last hash value that is taken."""
+    """(pattern, cuts): for each copy the last hash value of the run that is taken, and of one more document."""
     lanes = F.shiftright("h", 64 - LANE_BITS).cast("int")
     cum = Window.partitionBy("pattern").orderBy("lane")
     sums = (rows.groupBy("pattern", lanes.alias("lane")).agg(F.sum("size").alias("size"))
@@ -192,19 +193,23 @@ def _cuts(rows: DataFrame, tokens: DataFrame) -> DataFrame:
                      F.min_by(F.col("tokens") - (F.col("until") - F.col("size")), "lane").alias("rest")))
     crossing = stored(crossing, "crossing")
     run = Window.partitionBy("pattern", "copy").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
-    # a document is taken if its middle lies before the cut: the sum ends within half a document of the quota
     inside = (rows.withColumn("lane", lanes).join(F.broadcast(crossing), ["pattern", "lane"])
-              .withColumn("middle", F.sum("size").over(run) - F.col("size") / 2)
-              .groupBy("pattern", "copy")
-              .agg(F.max(F.when(F.col("middle") <= F.col("rest"), F.col("h"))).alias("cut"),
-                   F.min("lane").alias("lane")))
+              .withColumn("sum", F.sum("size").over(run))
+              .groupBy("pattern", "copy", "lane", "rest")
+              .agg(F.max(F.when(F.col("sum") <= F.col("rest"), F.struct("h", "sum"))).alias("last")))
     before = F.shiftleft(F.col("lane").cast("bigint"), 64 - LANE_BITS) - 1
     least = F.when(F.col("lane") == -(1 << (LANE_BITS - 1)), F.lit(-PAST_ALL - 1)).otherwise(before)
-    cut = inside.select("pattern", "copy", F.coalesce("cut", least).alias("cut"))
+    cut = stored(inside.select("pattern", "copy", F.coalesce("last.h", least).alias("cut"),
+                               (F.col("rest") - F.coalesce("last.sum", F.lit(0))).alias("missing")), "cut")
+    # what is still missing is less than the next document: one document past the cut that fits best is taken too
+    off = F.abs(F.col("missing") - F.col("size"))
+    best = (rows.join(F.broadcast(cut), "pattern").where((F.col("h") > F.col("cut")) & (off < F.col("missing")))
+            .groupBy("pattern", "copy").agg(F.min(F.struct(off.alias("off"), "h")).alias("best"))
+            .select("pattern", "copy", F.col("best.h").alias("extra")))
     # a copy taken whole has no crossing lane; one that is not taken at all gives nothing after the first
     spare = F.when((F.col("tokens") == 0) & (F.col("copy") > 1), -PAST_ALL - 1).otherwise(PAST_ALL)
-    return (tokens.join(cut, ["pattern", "copy"], "left")
-            .groupBy("pattern").agg(F.collect_list(F.coalesce("cut", spare)).alias("cuts")))
+    return (tokens.join(cut, ["pattern", "copy"], "left").join(best, ["pattern", "copy"], "left")
+            .groupBy("pattern").agg(F.collect_list(F.struct(F.coalesce("cut", spare).alias("cut"), "extra")).alias("cuts")))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

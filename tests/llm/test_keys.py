@@ -148,7 +148,7 @@ def test_mix_comes_near_its_targets(spark):
     for t in targets.collect():
         taken = sum(got[i].taken for i, _, s in rows if s == t.source)
         assert t.source_size == sizes[t.source] and abs(t.target - want[t.source]) < 1e-6
-        assert abs(taken - t.target) <= 62
+        assert abs(taken - t.target) <= 31
     out = mixing.mixed(docs(spark, rows), F.array("source"))
     assert out.columns == SCHEMA.replace(",", "").split()[::2]
     times = defaultdict(int)
