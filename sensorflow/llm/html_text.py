@@ -41,11 +41,18 @@ ELEMENT = {"nav": -9.0, "aside": -9.0, "footer": -9.0, "form": -9.0, "menu": -9.
            "fieldset": -8.0, "figcaption": 0.0}
 ROLE = {"navigation": -9.0, "banner": -8.0, "contentinfo": -9.0, "complementary": -9.0, "search": -9.0, "alert": -9.0,
         "dialog": -9.0, "form": -9.0, "note": -3.0}
-BAD_NAMES = set("""ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment
-comments commentary consent cookie cookies copyright disclaimer disqus feedback foot footer footnotes gdpr login masthead
+BAD_NAMES = set("""ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment
+comments commentary consent cookie cookies copyright disclaimer disqus feedback foot footer gdpr login masthead
 menu menus meta modal nav navbar navigation newsletter notice notices overlay pager pagination popup popups privacy promo
 promotion reader-comments related reply replies respond search share sharing sidebar signup skip social sponsor sponsored
 subscribe subscription tags teaser toolbar topbar widget widgets alert""".split())
+# A name counts as a whole: "sidebar-left" is a sidebar, "social-impact" is not social. These words do not change what it names.
+PLACE_WORDS = set("""area articles bar block bottom box button buttons center container fixed float form global group icon icons
+inner item items js left link links list main mobile news outer page panel posts primary right secondary site slot sticky
+stories thread title top unit wrap wrapper x""".split())
+# Headings and parts of an article get ids from their wording; of those only names of reader input count.
+HEADINGS, PARTS = set("h1 h2 h3 h4 h5 h6".split()), set("section p li dt dd a span".split())
+READER_IDS = {"comments", "respond", "disqus", "disqus_thread"}
 GOOD_NAMES = set("article content entry main post story text articlebody".split())
 MIXED_NAMES = {"with", "has", "no"}  # "has-sidebar" names a layout, not a sidebar
 BAD_NAME, HEADER_NAME, GOOD_NAME, HIDDEN = -9.0, -6.0, 1.5, -12.0
@@ -59,6 +66,7 @@ NEXT, SAME_PARENT, UNIT = 0.25, 0.5, 1000
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+SECTION = re.compile(r"section|level\d")
 
 
 @dataclass
@@ -88,11 +96,14 @@ def _element(tag: str, attrs: str, number: int, up: Element) -> Element:
     odds += ELEMENT.get(tag, 0.0)
     inside = tag in ("article", "main")
     if attrs and tag not in ("html", "body"):
-        names: set[str] = set()
+        names: list[str] = []
+        own_id = ""
         for m in ATTR.finditer(attrs):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-            if key in ("class", "id"):
-                names.update(n.lower() for n in NAME.findall(value))
+            if key == "class":
+                names += value.split()
+            elif key == "id":
+                own_id = value.strip()
             elif key == "role":
                 odds += ROLE.get(value.lower(), 0.0)
                 inside |= value.lower() in ("main", "article")
@@ -101,13 +112,17 @@ def _element(tag: str, attrs: str, number: int, up: Element) -> Element:
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (
                     key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
                 odds += HIDDEN
-        if names and not names & MIXED_NAMES:
-            if names & BAD_NAMES:
-                odds += BAD_NAME
-            elif "header" in names:
-                odds += HEADER_NAME
-            elif names & GOOD_NAMES:
-                odds += GOOD_NAME
+        worded = tag in HEADINGS or article and (tag in PARTS or tag == "div" and any(SECTION.fullmatch(n) for n in names))
+        if own_id and (not worded or article and tag not in HEADINGS and own_id.lower() in READER_IDS):
+            names.append(own_id)
+        named = [{w.lower() for w in NAME.findall(n)} for n in names]
+        named = [n for n in named if not n & MIXED_NAMES]
+        if any(n & BAD_NAMES and n <= BAD_NAMES | PLACE_WORDS for n in named):
+            odds += BAD_NAME
+        elif any("header" in n and n <= {"header"} | PLACE_WORDS for n in named):
+            odds += HEADER_NAME
+        elif any(n & GOOD_NAMES for n in named):
+            odds += GOOD_NAME
     if inside and not article:
         odds += IN_ARTICLE
     return Element(tag, number, odds, article or inside, header, up.link or tag == "a")

@@ -287,3 +287,16 @@ def test_pipeline_stages(spark):
         at = spark.createDataFrame(rows, out.schema)
     assert p.run(spark, DIR).count() == sum(ids.values())
     assert [n for n, _ in p.STAGES][0] == "toxicity" and p.ORACLE_SQL is None
+
+
+def test_ids_and_classes_count_as_whole_names():
+    long = "A paragraph of the article that goes on for a while and says what its heading has promised to the reader."
+    ids = ["social-impact", "related-work", "privacy", "search-results", "reply-to-critics", "comments-on-method", "feedback"]
+    page = "<article>" + "".join(f'<section id="{i}"><h2 id="{i}">On {i}</h2><p>{long}</p></section>' for i in ids)
+    page += f'<p class="byline">By A. Writer</p><div class="footnotes"><p>{long}</p></div><div class="related-work"><p>{long}</p></div></article>'
+    want = [x for i in ids for x in (f"On {i}", long)] + ["By A. Writer", long, long]
+    assert html_text.main_text(page) == "\n".join(want)
+    furniture = ["sidebar-left", "site-footer", "cookie-banner", "siteFooter", "related-posts", "share-buttons", "ad-728x90", "nav"]
+    for name in furniture:
+        assert html_text.main_text(f'<article><p>{long}</p></article><div class="x {name}"><p>{long}</p></div>') == long
+        assert html_text.main_text(f'<article><p>{long}</p></article><div id="{name}"><p>{long}</p></div>') == long
