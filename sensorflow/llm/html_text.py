@@ -26,10 +26,14 @@ from sensorflow.llm.common import table
 
 # Fixed values of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript iframe template xmp noembed noframes svg math object select button".split())
+RAW = set("script style textarea title iframe xmp noembed noframes".split())
+# Controls and what is not shown: their text stands apart from the text around them. Of one kind, LONE do not nest.
+CONTROL = set("button select object noscript svg template annotation annotation-xml".split())
+LONE = {"button", "select"}
 BLOCK = set("""address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot
 th thead tr ul caption""".split())
+PARTING = BLOCK | CONTROL  # what end tags and implied ends of other elements do not reach across
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "tbody": {"tr", "td", "th", "tbody", "thead"}, "option": {"option"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
@@ -93,7 +97,7 @@ class Block:
 
 def _element(tag: str, attrs: str, number: int, up: Element) -> Element:
     odds, article, header = up.log_odds, up.article, up.header or tag == "header"
-    odds += ELEMENT.get(tag, 0.0)
+    odds += ELEMENT.get(tag, 0.0) + (HIDDEN if tag in CONTROL else 0.0)
     inside = tag in ("article", "main")
     if attrs and tag not in ("html", "body"):
         names: list[str] = []
@@ -128,12 +132,53 @@ def _element(tag: str, attrs: str, number: int, up: Element) -> Element:
     return Element(tag, number, odds, article or inside, header, up.link or tag == "a")
 
 
+def _tokens(page: str) -> Iterator[tuple[re.Match, int]]:
+    """Comments and tags in page order, and where each ends; a raw text element is one token."""
+    at = 0
+    while m := TOKEN.search(page, at):
+        at = m.end()
+        if m[2] and not m[1] and m[2].lower() in RAW and not m[0].endswith("/>"):
+            end = re.compile(rf"</{re.escape(m[2])}\s*[^>]*>", re.I).search(page, at)
+            at = end.end() if end else len(page)
+        yield m, at
+
+
+def _ended(tokens: list[tuple[re.Match, int]]) -> set[int]:
+    """Where the controls start that have an end tag."""
+    out: set[int] = set()
+    open_: dict[str, list[int]] = {t: [] for t in CONTROL}
+    for m, _ in tokens:
+        if m[2] and (starts := open_.get(m[2].lower())) is not None:
+            if m[1]:
+                if starts:
+                    out.add(starts.pop())
+            elif not m[0].endswith("/>"):
+                if m[2].lower() in LONE:
+                    starts.clear()
+                starts.append(m.start())
+    return out
+
+
 def read_blocks(page: str) -> list[Block]:
     """Blocks of text in page order, with what the classifier needs."""
     stack = [Element("", 0, 0.0, False, False, False)]
     blocks: list[Block] = []
     current: Block | None = None
     number, at = 0, 0
+    tokens = list(_tokens(page))
+    ended = _ended(tokens)
+    around: dict[int, Block | None] = {}  # by number of an open control: the block that goes on after it
+    lone_ends: set[int] = set()  # open controls without an end tag
+
+    def cut(deep: int) -> None:
+        """Ends the elements from there on."""
+        nonlocal current
+        for e in stack[deep:]:
+            if e.tag in CONTROL:
+                current = around[e.number]
+                break
+        lone_ends.difference_update(e.number for e in stack[deep:])
+        del stack[deep:]
 
     def add(raw: str) -> None:
         nonlocal current
@@ -150,54 +195,59 @@ def read_blocks(page: str) -> list[Block]:
         if stack[-1].link:
             current.linked += len(raw)
 
-    while True:
-        m = TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
+    for m, after in tokens:
         add(page[at:m.start()])
-        at = m.end()
+        at = after
         tag = m[2]
         if tag is None:
             continue
         tag = tag.lower()
         if m[1]:  # end tag
             deep = len(stack) - 1
-            while deep and stack[deep].tag != tag and (tag in BLOCK or stack[deep].tag not in BLOCK):
+            while deep and stack[deep].tag != tag and (tag in PARTING or stack[deep].tag not in PARTING):
                 deep -= 1
             if deep and stack[deep].tag == tag:
-                del stack[deep:]
+                cut(deep)
             if tag in BLOCK:
                 current = None
             continue
         if tag in RAW and not m[0].endswith("/>"):
-            end = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
             add(" ")
             continue
         if tag == "br":
             add(" ")
             continue
+        if lone_ends and (tag in BLOCK or tag in LONE):  # a control that is never ended holds no blocks
+            cut(next(k for k, e in enumerate(stack) if e.number in lone_ends))
         if tag in BLOCK:
-            current = None
             deep = len(stack) - 1
-            while deep and stack[deep].tag not in BLOCK:
+            while deep and stack[deep].tag not in PARTING:
                 deep -= 1
             if stack[deep].tag == "p":  # a block-level tag ends an open paragraph
-                del stack[deep:]
+                cut(deep)
             if tag in CLOSES:
                 for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in SCOPE[tag]:
+                    if stack[k].tag in SCOPE[tag] or stack[k].tag in CONTROL:
                         break
                     if stack[k].tag in CLOSES[tag]:
-                        del stack[k:]
+                        cut(k)
                         break
+            current = None
         if tag in VOID:
             continue
         number += 1
         element = _element(tag, m[3], number, stack[-1])
-        if not m[0].endswith("/>") and len(stack) < MOST_DEPTH:
+        if m[0].endswith("/>"):
+            continue
+        if tag in CONTROL:
+            add(" ")
+        if len(stack) < MOST_DEPTH:
             stack.append(element)
+            if tag in CONTROL:
+                around[number], current = current, None
+                if m.start() not in ended:
+                    lone_ends.add(number)
+    add(page[at:])
     out = []
     for b in blocks:
         b.text = " ".join(html.unescape("".join(b.parts)).split())

@@ -300,3 +300,23 @@ def test_ids_and_classes_count_as_whole_names():
     for name in furniture:
         assert html_text.main_text(f'<article><p>{long}</p></article><div class="x {name}"><p>{long}</p></div>') == long
         assert html_text.main_text(f'<article><p>{long}</p></article><div id="{name}"><p>{long}</p></div>') == long
+
+
+@pytest.mark.parametrize("tag", ["button", "select", "object", "svg", "template", "noscript"])
+def test_an_element_without_end_loses_no_article(tag):
+    long = "A paragraph of the article that goes on for a while and says what its heading has promised to the reader."
+    article = f"<article><h1>Title</h1><p>{long}</p><p>{long}</p></article>"
+    for page in (f"<body><{tag}>Go{article}", f"<body><div><{tag} class=x>Go</div>{article}",
+                 f"<body><{tag}>Go {article}<div><{tag}>Off</{tag}></div>"):
+        got = html_text.main_text(page).split("\n")
+        assert [x for x in got if x not in ("Go", "Off")] == ["Title", long, long] and "Off" not in got
+    inside = f"<article><p>One <{tag}>x <b>y</b></{tag}>two {long}</p><p>{long}</p></article>"
+    assert html_text.main_text(inside) == f"One two {long}\n{long}"
+    assert html_text.main_text(f"<article><p>{long}</p><{tag}><div>Go</div><p>on</p></{tag}><p>{long}</p></article>") == f"{long}\n{long}"
+
+
+def test_formulas_are_text():
+    page = ("<article><p>So <math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation>E=m</annotation>"
+            "</semantics></math> holds for bodies at rest, and nothing else is needed here.</p></article>")
+    assert html_text.main_text(page) == "So E=m holds for bodies at rest, and nothing else is needed here."
+    assert html_text.main_text("<article><p>As <math><mi>x</mi> is unended here.</p><p>More text.</p></article>") == "As x is unended here.\nMore text."
