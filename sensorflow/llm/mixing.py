@@ -5,8 +5,13 @@ to).  On that aggregate a min-cost flow routes token capacity from patterns to
 source quotas: the k-th copy of a pattern's tokens is an edge of cost 2k - 1, so
 repetition is spread before anything is repeated more.  The flow leaves a token
 count per pattern and copy; documents are then selected in the order of a seeded
-hash up to those counts, and the one document that fits best into what is missing
-then.  That is two hash values per pattern and copy, so selecting moves no document.
+hash up to those counts.  Where a document does not fit, the run goes on behind it
+with documents of at most half of what is missing, which halves what is missing at
+each further stop; when it meets no more stop, the one document that fits best is
+taken too.  If all that fit are taken and words are missing still, the shortest
+document left over is taken first and the run is done again behind it; what comes
+nearest counts.  That is a few hash values and sizes per pattern and copy, so
+selecting moves no document.
 
 What reaches the driver is one row per membership pattern.
 """
@@ -15,6 +20,7 @@ from __future__ import annotations
 
 import json
 from collections import deque
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +34,10 @@ MAX_COPIES = 2
 SEED = 20240
 # The hash order is cut into lanes: sums per lane find the lane of a cut, only that lane is sorted.
 LANE_BITS = 12
-PAST_ALL = (1 << 63) - 1
+ANY_SIZE = (1 << 63) - 1
+TRIES = 3
+Key = tuple[str, int]  # membership pattern and copy
+RUN = "struct<after: bigint, until: bigint, most: bigint>"  # null: from the first, to the last
 
 
 def by_code_point(names: list[str | None]) -> list[str | None]:
@@ -141,16 +150,20 @@ def fit(docs: DataFrame, sources: Column, weights: tuple[int, ...] = WEIGHTS, sh
     flow = route(patterns, {s: round(t) for s, t in target.items()}, copies)
     targets = spark.createDataFrame([(s, sizes[s], float(t)) for s, t in target.items()],
                                     "source string, source_size bigint, target double")
-    tokens = spark.createDataFrame([(p, k, sum(got.values()), patterns[p]) for (p, k), got in flow.items()],
-                                   "pattern string, copy int, tokens bigint, available bigint")
-    # one row per membership pattern from here on, which the driver has held already
-    return rows, stored(_cuts(rows, tokens), "cuts"), targets
+    # one row per membership pattern and copy from here on, as the driver has held already
+    return rows, stored(_cuts(rows, {k: (sum(got.values()), patterns[k[0]]) for k, got in flow.items()}), "cuts"), targets
+
+
+def _in_runs(runs: Column) -> Column:
+    """Whether a row (h, size) lies in one of the runs."""
+    h, size = F.col("h"), F.col("size")
+    return F.exists(runs, lambda r: (size <= r["most"]) & F.coalesce(h > r["after"], F.lit(True))
+                    & F.coalesce(h < r["until"], F.lit(True)))
 
 
 def _taken(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Adds ``copies`` to rows that have pattern and h: one for each cut that takes h."""
-    h = F.col("h")
-    n = F.aggregate("cuts", F.lit(0), lambda n, c: n + F.when((h <= c["cut"]) | h.eqNullSafe(c["extra"]), 1).otherwise(0))
+    """Adds ``copies`` to rows that have pattern, h and size: one for each cut that takes them."""
+    n = F.aggregate("cuts", F.lit(0), lambda n, c: n + F.when(_in_runs(c["runs"]) | F.array_contains(c["extra"], F.col("h")), 1).otherwise(0))
     return rows.join(F.broadcast(cuts), "pattern").withColumn("copies", n).drop("cuts")
 
 
@@ -174,42 +187,113 @@ def mixed(docs: DataFrame, sources: Column, **how) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken; columns as they are."""
     _, cuts, _ = fit(docs, sources, **how)
     rows = docs.select(F.struct("*").alias("row"), pattern_of(sources).alias("pattern"),
-                       order_hash(how.get("seed", SEED)).alias("h"))
+                       word_count(F.col("text").cast("binary")).alias("size"), order_hash(how.get("seed", SEED)).alias("h"))
     return (_taken(rows, cuts).where("copies > 0")
             .select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*"))
 
 
-def _cuts(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(pattern, cuts): for each copy the last hash value of the run that is taken, and of one more document."""
-    lanes = F.shiftright("h", 64 - LANE_BITS).cast("int")
-    cum = Window.partitionBy("pattern").orderBy("lane")
-    sums = (rows.groupBy("pattern", lanes.alias("lane")).agg(F.sum("size").alias("size"))
-            .withColumn("until", F.sum("size").over(cum.rowsBetween(Window.unboundedPreceding, 0))))
-    tokens = F.broadcast(tokens)
-    # the first lane that a copy cannot take whole, and the tokens still to take there
-    crossing = (sums.join(tokens, "pattern").where("tokens < available and until > tokens")
-                .groupBy("pattern", "copy")
-                .agg(F.min("lane").alias("lane"),
-                     F.min_by(F.col("tokens") - (F.col("until") - F.col("size")), "lane").alias("rest")))
-    crossing = stored(crossing, "crossing")
-    run = Window.partitionBy("pattern", "copy").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
-    inside = (rows.withColumn("lane", lanes).join(F.broadcast(crossing), ["pattern", "lane"])
-              .withColumn("sum", F.sum("size").over(run))
-              .groupBy("pattern", "copy", "lane", "rest")
-              .agg(F.max(F.when(F.col("sum") <= F.col("rest"), F.struct("h", "sum"))).alias("last")))
-    before = F.shiftleft(F.col("lane").cast("bigint"), 64 - LANE_BITS) - 1
-    least = F.when(F.col("lane") == -(1 << (LANE_BITS - 1)), F.lit(-PAST_ALL - 1)).otherwise(before)
-    cut = stored(inside.select("pattern", "copy", F.coalesce("last.h", least).alias("cut"),
-                               (F.col("rest") - F.coalesce("last.sum", F.lit(0))).alias("missing")), "cut")
-    # what is still missing is less than the next document: one document past the cut that fits best is taken too
+def _cuts(rows: DataFrame, tokens: dict[Key, tuple[int, int]]) -> DataFrame:
+    """(pattern, cuts): for each copy the runs of the hash order that are taken, and the hashes of documents besides.
+
+    ``tokens``: of each (pattern, copy) how many to take and how many there are.
+    """
+    # a copy beyond the first that is not taken at all has no cut; one taken whole has one run
+    cuts = {k: (0, [(None, None, ANY_SIZE)], []) for k, (n, there) in tokens.items() if n >= there and (n or k[1] == 1)}
+    goals = {k: n for k, (n, _) in tokens.items() if k not in cuts and (n or k[1] == 1)}
+    first: dict[Key, tuple[int, int]] = {}  # the document taken before the run: its hash and size
+    for _ in range(TRIES):
+        shortest = {}
+        for k, off, runs, extra, left in _fill(rows, goals, first):
+            if k not in cuts or off < cuts[k][0]:
+                cuts[k] = (off, runs, extra)
+            if left and left[1] <= tokens[k][0]:
+                shortest[k] = left
+        first = {k: left for k, left in shortest.items() if cuts[k][0] and left != first.get(k)}
+        goals = {k: tokens[k][0] - size for k, (_, size) in first.items()}
+        if not goals:
+            break
+    return (rows.sparkSession.createDataFrame([(p, runs, extra) for (p, _), (_, runs, extra) in cuts.items()],
+                                              f"pattern string, runs array<{RUN}>, extra array<bigint>")
+            .groupBy("pattern").agg(F.collect_list(F.struct("runs", "extra")).alias("cuts")))
+
+
+def _fill(rows: DataFrame, goals: dict[Key, int], first: dict[Key, tuple[int, int]]) -> Iterator[tuple]:
+    """(key, words off, runs, hashes besides, (hash, size) of the shortest document left) after the first run and after all.
+
+    ``goals``: how many tokens to take besides the documents ``first``.
+    """
+    if not goals:
+        return
+    spark = rows.sparkSession
+    runs: dict[Key, list] = {k: [] for k in goals}
+    missing = dict(goals)
+    at = {k: (None, ANY_SIZE) for k in goals}
+    ends = []
+    besides = {k: first[k][0] if k in first else None for k in goals}
+    while at:
+        got = _next_stop(rows, spark.createDataFrame([(*k, besides[k], *at[k], missing[k]) for k in at],
+                                                     "pattern string, copy int, besides bigint, after bigint, most bigint, missing bigint"))
+        for k, (after, most) in list(at.items()):
+            until, missing[k] = got.get(k, (None, missing[k]))
+            runs[k] = [*runs[k], (after, until, most)]
+            at[k] = (until, missing[k] // 2)
+            if until is None or missing[k] < 2:  # no stop was met, or nothing is left to halve
+                del at[k]
+            if len(runs[k]) == 1 or k not in at:
+                ends.append((*k, besides[k], len(runs[k]), runs[k], missing[k]))
+    states = spark.createDataFrame(ends, f"pattern string, copy int, besides bigint, stops int, runs array<{RUN}>, missing bigint")
     off = F.abs(F.col("missing") - F.col("size"))
-    best = (rows.join(F.broadcast(cut), "pattern").where((F.col("h") > F.col("cut")) & (off < F.col("missing")))
-            .groupBy("pattern", "copy").agg(F.min(F.struct(off.alias("off"), "h")).alias("best"))
-            .select("pattern", "copy", F.col("best.h").alias("extra")))
-    # a copy taken whole has no crossing lane; one that is not taken at all gives nothing after the first
-    spare = F.when((F.col("tokens") == 0) & (F.col("copy") > 1), -PAST_ALL - 1).otherwise(PAST_ALL)
-    return (tokens.join(cut, ["pattern", "copy"], "left").join(best, ["pattern", "copy"], "left")
-            .groupBy("pattern").agg(F.collect_list(F.struct(F.coalesce("cut", spare).alias("cut"), "extra")).alias("cuts")))
+    best = (rows.join(F.broadcast(states), "pattern")
+            .where((F.col("missing") > 0) & (F.col("size") > 0) & ~_in_runs(F.col("runs")) & ~F.col("h").eqNullSafe(F.col("besides")))
+            .groupBy("pattern", "copy", "stops")
+            .agg(F.min(F.when(off < F.col("missing"), F.struct(off.alias("off"), "h"))).alias("best"),
+                 F.min(F.struct("size", "h")).alias("shortest")))
+    found = {(r.pattern, r.copy, r.stops): r for r in best.collect()}
+    for p, c, b, stops, taken, lacks in ends:
+        r = found.get((p, c, stops))
+        extra = [h for h in (b, r.best.h if r and r.best else None) if h is not None]
+        last = stops == len(runs[p, c])
+        yield (p, c), r.best.off if r and r.best else lacks, taken, extra, (r.shortest.h, r.shortest.size) if r and last else None
+
+
+def _next_stop(rows: DataFrame, at: DataFrame) -> dict[Key, tuple[int | None, int]]:
+    """Of each (pattern, copy): the hash of the first document that does not fit, and what is missing there.
+
+    Of documents past ``after`` in the hash order, those of size ``most`` or less,
+    but not ``besides``, are taken while they fit into ``missing``.  Without such a
+    stop the hash is null.
+    """
+    lanes = F.shiftright("h", 64 - LANE_BITS).cast("int")
+    cum = Window.partitionBy("pattern", "copy").orderBy("lane").rowsBetween(Window.unboundedPreceding, 0)
+    open_ = (rows.join(F.broadcast(at), "pattern")
+             .where((F.col("size") <= F.col("most")) & F.coalesce(F.col("h") > F.col("after"), F.lit(True))
+                    & ~F.col("h").eqNullSafe(F.col("besides")))
+             .withColumn("lane", lanes))
+    sums = (open_.groupBy("pattern", "copy", "missing", "lane").agg(F.sum("size").alias("size"))
+            .withColumn("until", F.sum("size").over(cum)))
+    # the first lane that cannot be taken whole, and the tokens still to take there
+    over = F.col("until") > F.col("missing")
+    crossing = stored(sums.groupBy("pattern", "copy", "missing")
+                      .agg(F.min(F.when(over, F.col("lane"))).alias("lane"), F.max("until").alias("total"),
+                           F.min(F.when(over, F.col("until") - F.col("size"))).alias("before")), "crossing")
+    out = {}
+    stops = []
+    for r in crossing.collect():
+        out[r.pattern, r.copy] = (None, r.missing - r.total)
+        if r.lane is not None:
+            stops.append((r.pattern, r.copy, r.lane, r.missing - r.before))
+    if not stops:
+        return out
+    stops = at.sparkSession.createDataFrame(stops, "pattern string, copy int, lane int, rest bigint")
+    # equal hashes, which are equal documents, fit together or not at all
+    run = Window.partitionBy("pattern", "copy").orderBy("h").rangeBetween(Window.unboundedPreceding, 0)
+    inside = (open_.join(F.broadcast(stops), ["pattern", "copy", "lane"]).withColumn("sum", F.sum("size").over(run))
+              .groupBy("pattern", "copy", "rest")
+              .agg(F.min(F.when(F.col("sum") > F.col("rest"), F.col("h"))).alias("until"),
+                   F.max(F.when(F.col("sum") <= F.col("rest"), F.col("sum"))).alias("sum")))
+    for r in inside.collect():
+        out[r.pattern, r.copy] = (r.until, r.rest - (r.sum or 0))
+    return out
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -174,3 +174,20 @@ def test_registered_queries_return_every_row(spark, table):
     n = spark.read.parquet(f"{d}/documents.parquet").count()
     for f in (sharding.op10_sharding, exact_dedup.op4_exact_dedup, mixing.op6_mixing):
         assert f(spark, d).count() == n
+
+
+def test_mix_fills_up_behind_a_document_that_holds_a_third_of_its_source(spark):
+    rnd = random.Random(8)
+    for seed in range(3):
+        rows = [(1000 * k + i, "w " * rnd.randint(1, 9), s) for k, s in enumerate("abc") for i in range(400)]
+        rows += [(9000 + k, "w " * 1000, s) for k, s in enumerate("abc")]
+        plan, targets = mixing.mix(docs(spark, rows), F.array("source"), seed=seed)
+        taken = defaultdict(int)
+        for r in plan.collect():
+            taken[r.pattern] += r.taken
+            assert r.copies in (0, 1, 2)
+        for t in targets.collect():
+            assert abs(taken[f'["{t.source}"]'] - t.target) <= 1
+        kept = mixing.mixed(docs(spark, rows), F.array("source"), seed=seed).groupBy("source").agg(
+            F.sum(F.size(F.split(F.trim("text"), " "))).alias("n")).collect()
+        assert {f'["{r.source}"]': r.n for r in kept} == {k: n for k, n in taken.items() if n}
