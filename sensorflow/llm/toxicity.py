@@ -6,8 +6,9 @@ products of the buckets' factors, so a pair such as an insult with the mention o
 a group can count for more than the two alone.
 
 It is fitted on at most ``FIT_ROWS`` labelled rows (per class, the first of a
-seeded hash order), weighted so that both classes count the same.  The fit keeps the ``TERMS`` buckets that tell the classes apart best.
-Model and sample are bounded by these parameters; scoring reads every whole text.
+seeded hash order), weighted so that both classes count the same.  The fit keeps every
+bucket that ``LEAST_ROWS`` of them have, also one that tells nothing alone: it may in a
+pair.  The sample bounds the model; scoring reads every whole text.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ FIT_ROWS = {0: 16_000, 1: 8_000}
 BUCKET_BITS = 24
 MASK = (1 << BUCKET_BITS) - 1
 STARTS = (3, 4, 5)  # lengths of word beginnings
-# A bucket counts if its rows' share of label 1 is this many squared standard errors off the overall share.
-LEAST_ROWS, LEAST_GAIN = 3, 20.0
-TERMS = 1 << 14
+LEAST_ROWS = 3
+# A bucket tells the labels apart alone if its rows' share of label 1 is this many squared standard errors off the overall share.
+STRONG = 20.0
+LEAST_STEP = 0.02  # in the pass over all buckets
 FACTORS = 4
 EPOCHS, BATCH, RATE, DECAY, SEED = 20, 256, 0.03, 1e-4, 7
 FACTOR_PACE = 0.1  # factors learn slower than weights: they add what weights cannot say
@@ -98,23 +100,42 @@ class Machine:
 
 
 def fit(at: np.ndarray, rows: list[np.ndarray], label: np.ndarray, w: np.ndarray) -> Machine:
-    """Fits the machine over the buckets ``at`` by Adam on log loss.
+    """Fits the machine over the buckets ``at``, first those that tell the labels apart alone, then all.
 
     ``rows``: for each row the positions in ``at`` of its terms; row i is weighted by w[i].
+    What the first pass explains leaves no gradient, so the many buckets that tell
+    nothing learn only from the rows that it cannot explain, such as those of a pair.
     """
-    n, best = len(rows), at
-    index = np.concatenate(rows).astype(np.int64) if n else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
+    n = len(rows)
+    index = np.concatenate(rows).astype(np.int32, copy=False) if n else np.empty(0, np.int32)
+    first = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
     p = float((w * label).sum() / w.sum()) if n else 0.0
     rng = np.random.default_rng(SEED)
     bias = math.log(max(p, 1e-6) / max(1 - p, 1e-6))
-    m = Machine(at, np.zeros(len(best)), rng.normal(0, 0.01, (len(best), FACTORS)), bias)
+    m = Machine(at, np.zeros(len(at)), rng.normal(0, 0.01, (len(at), FACTORS)), bias)
     if not 0 < p < 1 or not len(at):
         return m
-    first = np.searchsorted(owner, np.arange(n + 1))
+    seen = np.bincount(index, minlength=len(at))
+    ones = np.bincount(index, weights=np.repeat(label, np.diff(first)), minlength=len(at))
+    share = label.mean()
+    strong = (ones - seen * share) ** 2 >= STRONG * seen * share * (1 - share)
+    if strong.any():
+        own = strong[index]
+        part = Machine(at[strong], m.weight[strong], m.factor[strong], bias)
+        _descend(part, (np.cumsum(strong, dtype=np.int32) - 1)[index[own]],
+                 np.concatenate([[0], np.cumsum(own, dtype=np.int64)])[first], label, w, rng, 1e-8)
+        m.weight[strong], m.factor[strong], m.bias = part.weight, part.factor, part.bias
+    _descend(m, index, first, label, w, rng, LEAST_STEP)
+    return m
+
+
+def _descend(m: Machine, index: np.ndarray, first: np.ndarray, label: np.ndarray, w: np.ndarray,
+             rng: np.random.Generator, least: float) -> None:
+    """Adam on log loss; row i has the terms index[first[i]:first[i + 1]].  Gradients far below ``least`` move little."""
+    n, size = len(label), len(m.at)
     params = np.concatenate([m.weight[:, None], m.factor], 1)
     pace = np.array([1.0, *[FACTOR_PACE] * FACTORS])
-    m1, m2, bias1, bias2, step = np.zeros_like(params), np.zeros_like(params), 0.0, 0.0, 0
+    m1, m2, grad, bias1, bias2, step = np.zeros_like(params), np.zeros_like(params), np.empty_like(params), 0.0, 0.0, 0
     for _ in range(EPOCHS):
         for rows_ in np.array_split(rng.permutation(n), max(1, n // BATCH)):
             step += 1
@@ -126,18 +147,26 @@ def fit(at: np.ndarray, rows: list[np.ndarray], label: np.ndarray, w: np.ndarray
             raw, sums = m.raw(idx, starts, len(rows_), full)
             g = w[rows_] * (1 / (1 + np.exp(-np.clip(raw, -50, 50))) - label[rows_]) / len(rows_)
             by = np.repeat(np.arange(len(rows_)), sizes)
-            grad = np.empty_like(params)
-            grad[:, 0] = np.bincount(idx, weights=g[by], minlength=len(best))
+            grad[:, 0] = np.bincount(idx, weights=g[by], minlength=size)
             for f in range(FACTORS):
-                grad[:, f + 1] = np.bincount(idx, weights=g[by] * (sums[by, f] - m.factor[idx, f]), minlength=len(best))
-            grad += DECAY * params / max(1, n // BATCH)
-            m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad * grad
-            params = params - RATE * pace * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.99 ** step)) + 1e-8)
+                grad[:, f + 1] = np.bincount(idx, weights=g[by] * (sums[by, f] - m.factor[idx, f]), minlength=size)
+            grad += params * (DECAY / max(1, n // BATCH))
+            m1 *= 0.9
+            m1 += 0.1 * grad
+            grad *= grad
+            grad *= 0.01
+            m2 *= 0.99
+            m2 += grad
+            np.divide(m2, 1 - 0.99 ** step, out=grad)
+            np.sqrt(grad, out=grad)
+            grad += least
+            np.divide(m1, grad, out=grad)
+            grad *= RATE / (1 - 0.9 ** step) * pace
+            params -= grad
             gb = float(g.sum())
             bias1, bias2 = 0.9 * bias1 + 0.1 * gb, 0.99 * bias2 + 0.01 * gb * gb
             m.bias -= RATE * (bias1 / (1 - 0.9 ** step)) / (math.sqrt(bias2 / (1 - 0.99 ** step)) + 1e-8)
     m.weight, m.factor = params[:, 0].copy(), params[:, 1:].copy()
-    return m
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
@@ -166,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = stored(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
                   .mapInArrow(terms, "doc_id bigint, toxic int, terms array<int>"), "terms")
-    at = told_apart(rows)
+    at = seen_often(rows)
     got = rows.mapInArrow(_places(at), "doc_id bigint, toxic int, terms array<int>").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     label = got.column("toxic").to_numpy().astype(np.int64)
@@ -175,18 +204,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     return fit(at, lists, label, len(label) / (2 * per_class[label]))
 
 
-def told_apart(rows: DataFrame) -> np.ndarray:
-    """The TERMS buckets, ascending, whose share of rows with label 1 lies farthest from the share overall."""
+def seen_often(rows: DataFrame) -> np.ndarray:
+    """The buckets that LEAST_ROWS of the rows have, ascending, whichever labels they go with."""
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     if not 0 < ones < n:
         return np.empty(0, np.int64)
-    share = ones / n
-    far = F.pow(F.col("ones") - F.col("n") * share, 2) / (F.col("n") * (share * (1 - share)))
-    best = (rows.select("toxic", F.explode("terms").alias("term")).groupBy("term")
-            .agg(F.count("*").alias("n"), F.sum("toxic").alias("ones")).withColumn("gain", far)
-            .where((F.col("n") >= LEAST_ROWS) & (F.col("gain") >= LEAST_GAIN))
-            .orderBy(F.desc("gain"), "term").limit(TERMS).select("term"))
-    return np.sort(best.toArrow().column("term").to_numpy()).astype(np.int64)
+    often = (rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+             .where(F.col("n") >= LEAST_ROWS).select("term"))
+    return np.sort(often.toArrow().column("term").to_numpy()).astype(np.int64)
 
 
 def _places(at: np.ndarray):

@@ -320,3 +320,18 @@ def test_formulas_are_text():
             "</semantics></math> holds for bodies at rest, and nothing else is needed here.</p></article>")
     assert html_text.main_text(page) == "So E=m holds for bodies at rest, and nothing else is needed here."
     assert html_text.main_text("<article><p>As <math><mi>x</mi> is unended here.</p><p>More text.</p></article>") == "As x is unended here.\nMore text."
+
+
+def test_training_learns_a_pair_whose_words_are_neutral_alone(spark):
+    rnd = random.Random(4)
+    rows = []
+    for i in range(3000):  # label 1 if both of a pair or neither occur, so that each alone says nothing
+        a, b = rnd.random() < 0.5, rnd.random() < 0.5
+        text = ["zorblat"] * a + ["quimper"] * b + [rnd.choice(["sun", "sea", "hill", "tree"]) for _ in range(4)]
+        rnd.shuffle(text)
+        rows.append((i, " ".join(text), int(a == b)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    m = toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    got = [r for r in toxicity.score(df.select("doc_id", "text"), m).collect() if r.held_out]
+    assert len(got) > 400
+    assert sum(r.predicted == rows[r.doc_id][2] for r in got) >= 0.95 * len(got)
