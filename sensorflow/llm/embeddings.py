@@ -6,15 +6,18 @@ with its own code.  <code of o, turned q> / factor of o is an unbiased estimate
 of <o, q> with a known spread, so a confidence bound tells which pairs can reach
 the threshold; only those are computed again exactly, in double precision.
 
-Pairs are sought in cells.  Two more rotations name a vector by its nearest
-signed axes: the ``PROBES`` nearest of each rotation, all combinations, are its
-cells.  Vectors at cosine 0.95 share a cell nearly always (the test measures the
-share); a pair that shares several is counted in the first.  Equal vectors are
-one node.  Cells longer than the limit are compared block by block in many tasks.
+Pairs are sought in cells of several tables.  A table has two more rotations, which
+name a vector by its nearest signed axes: the ``PROBES`` nearest of each rotation,
+all combinations, are its cells.  How likely vectors at the threshold share no cell
+of a table depends on their length alone, and tables are independent, so their
+number follows from the length: about one such pair in 100,000 meets in none.  A
+pair that shares several cells is counted in the first.  Equal vectors are one
+node.  Cells longer than the limit are compared block by block in many tasks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,9 @@ from sensorflow.llm.graph import components, local_roots
 
 THRESHOLD = 0.95
 PROBES = 3
+# Pairs at cosine 0.95 that share no cell of one table, by length (simulated, rounded up), and how many may meet in no table.
+APART = {64: 0.03, 128: 0.05, 256: 0.07, 512: 0.10, 1024: 0.14, 2048: 0.18}
+APART_MOST, LOST = 0.25, 1e-5
 SEED = 11
 SIGMAS = 3.5  # width of the confidence bound
 EXACT_ROWS = 1 << 15
@@ -53,6 +59,12 @@ def nearest_axes(unit: np.ndarray, which: int) -> np.ndarray:
     return np.sort(np.argpartition(-both, k - 1, axis=1)[:, :k], axis=1)
 
 
+def tables(d: int) -> int:
+    """How many tables vectors of a length need."""
+    apart = next((x for most, x in APART.items() if d <= most), APART_MOST)
+    return math.ceil(math.log(LOST) / math.log(apart))
+
+
 def _unit(vec: np.ndarray, d: int) -> np.ndarray:
     v = np.frombuffer(b"".join(vec), np.float32).reshape(len(vec), d).astype(np.float64)
     v /= np.abs(v).max(1, keepdims=True)  # norms of very large or small vectors stay finite
@@ -72,19 +84,19 @@ def _spots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 raw = np.array([v.tobytes() for v in vec], object)
                 unit = _unit(raw, int(d))
                 _, code, factor = codes(unit)
-                one, two = nearest_axes(unit, 1), nearest_axes(unit, 2)
-                axes = np.concatenate([one, two], 1).astype(np.uint16)
-                k = one.shape[1]
-                rows = np.repeat(np.arange(len(take)), k * k)
-                x, y = np.repeat(one, k, axis=1).ravel().astype(np.int64), np.tile(two, (1, k)).ravel().astype(np.int64)
-                cell = (np.int64(d) << 40) | (x << 20) | y
+                axes = np.stack([nearest_axes(unit, which) for which in range(1, 2 * tables(int(d)) + 1)], 1).astype(np.uint16)
                 code_b = np.array([c.tobytes() for c in code], object)
                 axes_b = np.array([a.tobytes() for a in axes], object)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell), b.column(0).take(pa.array(take[rows])), b.column(1).take(pa.array(take[rows])),
-                     pa.array(np.full(len(rows), d, np.int64)), pa.array(raw[rows], pa.binary()),
-                     pa.array(code_b[rows], pa.binary()), pa.array(factor[rows]), pa.array(axes_b[rows], pa.binary())],
-                    names=["cell", "node", "n", "d", "vec", "code", "factor", "axes"])
+                k = axes.shape[2]
+                rows = np.repeat(np.arange(len(take)), k * k)
+                for t in range(axes.shape[1] // 2):
+                    x, y = axes[:, 2 * t].astype(np.int64), axes[:, 2 * t + 1].astype(np.int64)
+                    cell = (np.int64(t) << 57) | (np.int64(d) << 40) | (np.repeat(x, k, axis=1).ravel() << 20) | np.tile(y, (1, k)).ravel()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell), b.column(0).take(pa.array(take[rows])), b.column(1).take(pa.array(take[rows])),
+                         pa.array(np.full(len(rows), d, np.int64)), pa.array(raw[rows], pa.binary()),
+                         pa.array(code_b[rows], pa.binary()), pa.array(factor[rows]), pa.array(axes_b[rows], pa.binary())],
+                        names=["cell", "node", "n", "d", "vec", "code", "factor", "axes"])
 
 
 def _candidates(code: np.ndarray, factor: np.ndarray, turned: np.ndarray, threshold: float) -> np.ndarray:
@@ -131,8 +143,8 @@ def near_links(nodes: DataFrame, threshold: float = THRESHOLD, limit: int = LIMI
                 i, j = i[ok], j[ok]
                 if not len(i):
                     continue
-                axes = np.frombuffer(b"".join(cols["axes"][both]), np.uint16).reshape(len(both), 2, -1)
-                first = _first_common(axes, i, j) == (cols["cell"][left[0]] & ((1 << 40) - 1))
+                axes = np.frombuffer(b"".join(cols["axes"][both]), np.uint16).reshape(len(both), 2 * tables(d), -1)
+                first = _first_common(axes, i, j) == (cols["cell"][left[0]] & ~np.int64(((1 << 17) - 1) << 40))
                 p, q = both[i], both[j]
                 np.add.at(weight, p[first], n[q[first]])
                 np.add.at(weight, q[first], n[p[first]])
@@ -161,12 +173,20 @@ def near_links(nodes: DataFrame, threshold: float = THRESHOLD, limit: int = LIMI
 
 
 def _first_common(axes: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest cell (x << 20 | y) that two vectors share."""
-    out = np.zeros(len(i), np.int64)
-    for part in (0, 1):
-        x, y = axes[i, part].astype(np.int64), axes[j, part].astype(np.int64)
-        common = np.where((x[:, :, None] == y[:, None, :]).any(2), x, 1 << 19).min(1)
-        out = (out << 20) | common
+    """The first cell (table << 57 | x << 20 | y) that two vectors share."""
+    out = np.full(len(i), -1, np.int64)
+    todo = np.arange(len(i))
+    for t in range(axes.shape[1] // 2):
+        cell, shared = np.full(len(todo), t, np.int64) << 17, np.ones(len(todo), bool)
+        for part in (2 * t, 2 * t + 1):
+            x, y = axes[i[todo], part].astype(np.int64), axes[j[todo], part].astype(np.int64)
+            common = np.where((x[:, :, None] == y[:, None, :]).any(2), x, 1 << 19).min(1)
+            shared &= common < 1 << 19
+            cell = (cell << 20) | common
+        out[todo[shared]] = cell[shared]
+        todo = todo[~shared]
+        if not len(todo):
+            break
     return out
 
 

@@ -166,3 +166,21 @@ def test_estimates_are_unbiased_and_bounds_hold():
     assert abs(error.mean()) < 0.01
     spread = np.sqrt(1 - factor ** 2) / factor / np.sqrt(63)
     assert (np.abs(error) <= 3.5 * spread[:, None]).mean() > 0.995
+
+
+def test_planted_pairs_of_any_length_are_linked(spark):
+    rng = np.random.default_rng(9)
+    rows, n = [], 500
+    for k, d in enumerate((64, 384, 768)):
+        u = rng.normal(size=(n, d))
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        v = rng.normal(size=(n, d))
+        v -= (v * u).sum(1, keepdims=True) * u
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        for i, (a, b) in enumerate(zip(u, 0.951 * u + np.sqrt(1 - 0.951 ** 2) * v)):
+            at = 10_000 * k + 2 * i
+            rows += [(at, a.tolist()), (at + 1, b.tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = {r.vec_id: r for r in embeddings.near_dedup(df).collect()}
+    for i, r in got.items():
+        assert (r.component_id, r.n_links) == (i - i % 2, 1)
