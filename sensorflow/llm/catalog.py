@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from sensorflow.llm import bpe, embeddings, exact_dedup, html_text, licenses, maxent, mixing, sharding, simhash, toxicity
+from sensorflow.llm import (bpe, embeddings, exact_dedup, html_text, lexical, licenses, maxent, mixing, sharding, simhash,
+                            toxicity)
 
 LLM_QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -15,10 +16,12 @@ LLM_QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_sharding": sharding.op10_sharding,
+    "op11_lexical_search": lexical.op11_lexical_search,
 }
 
 # The other queries hash, learn or search in ways that SQL cannot express; tests hold them against brute force.
 LLM_ORACLE = {
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op9_license_scan": licenses.oracle(),
+    "op11_lexical_search": lexical.ORACLE,
 }
