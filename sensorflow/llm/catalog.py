@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from sensorflow.llm import (alignment, bpe, embeddings, exact_dedup, html_text, lexical, licenses, maxent, mixing, sharding,
-                            simhash, toxicity)
+                            simhash, suffixes, toxicity)
 
 LLM_QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -17,6 +17,7 @@ LLM_QUERIES = {
     "op9_license_scan": licenses.op9_license_scan,
     "op10_sharding": sharding.op10_sharding,
     "op11_lexical_search": lexical.op11_lexical_search,
+    "op12_suffix_dedup": suffixes.op12_suffix_dedup,
     "op13_alignment": alignment.op13_alignment,
 }
 
