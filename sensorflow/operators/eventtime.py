@@ -80,18 +80,27 @@ def allowed_lateness_windows(df: DataFrame, size_s: int, delay_s: int, lateness_
                   F.sum((F.col("status") == "refire").cast("int"))).cast("bigint").alias("firings")))
 
 
+def two_input_progress(lmax: int | None, rmax: int | None, delay_s: int) -> int | None:
+    """Watermark in ms of a two-input operator from the latest times of both; none until both have one."""
+    return None if lmax is None or rmax is None else min(lmax, rmax) * 1000 - (delay_s * 1000 + 1)
+
+
 def late_rows_two_inputs(left: DataFrame, right: DataFrame, delay_s: int, order: list[str],
-                         time_col: str = "ts") -> DataFrame:
+                         time_col: str = "ts", carry: tuple[int | None, int | None] = (None, None)) -> DataFrame:
     """Merge two inputs in arrival order and flag rows that are late for a
     two-input operator: its watermark is the minimum of both inputs'
-    watermarks (Long.MIN_VALUE until both have produced one)."""
+    watermarks (Long.MIN_VALUE until both have produced one).  ``carry``
+    holds both inputs' latest times in earlier batches."""
     both = (left.withColumn("side", F.lit("L")).withColumn("__lt", F.col(time_col))
             .withColumn("__rt", F.lit(None).cast("bigint"))
             .unionByName(right.withColumn("side", F.lit("R")).withColumn("__lt", F.lit(None).cast("bigint"))
                          .withColumn("__rt", F.col(time_col))))
     r = running(both, [], order, [Agg("__lmax", "max", "__lt", exclusive=True),
                                   Agg("__rmax", "max", "__rt", exclusive=True)])
+    for name, top in zip(("__lmax", "__rmax"), carry):
+        if top is not None:
+            r = r.withColumn(name, F.greatest(F.col(name), F.lit(top)))
     wm = F.least(F.col("__lmax"), F.col("__rmax")) * 1000 - (delay_s * 1000 + 1)
     has_wm = F.col("__lmax").isNotNull() & F.col("__rmax").isNotNull()
-    late = has_wm & (F.col(time_col) * 1000 < wm)
+    late = F.coalesce(has_wm & (F.col(time_col) * 1000 < wm), F.lit(False))
     return r.withColumn("late", late).drop("__lt", "__rt", "__lmax", "__rmax")

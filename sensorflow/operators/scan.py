@@ -94,16 +94,20 @@ def _join_states(op: str, x: Column, y: Column) -> Column:
     return F.greatest(x, y) if op == "max" else F.least(x, y)
 
 
+def key_column(keys: list[str]) -> Column:
+    """The keys as one null-safe column."""
+    return (F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)).alias(KEY)
+
+
 def with_buckets(df: DataFrame, keys: list[str], order: list[str], buckets: int = BUCKETS) -> DataFrame:
     """Adds the key (null-safe, one column) and the bucket of each row's place in the order."""
     x = _number(F.col(order[0]), df.schema[order[0]].dataType).cast("double")
     ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("e")).scalar()
     share = (x - ends["lo"]) / F.nullif(ends["hi"] - ends["lo"], F.lit(0.0))
     bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("bigint")).cast("int")
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
     # rows without a place come first, as they do in the sort
     at = F.when(x.isNull(), F.lit(-1)).otherwise(F.coalesce(bucket, F.lit(0)))
-    return df.withColumn(KEY, key).withColumn(BUCKET, at)
+    return df.withColumn(KEY, key_column(keys)).withColumn(BUCKET, at)
 
 
 def _states(rows: DataFrame, plain: list[Agg], order: list[str], initial: DataFrame | None) -> tuple[DataFrame, list]:

@@ -41,7 +41,7 @@ def vc_count_running(df: DataFrame, order: list[str] | None = None, scan: Callab
 
 
 def ttl_last_value(df: DataFrame, ttl_s: int, write_above: int = 10, time_col: str = "ts",
-                   order: list[str] | None = None) -> DataFrame:
+                   order: list[str] | None = None, scan: Callable = running) -> DataFrame:
     """Value state with time-to-live, refreshed on read and on write, never
     returning expired values; written only when vc > write_above.
 
@@ -55,12 +55,14 @@ def ttl_last_value(df: DataFrame, ttl_s: int, write_above: int = 10, time_col: s
     if order != ["seq"]:
         raise ValueError("ttl_last_value processes records in seq order")
     base = df.select("seq", "id", time_col, "vc")
-    s1 = running(base, ["id"], order, [Agg("__prev_t", "last", time_col, exclusive=True)], keep=True)
+    s1 = scan(base, ["id"], order, [Agg("__prev_t", "last", time_col, exclusive=True)], keep=True)
     s1 = (s1.withColumn("__brk", F.when(F.col("__prev_t").isNotNull() &
                                         (F.col(time_col) - F.col("__prev_t") >= ttl_s), F.col("seq")))
             .withColumn("__w", F.when(F.col("vc") > write_above, F.col("seq")))
             .withColumn("__wv", F.when(F.col("vc") > write_above, F.col("vc"))))
-    s2 = running(s1, ["id"], order, [Agg("__last_w", "last", "__w", exclusive=True),
+    # the time of the last access is the first state of both scans: a stream drops expired keys by it
+    s2 = scan(s1, ["id"], order, [Agg("__seen", "last", time_col),
+                                      Agg("__last_w", "last", "__w", exclusive=True),
                                       Agg("__last_wv", "last", "__wv", exclusive=True),
                                       Agg("__last_brk", "last", "__brk")])
     alive = F.col("__last_w").isNotNull() & (F.col("__last_brk").isNull() |

@@ -16,39 +16,23 @@ from sensorflow.operators.scan import Agg, running
 from sensorflow.operators.windows import sliding
 
 
-def topn_per_window(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
-                    value: str = "vc", time_col: str = "t") -> DataFrame:
-    """Per sliding window (all keys together): the N most frequent values.
-    Ties on the count go to the smaller value."""
-    counts = sliding(df, size_s, slide_s, [value], time_col,
-                     aggs=[F.count(F.lit(1)).alias("cnt")])
+def window_counts(df: DataFrame, size_s: int, slide_s: int, value: str = "vc", time_col: str = "t") -> DataFrame:
+    """How often each value occurs per sliding window; also on a stream with a watermark."""
+    return sliding(df, size_s, slide_s, [value], time_col, aggs=[F.count(F.lit(1)).alias("cnt")])
+
+
+def first_n(counts: DataFrame, n: int = 2, value: str = "vc") -> DataFrame:
+    """The N most frequent values of each window, ties to the smaller value.  A task keeps at
+    most N rows per window before and after the shuffle, however many values there are."""
     w = Window.partitionBy("win_start", "win_end").orderBy(F.desc("cnt"), F.asc(value))
-    return (counts.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= n))
+    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
-def topn_per_window_stream(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
-                           value: str = "vc", time_col: str = "t", salts: int = 16) -> DataFrame:
-    """Streaming form (``row_number`` is not allowed on streams): count per
-    (window, value), then the N first of each (window, salt of the value), then
-    the N first of those.  A task holds a window's values of one salt, the last
-    step at most N per salt.  Needs a watermark on ``time_col``; all three
-    stateful steps run in append mode."""
-    counts = (df.groupBy(F.window(time_col, f"{size_s} seconds", f"{slide_s} seconds").alias("w"), value)
-              .agg(F.count(F.lit(1)).alias("cnt")))
-    placed = counts.select(F.window_time("w").alias("wt"), F.unix_seconds(F.col("w.start")).alias("ws"),
-                           F.unix_seconds(F.col("w.end")).alias("we"),
-                           F.pmod(F.xxhash64(value), F.lit(salts)).alias("salt"),
-                           F.struct((-F.col("cnt")).alias("neg"), F.col(value).alias("v")).alias("e"))
-    per_salt = (placed.groupBy("wt", "salt")
-                .agg(F.min("ws").alias("ws"), F.min("we").alias("we"),
-                     F.slice(F.sort_array(F.collect_list("e")), 1, n).alias("top")))
-    per_window = (per_salt.groupBy("wt")
-                  .agg(F.min("ws").alias("win_start"), F.min("we").alias("win_end"),
-                       F.slice(F.sort_array(F.flatten(F.collect_list("top"))), 1, n).alias("top")))
-    ex = per_window.select("win_start", "win_end", F.posexplode("top").alias("pos", "e"))
-    return ex.select("win_start", "win_end", F.col("e.v").alias(value),
-                     (-F.col("e.neg")).alias("cnt"), (F.col("pos") + 1).cast("int").alias("rank"))
+def topn_per_window(df: DataFrame, size_s: int, slide_s: int, n: int = 2,
+                    value: str = "vc", time_col: str = "t") -> DataFrame:
+    """Per sliding window (all keys together): the N most frequent values.
+    A stream cuts each micro-batch of finished counts with ``first_n``."""
+    return first_n(window_counts(df, size_s, slide_s, value, time_col), n, value)
 
 
 def running_topk(df: DataFrame, k: int = 3, key: str = "id", value: str = "vc",
@@ -73,3 +57,27 @@ def top2_table_aggregate(df: DataFrame, value: str = "vc", keys: list[str] | Non
     return (pos.select(*keys, F.col(value).alias("value"))
             .withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= n))
+
+
+def top_changelog(df: DataFrame, value: str = "vc", key: str = "id", n: int = 2, order: list[str] | None = None,
+                  scan: Callable = running) -> DataFrame:
+    """Table aggregate Top-N as an updating table: what each record changes in the key's ranks.
+
+    A rank that gets its first value inserts it (+I); a rank whose value changes takes the old
+    one back (-U) and gives the new one (+U); a record that changes no rank gives nothing.
+    The accumulator starts at zeros, so only positive values enter and a repeated maximum
+    fills both ranks.  ``pos`` orders the rows of one record."""
+    rows = df.select("seq", key, value).withColumn("__v", F.when(F.col(value) > 0, F.col(value)))
+    r = scan(rows, [key], order or ["seq"], [Agg("__before", "topk", "__v", k=n, exclusive=True)])
+    after = F.slice(F.sort_array(F.concat("__before", F.array_compact(F.array("__v"))), asc=False), 1, n)
+    r = r.where(F.col("__v").isNotNull()).withColumn("__after", after)
+
+    def change(i: int):
+        old, new = F.get("__before", F.lit(i)), F.get("__after", F.lit(i))
+
+        def row(pos: int, op: str, v):
+            return F.struct(F.lit(2 * i + pos).alias("pos"), F.lit(op).alias("op"), v.alias("value"), F.lit(i + 1).alias("rank"))
+        return F.when(new.isNotNull() & old.isNull(), F.array(row(1, "+I", new))).when(
+            old != new, F.array(row(0, "-U", old), row(1, "+U", new)))
+    return r.select("seq", key, F.explode(F.array_compact(F.array(*[change(i) for i in range(n)]))).alias("__c")).select(
+        "seq", key, F.inline("__c"))

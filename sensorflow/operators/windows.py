@@ -11,6 +11,7 @@ they use the skew-proof running scan and then group by a bounded window id.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -172,6 +173,56 @@ def global_window(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(*default_aggs())
 
 
+@dataclass(frozen=True)
+class Trigger:
+    """When a global window fires: at every ``every``-th record of a key, or at records for which
+    ``when`` holds.  ``purge`` empties the window after a firing, else it keeps its rows."""
+
+    every: int | None = None
+    when: Column | None = None
+    purge: bool = False
+
+
+def global_trigger(df: DataFrame, keys: list[str], trigger: Trigger, order: list[str] | None = None,
+                   scan: Callable = running) -> DataFrame:
+    """Global window per key with a user trigger: one row per firing, with its number and what the
+    window holds then (count and sum over the records up to the firing one, since the last purge).
+
+    Records are taken in ``order``.  All of it is running aggregates: the number of a record
+    decides whether ``every`` fires, the number of firings before a record tells which purged
+    content it belongs to."""
+    order = order or ["seq"]
+    if (trigger.every is None) == (trigger.when is None):
+        raise ValueError("a trigger fires every so many records or on a condition")
+    hit = F.lit(False) if trigger.when is None else F.coalesce(trigger.when, F.lit(False))
+    rows = df.withColumn("__hit", hit.cast("int"))
+    r = scan(rows, keys, order, [Agg("__rn", "count"), Agg("__hits", "sum", "__hit"), Agg("__all", "sum", "vc")])
+    fires = F.col("__rn") % trigger.every == 0 if trigger.every else F.col("__hit") == 1
+    number = F.floor(F.col("__rn") / trigger.every) if trigger.every else F.col("__hits")
+    fired = r.where(fires).select(*keys, *order, number.cast("bigint").alias("firing"), F.col("__rn").alias("cnt"),
+                                  F.col("__all").cast("bigint").alias("vc_sum"))
+    if not trigger.purge:
+        return fired
+    # what the window held at the firing before is what was purged
+    before = scan(fired.withColumn("__c", F.col("cnt")).withColumn("__s", F.col("vc_sum")), keys, order,
+                  [Agg("__pc", "max", "__c", exclusive=True), Agg("__ps", "last", "__s", exclusive=True)])
+    return before.select(*keys, *order, "firing", (F.col("cnt") - F.coalesce("__pc", F.lit(0))).alias("cnt"),
+                         (F.col("vc_sum") - F.coalesce("__ps", F.lit(0))).alias("vc_sum"))
+
+
+def triggers_compared(df: DataFrame, every: int, above: int, scan: Callable = running) -> DataFrame:
+    """Firings of four triggers on the same global window: by count and by condition, keeping and purging."""
+    kinds = {"count keep": Trigger(every=every), "count purge": Trigger(every=every, purge=True),
+             "condition keep": Trigger(when=F.col("vc") > above), "condition purge": Trigger(when=F.col("vc") > above, purge=True)}
+    rows = df.select("seq", "id", "vc")
+    parts = [global_trigger(rows, ["id"], t, scan=scan).select(F.lit(n).alias("trigger"), "id", "seq", "firing", "cnt", "vc_sum")
+             for n, t in kinds.items()]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
 def all_window(df: DataFrame, size_s: int, time_col: str = "t") -> DataFrame:
     """Un-keyed tumbling window; partial aggregation keeps it parallel."""
     return tumbling(df, size_s, [], time_col)

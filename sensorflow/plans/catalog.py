@@ -279,6 +279,10 @@ def q_win_global(spark, sf):
     return windows.global_window(_sensor(spark, sf), ["id"])
 
 
+def q_win_global_trigger(spark, sf):
+    return windows.triggers_compared(_sensor(spark, sf), P.TRIGGER_EVERY, P.TRIGGER_VC)
+
+
 def q_win_all(spark, sf):
     return windows.all_window(_sensor(spark, sf), P.WINDOW_S)
 
@@ -335,6 +339,10 @@ def q_top2_table_agg_udf(spark, sf):
                               accumulate_many=TA.top2_accumulate_many)
 
 
+def q_top2_changelog(spark, sf):
+    return topn.top_changelog(_sensor(spark, sf), n=P.TOPN)
+
+
 # ---- keyed state (batch twins) -----------------------------------------------
 
 def q_delta_alert(spark, sf):
@@ -424,14 +432,14 @@ def q_join_connected(spark, sf):
 
 def q_broadcast_static(spark, sf):
     s = _sensor(spark, sf)
-    data = s.where(F.col("kind") != "error").select("seq", "id", "vc")
-    cfg = s.where(F.col("kind") == "error").select("seq", F.col("vc").alias("threshold"))
+    data = s.where(~T.is_config()).select("seq", "id", "vc")
+    cfg = s.where(T.is_config()).select("seq", F.col("vc").alias("threshold"))
     return joins.static_threshold_alerts(data, cfg)
 
 
 def q_broadcast_asof(spark, sf):
     s = _sensor(spark, sf)
-    data = s.where(F.col("kind") != "error").select("seq", "id", "vc")
+    data = s.where(~T.is_config()).select("seq", "id", "vc")
     return joins.asof_threshold_alerts(data, T.config_log(spark, sf))
 
 

@@ -158,6 +158,15 @@ ORACLE: dict[str, str] = {
                               "min(r.seq) AS first_seq, max(r.seq) AS last_seq FROM f JOIN r ON r.id = f.id "
                               f"AND r.rn BETWEEN f.fire_no - {P.COUNT_SIZE - 1} AND f.fire_no GROUP BY f.id, f.fire_no"),
     "win_global": S + "SELECT id, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS vc_sum FROM sensor GROUP BY id",
+    "win_global_trigger": S + (
+        f", r AS (SELECT seq, id, vc, row_number() OVER ({W_RUN}) AS rn, sum(CASE WHEN vc > {P.TRIGGER_VC} THEN 1 ELSE 0 END) OVER ({W_RUN}) AS hits, "
+        f"sum(vc) OVER ({W_RUN}) AS s FROM sensor), "
+        f"f AS (SELECT 'count' AS kind, id, seq, rn // {P.TRIGGER_EVERY} AS firing, rn, s FROM r WHERE rn % {P.TRIGGER_EVERY} = 0 "
+        f"UNION ALL SELECT 'condition', id, seq, hits, rn, s FROM r WHERE vc > {P.TRIGGER_VC}), "
+        "p AS (SELECT *, coalesce(lag(rn) OVER (PARTITION BY kind, id ORDER BY seq), 0) AS prn, "
+        "coalesce(lag(s) OVER (PARTITION BY kind, id ORDER BY seq), 0) AS ps FROM f) "
+        "SELECT kind || ' keep' AS trigger, id, seq, CAST(firing AS BIGINT) AS firing, CAST(rn AS BIGINT) AS cnt, CAST(s AS BIGINT) AS vc_sum FROM p "
+        "UNION ALL SELECT kind || ' purge', id, seq, CAST(firing AS BIGINT), CAST(rn - prn AS BIGINT), CAST(s - ps AS BIGINT) FROM p"),
     "win_all": S + (f"SELECT {_tumble('ts', P.WINDOW_S)} AS win_start, {_tumble('ts', P.WINDOW_S)} + {P.WINDOW_S} AS win_end, "
                     "count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS vc_sum FROM sensor GROUP BY ALL"),
     "win_reduce": S + (f"SELECT {_tumble('ts', P.WINDOW_S)} AS win_start, {_tumble('ts', P.WINDOW_S)} + {P.WINDOW_S} AS win_end, "
@@ -183,6 +192,13 @@ ORACLE: dict[str, str] = {
                            f"FROM sensor WHERE vc > 0) SELECT * FROM r WHERE rank <= {P.TOPN}"),
     "top2_table_agg_udf": S + (", r AS (SELECT id, vc AS value, CAST(row_number() OVER (PARTITION BY id ORDER BY vc DESC) AS INTEGER) AS rank "
                                f"FROM sensor WHERE vc > 0) SELECT * FROM r WHERE rank <= {P.TOPN}"),
+    "top2_changelog": S + (
+        f", l AS (SELECT seq, id, vc, coalesce(list_sort(list(vc) FILTER (vc > 0) OVER ({W_PREV}), 'DESC'), []) AS b, "
+        f"coalesce(list_sort(list(vc) FILTER (vc > 0) OVER ({W_RUN}), 'DESC'), []) AS a FROM sensor), "
+        "c AS (SELECT seq, id, r.range AS i, l.b[r.range] AS o, l.a[r.range] AS n FROM l, range(1, 3) r) "
+        "SELECT seq, id, CAST(2 * i - 1 AS INTEGER) AS pos, '+I' AS op, n AS value, CAST(i AS INTEGER) AS rank FROM c WHERE o IS NULL AND n IS NOT NULL "
+        "UNION ALL SELECT seq, id, CAST(2 * i - 2 AS INTEGER), '-U', o, CAST(i AS INTEGER) FROM c WHERE o <> n "
+        "UNION ALL SELECT seq, id, CAST(2 * i - 1 AS INTEGER), '+U', n, CAST(i AS INTEGER) FROM c WHERE o <> n"),
     # ---- keyed state (batch twins) ----
     "delta_alert": S + (f", p AS (SELECT seq, id, vc, coalesce(lag(vc) OVER (PARTITION BY id ORDER BY seq), 0) AS prev_vc FROM sensor) "
                         "SELECT seq, id, vc, prev_vc, id || ' went from ' || CAST(prev_vc AS VARCHAR) || ' to ' "
@@ -229,8 +245,8 @@ ORACLE: dict[str, str] = {
     "join_connected": ("SELECT o.o_orderkey AS id, o.o_orderstatus AS x, l.l_returnflag AS y, l.l_linenumber AS n "
                        "FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey"),
     "broadcast_static": S + (", cfg AS (SELECT coalesce(arg_max(vc, seq), 0) AS threshold FROM sensor WHERE kind = 'error') "
-                             "SELECT s.seq, s.id, s.vc, cfg.threshold FROM sensor s, cfg WHERE s.kind <> 'error' AND s.vc > cfg.threshold"),
-    "broadcast_asof": S + (", m AS (SELECT seq, id, vc, kind = 'error' AS is_cfg, CASE WHEN kind = 'error' THEN vc END AS cfg FROM sensor), "
+                             "SELECT s.seq, s.id, s.vc, cfg.threshold FROM sensor s, cfg WHERE s.kind IS DISTINCT FROM 'error' AND s.vc > cfg.threshold"),
+    "broadcast_asof": S + (", m AS (SELECT seq, id, vc, kind IS NOT DISTINCT FROM 'error' AS is_cfg, CASE WHEN kind = 'error' THEN vc END AS cfg FROM sensor), "
                            "t AS (SELECT *, coalesce(last_value(cfg IGNORE NULLS) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS threshold FROM m) "
                            "SELECT seq, id, vc, threshold FROM t WHERE NOT is_cfg AND vc > threshold"),
     # ---- event time ----

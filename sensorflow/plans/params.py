@@ -23,3 +23,5 @@ N_PARTS = 4              # partitions for the distribution demos
 TOPN = 2
 TOPK_RUNNING = 3
 TOPIC = "sensor"
+TRIGGER_EVERY = 3        # global window: fire at every third record
+TRIGGER_VC = 80          # global window: fire when vc > 80

@@ -40,9 +40,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
-         .config("spark.python.unix.domain.socket.enabled", "true")
-         # checkpoint files of scans are removed once their DataFrames are garbage
-         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
+         .config("spark.python.unix.domain.socket.enabled", "true"))
     for k, v in {**DEFAULT_CONF, **REQUIRED_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -75,12 +73,9 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(out)
     # Python runners that do not read --py-files (the driver-side runner of
     # transformWithState) still get our functions: pickle them by value
-    try:
-        from pyspark import cloudpickle
-        import sensorflow
-        cloudpickle.register_pickle_by_value(sensorflow)
-    except Exception:
-        pass
+    from pyspark import cloudpickle
+    import sensorflow
+    cloudpickle.register_pickle_by_value(sensorflow)
     _SHIPPED.add(app)
 
 
@@ -90,11 +85,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     for k, v in DEFAULT_CONF.items():
-        try:
-            if spark.conf.get(k, None) is None:
-                spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave it
-            pass
+        if spark.conf.get(k, None) is None and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     checkpoint_root(spark)
     ship_package(spark)
     return spark
@@ -124,3 +116,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours, wherever Spark keeps it; an absent one is nothing to do."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

@@ -79,6 +79,11 @@ def is_left() -> Column:
     return F.coalesce(F.col("kind").isin(*LEFT_KINDS), F.lit(False))
 
 
+def is_config() -> Column:
+    """Whether an event updates the threshold; one without a kind is data."""
+    return F.col("kind").eqNullSafe("error")
+
+
 def sides(s: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
     """(left, right) rows of a sensor view: views, clicks and sign-ups on the left, all others on the right."""
     cols = ["seq", "id", "ts", "vc", "t", *more]
@@ -88,7 +93,7 @@ def sides(s: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
 def config_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold updates: every ``error`` row sets threshold = its vc."""
     s = sensor(spark, sf_dir)
-    return s.where(F.col("kind") == "error").select("seq", F.col("vc").alias("threshold"))
+    return s.where(is_config()).select("seq", F.col("vc").alias("threshold"))
 
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

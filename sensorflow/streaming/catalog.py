@@ -6,7 +6,9 @@ returns what its sink holds.  Each has the same oracle as its batch twin.
 from __future__ import annotations
 
 import os
+from itertools import count
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +16,10 @@ from sensorflow.functions.scalar import java_split
 from sensorflow.operators import bridge, eventtime, joins, keyed, scan, state, topn, transforms, windows
 from sensorflow.plans import params as P
 from sensorflow.plans.oracle import ORACLE, S
-from sensorflow.session import prepare
+from sensorflow.session import path_exists, prepare
 from sensorflow.sources import tables as T
 from sensorflow.streaming import harness as H
+from sensorflow.streaming.states import KeyedLog, Ledger, RowLog
 
 N_BATCHES = 4
 STREAM_DELAY_S = 1800     # >= the test data's largest disorder: no row is dropped
@@ -115,7 +118,7 @@ def s_broadcast_static_stream(spark, sf):
     cfg = T.config_log(spark, sf)
 
     def start(src, run):
-        data = src.where(F.col("kind") != "error").select("seq", "id", "vc")
+        data = src.where(~T.is_config()).select("seq", "id", "vc")
         return H.append_sink(joins.static_threshold_alerts(data, cfg), run, "broadcast_static_stream")
     run = H.replay(spark, "broadcast_static", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
     return H.read_append(spark, run)
@@ -125,8 +128,8 @@ def s_broadcast_asof_stream(spark, sf):
     """Dynamic broadcast config on a stream: each row meets the newest threshold
     that came before it, also from an earlier batch (the carried state)."""
     def op(d, scan):
-        data = d.where(F.col("kind") != "error").select("seq", "id", "vc")
-        cfg = d.where(F.col("kind") == "error").select("seq", F.col("vc").alias("threshold"))
+        data = d.where(~T.is_config()).select("seq", "id", "vc")
+        cfg = d.where(T.is_config()).select("seq", F.col("vc").alias("threshold"))
         return joins.asof_threshold_alerts(data, cfg, scan=scan)
     return _carried("broadcast_asof_stream", sf, spark, op)
 
@@ -138,61 +141,84 @@ def s_global_count_restart(spark, sf):
                                    "global_count_restart", mode="complete")
     run = H.replay(spark, "global_count", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False,
                    restart_each_batch=True)
-    out = spark.read.parquet(run.sink)
-    return out.agg(F.max_by("cnt", "batch").alias("cnt"))
+    return H.read_batches(spark, run).agg(F.coalesce(F.max_by("cnt", "batch"), F.lit(0)).alias("cnt"))
 
 
-def _carried(name, sf, spark, op):
+CARRIED = ["seq", "id", "kind", "ts", "vc"]
+
+
+def _carried(name, sf, spark, op, ttl_s=None):
     """A running scan over a stream: each micro-batch is scanned in two levels, so a
-    hot key is spread over its order buckets, and goes on from the keys' states
-    after the batch before.  States are a table per batch id: a replayed batch
-    reads the same states and overwrites its own."""
+    hot key is spread over its order buckets, and goes on from the states of its keys.
+    Only those states are read and written again.  With ``ttl_s`` the state of a key
+    whose last row is so far back that no row can find it alive goes at the next merge."""
+    data = _twin_order(spark, sf)
+
     def start(src, run):
+        run.schema = op(src.sparkSession.createDataFrame([], src.select(*CARRIED).schema), scan.running).schema
+        clock = Ledger(spark, os.path.join(run.root, "clock"), "now bigint", {"now": None})
+
         def write(bdf, bid):
-            rows = bdf.select("seq", "id", "kind", "ts", "vc")
-            _state_scan(spark, run, bid, lambda scan: op(rows, scan).write.mode("overwrite")
-                        .parquet(os.path.join(run.sink, f"batch={bid}")))
-        return (src.writeStream.queryName(name).foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
-    run = H.replay(spark, name, _twin_order(spark, sf), "seq", N_BATCHES, start, flush=False)
-    return spark.read.parquet(run.sink).drop("batch")
+            rows = bdf.select(*CARRIED).persist()
+            try:
+                gone = None
+                if ttl_s is not None:
+                    seen = [x for x in (clock.read(bid - 1)["now"], rows.agg(F.max("ts")).first()[0]) if x is not None]
+                    clock.write(bid, {"now": max(seen, default=None)})
+                    # the time of a key's last row is the first state of both scans of this operator
+                    gone = F.col("__s0.v") + ttl_s <= max(seen, default=0) - STREAM_DELAY_S
+                op(rows, state_scan(spark, os.path.join(run.root, "state"), bid, gone)).write.mode("overwrite") \
+                    .parquet(H.batch_folder(run, bid))
+            finally:
+                rows.unpersist()
+        return H.foreach_batch(src, run, name, write)
+    run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False)
+    return H.read_batches(spark, run).drop("batch")
 
 
-def _state_scan(spark, run, bid, work):
-    """Run ``work(scan)`` with a scan that starts from the states of batch ``bid - 1`` and writes those of ``bid``."""
-    path = os.path.join(run.root, "state")
+def state_scan(spark, path, bid, gone=None):
+    """``scan.running`` for batch ``bid`` of a stream: it goes on from the states of the batch's
+    keys after earlier batches and writes theirs after this one.  An operator's scans have a log each."""
+    numbers = count()
 
-    def scan_rows(df, keys, order, aggs):
-        before = spark.read.parquet(f"{path}/batch{bid - 1}") if bid else None
-        after = scan.end_states(df, keys, order, aggs, initial=before)
-        after.write.mode("overwrite").parquet(f"{path}/batch{bid}")
-        return scan.running(df, keys, order, aggs, initial=before)
-    work(scan_rows)
+    def scan_rows(df, keys, order, aggs, keep=False):
+        log = KeyedLog(spark, f"{path}{next(numbers)}", scan.end_states(df, keys, order, aggs).schema)
+        before = log.read(bid, df.select(scan.key_column(keys)))
+        log.write(bid, scan.end_states(df, keys, order, aggs, initial=before), gone)
+        return scan.running(df, keys, order, aggs, keep=keep, initial=before)
+    return scan_rows
 
 
 def _count_windows(name, sf, spark, places, number, full):
-    """Count windows on a stream: a batch's complete windows fire; the rows of the
-    others (fewer than a window per key and firing) wait in a table per batch id."""
+    """Count windows on a stream: a batch's complete windows fire; the rows of the others wait as
+    a list per key, shorter than the copies of a window's rows, and only the batch's keys' lists are written."""
+    cols = ["seq", "id", "ts", "vc"]
+    data = _twin_order(spark, sf)
+
     def start(src, run):
-        path = os.path.join(run.root, "waiting")
+        shape = places(spark.createDataFrame([], src.select(*cols).schema), scan.running)
+        run.schema = windows.fired(shape, ["id"], number, full).schema
+        packed = F.collect_list(F.struct(*shape.columns)).alias("waiting")
 
         def write(bdf, bid):
-            rows = bdf.select("seq", "id", "ts", "vc")
-
-            def work(scan_rows):
-                here = places(rows, scan_rows)
-                if bid:
-                    here = here.unionByName(spark.read.parquet(f"{path}/batch{bid - 1}"))
-                out = windows.fired(here, ["id"], number, full)
-                out.write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
-                done = spark.read.parquet(os.path.join(run.sink, f"batch={bid}")).select("id", number)
-                (here.join(done, ["id", number], "left_anti").select(*here.columns)
-                 .write.mode("overwrite").parquet(f"{path}/batch{bid}"))
-            _state_scan(spark, run, bid, work)
-        return (src.writeStream.queryName(name).foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
-    run = H.replay(spark, name, _twin_order(spark, sf), "seq", N_BATCHES, start, flush=False)
-    return spark.read.parquet(run.sink).drop("batch")
+            rows = bdf.select(*cols).persist()
+            try:
+                here = places(rows, state_scan(spark, os.path.join(run.root, "state"), bid))
+                key = scan.key_column(["id"])
+                log = KeyedLog(spark, os.path.join(run.root, "waiting"), here.groupBy(key).agg(packed).schema)
+                keys = rows.select(key).distinct()
+                here = here.unionByName(log.read(bid, keys).select(F.inline("waiting")))
+                windows.fired(here, ["id"], number, full).write.mode("overwrite").parquet(H.batch_folder(run, bid))
+                done = spark.read.schema(run.schema).parquet(H.batch_folder(run, bid)).select(key, number)
+                left = here.withColumn(scan.KEY, key).join(done, [scan.KEY, number], "left_anti")
+                lists = left.groupBy(scan.KEY).agg(packed)
+                none = F.array().cast(log.schema["waiting"].dataType)
+                log.write(bid, keys.join(lists, scan.KEY, "left").withColumn("waiting", F.coalesce("waiting", none)))
+            finally:
+                rows.unpersist()
+        return H.foreach_batch(src, run, name, write)
+    run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False)
+    return H.read_batches(spark, run).drop("batch")
 
 
 def s_running_reduce_stream(spark, sf):
@@ -211,14 +237,31 @@ def s_running_avg_stream(spark, sf):
 
 
 def s_topn_window_stream(spark, sf):
-    """Top-2 values by count per sliding window, computed by two chained
-    event-time aggregations (count per value, then per window)."""
+    """Top-2 values by count per sliding window: the counts of a window leave the streaming
+    aggregation together when the watermark passes its end, and their batch is cut to the
+    first two with at most two rows per window and task on the way."""
     def start(src, run):
-        res = topn.topn_per_window_stream(src.withWatermark("t", f"{STREAM_DELAY_S} seconds"),
-                                          P.WINDOW_S, P.SLIDE_S, P.TOPN)
-        return H.append_sink(res, run, "topn_window_stream")
+        counts = topn.window_counts(src.withWatermark("t", f"{STREAM_DELAY_S} seconds"), P.WINDOW_S, P.SLIDE_S)
+        run.schema = topn.first_n(spark.createDataFrame([], counts.schema), P.TOPN).schema
+
+        def write(bdf, bid):
+            topn.first_n(bdf, P.TOPN).write.mode("overwrite").parquet(H.batch_folder(run, bid))
+        return H.foreach_batch(counts, run, "topn_window_stream", write)
     run = H.replay(spark, "topn_window", _arrivals(spark, sf), "arrival", N_BATCHES, start)
-    return H.read_append(spark, run, key_col=None)
+    return H.read_batches(spark, run).drop("batch").withColumn("rank", F.col("rank").cast("int"))
+
+
+def s_top2_changelog_stream(spark, sf):
+    return _carried("top2_changelog_stream", sf, spark, lambda d, scan: topn.top_changelog(d, n=P.TOPN, scan=scan))
+
+
+def s_ttl_stream(spark, sf):
+    return _carried("ttl_stream", sf, spark, lambda d, scan: state.ttl_last_value(d, P.TTL_S, P.ALERT_VC, scan=scan), ttl_s=P.TTL_S)
+
+
+def s_win_global_trigger_stream(spark, sf):
+    return _carried("win_global_trigger_stream", sf, spark,
+                    lambda d, scan: windows.triggers_compared(d, P.TRIGGER_EVERY, P.TRIGGER_VC, scan=scan))
 
 
 def s_delta_alert_stream(spark, sf):
@@ -280,10 +323,10 @@ def s_split_routes_stream(spark, sf):
                      .parquet(os.path.join(run.sink, f"route={r}", f"batch={bid}")))
             finally:
                 bdf.unpersist()
-        return (tagged.writeStream.queryName("split_routes_stream").foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
+        run.schema = tagged.schema
+        return H.foreach_batch(tagged, run, "split_routes_stream", write)
     run = H.replay(spark, "split_routes", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
-    return spark.read.parquet(run.sink).select("route", "seq", "id", "ts", "vc")
+    return H.read_batches(spark, run).select("route", "seq", "id", "ts", "vc")
 
 
 def s_union_all_stream(spark, sf):
@@ -294,7 +337,7 @@ def s_union_all_stream(spark, sf):
         c = src.where(rest).select("seq", F.col("vc").cast("string").cast("int").alias("value"))
         return H.append_sink(transforms.union_all(a, b, c), run, "union_all_stream")
     run = H.replay(spark, "union_all", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
-    return H.read_append(spark, run, key_col=None)
+    return H.read_append(spark, run)
 
 
 def s_table_to_append_stream(spark, sf):
@@ -321,23 +364,23 @@ def s_exactly_once_pipeline(spark, sf):
                 crash["failed"] = True
                 raise RuntimeError("injected failure after partial write")
             bdf.write.mode("overwrite").parquet(path)
-        return (src.select("seq", "id", "ts", "vc").writeStream.queryName("exactly_once")
-                .foreachBatch(write).option("checkpointLocation", run.checkpoint)
-                .trigger(**run.writer_trigger()).start())
+        rows = src.select("seq", "id", "ts", "vc")
+        run.schema = rows.schema
+        return H.foreach_batch(rows, run, "exactly_once", write)
 
     def start_with_retry(src, run):
         q = start(src, run)
         try:
             q.awaitTermination()
-            failed = q.exception() is not None
-        except Exception:
-            failed = True
-        if failed:                             # restart from the checkpoint
+        except StreamingQueryException as e:
+            if "injected failure" not in str(e):
+                raise
+            # restart from the checkpoint
             return start(spark.readStream.schema(src.schema).parquet(f"{run.source}/*"), run)
         return q
     run = H.replay(spark, "exactly_once", _arrivals(spark, sf), "arrival", N_BATCHES, start_with_retry,
                    flush=False, restart_each_batch=True)
-    return spark.read.parquet(run.sink).select("seq", "id", "ts", "vc")
+    return H.read_batches(spark, run).select("seq", "id", "ts", "vc")
 
 
 # ---- joins ------------------------------------------------------------------------
@@ -393,7 +436,137 @@ def s_join_connected_stream(spark, sf):
         j = joins.connect_join(left, right, "id", "lk").drop("lk")
         return H.append_sink(j, run, "join_connected_stream")
     run = H.replay(spark, "join_connected", both, "k", N_BATCHES, start, flush=False)
-    return H.read_append(spark, run, key_col=None)
+    return H.read_append(spark, run)
+
+
+# ---- interval join with late sides ---------------------------------------------------
+
+def _interval_join_with_late(spark, sf, name):
+    """Interval join of two inputs whose progress is the minimum of both, on a stream.
+
+    Progress is carried from batch to batch.  Rows behind it are late and go to their
+    own output; the others meet the new and the waiting rows of the other side.  A batch's
+    accepted rows are written once and its folder goes when progress has passed the last
+    partner that any of them can have."""
+    cols = ["side", "seq", "id", "ts", "vc"]
+    data = _arrivals(spark, sf)
+    lower, upper = P.JOIN_LOWER_S, P.JOIN_UPPER_S
+
+    def start(src, run):
+        ledger = Ledger(spark, os.path.join(run.root, "ledger"),
+                        "lmax bigint, rmax bigint, live array<struct<batch:bigint,until:bigint>>", {"lmax": None, "rmax": None, "live": []})
+        kinds = {f.name: f.dataType.simpleString() for f in src.schema}
+        waiting = RowLog(spark, os.path.join(run.root, "accepted"),
+                         spark.createDataFrame([], "side string, " + ", ".join(f"{c} {kinds[c]}" for c in cols[1:])).schema)
+
+        def side(df, s):
+            return df.where(F.col("side") == s).drop("side")
+
+        run.schema = joins.interval_join(side(waiting.read([]), "L"), side(waiting.read([]), "R"), lower, upper).schema
+
+        def write(bdf, bid):
+            was = ledger.read(bid - 1)
+            gone = {x["batch"] for x in ledger.read(bid - 2)["live"]} | {bid - 1} if bid else set()
+            waiting.drop(gone - {x["batch"] for x in was["live"]} - {-1})
+            rows = bdf.select("seq", "id", "kind", "ts", "vc", "t", "arrival").persist()
+            try:
+                flagged = eventtime.late_rows_two_inputs(*[d.drop("t") for d in T.sides(rows, "arrival")], P.DELAY_S,
+                                                         ["arrival", "seq"], carry=(was["lmax"], was["rmax"]))
+                flagged.where("late").select(*cols).write.mode("overwrite").parquet(os.path.join(run.root, "late", f"batch={bid}"))
+                waiting.write(bid, flagged.where(~F.col("late")))
+                top = rows.agg(F.max(F.when(T.is_left(), F.col("ts"))), F.max(F.when(~T.is_left(), F.col("ts")))).first()
+            finally:
+                rows.unpersist()
+            new = waiting.read([bid])
+            old = waiting.read(x["batch"] for x in was["live"])
+            passed = eventtime.two_input_progress(was["lmax"], was["rmax"], P.DELAY_S)
+            if passed is not None:  # rows whose last possible partner is behind the progress are not read
+                last = F.when(F.col("side") == "L", F.col("ts") + upper).otherwise(F.col("ts") - lower)
+                old = old.where(last * 1000 >= passed)
+            pairs = joins.interval_join(side(new, "L"), side(new.union(old), "R"), lower, upper).union(
+                joins.interval_join(side(old, "L"), side(new, "R"), lower, upper))
+            pairs.write.mode("overwrite").parquet(H.batch_folder(run, bid))
+            lmax, rmax = (max((x for x in pair if x is not None), default=None) for pair in zip((was["lmax"], was["rmax"]), top))
+            now = eventtime.two_input_progress(lmax, rmax, P.DELAY_S)
+            until = new.agg(F.max(F.when(F.col("side") == "L", F.col("ts") + upper).otherwise(F.col("ts") - lower))).first()[0]
+            live = [(x["batch"], x["until"]) for x in was["live"]] + ([(bid, until)] if until is not None else [])
+            ledger.write(bid, {"lmax": lmax, "rmax": rmax, "live": [x for x in live if now is None or x[1] * 1000 >= now]})
+        return H.foreach_batch(src, run, name, write)
+    run = H.replay(spark, name, data, "arrival", N_BATCHES, start, flush=False)
+    late = os.path.join(run.root, "late")
+    schema = T.sides(data)[0].select(F.lit("L").alias("side"), *cols[1:]).schema
+    none = spark.createDataFrame([], schema)
+    late_rows = spark.read.schema(schema).parquet(late).select(*cols) if path_exists(spark, late) else none
+    return H.read_batches(spark, run).drop("batch"), late_rows
+
+
+def s_join_interval_late_stream(spark, sf):
+    return _interval_join_with_late(spark, sf, "join_interval_late_stream")[0]
+
+
+def s_join_late_sides_stream(spark, sf):
+    return _interval_join_with_late(spark, sf, "join_late_sides_stream")[1]
+
+
+# ---- full-window function -------------------------------------------------------------
+
+def s_win_elements_stream(spark, sf):
+    """The rows of every window with its bounds and count, when the watermark passes its end.
+
+    Rows wait in the folder of their batch.  A firing reads the folders that still hold open
+    windows, counts the rows of the windows that close and hands the rows on as rows: no
+    window is a list.  Windows still open when the input ends fire then."""
+    cols = ["seq", "id", "ts", "vc"]
+    data = _arrivals(spark, sf)
+    kinds = {f.name: f.dataType.simpleString() for f in data.schema}
+    bounded = spark.createDataFrame([], ", ".join(f"{c} {kinds[c]}" for c in cols) + ", win_start bigint, win_end bigint").schema
+
+    def fired(rows):
+        return windows.window_elements(rows.select(*cols), P.WINDOW_S)
+
+    def passed(top):
+        """Windows whose end the watermark has reached, given the latest time seen."""
+        return F.lit(False) if top is None else F.col("win_end") <= top - STREAM_DELAY_S
+
+    def parts(run):
+        return (RowLog(spark, os.path.join(run.root, "rows"), bounded),
+                Ledger(spark, os.path.join(run.root, "ledger"), "top bigint, live array<struct<batch:bigint,until:bigint>>",
+                       {"top": None, "live": []}))
+
+    def start(src, run):
+        waiting, ledger = parts(run)
+        run.schema = fired(spark.createDataFrame([], bounded)).schema
+
+        def write(bdf, bid):
+            was = ledger.read(bid - 1)
+            held = {x["batch"]: x["until"] for x in was["live"]}
+            if bid:
+                waiting.drop(({x["batch"] for x in ledger.read(bid - 2)["live"]} | {bid - 1}) - set(held))
+            begin = F.col("ts") - F.pmod(F.col("ts"), F.lit(P.WINDOW_S))
+            rows = bdf.select(*cols).withColumn("win_start", begin).withColumn("win_end", begin + P.WINDOW_S)
+            # a row whose window has fired is late; the delay is the disorder of this input, so there are none
+            waiting.write(bid, rows.where(~F.coalesce(passed(was["top"]), F.lit(False))))
+            new = waiting.read([bid]).agg(F.max("ts").alias("top"), F.max("win_end").alias("until")).first()
+            top = max((x for x in (was["top"], new["top"]) if x is not None), default=None)
+            every = waiting.read([*held, bid])
+            fired(every.where(passed(top) & ~passed(was["top"]))).write.mode("overwrite").parquet(H.batch_folder(run, bid))
+            if new["until"] is not None:
+                held[bid] = new["until"]
+            live = [(b, u) for b, u in held.items() if top is None or u > top - STREAM_DELAY_S]
+            ledger.write(bid, {"top": top, "live": live})
+        return H.foreach_batch(src, run, "win_elements_stream", write)
+    run = H.replay(spark, "win_elements", data, "arrival", N_BATCHES, start, flush=False)
+    out = H.read_batches(spark, run)
+    waiting, ledger = parts(run)
+    end = ledger.read(_last_batch(spark, ledger) if path_exists(spark, ledger.path) else -1)
+    still = waiting.read(x["batch"] for x in end["live"]).where(~passed(end["top"]))
+    return out.drop("batch").unionByName(fired(still))
+
+
+def _last_batch(spark, ledger):
+    path = spark._jvm.org.apache.hadoop.fs.Path(ledger.path)
+    names = [f.getPath().getName() for f in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)]
+    return max((int(n.removeprefix("batch")) for n in names), default=None)
 
 
 # ---- late data --------------------------------------------------------------------
@@ -401,32 +574,33 @@ def s_join_connected_stream(spark, sf):
 def _classified_stream(spark, sf, name: str, keep_late: bool):
     """Replay the arrivals and classify every row per record (on time /
     re-fire / too late) inside ``foreachBatch``.  The max event time of
-    earlier batches is carried in a small ledger keyed by batch id, so a
-    replayed batch reads the same carry; inside the batch the scan runs in
-    arrival order.  Writes the late rows (``keep_late``) or the kept rows."""
+    earlier batches is carried in a ledger, so a replayed batch reads the
+    same carry; inside the batch the scan runs in arrival order.  Writes the
+    late rows (``keep_late``) or the kept rows."""
+    cols = ["seq", "id", "ts", "vc", "arrival"]
+    order = ["arrival", "seq"]
+
+    def classified(rows, top):
+        cl = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S, order, carry_max=top)
+        out = cl.where(F.col("status") == "late") if keep_late else cl.where(F.col("status") != "late")
+        return out.select(*cols, "win_start", "win_end", "status")
+
     def start(src, run):
-        ledger = os.path.join(run.root, "ledger")
+        run.schema = classified(spark.createDataFrame([], src.select(*cols).schema), None).schema
+        ledger = Ledger(spark, os.path.join(run.root, "ledger"), "top bigint", {"top": None})
 
         def write(bdf, bid):
-            # only the first batch has no entry before it; any other read must succeed
-            prev = spark.read.parquet(os.path.join(ledger, f"batch={bid - 1}")).first()[0] if bid else None
-            rows = bdf.where(F.col("id") != H.FLUSH_KEY).select("seq", "id", "ts", "vc", "arrival").persist()
+            top = ledger.read(bid - 1)["top"]
+            rows = bdf.select(*cols).persist()
             try:
-                cl = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S,
-                                                        ["arrival", "seq"], carry_max=prev)
-                out = cl.where(F.col("status") == "late") if keep_late else cl.where(F.col("status") != "late")
-                out.select("seq", "id", "ts", "vc", "arrival", "win_start", "win_end", "status") \
-                    .write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
-                mx = rows.agg(F.max("ts")).first()[0]
+                classified(rows, top).write.mode("overwrite").parquet(H.batch_folder(run, bid))
+                seen = [x for x in (top, rows.agg(F.max("ts")).first()[0]) if x is not None]
             finally:
                 rows.unpersist()
-            seen = [x for x in (prev, mx) if x is not None]
-            spark.createDataFrame([(max(seen) if seen else None,)], "max_ts bigint") \
-                .write.mode("overwrite").parquet(os.path.join(ledger, f"batch={bid}"))
-        return (src.writeStream.queryName(name).foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
+            ledger.write(bid, {"top": max(seen, default=None)})
+        return H.foreach_batch(src, run, name, write)
     run = H.replay(spark, name, _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
-    return spark.read.parquet(run.sink).drop("batch")
+    return H.read_batches(spark, run).drop("batch")
 
 
 def s_late_side_output_stream(spark, sf):
@@ -438,17 +612,21 @@ def s_late_side_output_stream(spark, sf):
 def s_late_allowed_stream(spark, sf):
     """Allowed lateness on a stream: a window fires when the watermark passes its
     end and again for every row that is late but allowed; each firing is a row of
-    the sink with the window's value then.  Windows still open at the end of the
-    input fire there.  The result is the last firing of each window."""
+    the sink with the window's value then.  A batch writes the states of its own windows.
+    Windows still open at the end of the input fire there.  The result is the last
+    firing of each window."""
     keys = ["id", "win_start", "win_end"]
     on = F.col("status") == "on_time"
     aggs = [scan.Agg("cnt", "count"), scan.Agg("vc_sum", "sum", "vc"), scan.Agg("re", "sum", "is_re"),
             scan.Agg("on_cnt", "sum", "is_on"), scan.Agg("on_sum", "sum", "on_vc")]
     names = dict(zip((f"__s{i}" for i in range(len(aggs))), (x.name for x in aggs)))
-    cols = [*keys, "cnt", "vc_sum", "firings"]
+    order = ["arrival", "seq"]
+    rows_cols = ["seq", "id", "ts", "vc", "arrival"]
+    data = _arrivals(spark, sf)
 
-    def marked(rows):
-        return (rows.withColumn("is_re", F.when(on, 0).otherwise(1)).withColumn("is_on", F.when(on, 1).otherwise(0))
+    def marked(rows, top):
+        kept = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S, order, carry_max=top).where(F.col("status") != "late")
+        return (kept.withColumn("is_re", F.when(on, 0).otherwise(1)).withColumn("is_on", F.when(on, 1).otherwise(0))
                 .withColumn("on_vc", F.when(on, F.col("vc")).otherwise(0)))
 
     def first_firings(states):
@@ -456,49 +634,51 @@ def s_late_allowed_stream(spark, sf):
         return w.select(*keys, F.col("on_cnt").cast("bigint").alias("cnt"), F.col("on_sum").cast("bigint").alias("vc_sum"),
                         F.lit(1).cast("bigint").alias("firings"))
 
-    def passed(wm):
-        return F.col("win_end") * 1000 - 1 <= wm
+    def progress(top):
+        return None if top is None else top * 1000 - (P.DELAY_S * 1000 + 1)
+
+    def passed(wm, end):
+        return F.lit(False) if wm is None else end * 1000 - 1 <= wm
+
+    def log_of(run):
+        none = marked(spark.createDataFrame([], data.select(*rows_cols).schema), None)
+        return KeyedLog(spark, os.path.join(run.root, "windows"), scan.end_states(none, keys, order, aggs).schema)
+
+    def ledger_of(run):
+        return Ledger(spark, os.path.join(run.root, "ledger"), "top bigint", {"top": None})
 
     def start(src, run):
-        path = os.path.join(run.root, "windows")
+        log, ledger = log_of(run), ledger_of(run)
+        run.schema = first_firings(spark.createDataFrame([], log.schema)).schema
 
         def write(bdf, bid):
-            before = spark.read.parquet(f"{path}/batch{bid - 1}") if bid else None
-            prev = spark.read.parquet(f"{path}/max{bid - 1}").first()[0] if bid else None
-            rows = bdf.select("seq", "id", "ts", "vc", "arrival").persist()
+            was = ledger.read(bid - 1)["top"]
+            rows = bdf.select(*rows_cols).persist()
             try:
-                seen = [x for x in (prev, rows.agg(F.max("ts")).first()[0]) if x is not None]
-                wm = max(seen) * 1000 - (P.DELAY_S * 1000 + 1) if seen else None
-                was = prev * 1000 - (P.DELAY_S * 1000 + 1) if prev is not None else eventtime.LONG_MIN
-                spark.createDataFrame([(max(seen) if seen else None,)], "max_ts bigint") \
-                    .write.mode("overwrite").parquet(f"{path}/max{bid}")
-                here = marked(eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S, ["arrival", "seq"],
-                                                                 carry_max=prev).where(F.col("status") != "late"))
-                after = scan.end_states(here, keys, ["arrival", "seq"], aggs, initial=before)
-                after.write.mode("overwrite").parquet(f"{path}/all{bid}")
-                after = spark.read.parquet(f"{path}/all{bid}")
-                run_through = scan.running(here, keys, ["arrival", "seq"], aggs, initial=before)
-                again = run_through.where("is_re = 1").select(
+                top = max((x for x in (was, rows.agg(F.max("ts")).first()[0]) if x is not None), default=None)
+                ledger.write(bid, {"top": top})
+                wm, wm_was = progress(top), progress(was)
+                here = marked(rows, was)
+                before = log.read(bid, here.select(scan.key_column(keys)))
+                end = F.col(f"{scan.KEY}.win_end")
+                # a window whose allowed lateness is over is never read again
+                log.write(bid, scan.end_states(here, keys, order, aggs, initial=before), passed(wm, end + P.LATENESS_S))
+                again = scan.running(here, keys, order, aggs, initial=before).where("is_re = 1").select(
                     *keys, "cnt", F.col("vc_sum").cast("bigint"),
                     (F.col("re") + (F.col("on_cnt") > 0).cast("int")).cast("bigint").alias("firings"))
-                fires = first_firings(after)
-                fires = fires.where(passed(wm) & ~passed(was)) if wm is not None else fires.limit(0)
-                again.unionByName(fires).write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
-                # a window whose allowed lateness is over is never read again
-                gone = F.col(f"{scan.KEY}.win_end") * 1000 - 1 + P.LATENESS_S * 1000 <= (wm if wm is not None else eventtime.LONG_MIN)
-                after.where(~gone).write.mode("overwrite").parquet(f"{path}/batch{bid}")
+                fires = first_firings(log.read(bid + 1).where(passed(wm, end) & ~passed(wm_was, end)))
+                again.unionByName(fires).write.mode("overwrite").parquet(H.batch_folder(run, bid))
             finally:
                 rows.unpersist()
-        return (src.writeStream.queryName("late_allowed_stream").foreachBatch(write)
-                .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
-    run = H.replay(spark, "late_allowed", _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
-    fired = spark.read.parquet(run.sink).drop("batch").select(*cols)
-    last = spark.read.parquet(run.sink).agg(F.max("batch")).first()[0]
-    path = os.path.join(run.root, "windows")
-    top = spark.read.parquet(f"{path}/max{last}").first()[0]
-    still = first_firings(spark.read.parquet(f"{path}/batch{last}")).where(~passed(top * 1000 - (P.DELAY_S * 1000 + 1)))
-    every = fired.unionByName(still)
-    return every.groupBy(*keys).agg(F.max(F.struct("firings", "cnt", "vc_sum")).alias("f")).select(
+        return H.foreach_batch(src, run, "late_allowed_stream", write)
+    run = H.replay(spark, "late_allowed", data, "arrival", N_BATCHES, start, flush=False)
+    fired = H.read_batches(spark, run)
+    ledger = ledger_of(run)
+    last = _last_batch(spark, ledger) if path_exists(spark, ledger.path) else None
+    if last is not None:
+        open_ = log_of(run).read(last + 1).where(~passed(progress(ledger.read(last)["top"]), F.col(f"{scan.KEY}.win_end")))
+        fired = fired.drop("batch").unionByName(first_firings(open_))
+    return fired.groupBy(*keys).agg(F.max(F.struct("firings", "cnt", "vc_sum")).alias("f")).select(
         *keys, "f.cnt", "f.vc_sum", "f.firings")
 
 
@@ -519,6 +699,9 @@ _TWINS = {
     "split_routes_stream": "split_routes", "union_all_stream": "union_all",
     "table_to_append_stream": "sql_filter", "join_window_stream": "join_window",
     "join_interval_stream": "join_interval", "join_connected_stream": "join_connected",
+    "top2_changelog_stream": "top2_changelog", "ttl_stream": "ttl_event_time", "win_global_trigger_stream": "win_global_trigger",
+    "join_interval_late_stream": "join_interval_late", "join_late_sides_stream": "join_late_sides",
+    "win_elements_stream": "win_elements",
     "late_side_output_stream": "late_side_output", "late_allowed_stream": "late_allowed",
 }
 STREAM_ORACLE = {k: ORACLE[v] for k, v in _TWINS.items()}

@@ -1,9 +1,9 @@
 """Replay a table as a stream, in a given arrival order, through a real
 Structured Streaming query, and read its sink back.
 
-* The table is cut into micro-batches by quantiles of the order column
-  (computed distributedly; only the cut points reach the driver), at most
-  about ``ROWS_PER_BATCH`` rows each, and staged once, partitioned by batch.
+* The table is cut into micro-batches by ranges of the order column (Spark's range
+  partitioner finds the cuts, nothing of them reaches the driver), of at most about
+  ``ROWS_PER_BATCH`` rows each, and staged once, partitioned by batch.
   Rows without a place in the order are in the first batch.
 * A staged batch is handed to the source by renaming its folder, not by a
   second copy.
@@ -15,12 +15,15 @@ Structured Streaming query, and read its sink back.
 * ``restart_each_batch=True``: the query is restarted from the checkpoint
   for every batch, so batch boundaries are exact and every run after the
   first is a recovery (used by the restart / exactly-once keys).
-* Event-time queries need a final watermark to flush their last windows; a
-  sentinel row (key ``__flush__``, far-future time) is appended at the end
-  and dropped from the result.
+* Event-time queries need a final watermark to close their last windows: a
+  sentinel row without key and far in the future ends the input.  Its own
+  window never closes, so no row of it can reach an append sink and nothing
+  has to be filtered out of the result.
 * Sinks are idempotent: append mode uses the file sink (exactly-once via its
   commit log); update mode writes each micro-batch to its own
   ``batch=<id>`` folder with overwrite, so a replayed batch replaces itself.
+* Sinks are read with the schema of what was written: a stream without rows
+  gives an empty table.
 
 All folders live under the shared checkpoint root (``spark.checkpoint.dir``).
 """
@@ -36,12 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sensorflow.session import scratch_path
+from sensorflow.session import path_exists, scratch_path
 from sensorflow.sources.files import text_stream
 
-FLUSH_KEY = "__flush__"
 FLUSH_TS = 4102444800          # 2100-01-01, far beyond any test row
 ROWS_PER_BATCH = 5_000_000
+TASKS_PER_BATCH = 4
 BATCH = "__batch"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -54,6 +57,7 @@ class Run:
     checkpoint: str
     sink: str
     trigger: dict | None = None
+    schema: T.StructType | None = None   # of the sink's rows
 
     def writer_trigger(self) -> dict:
         return self.trigger or {"availableNow": True}
@@ -66,27 +70,20 @@ class Run:
 
 
 def stage(df: DataFrame, order_col: str, n_batches: int, path: str, text_col: str | None = None) -> int:
-    """Write ``df`` partitioned by micro-batch number (by ``order_col`` quantiles)."""
+    """Write ``df`` partitioned by micro-batch number (ranges of ``order_col``, equal places together)."""
     n_batches = max(n_batches, -(-df.count() // ROWS_PER_BATCH))
-    cuts = sorted(set(df.approxQuantile(order_col, [i / n_batches for i in range(1, n_batches)], 0.1 / n_batches)))
-    at = F.coalesce(F.aggregate(F.array(*map(F.lit, cuts)).cast("array<double>"), F.lit(0),
-                                lambda n, c: n + (F.col(order_col) >= c).cast("int")), F.lit(0))
-    writer = (df.withColumn(BATCH, at) if text_col is None else df.select(text_col, at.alias(BATCH)))
-    writer = writer.write.mode("overwrite").partitionBy(BATCH)
+    dealt = df.repartitionByRange(n_batches * TASKS_PER_BATCH, F.col(order_col).asc_nulls_first())
+    dealt = dealt.withColumn(BATCH, F.floor(F.spark_partition_id() / TASKS_PER_BATCH).cast("int"))
     if text_col is None:
-        writer.parquet(path)
+        dealt.write.mode("overwrite").partitionBy(BATCH).parquet(path)
     else:
-        writer.option("lineSep", "\n").text(path)
-    return len(cuts) + 1
+        dealt.select(text_col, BATCH).write.mode("overwrite").partitionBy(BATCH).option("lineSep", "\n").text(path)
+    return n_batches
 
 
-def sentinel(spark: SparkSession, schema: T.StructType, key_col: str = "id",
-             overrides: dict | None = None) -> DataFrame:
-    """One row of ``schema`` with the flush key and far-future times."""
-    vals = {key_col: F.lit(FLUSH_KEY), "ts": F.lit(FLUSH_TS), "arrival": F.lit(FLUSH_TS),
-            "t": F.timestamp_seconds(F.lit(FLUSH_TS)), "seq": F.lit(-1), "vc": F.lit(0),
-            "value": F.lit(f"{FLUSH_KEY},{FLUSH_TS},0")}
-    vals.update(overrides or {})
+def sentinel(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """One row of ``schema`` with far-future times and nothing else."""
+    vals = {"ts": F.lit(FLUSH_TS), "arrival": F.lit(FLUSH_TS), "t": F.timestamp_seconds(F.lit(FLUSH_TS))}
     cols = [(vals.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in schema.fields]
     return spark.range(1).select(*cols)
 
@@ -169,9 +166,8 @@ def _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush
         s = sentinel(spark, schema)
         end = f"{run.source}/flush"
         if fmt == "text":
-            s.select(text_col).write.text(end)
-        else:
-            s.write.parquet(end)
+            raise ValueError("a stream of text has no event time to flush")
+        s.write.parquet(end)
         # final run from the checkpoint: the sentinel plus the no-data batch that
         # lets the last windows close
         _await(start(source(), run), timeout_s)
@@ -180,35 +176,51 @@ def _replay(spark, name, data, order_col, n_batches, start, fmt, text_col, flush
 
 # ---- sinks -------------------------------------------------------------------
 
-def append_sink(df: DataFrame, run: Run, name: str, trigger_once: bool = True) -> StreamingQuery:
+def append_sink(df: DataFrame, run: Run, name: str) -> StreamingQuery:
+    run.schema = df.schema
     w = (df.writeStream.format("parquet").outputMode("append").queryName(name)
          .option("path", run.sink).option("checkpointLocation", run.checkpoint))
     return w.trigger(**run.writer_trigger()).start()
 
 
+def batch_folder(run: Run, bid: int) -> str:
+    return os.path.join(run.sink, f"batch={bid}")
+
+
 def batch_folder_sink(df: DataFrame, run: Run, name: str, mode: str = "update") -> StreamingQuery:
     """Update/complete output: every micro-batch lands in ``sink/batch=<id>``
     (overwrite -> a replayed batch replaces its own output)."""
+    run.schema = df.schema
+
     def write(bdf: DataFrame, bid: int) -> None:
-        bdf.write.mode("overwrite").parquet(os.path.join(run.sink, f"batch={bid}"))
+        bdf.write.mode("overwrite").parquet(batch_folder(run, bid))
+    return foreach_batch(df, run, name, write, mode)
 
+
+def foreach_batch(df: DataFrame, run: Run, name: str, write: Callable[[DataFrame, int], None],
+                  mode: str = "append") -> StreamingQuery:
     return (df.writeStream.outputMode(mode).queryName(name).foreachBatch(write)
             .option("checkpointLocation", run.checkpoint).trigger(**run.writer_trigger()).start())
 
 
-def read_append(spark: SparkSession, run: Run, key_col: str | None = "id") -> DataFrame:
-    out = spark.read.parquet(run.sink)
-    if key_col and key_col in out.columns:
-        out = out.where(F.col(key_col).isNull() | (F.col(key_col) != FLUSH_KEY))
-    return out
+def read_append(spark: SparkSession, run: Run) -> DataFrame:
+    """The rows of the sink; none if nothing was written."""
+    if not path_exists(spark, run.sink):
+        return spark.createDataFrame([], run.schema)
+    return spark.read.schema(run.schema).parquet(run.sink)
+
+
+def read_batches(spark: SparkSession, run: Run) -> DataFrame:
+    """The rows of the ``batch=<id>`` folders, with the column ``batch``."""
+    schema = T.StructType([*run.schema.fields, T.StructField("batch", T.LongType())])
+    if not path_exists(spark, run.sink):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(run.sink)
 
 
 def read_latest(spark: SparkSession, run: Run, keys: list[str]) -> DataFrame:
     """Last emitted row per key across the update-mode batches."""
-    out = spark.read.parquet(run.sink)
-    cols = [c for c in out.columns if c != "batch"]
-    latest = out.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in cols if c not in keys]), "batch").alias("r"))
-    res = latest.select(*keys, "r.*")
-    if "id" in keys:
-        res = res.where(F.col("id") != FLUSH_KEY)
-    return res
+    out = read_batches(spark, run)
+    cols = [f.name for f in run.schema if f.name not in keys]
+    latest = out.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch").alias("r"))
+    return latest.select(*keys, "r.*")
