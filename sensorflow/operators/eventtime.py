@@ -17,6 +17,8 @@ order, carried over the ranges), never with an un-partitioned window over rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,49 @@ def watermark_trace(df: DataFrame, delay_s: int, order: list[str], time_col: str
              .drop("__max_before", "__max_after"))
 
 
+def periodic_watermark(df: DataFrame, delay_s: int, period_s: int, arrival: str = "arrival", time_col: str = "ts") -> DataFrame:
+    """Add ``wm_before_ms`` as a generator gives it that emits every ``period_s`` seconds of arrival time.
+
+    A record meets the watermark of the last tick at or before its arrival: the maximum over the
+    rows that arrived before that tick.  One maximum per tick is carried over the ticks and
+    joined back, so a tick that nothing arrives in costs nothing."""
+    rows = df.withColumn("__tick", F.floor(F.col(arrival) / period_s))
+    per_tick = rows.groupBy("__tick").agg(F.max(time_col).alias("__max"))
+    before = running(per_tick, [], ["__tick"], [Agg("__top", "max", "__max", exclusive=True)]).select(
+        F.col("__tick").alias("__t"), "__top")
+    wm = F.when(F.col("__top").isNull(), F.lit(LONG_MIN)).otherwise(F.col("__top") * 1000 - (delay_s * 1000 + 1))
+    return (rows.join(before, F.col("__tick").eqNullSafe(F.col("__t")), "left").withColumn("wm_before_ms", wm)
+            .drop("__tick", "__t", "__top"))
+
+
+def idle_watermark(df: DataFrame, delay_s: int, idle_s: int, source: str, sources: list, order: list[str],
+                   arrival: str = "arrival", time_col: str = "ts", carry: Callable = running) -> DataFrame:
+    """Add ``wm_before_ms``, the watermark of several inputs of which idle ones do not hold it back.
+
+    An input is idle for a record when its own last row (or, before its first, the first row of all)
+    arrived more than ``idle_s`` seconds before.  Progress is the minimum of the latest times of
+    the inputs that are not idle; while one of these has no row yet there is none.  The watermark never
+    goes back, also not when an idle input returns."""
+    rows = df
+    aggs = [Agg("__begin", "min", arrival)]
+    for i, s in enumerate(sources):
+        mine = F.col(source).eqNullSafe(F.lit(s))
+        rows = (rows.withColumn(f"__t{i}", F.when(mine, F.col(time_col))).withColumn(f"__a{i}", F.when(mine, F.col(arrival))))
+        aggs += [Agg(f"__top{i}", "max", f"__t{i}", exclusive=True), Agg(f"__last{i}", "max", f"__a{i}", exclusive=True)]
+    r = carry(rows, [], order, aggs)
+    now = F.col(arrival)
+    awake = [now - F.coalesce(f"__last{i}", "__begin") <= idle_s for i in range(len(sources))]
+    silent = F.lit(False)  # an input that may still come with anything
+    for i, a in enumerate(awake):
+        silent = silent | (a & F.col(f"__top{i}").isNull())
+    tops = F.array_min(F.array_compact(F.array(*[F.when(a, F.col(f"__top{i}")) for i, a in enumerate(awake)])))
+    r = r.withColumn("__min", F.when(~silent, tops))
+    made = [f"__{x}{i}" for i in range(len(sources)) for x in ("t", "a", "top", "last")]
+    r = carry(r.drop(*made, "__begin"), [], order, [Agg("__wm", "max", "__min")])
+    wm = F.when(F.col("__wm").isNull(), F.lit(LONG_MIN)).otherwise(F.col("__wm") * 1000 - (delay_s * 1000 + 1))
+    return r.withColumn("wm_before_ms", wm).drop("__min", "__wm")
+
+
 def classify_window_lateness(df: DataFrame, size_s: int, delay_s: int, lateness_s: int,
                              order: list[str], time_col: str = "ts",
                              carry_max: int | None = None) -> DataFrame:

@@ -5,8 +5,8 @@ task; with one key holding a third of the data that is one task reading a
 third of the cluster's input.  ``running`` works on two levels, all of it in
 native expressions and lazy:
 
-1. the order is cut into ``buckets`` ranges of its first column, between the
-   column's minimum and maximum (a scalar subquery of the same plan);
+1. the order is cut into ``buckets`` ranges of its first column, between quantiles
+   of the column (a scalar subquery of the same plan);
 2. ``groupBy(key, bucket)`` reduces each bucket of a key to one state, with
    partial aggregation on the map side;
 3. a window over the few states of a key carries them forward: the state of
@@ -34,8 +34,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEY, BUCKET = "__key", "__bucket"
+PLACE, CUTS = "__place", "__cuts"
 BEFORE = -2  # the bucket of states from earlier input
-BUCKETS = 4096
+BUCKETS, PARTS = 4096, 32
 
 
 @dataclass(frozen=True)
@@ -100,14 +101,25 @@ def key_column(keys: list[str]) -> Column:
 
 
 def with_buckets(df: DataFrame, keys: list[str], order: list[str], buckets: int = BUCKETS) -> DataFrame:
-    """Adds the key (null-safe, one column) and the bucket of each row's place in the order."""
+    """Adds the key (null-safe, one column) and the bucket of each row's place in the order.
+
+    The order is cut at quantiles of its first column, each part into buckets of equal width.
+    A part holds about 1 / ``PARTS`` of the rows wherever they lie, and both ends are parts of
+    their own: a far-off place (a sentinel date, an epoch-0 row) widens no bucket but its own."""
     x = _number(F.col(order[0]), df.schema[order[0]].dataType).cast("double")
-    ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("e")).scalar()
-    share = (x - ends["lo"]) / F.nullif(ends["hi"] - ends["lo"], F.lit(0.0))
-    bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("bigint")).cast("int")
+    parts = min(PARTS, buckets)
+    width = max(1, buckets // parts)
+    shares = [1 / (4 * buckets), *(i / parts for i in range(1, parts)), 1 - 1 / (4 * buckets)]
+    cuts = df.agg(F.percentile_approx(x, shares, max(10_000, 8 * buckets)).alias("c")).scalar()
+    part = F.expr(" + ".join(f"int({PLACE} >= {CUTS}[{i}])" for i in range(len(shares))))
+    rows = (df.withColumn(KEY, key_column(keys)).withColumn(PLACE, x).withColumn(CUTS, cuts)
+            .withColumn(BUCKET, F.coalesce(part, F.lit(-1))))
+    x = F.col(PLACE)
+    low, high = F.get(CUTS, F.col(BUCKET) - 1), F.get(CUTS, F.col(BUCKET))
+    inside = F.floor((x - low) / F.nullif(high - low, F.lit(0.0)) * width)
+    inside = F.coalesce(F.greatest(F.least(inside, F.lit(width - 1)), F.lit(0)), F.lit(0)).cast("int")
     # rows without a place come first, as they do in the sort
-    at = F.when(x.isNull(), F.lit(-1)).otherwise(F.coalesce(bucket, F.lit(0)))
-    return df.withColumn(KEY, key_column(keys)).withColumn(BUCKET, at)
+    return rows.withColumn(BUCKET, F.when(F.col(BUCKET) < 0, F.lit(-1)).otherwise(F.col(BUCKET) * width + inside)).drop(PLACE, CUTS)
 
 
 def _states(rows: DataFrame, plain: list[Agg], order: list[str], initial: DataFrame | None) -> tuple[DataFrame, list]:

@@ -16,7 +16,7 @@ from sensorflow.functions.scalar import epoch_ms_format, java_hash, java_split
 from sensorflow.operators import (bridge, distribution, eventtime, joins, keyed, state, topn,
                                   transforms, windows)
 from sensorflow.plans import params as P
-from sensorflow.session import prepare
+from sensorflow.session import prepare, scratch_path
 from sensorflow.sinks import files as file_sinks
 from sensorflow.sinks import queues, tables as table_sinks
 from sensorflow.sources import tables as T
@@ -217,15 +217,21 @@ def q_part_round_robin(spark, sf):
 
 
 def q_part_rescale(spark, sf):
-    """Neighbouring partitions merged without a shuffle: no input partition is cut."""
-    s = _rows(_sensor(spark, sf)).withColumn("from", F.spark_partition_id())
-    d = distribution.rescale(s, _parts(spark)).withColumn("pid", F.spark_partition_id())
-    per = d.groupBy("from").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("pid").alias("into"))
-    return per.agg(F.sum("n").alias("n_rows"), (F.max("into") == 1).alias("whole"))
+    """Neighbouring partitions merged without a shuffle: no input partition is cut, every target takes several."""
+    n = _parts(spark)
+    s = _rows(_sensor(spark, sf)).repartition(3 * n).withColumn("from", F.spark_partition_id())
+    d = distribution.rescale(s, n).withColumn("pid", F.spark_partition_id())
+    pairs = d.groupBy("from", "pid").agg(F.count(F.lit(1)).alias("n"))
+    per = pairs.groupBy("from").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("into"))
+    total = per.agg(F.sum("n").alias("n_rows"), (F.max("into") == 1).alias("whole"))
+    merged = pairs.groupBy("pid").agg(F.count(F.lit(1)).alias("took")).agg((F.min("took") >= 2).alias("merged"))
+    return total.withColumn("merged", merged.scalar())
 
 
 def q_part_replicate(spark, sf):
-    d = distribution.replicate(_rows(_sensor(spark, sf)), P.N_PARTS)
+    """A dimension, not the facts, to every partition: each replica is whole and where it belongs."""
+    prepare(spark)
+    d = distribution.replicate(T.table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), P.N_PARTS)
     d = d.withColumn("pid", F.spark_partition_id())
     return d.groupBy("replica").agg(F.count(F.lit(1)).alias("cnt"),
                                     F.sum((F.col("pid") != F.col("replica")).cast("bigint")).alias("misplaced"))
@@ -450,6 +456,20 @@ def q_watermark_trace(spark, sf):
     return eventtime.watermark_trace(a, P.DELAY_S, ARRIVAL_ORDER)
 
 
+def q_watermark_periodic(spark, sf):
+    """Late rows under a generator that emits on a tick grid; fewer than with one that emits at every record."""
+    a = _arrivals(spark, sf).select("seq", "arrival", "ts")
+    r = eventtime.periodic_watermark(a, P.DELAY_S, P.EMIT_S)
+    end_ms = (F.col("ts") - F.pmod(F.col("ts"), F.lit(P.WINDOW_S)) + P.WINDOW_S) * 1000
+    return r.withColumn("late", F.col("wm_before_ms") >= end_ms - 1)
+
+
+def q_watermark_idle(spark, sf):
+    """Two inputs, even and odd levels; the odd one falls silent at the cut and holds the watermark back no longer."""
+    a = _arrivals(spark, sf).select("seq", "arrival", "ts", F.when(F.col("ts") > P.TS_CUT, 0).otherwise(F.col("vc") % 2).alias("input"))
+    return eventtime.idle_watermark(a, P.DELAY_S, P.IDLE_S, "input", [0, 1], ARRIVAL_ORDER)
+
+
 def q_late_side_output(spark, sf):
     a = _arrivals(spark, sf).select("seq", "id", "ts", "vc", "arrival")
     _, late = eventtime.late_split(a, P.WINDOW_S, P.DELAY_S, P.LATENESS_S, ARRIVAL_ORDER)
@@ -474,6 +494,12 @@ def q_sink_bucketed_files(spark, sf):
     return file_sinks.read_bucket_counts(spark, out)
 
 
+def q_sink_rolled_files(spark, sf):
+    rolling = file_sinks.Rolling(P.FILE_PREFIX, P.FILE_SUFFIX, P.FILE_BYTES, P.FILE_EVERY_S, 86400, "yyyy-MM-dd")
+    lines = file_sinks.rolled_lines(_sensor(spark, sf), rolling)
+    return file_sinks.read_rolled_files(spark, file_sinks.write_rolled_text(lines, scratch_path(spark, "rolled-text")))
+
+
 def q_sink_kafka_records(spark, sf):
     s = _sensor(spark, sf)
     return queues.value_records(s.select(T.sensor_line(s).alias("value")), P.TOPIC)

@@ -120,10 +120,10 @@ ORACLE: dict[str, str] = {
     "part_by_key": S + "SELECT DISTINCT id, CAST(1 AS BIGINT) AS n_partitions FROM sensor",
     "part_round_robin": S + "SELECT count(*) AS n_rows, true AS balanced FROM sensor",
     "part_replicate": S + (f"SELECT CAST(r.range AS INTEGER) AS replica, c.cnt, CAST(0 AS BIGINT) AS misplaced "
-                           f"FROM range({P.N_PARTS}) r, (SELECT count(*) AS cnt FROM sensor) c"),
+                           f"FROM range({P.N_PARTS}) r, (SELECT count(*) AS cnt FROM supplier) c"),
     "part_custom": S + "SELECT DISTINCT id, true AS as_asked FROM sensor",
     "part_random": S + "SELECT count(*) AS n_rows, true AS all_used, true AS balanced FROM sensor",
-    "part_rescale": S + "SELECT count(*) AS n_rows, true AS whole FROM sensor",
+    "part_rescale": S + "SELECT count(*) AS n_rows, true AS whole, true AS merged FROM sensor",
     # ---- windows ----
     "win_elements": S + (f"SELECT seq, id, ts, vc, {_tumble('ts', P.WINDOW_S)} AS win_start, {_tumble('ts', P.WINDOW_S)} + {P.WINDOW_S} AS win_end, "
                          f"count(*) OVER (PARTITION BY id, {_tumble('ts', P.WINDOW_S)}) AS cnt FROM sensor"),
@@ -253,6 +253,20 @@ ORACLE: dict[str, str] = {
     "watermark_trace": SA + ("SELECT seq, arrival, ts, coalesce(max(ts) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) * 1000 "
                              f"- {P.DELAY_S * 1000 + 1}, -9223372036854775808) AS wm_before_ms, "
                              f"max(ts) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 1000 - {P.DELAY_S * 1000 + 1} AS wm_after_ms FROM arrivals"),
+    "watermark_periodic": SA + (
+        f", t AS (SELECT seq, arrival, ts, max(ts) OVER (ORDER BY arrival // {P.EMIT_S} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM arrivals), "
+        f"w AS (SELECT seq, arrival, ts, coalesce(top * 1000 - {P.DELAY_S * 1000 + 1}, -9223372036854775808) AS wm_before_ms FROM t) "
+        f"SELECT *, wm_before_ms >= ({_tumble('ts', P.WINDOW_S)} + {P.WINDOW_S}) * 1000 - 1 AS late FROM w"),
+    "watermark_idle": SA + (
+        f", i AS (SELECT seq, arrival, ts, CASE WHEN ts > {P.TS_CUT} THEN 0 ELSE vc % 2 END AS input FROM arrivals), "
+        + "o AS (SELECT *, min(arrival) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b, "
+        + ", ".join(f"max(CASE WHEN input = {k} THEN ts END) OVER p AS t{k}, max(CASE WHEN input = {k} THEN arrival END) OVER p AS a{k}" for k in (0, 1))
+        + " FROM i WINDOW p AS (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), "
+        + f"w AS (SELECT *, arrival - coalesce(a0, b) <= {P.IDLE_S} AS on0, arrival - coalesce(a1, b) <= {P.IDLE_S} AS on1 FROM o), "
+        "m AS (SELECT *, CASE WHEN (on0 AND t0 IS NULL) OR (on1 AND t1 IS NULL) THEN NULL "
+        "WHEN on0 AND on1 THEN least(t0, t1) WHEN on0 THEN t0 WHEN on1 THEN t1 END AS raw FROM w) "
+        "SELECT seq, arrival, ts, input, coalesce(max(raw) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 1000 "
+        f"- {P.DELAY_S * 1000 + 1}, -9223372036854775808) AS wm_before_ms FROM m"),
     "late_side_output": _win_lateness_cte() + "SELECT seq, id, ts, vc, arrival, win_start FROM cl WHERE status = 'late'",
     "late_allowed": _win_lateness_cte() + ("SELECT id, win_start, win_end, count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS vc_sum, "
                                            "CAST(max(CASE WHEN status = 'on_time' THEN 1 ELSE 0 END) + sum(CASE WHEN status = 'refire' THEN 1 ELSE 0 END) AS BIGINT) AS firings "
@@ -260,6 +274,12 @@ ORACLE: dict[str, str] = {
     # ---- sources / sinks ----
     "src_parse_lines": S + "SELECT seq, id, ts, vc FROM sensor",
     "sink_bucketed_files": S + ("SELECT strftime(make_timestamp(ts * 1000000), '%Y-%m-%d %H') AS bucket, count(*) AS cnt FROM sensor GROUP BY 1"),
+    "sink_rolled_files": S + (
+        f", l AS (SELECT strftime(make_timestamp(ts * 1000000), '%Y-%m-%d') AS bucket, (ts % 86400) // {P.FILE_EVERY_S} AS part, ts, seq, "
+        "octet_length(encode(concat_ws(',', id, ts, vc))) + 1 AS size FROM sensor), "
+        "c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY bucket, part ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM l) "
+        f"SELECT bucket, '{P.FILE_PREFIX}-' || CAST(part AS VARCHAR) || '-' || CAST(CAST(before AS BIGINT) // {P.FILE_BYTES} AS VARCHAR) || '{P.FILE_SUFFIX}' AS file, "
+        "count(*) AS cnt, CAST(sum(size) AS BIGINT) AS n_bytes FROM c GROUP BY 1, 2"),
     "sink_kafka_records": S + f"SELECT '{P.TOPIC}' AS topic, concat_ws(',', id, ts, vc) AS value FROM sensor",
     "sink_kafka_keyed": S + f"SELECT '{P.TOPIC}' AS topic, id AS key, concat_ws(',', id, ts, vc) AS value FROM sensor",
     "sink_table_insert": S + "SELECT seq, id, ts, vc FROM sensor",

@@ -25,3 +25,8 @@ TOPK_RUNNING = 3
 TOPIC = "sensor"
 TRIGGER_EVERY = 3        # global window: fire at every third record
 TRIGGER_VC = 80          # global window: fire when vc > 80
+EMIT_S = 7200            # period of the periodic watermark generator (arrival time)
+IDLE_S = 14400           # an input without rows for so long does not hold the watermark back
+FILE_PREFIX, FILE_SUFFIX = "sensor", ".log"
+FILE_BYTES = 1500        # roll a row file at this size
+FILE_EVERY_S = 21600     # and after so many seconds of its bucket

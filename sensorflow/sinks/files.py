@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.session import scratch_path
+from sensorflow.operators.scan import Agg, running
+from sensorflow.session import remove_path, scratch_path
 from sensorflow.sources.tables import sensor_line
 
 BUCKET_FORMAT = "yyyy-MM-dd HH"
@@ -18,19 +21,86 @@ def bucketed_lines(df: DataFrame, time_col: str = "t") -> DataFrame:
 
 
 def write_bucketed_text(df: DataFrame, spark: SparkSession, path: str | None = None,
-                        max_records_per_file: int = 100_000, salts: int = 4) -> str:
+                        max_records_per_file: int = 100_000) -> str:
     """Batch write: one directory per hour bucket, files rolled by row count.
 
-    Rows are dealt by (bucket, salt) first, so a bucket is written by at most
-    ``salts`` tasks and not by every one."""
+    Rows are dealt by ranges of (bucket, hash): a task writes a few neighbouring buckets whole,
+    and a bucket with many rows is written by as many tasks as its share asks for."""
     path = path or scratch_path(spark, "bucketed-text")
     lines = bucketed_lines(df)
-    dealt = lines.repartition("bucket", F.pmod(F.xxhash64("value"), F.lit(salts)))
+    dealt = lines.repartitionByRange("bucket", F.xxhash64("value"))
     (dealt.write.mode("overwrite").partitionBy("bucket")
      .option("maxRecordsPerFile", max_records_per_file).text(path))
     return path
 
 
+@dataclass(frozen=True)
+class Rolling:
+    """Names and ends of row files: ``<prefix>-<part>-<number><suffix>``.
+
+    A bucket is a folder of ``bucket_s`` seconds, named by ``bucket_format``.  A file takes the rows of
+    one bucket and of ``every_s`` seconds of it (its part), until it holds ``max_bytes``; the line that
+    passes the limit is its last."""
+
+    prefix: str = "part"
+    suffix: str = ".txt"
+    max_bytes: int = 1 << 20
+    every_s: int | None = None
+    bucket_s: int = 3600
+    bucket_format: str = BUCKET_FORMAT
+
+
+def rolled_lines(df: DataFrame, rolling: Rolling, time_col: str = "ts", order: list[str] | None = None,
+                 line: Column | None = None) -> DataFrame:
+    """(bucket, file, value): the text line of each record, its bucket and the name of its file.
+
+    A record's file is the number of whole limits in the bytes before it in (bucket, part), a
+    running sum in ``order``: the files do not depend on how the rows are dealt, and a bucket with
+    a third of all rows is no task's work."""
+    value = sensor_line(df) if line is None else line
+    at = F.pmod(F.col(time_col), F.lit(rolling.bucket_s))
+    part = F.floor(at / rolling.every_s).cast("int") if rolling.every_s else F.lit(0)
+    rows = df.select(F.date_format(F.timestamp_seconds(time_col), rolling.bucket_format).alias("bucket"), part.alias("part"),
+                     *[F.col(c) for c in (order or [time_col, "seq"])], value.alias("value"))
+    rows = rows.withColumn("size", F.octet_length("value") + 1)
+    r = running(rows, ["bucket", "part"], order or [time_col, "seq"], [Agg("before", "sum", "size", exclusive=True)])
+    number = F.floor(F.coalesce("before", F.lit(0)) / rolling.max_bytes).cast("int")
+    name = F.concat(F.lit(f"{rolling.prefix}-"), F.col("part").cast("string"), F.lit("-"), number.cast("string"), F.lit(rolling.suffix))
+    return r.select("bucket", name.alias("file"), "value")
+
+
+def write_rolled_text(lines: DataFrame, path: str) -> str:
+    """Writes (bucket, file, value) as ``path/bucket=<bucket>/<file>``.
+
+    Spark writes below ``_staging``, which readers pass over, one folder per file; each file then gets
+    its name by a rename.  A second run with the same rows puts the same files in place."""
+    spark = lines.sparkSession
+    staging = f"{path}/_staging"
+    # all rows of a file go to one task: a file is bounded by its limit
+    (lines.repartition("bucket", "file").write.mode("overwrite").partitionBy("bucket", "file")
+     .option("maxRecordsPerFile", 0).text(staging))
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(Path(f"{staging}/bucket=*/file=*/part-*")):
+        folder = found.getPath().getParent()
+        target = Path(f"{path}/{folder.getParent().getName()}")
+        fs.mkdirs(target)
+        to = Path(target, folder.getName().removeprefix("file="))
+        fs.delete(to, False)
+        if not fs.rename(found.getPath(), to):
+            raise RuntimeError(f"could not put {to} in place")
+    remove_path(spark, staging)
+    return path
+
+
+def read_rolled_files(spark: SparkSession, path: str) -> DataFrame:
+    """(bucket, file, cnt, n_bytes) of the files that are in place."""
+    back = spark.read.schema("value string, bucket string").text(path)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return back.groupBy("bucket", name.alias("file")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum(F.octet_length("value") + 1).cast("bigint").alias("n_bytes"))
+
+
 def start_bucketed_text_stream(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                                max_records_per_file: int = 100_000, salts: int = 4):
     """Streaming write: files finalise per micro-batch (exactly-once via the

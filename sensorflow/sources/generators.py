@@ -51,8 +51,12 @@ def datagen(spark: SparkSession, spec: dict[str, tuple], rows: int | None = None
 
 
 def datagen_stream(spark: SparkSession, spec: dict[str, tuple], rows_per_second: int = 1, seed: int = 42) -> DataFrame:
-    """Streaming generator on the ``rate`` source (sequence fields follow the rate value)."""
+    """Streaming generator on the ``rate`` source.  Sequence fields follow the rate value; the
+    shortest one ends the rows."""
     raw = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    ends = [hi - lo + 1 for kind, lo, hi, *_ in spec.values() if kind == "sequence"]
+    if ends:
+        raw = raw.where(F.col("value") < min(ends))
     cols = [_field(kind, F.col("value"), seed + i, lo, hi).cast(rest[0] if rest else "bigint").alias(name)
             for i, (name, (kind, lo, hi, *rest)) in enumerate(spec.items())]
     return raw.select(*cols)

@@ -101,6 +101,30 @@ def s_word_count_restart(spark, sf):
     return H.read_latest(spark, run, ["word"])
 
 
+def s_word_count_changed_plan(spark, sf):
+    """A word count that is stopped and goes on in another job: the first one's state is read from
+    its checkpoint as a table and enters the second, which weighs its rows (sum instead of count,
+    other columns, an own checkpoint), as its first rows."""
+    prepare(spark)
+    lines = T.text_lines(spark, sf)
+    half = lines.agg(F.percentile_approx("doc_id", 0.5)).scalar()
+    first, second = lines.where(F.col("doc_id") <= half), lines.where(~F.coalesce(F.col("doc_id") <= half, F.lit(False)))
+
+    def count_rows(src, run):
+        words = src.select(F.explode(java_split(F.col("value"), " ")).alias("word"))
+        return H.batch_folder_sink(keyed.word_count(words), run, "word_count_first_plan")
+    stopped = H.replay(spark, "word_count_first_plan", first, "doc_id", 2, count_rows, fmt="text", text_col="line", flush=False)
+    state = H.saved_state(spark, stopped, "word string", "cnt bigint")
+    words = second.select(F.col("doc_id").cast("bigint").alias("place"), F.explode(java_split(F.col("line"), " ")).alias("word"))
+    rows = state.select(F.lit(None).cast("bigint").alias("place"), "word", "cnt").unionByName(
+        words.select("place", "word", F.lit(1).cast("bigint").alias("cnt")))
+
+    def add_up(src, run):
+        return H.batch_folder_sink(src.groupBy("word").agg(F.sum("cnt").alias("cnt")), run, "word_count_changed_plan")
+    run = H.replay(spark, "word_count_changed_plan", rows, "place", 2, add_up, flush=False)
+    return H.read_latest(spark, run, ["word"])
+
+
 def s_sink_bucketed_files_stream(spark, sf):
     """Row-format text sink with hourly bucket folders, written by a stream,
     read back and counted per bucket."""
@@ -688,6 +712,7 @@ _TWINS = {
     "win_tumbling_stream": "win_tumbling", "win_sliding_stream": "win_sliding",
     "win_session_stream": "win_session", "wm_monotonous_stream": "win_tumbling",
     "word_count_stream": "word_count", "word_count_restart": "word_count",
+    "word_count_changed_plan": "word_count",
     "sink_bucketed_files_stream": "sink_bucketed_files", "broadcast_static_stream": "broadcast_static",
     "broadcast_asof_stream": "broadcast_asof",
     "running_reduce_stream": "running_reduce",

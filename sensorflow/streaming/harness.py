@@ -224,3 +224,14 @@ def read_latest(spark: SparkSession, run: Run, keys: list[str]) -> DataFrame:
     cols = [f.name for f in run.schema if f.name not in keys]
     latest = out.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch").alias("r"))
     return latest.select(*keys, "r.*")
+
+
+def saved_state(spark: SparkSession, run: Run, key: str, value: str) -> DataFrame:
+    """The keyed state of a stopped query, read from its checkpoint; ``key`` and ``value`` name the
+    columns and types as the next query wants them.  None, if the query never ran a batch."""
+    names = [c.split() for c in (key, value)]
+    if not path_exists(spark, os.path.join(run.checkpoint, "state")):
+        return spark.createDataFrame([], f"{key}, {value}")
+    state = spark.read.format("statestore").load(run.checkpoint)
+    return state.select(*[F.col(side)[state.schema[side].dataType.names[0]].cast(kind).alias(name)
+                          for side, (name, kind) in zip(("key", "value"), names)])

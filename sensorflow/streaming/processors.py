@@ -2,28 +2,20 @@
 
 Each processor keeps per-key state in the RocksDB state store (spills to
 disk, checkpointed with the query) and handles one key's rows of a
-micro-batch as pandas frames, in ``seq`` order.  State stays O(1) or O(k)
-per key: no processor buffers a key's whole history.
+micro-batch as pandas frames, in ``seq`` order.  They are the API form of
+timers and of processing-time expiry; keyed states on streams that may have
+hot keys are scanned in two levels (:mod:`sensorflow.streaming.states`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-# Output schemas (DDL)
-RUNNING_REDUCE_OUT = "seq bigint, id string, ts bigint, vc bigint"
-RUNNING_AVG_OUT = "seq bigint, id string, vc int, avg_vc double"
-DELTA_ALERT_OUT = "seq bigint, id string, vc int, prev_vc int, message string"
-CHANGELOG_OUT = "seq bigint, id string, pos int, op string, sum_vc bigint"
-COUNT_WINDOW_OUT = "id string, window_no bigint, cnt bigint, vc_sum bigint, first_seq bigint, last_seq bigint"
-COUNT_SLIDING_OUT = "id string, fire_no bigint, cnt bigint, vc_sum bigint, first_seq bigint, last_seq bigint"
-VC_COUNT_OUT = "seq bigint, id string, vc int, n bigint"
-TOPK_OUT = "seq bigint, id string, vc int, top1 int, top2 int, top3 int"
+# Output schema (DDL)
 TTL_OUT = "seq bigint, id string, vc int, state int"
 
 
@@ -38,217 +30,6 @@ def _key(key) -> str:
     return key[0] if isinstance(key, tuple) else key
 
 
-class RunningSum(StatefulProcessor):
-    """reduce((a, b) -> (a.id, b.ts, a.vc + b.vc)) per key, one output per record."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", StructType([StructField("v", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        base = self.total.get()[0] if self.total.exists() else 0
-        run = pdf["vc"].astype("int64").cumsum() + base
-        self.total.update((int(run.iloc[-1]),))
-        yield pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "ts": pdf["ts"], "vc": run})
-
-    def close(self) -> None:
-        pass
-
-
-class ReducingSum(StatefulProcessor):
-    """Reducing state for ``sum("vc")``: vc summed, other fields kept from the
-    key's first record (state = running sum + the first record's ts)."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", StructType([StructField("s", LongType()),
-                                                           StructField("ts0", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        s0, ts0 = self.acc.get() if self.acc.exists() else (0, int(pdf["ts"].iloc[0]))
-        run = pdf["vc"].astype("int64").cumsum() + s0
-        self.acc.update((int(run.iloc[-1]), ts0))
-        yield pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "ts": ts0, "vc": run})
-
-
-class RunningAvg(StatefulProcessor):
-    """Aggregating state: running mean with a (sum, count) accumulator."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", StructType([StructField("s", LongType()),
-                                                           StructField("n", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        s0, n0 = self.acc.get() if self.acc.exists() else (0, 0)
-        s = pdf["vc"].astype("int64").cumsum() + s0
-        n = pd.Series(range(1, len(pdf) + 1)) + n0
-        self.acc.update((int(s.iloc[-1]), int(n.iloc[-1])))
-        yield pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "vc": pdf["vc"],
-                            "avg_vc": (s / n).round(6)})
-
-
-class DeltaAlert(StatefulProcessor):
-    """Value state = previous vc (none -> 0); alert when |vc - prev| > limit."""
-
-    def __init__(self, limit: int = 10):
-        self.limit = limit
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_vc", StructType([StructField("v", IntegerType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        first = self.last.get()[0] if self.last.exists() else 0
-        prev = pdf["vc"].shift(1).fillna(first).astype("int64")
-        self.last.update((int(pdf["vc"].iloc[-1]),))
-        hit = (pdf["vc"] - prev).abs() > self.limit
-        out = pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "vc": pdf["vc"], "prev_vc": prev})[hit]
-        out["message"] = [f"{_key(key)} went from {p} to {v}, by more than {self.limit}"
-                          for v, p in zip(out["vc"], out["prev_vc"])]
-        yield out
-
-
-class Changelog(StatefulProcessor):
-    """Changelog of a per-key running sum: +I first, then -U old / +U new."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", StructType([StructField("v", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        base = self.total.get()[0] if self.total.exists() else None
-        new = pdf["vc"].astype("int64").cumsum() + (base or 0)
-        old = new.shift(1)
-        old.iloc[0] = np.nan if base is None else base
-        self.total.update((int(new.iloc[-1]),))
-        first = old.isna()
-        ins = pd.DataFrame({"seq": pdf["seq"][first], "pos": 0, "op": "+I", "sum_vc": new[first]})
-        ret = pd.DataFrame({"seq": pdf["seq"][~first], "pos": 0, "op": "-U", "sum_vc": old[~first]})
-        upd = pd.DataFrame({"seq": pdf["seq"][~first], "pos": 1, "op": "+U", "sum_vc": new[~first]})
-        res = pd.concat([ins, ret, upd], ignore_index=True)
-        res["sum_vc"] = res["sum_vc"].astype("int64")
-        res.insert(1, "id", _key(key))
-        yield res[["seq", "id", "pos", "op", "sum_vc"]]
-
-class CountTumbling(StatefulProcessor):
-    """countWindow(size): list state buffers < size rows; a full buffer fires."""
-
-    def __init__(self, size: int = 5):
-        self.size = size
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buf = handle.getListState("buf", StructType([StructField("seq", LongType()), StructField("vc", IntegerType())]))
-        self.fired = handle.getValueState("fired", StructType([StructField("n", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        old = [(int(r[0]), int(r[1])) for r in self.buf.get()] if self.buf.exists() else []
-        seqs = np.concatenate([np.array([r[0] for r in old], dtype=np.int64), pdf["seq"].to_numpy(np.int64)])
-        vcs = np.concatenate([np.array([r[1] for r in old], dtype=np.int64), pdf["vc"].to_numpy(np.int64)])
-        fired = self.fired.get()[0] if self.fired.exists() else 0
-        full = len(seqs) // self.size
-        cut = full * self.size
-        self.buf.clear()
-        if cut < len(seqs):
-            self.buf.put([(int(a), int(b)) for a, b in zip(seqs[cut:], vcs[cut:])])
-        self.fired.update((fired + full,))
-        if full:
-            w_seq = seqs[:cut].reshape(full, self.size)
-            w_vc = vcs[:cut].reshape(full, self.size)
-            yield pd.DataFrame({"id": _key(key), "window_no": np.arange(fired, fired + full, dtype=np.int64),
-                                "cnt": np.full(full, self.size, dtype=np.int64), "vc_sum": w_vc.sum(axis=1),
-                                "first_seq": w_seq[:, 0], "last_seq": w_seq[:, -1]})
-
-class CountSliding(StatefulProcessor):
-    """countWindow(size, slide): every slide-th record fires over the last <= size rows."""
-
-    def __init__(self, size: int = 5, slide: int = 2):
-        self.size, self.slide = size, slide
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buf = handle.getListState("buf", StructType([StructField("seq", LongType()), StructField("vc", IntegerType())]))
-        self.count = handle.getValueState("count", StructType([StructField("n", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        old = [(int(r[0]), int(r[1])) for r in self.buf.get()] if self.buf.exists() else []
-        n0 = self.count.get()[0] if self.count.exists() else 0
-        k = len(old)
-        seqs = np.concatenate([np.array([r[0] for r in old], dtype=np.int64), pdf["seq"].to_numpy(np.int64)])
-        vcs = np.concatenate([np.array([r[1] for r in old], dtype=np.int64), pdf["vc"].to_numpy(np.int64)])
-        rn = n0 - k + 1 + np.arange(len(seqs))          # record number of every buffered / new row
-        csum = np.concatenate([[0], np.cumsum(vcs)])
-        fire = np.flatnonzero((np.arange(len(seqs)) >= k) & (rn % self.slide == 0))
-        lo = np.maximum(fire - self.size + 1, 0)
-        self.buf.clear()
-        self.buf.put([(int(a), int(b)) for a, b in zip(seqs[-self.size:], vcs[-self.size:])])
-        self.count.update((int(n0 + len(pdf)),))
-        if len(fire):
-            yield pd.DataFrame({"id": _key(key), "fire_no": rn[fire], "cnt": (fire - lo + 1).astype(np.int64),
-                                "vc_sum": csum[fire + 1] - csum[lo], "first_seq": seqs[lo], "last_seq": seqs[fire]})
-
-class VcCountMap(StatefulProcessor):
-    """Map state vc -> count; each record outputs its entry after the update.
-    State is read and written once per distinct vc of the batch."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getMapState("counts", StructType([StructField("vc", IntegerType())]),
-                                         StructType([StructField("n", LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        vc = pdf["vc"].astype("int64")
-        base = {}
-        for v in vc.unique().tolist():
-            k = (int(v),)
-            base[v] = self.counts.getValue(k)[0] if self.counts.containsKey(k) else 0
-        n = vc.groupby(vc).cumcount() + 1 + vc.map(base)
-        for v, last in n.groupby(vc).last().items():
-            self.counts.updateValue((int(v),), (int(last),))
-        yield pd.DataFrame({"seq": pdf["seq"], "id": _key(key), "vc": pdf["vc"], "n": n.astype("int64")})
-
-class RunningTopK(StatefulProcessor):
-    """List state of the k largest values (sorted, cut after every add)."""
-
-    def __init__(self, k: int = 3):
-        self.k = k
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.top = handle.getListState("top", StructType([StructField("v", IntegerType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        top = [int(r[0]) for r in self.top.get()] if self.top.exists() else []
-        out = []
-        for seq, vc in zip(pdf["seq"].tolist(), pdf["vc"].tolist()):
-            top = sorted(top + [int(vc)], reverse=True)[: self.k]
-            pad = top + [None] * (3 - len(top))
-            out.append((seq, _key(key), int(vc), *pad[:3]))
-        self.top.clear()
-        self.top.put([(v,) for v in top])
-        yield pd.DataFrame(out, columns=["seq", "id", "vc", "top1", "top2", "top3"]).astype(
-            {"top1": "Int32", "top2": "Int32", "top3": "Int32"})
-
-
 class TtlLastValue(StatefulProcessor):
     """Value state with a processing-time TTL (expired values are never
     returned; the library refreshes on read by re-writing what it read)."""

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from sensorflow.operators.scan import Agg, running
+from sensorflow.operators.scan import BUCKET, Agg, running, with_buckets
 
 BIG = 2 ** 53
 KINDS = [Agg("s", "sum", "v"), Agg("n", "count"), Agg("mx", "max", "v"), Agg("mn", "min", "v"), Agg("f", "first", "v"),
@@ -89,3 +89,22 @@ def test_order_must_be_a_number_or_time(spark):
     df = spark.createDataFrame([("a", 1)], "seq string, v int")
     with pytest.raises(ValueError):
         running(df, [], ["seq"], [Agg("s", "sum", "v")])
+
+
+@pytest.mark.parametrize("far", [10 ** 12, -10 ** 12])
+def test_a_far_off_place_widens_no_other_bucket(spark, far):
+    """A sentinel place must not push the rows of a hot key into one bucket."""
+    rows = spark.range(20_000).selectExpr("id AS seq", "IF(id % 3 = 0, 'hot', concat('k', id % 50)) AS k", "id AS v")
+    rows = rows.union(spark.createDataFrame([(far, "hot", 1)], "seq bigint, k string, v bigint"))
+    n = with_buckets(rows, ["k"], ["seq"], 256).groupBy(BUCKET).agg(F.count("*").alias("n")).orderBy(F.desc("n")).collect()
+    assert n[0].n <= 2 * 20_000 / 256
+    got = running(rows, ["k"], ["seq"], [Agg("s", "sum", "v")], buckets=256).where("k = 'hot'").agg(F.max("s")).first()[0]
+    assert got >= sum(range(0, 20_000, 3))
+
+
+def test_buckets_of_bursts_and_single_places(spark):
+    """All rows at one place, one row, no rows, rows without a place: every row is in some bucket and the sums are right."""
+    for places in ([5] * 300, [7], [], [None, None, 3], [1] * 200 + [2] * 200 + [10 ** 9]):
+        df = spark.createDataFrame([("a", x, i, 1) for i, x in enumerate(places)], "k string, t bigint, i bigint, v bigint")
+        got = [r.s for r in running(df, ["k"], ["t", "i"], [Agg("s", "sum", "v")], buckets=64).orderBy("t", "i").collect()]
+        assert got == list(range(1, len(places) + 1))

@@ -67,7 +67,7 @@ def test_sql_registered_functions(spark):
     udfs.register_all(spark)
     spark.createDataFrame([("s1", 80, 3), ("s1", 90, 4)], "id string, score int, weight int") \
         .createOrReplaceTempView("scores_t")
-    r = spark.sql("SELECT java_hash_str(id) AS h, weighted_avg(score, weight) AS w FROM scores_t GROUP BY id").first()
+    r = spark.sql("SELECT java_hash(id) AS h, weighted_avg(score, weight) AS w FROM scores_t GROUP BY id").first()
     assert r["h"] == 3614 and abs(r["w"] - (80 * 3 + 90 * 4) / 7) < 1e-9
     words = spark.sql("SELECT * FROM split_words('hello world hi')").collect()
     assert [(w.word, w.length) for w in words] == [("hello", 5), ("world", 5), ("hi", 2)]
