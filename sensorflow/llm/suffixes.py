@@ -42,9 +42,9 @@ WIDTH = 50
 PERIOD, COVER = 21, (3, 6, 7, 12, 14)  # every difference mod 21 is one of two members
 SAMPLE = WIDTH - PERIOD + 1
 PIECE = 32  # suffixes in a piece, on average
-CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 1 << 15
+CHUNK_BYTES, CHUNK_DOCS = 2 << 20, 1 << 15
 BUCKET_ENTRIES = 4 << 20
-CHUNKS_PER_FILE_BUCKET = 8
+CHUNKS_PER_FILE_BUCKET = 16
 SLICE = 1 << 19
 NO_ID = 2 ** 63 - 1
 
@@ -166,7 +166,8 @@ def chunk_table(docs: DataFrame) -> tuple[DataFrame, int]:
               .mapInArrow(pack, "chunk bigint, size bigint, ids binary, sizes binary, text binary"))
     name = f"suffix_chunks_{uuid.uuid4().hex[:12]}"
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    files = max(1, math.ceil(total / (CHUNK_BYTES * CHUNKS_PER_FILE_BUCKET)))
+    # with fewer buckets than shuffle partitions Spark would deal the texts anew for every join
+    files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / (CHUNK_BYTES * CHUNKS_PER_FILE_BUCKET)))
     (packed.write.bucketBy(files, "chunk").sortBy("chunk").option("path", scratch(spark, name))
      .option("compression", "none").saveAsTable(name))
     return spark.table(name), total
@@ -273,7 +274,10 @@ def _entries(c: Chunk, place: np.ndarray, hashes: Callable[[int], np.ndarray], b
 def _sample(c: Chunk, bits: int, buckets: int):
     """Asks for the cover sample, and its places and what the chunk alone knows."""
     ok = c.suffixes(SAMPLE)
-    place = np.flatnonzero(ok & np.isin(np.arange(PERIOD), COVER)[np.arange(len(ok)) % PERIOD])
+    covered = np.zeros(len(ok), bool)
+    for r in COVER:
+        covered[r::PERIOD] = True
+    place = np.flatnonzero(ok & covered)
     key = (fingerprints(c.buf, SAMPLE)[place] >> U(64 - bits)) << U(64 - bits)
     order = np.argsort(key, kind="stable")
     key, doc = key[order], c.doc(place)[order]
@@ -293,7 +297,7 @@ def _open(c: Chunk, places: np.ndarray) -> np.ndarray:
     near = np.zeros(len(c.buf) + 2, np.int32)
     np.add.at(near, np.maximum(places - PERIOD + 1, 0), 1)
     np.add.at(near, places + 1, -1)
-    return ok & (np.cumsum(near)[:len(ok)] > 0)
+    return ok & (np.cumsum(near, dtype=np.int32)[:len(ok)] > 0)
 
 
 def _pieces(c: Chunk, mask: np.ndarray, bits: int, buckets: int):
@@ -417,7 +421,7 @@ def spans(docs: DataFrame) -> DataFrame:
             edge = np.zeros(len(c.buf) + 1, np.int32)
             edge[at] += 1
             edge[at + WIDTH] -= 1
-            covered = np.cumsum(edge)[:-1] > 0
+            covered = np.cumsum(edge, dtype=np.int32)[:-1] > 0
         out = []
         raw = c.buf.tobytes()
         for i, (s, e) in enumerate(zip(c.start.tolist(), c.end.tolist())):
