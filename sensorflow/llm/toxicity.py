@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ FACTORS = 4
 EPOCHS, BATCH, RATE, DECAY, SEED = 20, 256, 0.03, 1e-4, 7
 FACTOR_PACE = 0.1  # factors learn slower than weights: they add what weights cannot say
 CACHE_WORDS = 200_000
+SCORE_TERMS = 1 << 16  # terms whose texts are scored together
 
 # Letters stay; ASCII punctuation, digits and control characters part words.
 _PART = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
@@ -82,7 +84,9 @@ class Machine:
         """Probability of label 1 for each text."""
         known = self.known
         lookup = {b: i for i, b in enumerate(self.at.tolist())}
-        out = []
+        out: list[float] = []
+        found: list[list[int]] = []
+        held = 0
         for text in texts:
             own: set[int] = set()
             for w in words(text):
@@ -93,38 +97,51 @@ class Machine:
                     hit = known[w] = tuple(lookup[b] for b in buckets(w) if b in lookup)
                 if hit:
                     own.update(hit)
-            index = np.fromiter(sorted(own), np.int64, len(own))
-            raw, _ = self.raw(index, np.zeros(min(1, len(own)), np.int64), 1, np.arange(min(1, len(own))))
-            out.append(1 / (1 + math.exp(-min(max(float(raw[0]), -500.0), 500.0))))
-        return out
-
-
-def fit(at: np.ndarray, rows: list[np.ndarray], label: np.ndarray, w: np.ndarray) -> Machine:
+            found.append(sorted(own))
+            held += len(own)
+            if held >= SCORE_TERMS:
+                out += self._probabilities(found)
+                found, held = [], 0
+        return out + self._probabilities(found)
+
+    def _probabilities(self, found: list[list[int]]) -> list[float]:
+        """The same for rows of term positions."""
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        full = np.flatnonzero(sizes)
+        index = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+        raw, _ = self.raw(index, np.cumsum(sizes[full]) - sizes[full], len(found), full)
+        return (1 / (1 + np.exp(-np.clip(raw, -500, 500)))).tolist()
+
+
+def fit(at: np.ndarray, index: np.ndarray, first: np.ndarray, label: np.ndarray, w: np.ndarray) -> Machine:
     """Fits the machine over the buckets ``at``, first those that tell the labels apart alone, then all.
 
-    ``rows``: for each row the positions in ``at`` of its terms; row i is weighted by w[i].
+    Row i has the terms at[index[first[i]:first[i + 1]]], its label and the weight w[i].
     What the first pass explains leaves no gradient, so the many buckets that tell
     nothing learn only from the rows that it cannot explain, such as those of a pair.
     """
-    n = len(rows)
-    index = np.concatenate(rows).astype(np.int32, copy=False) if n else np.empty(0, np.int32)
-    first = np.concatenate([[0], np.cumsum([len(r) for r in rows], dtype=np.int64)])
-    p = float((w * label).sum() / w.sum()) if n else 0.0
+    p = float((w * label).sum() / w.sum()) if len(label) else 0.0
     rng = np.random.default_rng(SEED)
     bias = math.log(max(p, 1e-6) / max(1 - p, 1e-6))
     m = Machine(at, np.zeros(len(at)), rng.normal(0, 0.01, (len(at), FACTORS)), bias)
     if not 0 < p < 1 or not len(at):
         return m
-    seen = np.bincount(index, minlength=len(at))
-    ones = np.bincount(index, weights=np.repeat(label, np.diff(first)), minlength=len(at))
+    seen, ones = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    for r, y in enumerate(label.tolist()):  # a row has a term once
+        own = index[first[r]:first[r + 1]]
+        seen[own] += 1
+        if y:
+            ones[own] += 1
     share = label.mean()
     strong = (ones - seen * share) ** 2 >= STRONG * seen * share * (1 - share)
     if strong.any():
         own = strong[index]
         part = Machine(at[strong], m.weight[strong], m.factor[strong], bias)
+        sizes = [np.count_nonzero(own[s:e]) for s, e in zip(first[:-1], first[1:])]
         _descend(part, (np.cumsum(strong, dtype=np.int32) - 1)[index[own]],
-                 np.concatenate([[0], np.cumsum(own, dtype=np.int64)])[first], label, w, rng, 1e-8)
+                 np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), label, w, rng, 1e-8)
         m.weight[strong], m.factor[strong], m.bias = part.weight, part.factor, part.bias
+        del own
     _descend(m, index, first, label, w, rng, LEAST_STEP)
     return m
 
@@ -133,15 +150,15 @@ def _descend(m: Machine, index: np.ndarray, first: np.ndarray, label: np.ndarray
              rng: np.random.Generator, least: float) -> None:
     """Adam on log loss; row i has the terms index[first[i]:first[i + 1]].  Gradients far below ``least`` move little."""
     n, size = len(label), len(m.at)
-    params = np.concatenate([m.weight[:, None], m.factor], 1)
-    pace = np.array([1.0, *[FACTOR_PACE] * FACTORS])
+    params = np.concatenate([m.weight[:, None], m.factor], 1).astype(np.float32)
+    pace = np.array([1.0, *[FACTOR_PACE] * FACTORS], np.float32)
     m1, m2, grad, bias1, bias2, step = np.zeros_like(params), np.zeros_like(params), np.empty_like(params), 0.0, 0.0, 0
     for _ in range(EPOCHS):
         for rows_ in np.array_split(rng.permutation(n), max(1, n // BATCH)):
             step += 1
             sizes = first[rows_ + 1] - first[rows_]
             full = np.flatnonzero(sizes)
-            idx = np.concatenate([index[first[r]:first[r + 1]] for r in rows_])
+            idx = np.concatenate([index[first[r]:first[r + 1]] for r in rows_])  # a few hundred rows at a time
             starts = np.cumsum(sizes[full]) - sizes[full]
             m.weight, m.factor = params[:, 0], params[:, 1:]
             raw, sums = m.raw(idx, starts, len(rows_), full)
@@ -166,7 +183,7 @@ def _descend(m: Machine, index: np.ndarray, first: np.ndarray, label: np.ndarray
             gb = float(g.sum())
             bias1, bias2 = 0.9 * bias1 + 0.1 * gb, 0.99 * bias2 + 0.01 * gb * gb
             m.bias -= RATE * (bias1 / (1 - 0.9 ** step)) / (math.sqrt(bias2 / (1 - 0.99 ** step)) + 1e-8)
-    m.weight, m.factor = params[:, 0].copy(), params[:, 1:].copy()
+    m.weight, m.factor = params[:, 0].astype(float), params[:, 1:].astype(float)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine:
@@ -196,12 +213,29 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     rows = stored(texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
                   .mapInArrow(terms, "doc_id bigint, toxic int, terms array<int>"), "terms")
     at = seen_often(rows)
-    got = rows.mapInArrow(_places(at), "doc_id bigint, toxic int, terms array<int>").toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
-    label = got.column("toxic").to_numpy().astype(np.int64)
-    lists = [np.asarray(x.values) if x.is_valid else np.empty(0, np.int64) for x in got.column("terms")]
+    return fit(at, *_gathered(rows.mapInArrow(_places(at), "doc_id bigint, toxic int, terms array<int>")))
+
+
+def _gathered(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Terms, where each row's begin, labels and weights of the fitted rows, in order of doc_id: at most sum(FIT_ROWS) rows.
+
+    The terms stay 4-byte numbers, once: in the order in which they arrive until the rows are put in place.
+    """
+    got = rows.toArrow()
+    order = np.lexsort((got.column("toxic").to_numpy(), got.column("doc_id").to_numpy()))
+    label = got.column("toxic").to_numpy().astype(np.int64)[order]
+    parts = got.column("terms").chunks
+    del got
+    sizes = np.concatenate([p.value_lengths().to_numpy() for p in parts] + [np.empty(0, np.int64)]).astype(np.int64)
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    flat = np.concatenate([p.flatten().to_numpy() for p in parts] + [np.empty(0, np.int32)])
+    del parts
+    index = np.empty(len(flat), np.int32)
+    first = np.concatenate([[0], np.cumsum(sizes[order])])
+    for to, r in zip(first.tolist(), order.tolist()):
+        index[to:to + sizes[r]] = flat[begins[r]:begins[r + 1]]
     per_class = np.maximum(np.bincount(label, minlength=2), 1)
-    return fit(at, lists, label, len(label) / (2 * per_class[label]))
+    return index, first, label, len(label) / (2 * per_class[label])
 
 
 def seen_often(rows: DataFrame) -> np.ndarray:

@@ -85,20 +85,32 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(docs.limit(0), m).count() == 0
 
 
-def test_factors_learn_a_pair_that_weights_cannot():
+def test_score_of_many_texts_is_the_formula():
+    """Bias, weights and all pairs of factors, term by term."""
     rng = np.random.default_rng(0)
-    rows, y = [], []
-    for _ in range(3000):  # label 1 only if both of a pair or neither occur
-        a, b = rng.integers(0, 2, 2)
-        rows.append(np.array(sorted({0} | ({1} if a else set()) | ({2} if b else set()))))
-        y.append(int(a == b))
-    m = toxicity.Machine(np.arange(3), np.zeros(3), np.zeros((3, toxicity.FACTORS)), 0.0)
-    raw, _ = m.raw(np.array([0, 1]), np.array([0]), 1, np.array([0]))
-    assert raw[0] == 0.0
-    m.factor[1, 0] = m.factor[2, 0] = 2.0
-    both, _ = m.raw(np.array([1, 2]), np.array([0]), 1, np.array([0]))
-    one, _ = m.raw(np.array([1]), np.array([0]), 1, np.array([0]))
-    assert both[0] == 4.0 and one[0] == 0.0
+    rnd = random.Random(4)
+    vocabulary = [a + b + "ing" for a in "abcde" for b in "pqrstuvw"]
+    at = np.unique([b for w in vocabulary[:30] for b in toxicity.buckets(w.encode())])
+    m = toxicity.Machine(at, rng.normal(0, 1, len(at)), rng.normal(0, 0.5, (len(at), toxicity.FACTORS)), -0.3)
+    every = ["", "unknown words"] + [" ".join(rnd.choices(vocabulary, k=rnd.randrange(1, 12))) for _ in range(300)]
+    place = {b: i for i, b in enumerate(at.tolist())}
+    got = m.score(iter(every))
+    for text, p in zip(every, got):
+        own = sorted({place[b] for w in set(text.split()) for b in toxicity.buckets(w.encode()) if b in place})
+        raw = m.bias + sum(m.weight[i] for i in own)
+        raw += sum(float(m.factor[i] @ m.factor[j]) for x, i in enumerate(own) for j in own[x + 1:])
+        assert abs(p - 1 / (1 + math.exp(-raw))) < 1e-9
+
+
+def test_fit_learns_a_pair_that_weights_cannot():
+    """Label 1 if both of two terms occur or neither does; each alone tells nothing."""
+    rng = np.random.default_rng(0)
+    rows = [np.flatnonzero([1, a, b]).astype(np.int32) for a, b in rng.integers(0, 2, (20_000, 2))]
+    label = np.array([int((1 in r) == (2 in r)) for r in rows])
+    first = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    m = toxicity.fit(np.arange(3), np.concatenate(rows), first, label, np.ones(20_000))
+    raw, _ = m.raw(np.array([0, 1, 2, 0, 1, 0, 2, 0]), np.array([0, 3, 5, 7]), 4, np.arange(4))
+    assert raw[0] > max(raw[1], raw[2]) and raw[3] > max(raw[1], raw[2])
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
