@@ -67,6 +67,17 @@ def test_equal_to_the_walk_over_bytes(spark, pair, monkeypatch):
     assert rows(alignment.digest(df, alignment.default_paths())) == brute(pair, docs)
 
 
+def test_ids_are_those_of_the_libraries(spark, pair):
+    """Every text of a table, and odd ones, as the libraries encode them whole."""
+    every = [t for _, t in ODD if t] + ["a  b", " x", "x ", "  ", "\t x\n\n  y", "it's we'LL 'd'", "x\x1cy\x85z\u2028 w\u3000v\xa0", "٣ ⅷ ½ ² １２",
+                                        "Ꙁꙁ \u1e9e \U0001E6D0", "e\u0301 \u0338", "a\u200db", "12ab 3.5e-7,,;"]
+    every += [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(400).collect() if r.text]
+    a, b = pair.encode(every)
+    for t, x, y in zip(every, a, b):
+        if "▁" not in t:
+            assert x == pair.a.encode(" " + t, add_special_tokens=False).ids and y == pair.b.encode(t)
+
+
 def test_on_the_table(spark, pair):
     docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     assert rows(alignment.op13_alignment(spark, "/root/testdata/sf0.001")) == brute(pair, docs)
