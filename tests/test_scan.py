@@ -108,3 +108,13 @@ def test_buckets_of_bursts_and_single_places(spark):
         df = spark.createDataFrame([("a", x, i, 1) for i, x in enumerate(places)], "k string, t bigint, i bigint, v bigint")
         got = [r.s for r in running(df, ["k"], ["t", "i"], [Agg("s", "sum", "v")], buckets=64).orderBy("t", "i").collect()]
         assert got == list(range(1, len(places) + 1))
+
+
+def test_both_steps_use_the_same_cuts(spark):
+    """The cuts are approximate, so states and rows must read one and the same result of one subquery."""
+    df = spark.range(0, 5000, 1, 6).selectExpr("id AS seq", "id % 7 AS k", "id AS v")
+    r = running(df, ["k"], ["seq"], [Agg("s", "sum", "v"), Agg("t", "topk", "v", k=2)])
+    assert r.agg(F.sum("s")).first()[0] > 0
+    r.collect()
+    plan = r._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedSubquery") >= 1 and plan.count("+- Subquery subquery#") <= 1
