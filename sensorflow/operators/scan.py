@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,7 @@ KEY, BUCKET = "__key", "__bucket"
 PLACE, CUTS = "__place", "__cuts"
 BEFORE = -2  # the bucket of states from earlier input
 BUCKETS, PARTS = 4096, 32
-TASK_CUTS, TASK_GROUPS = 256, 1024
+GROUP_CUTS, TASK_GROUPS = 256, 1024
 
 
 @dataclass(frozen=True)
@@ -110,15 +111,15 @@ def with_buckets(df: DataFrame, keys: list[str], order: list[str], buckets: int
     x = _number(F.col(order[0]), df.schema[order[0]].dataType).cast("double")
     parts = min(PARTS, buckets)
     width = max(1, buckets // parts)
-    shares = [1 / (4 * buckets), *(i / parts for i in range(1, parts)), 1 - 1 / (4 * buckets)]
-    # quantiles of every task's rows, of groups of tasks, of all: no step gathers more than its group's few numbers
-    steps = [i / TASK_CUTS for i in range(1, TASK_CUTS)]
-    tasks = (df.select(x.alias("x"), F.spark_partition_id().alias("p")).where("x IS NOT NULL").groupBy("p")
-             .agg(F.percentile_approx("x", steps, 4 * TASK_CUTS).alias("c"), F.count(F.lit(1)).alias("n")))
-    groups = (tasks.select(F.pmod("p", F.lit(TASK_GROUPS)).alias("p"), F.explode("c").alias("c"), "n").groupBy("p")
-              .agg(F.percentile("c", steps, F.col("n")).alias("c"), F.sum("n").alias("n")))
+    ends = 1 / (4 * buckets)
+    # arrays as one literal each, not as one for every number
+    shares = F.lit(np.array([ends, *(i / parts for i in range(1, parts)), 1 - ends]))
+    # quantiles of the rows of groups of tasks, then of these by weight: no step gathers more than its group's few numbers
+    steps = F.lit(np.arange(1, GROUP_CUTS) / GROUP_CUTS)
+    groups = (df.select(x.alias("x"), (F.spark_partition_id() % TASK_GROUPS).alias("p")).where("x IS NOT NULL").groupBy("p")
+              .agg(F.percentile_approx("x", steps, 4 * GROUP_CUTS).alias("c"), F.count(F.lit(1)).alias("n")))
     cuts = groups.select(F.explode("c").alias("c"), "n").agg(F.percentile("c", shares, F.col("n")).alias("c")).scalar()
-    part = F.expr(" + ".join(f"int({PLACE} >= {CUTS}[{i}])" for i in range(len(shares))))
+    part = F.expr(" + ".join(f"int({PLACE} >= {CUTS}[{i}])" for i in range(parts + 1)))
     rows = (df.withColumn(KEY, key_column(keys)).withColumn(PLACE, x).withColumn(CUTS, cuts)
             .withColumn(BUCKET, F.coalesce(part, F.lit(-1))))
     x = F.col(PLACE)
