@@ -55,8 +55,12 @@ def stored_path(df: DataFrame) -> str:
 
 def drop_stored(df: DataFrame) -> None:
     """Delete a table that ``stored`` wrote and nothing needs any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(stored_path(df))
+    drop_path(df.sparkSession, stored_path(df))
+
+
+def drop_path(spark: SparkSession, folder: str) -> None:
+    """Delete a folder below the scratch folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

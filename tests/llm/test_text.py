@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from sensorflow.llm import bpe, html_text, licenses, maxent, toxicity
 
@@ -206,11 +207,91 @@ def test_lm_tail_counts_arrive_by_the_join(spark, monkeypatch):
         assert got[i].n_known == r.n_known and abs(got[i].base_score - r.base_score) < 1e-9
 
 
+def lm_model(bits_tokens=1 << 18, seed=0):
+    rng = np.random.default_rng(seed)
+    m = maxent.Model({}, 0, {b"the": 0, b"of": 1}, {b"ed": 31, b"ng": 32}, rng.integers(1, 90, maxent.LEAVES).astype(float), 5, bits_tokens, 9)
+    m.weights = m.first_weights() + rng.normal(size=m.first_weights().shape).astype(np.float32)
+    return m
+
+
 def test_lm_probabilities_sum_to_one():
-    rng = np.random.default_rng(0)
-    w = rng.normal(size=(1 << maxent.FEATURE_BITS, maxent.SUPERS + maxent.CLASSES))
-    top, inside = maxent.log_classes(w, maxent.features()[:50])
-    assert np.allclose(np.exp(top[:, :, None] + inside).reshape(50, -1).sum(1), 1)
+    m = lm_model()
+    n = maxent.LEAVES
+    every = np.arange(n, dtype=np.int64)
+    alone = (every // maxent.WAYS < maxent.SINGLES) | (every // maxent.WAYS == maxent.END_CLASS)
+    for words, classes in (((5, 9), (3, 40)), ((maxent.START_HASH, 77), (63, 31))):
+        found = maxent.features(*[tuple(np.full(n, x, np.uint64) for x in pair) for pair in (words, classes)])
+        p = np.exp(maxent.log_paths(m.weights, found, every, m.bits))
+        # a single token or an end is its whole class: one of its eight paths counts
+        assert abs(p[~alone | (every % maxent.WAYS == 0)].sum() - 1) < 1e-5
+
+
+def test_lm_gradient_is_that_of_the_likelihood():
+    m = lm_model()
+    m.weights = m.weights.astype(np.float64)
+    found, path, _ = maxent.encode([b"the cat moved of the walking cat".split(), [], b"cat cat".split()], maxent.Memo(m))
+    g, n = np.zeros_like(m.weights), np.zeros(len(m.weights), np.int64)
+    maxent.add_gradient(g, n, m.weights, found, path, m.bits)
+    used = np.flatnonzero(n)
+    assert len(used) > 20 and not g[n == 0].any()
+    for row in used[::3]:
+        for j in (0, 5):
+            moved = []
+            for by in (1e-5, -1e-5):
+                w = m.weights.copy()
+                w[row, j] += by
+                moved.append(-maxent.log_paths(w, found, path, m.bits).sum())
+            assert abs((moved[0] - moved[1]) / 2e-5 - g[row, j]) < 1e-5
+
+
+def test_lm_scores_equal_a_plain_walk_over_the_tokens():
+    """Every token on its own, in plain integers and floats, against the sparse batches."""
+    m = lm_model()
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ x >> 32) * 0x9E3779B97F4A7C15 & mask
+        return x ^ x >> 29
+
+    def word(w):
+        path = maxent.END_CLASS * 8 if w is None else m.path_of(w)
+        return (maxent.START_HASH if w is None else xxhash.xxh32_intdigest(w)), path
+
+    def walk(words):
+        total, (skip, far), (before, near) = 0.0, word(None), word(None)
+        for h, path in [*map(word, words), word(None)]:
+            c = path // 8
+            found = [mix(before * 8 + 1), mix(mix(before * 8 + 2) + skip & mask), mix(skip * 8 + 3), mix((far // 8 * 64 + near // 8) * 8 + 4)]
+            ways = [(0, c // 8, found), (1 + c // 8, c % 8, found)]
+            if c >= maxent.SINGLES and c != maxent.END_CLASS:
+                ways.append((9 + c, path % 8, found[:2]))
+            for node, outcome, own in ways:
+                x = m.weights[(1 << m.bits) + node].astype(float)
+                for f in own:
+                    x = x + m.weights[((f + mix(node + 1) & mask) * 0xBF58476D1CE4E5B9 & mask) >> 64 - m.bits]
+                total += x[outcome] - math.log(sum(math.exp(v) for v in x))
+            skip, far, before, near = before, near, h, path
+        return total
+
+    lines = [b"the cat moved of the walking cat", b"", b"of of of", b"\xc3\xa9t\xc3\xa9 zz"]
+    found, path, index = maxent.encode([t.split() for t in lines], maxent.Memo(m))
+    got = np.bincount(index, maxent.log_paths(m.weights, found, path, m.bits), len(lines))
+    assert np.allclose(got, [walk(t.split()) for t in lines], atol=1e-4)
+
+
+def test_lm_hears_word_order(spark):
+    """Two words of one class change places: the text scores apart, and the order that was read scores higher."""
+    docs = spark.createDataFrame([(i, "salt and zzpepper go " + "bread and zzbutter go " * 3) for i in range(300)], "doc_id bigint, text string")
+    probe = [(1000 + i, t) for i, t in enumerate(["bread and zzbutter go", "zzbutter and bread go"])]
+    got = {r.doc_id: r for r in maxent.score(docs.union(spark.createDataFrame(probe, docs.schema))).collect()}
+    assert got[1000].base_score == pytest.approx(got[1001].base_score) and got[1000].score > got[1001].score + 0.1
+
+
+def test_lm_takes_long_texts_and_counts_every_training_text(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "BLOCK_BYTES", 100)
+    docs = spark.createDataFrame([(1, "word " * 50_000), (2, None), (3, "x" * 300_000), (None, "a b"), (None, "a b")], "doc_id bigint, text string")
+    got = sorted((r.n_tokens, r.n_known) for r in maxent.score(docs).collect())
+    assert [n for n, _ in got] == [1, 2, 3, 3, 50_001] and all(math.isfinite(r.score) for r in maxent.score(docs).collect())
 
 
 def brute_licenses(files, threshold=licenses.THRESHOLD):
