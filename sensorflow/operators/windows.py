@@ -183,44 +183,59 @@ class Trigger:
     purge: bool = False
 
 
+def global_triggers(df: DataFrame, keys: list[str], triggers: dict[str, Trigger], order: list[str] | None = None,
+                    scan: Callable = running) -> DataFrame:
+    """Global window per key with user triggers, each by itself: one row per trigger and firing, with its
+    number and what the window holds then (count and sum over the records up to the firing one, since the last purge).
+
+    Records are taken in ``order``.  All of it is running aggregates, the same two scans for any number of
+    triggers: the number of a record decides whether ``every`` fires, the number of firings before a record
+    tells which purged content it belongs to."""
+    order = order or ["seq"]
+    rows, hits = df, []
+    for i, t in enumerate(triggers.values()):
+        if (t.every is None) == (t.when is None):
+            raise ValueError("a trigger fires every so many records or on a condition")
+        if t.when is not None:
+            rows = rows.withColumn(f"__hit{i}", F.coalesce(t.when, F.lit(False)).cast("int"))
+            hits.append(Agg(f"__hits{i}", "sum", f"__hit{i}"))
+    purging = [i for i, t in enumerate(triggers.values()) if t.purge]
+    r = scan(rows, keys, order, [Agg("__rn", "count"), Agg("__all", "sum", "vc"), *hits], keep=bool(purging))
+    fires = [F.col("__rn") % t.every == 0 if t.every else F.col(f"__hit{i}") == 1 for i, t in enumerate(triggers.values())]
+    number = [F.floor(F.col("__rn") / t.every) if t.every else F.col(f"__hits{i}") for i, t in enumerate(triggers.values())]
+    some = fires[0]
+    for x in fires[1:]:
+        some = some | x
+    r = r.where(some)
+    if purging:
+        # what the window held at the firing before is what was purged
+        for i in purging:
+            r = r.withColumn(f"__cnt{i}", F.when(fires[i], F.col("__rn"))).withColumn(f"__sum{i}", F.when(fires[i], F.col("__all")))
+        r = scan(r, keys, order, [Agg(f"__old_{x}{i}", kind, f"__{x}{i}", exclusive=True) for i in purging
+                                  for x, kind in (("cnt", "max"), ("sum", "last"))])
+
+    def firing(i: int, name: str) -> Column:
+        cnt, total = F.col("__rn"), F.col("__all")
+        if i in purging:
+            cnt, total = cnt - F.coalesce(f"__old_cnt{i}", F.lit(0)), total - F.coalesce(f"__old_sum{i}", F.lit(0))
+        return F.when(fires[i], F.struct(F.lit(name).alias("trigger"), number[i].cast("bigint").alias("firing"),
+                                         cnt.cast("bigint").alias("cnt"), total.cast("bigint").alias("vc_sum")))
+    every = F.array_compact(F.array(*[firing(i, name) for i, name in enumerate(triggers)]))
+    return r.select(*keys, *order, F.inline(every))
+
+
 def global_trigger(df: DataFrame, keys: list[str], trigger: Trigger, order: list[str] | None = None,
                    scan: Callable = running) -> DataFrame:
-    """Global window per key with a user trigger: one row per firing, with its number and what the
-    window holds then (count and sum over the records up to the firing one, since the last purge).
-
-    Records are taken in ``order``.  All of it is running aggregates: the number of a record
-    decides whether ``every`` fires, the number of firings before a record tells which purged
-    content it belongs to."""
-    order = order or ["seq"]
-    if (trigger.every is None) == (trigger.when is None):
-        raise ValueError("a trigger fires every so many records or on a condition")
-    hit = F.lit(False) if trigger.when is None else F.coalesce(trigger.when, F.lit(False))
-    rows = df.withColumn("__hit", hit.cast("int"))
-    r = scan(rows, keys, order, [Agg("__rn", "count"), Agg("__hits", "sum", "__hit"), Agg("__all", "sum", "vc")])
-    fires = F.col("__rn") % trigger.every == 0 if trigger.every else F.col("__hit") == 1
-    number = F.floor(F.col("__rn") / trigger.every) if trigger.every else F.col("__hits")
-    fired = r.where(fires).select(*keys, *order, number.cast("bigint").alias("firing"), F.col("__rn").alias("cnt"),
-                                  F.col("__all").cast("bigint").alias("vc_sum"))
-    if not trigger.purge:
-        return fired
-    # what the window held at the firing before is what was purged
-    before = scan(fired.withColumn("__c", F.col("cnt")).withColumn("__s", F.col("vc_sum")), keys, order,
-                  [Agg("__pc", "max", "__c", exclusive=True), Agg("__ps", "last", "__s", exclusive=True)])
-    return before.select(*keys, *order, "firing", (F.col("cnt") - F.coalesce("__pc", F.lit(0))).alias("cnt"),
-                         (F.col("vc_sum") - F.coalesce("__ps", F.lit(0))).alias("vc_sum"))
+    """:func:`global_triggers` with one trigger."""
+    return global_triggers(df, keys, {"": trigger}, order, scan).drop("trigger")
 
 
 def triggers_compared(df: DataFrame, every: int, above: int, scan: Callable = running) -> DataFrame:
     """Firings of four triggers on the same global window: by count and by condition, keeping and purging."""
     kinds = {"count keep": Trigger(every=every), "count purge": Trigger(every=every, purge=True),
              "condition keep": Trigger(when=F.col("vc") > above), "condition purge": Trigger(when=F.col("vc") > above, purge=True)}
-    rows = df.select("seq", "id", "vc")
-    parts = [global_trigger(rows, ["id"], t, scan=scan).select(F.lit(n).alias("trigger"), "id", "seq", "firing", "cnt", "vc_sum")
-             for n, t in kinds.items()]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    fired = global_triggers(df.select("seq", "id", "vc"), ["id"], kinds, scan=scan)
+    return fired.select("trigger", "id", "seq", "firing", "cnt", "vc_sum")
 
 
 def all_window(df: DataFrame, size_s: int, time_col: str = "t") -> DataFrame:

@@ -184,6 +184,7 @@ def _carried(name, sf, spark, op, ttl_s=None):
 
         def write(bdf, bid):
             rows = bdf.select(*CARRIED).persist()
+            held = [rows]
             try:
                 gone = None
                 if ttl_s is not None:
@@ -191,23 +192,32 @@ def _carried(name, sf, spark, op, ttl_s=None):
                     clock.write(bid, {"now": max(seen, default=None)})
                     # the time of a key's last row is the first state of both scans of this operator
                     gone = F.col("__s0.v") + ttl_s <= max(seen, default=0) - STREAM_DELAY_S
-                op(rows, state_scan(spark, os.path.join(run.root, "state"), bid, gone)).write.mode("overwrite") \
+                op(rows, state_scan(spark, os.path.join(run.root, "state"), bid, gone, held)).write.mode("overwrite") \
                     .parquet(H.batch_folder(run, bid))
             finally:
-                rows.unpersist()
+                for x in held:
+                    x.unpersist()
         return H.foreach_batch(src, run, name, write)
     run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False)
     return H.read_batches(spark, run).drop("batch")
 
 
-def state_scan(spark, path, bid, gone=None):
+def state_scan(spark, path, bid, gone=None, held=None):
     """``scan.running`` for batch ``bid`` of a stream: it goes on from the states of the batch's
-    keys after earlier batches and writes theirs after this one.  An operator's scans have a log each."""
+    keys after earlier batches and writes theirs after this one.  An operator's scans have a log each.
+
+    Both steps read the scan's rows and the states before.  With ``held`` these are computed once: they
+    are persisted and put on that list, for the caller to let go."""
     numbers = count()
 
     def scan_rows(df, keys, order, aggs, keep=False):
-        log = KeyedLog(spark, f"{path}{next(numbers)}", scan.end_states(df, keys, order, aggs).schema)
-        before = log.read(bid, df.select(scan.key_column(keys)))
+        number = next(numbers)
+        if held is not None and scan.BUCKET in df.columns:  # another scan's result
+            held.append(df := df.persist())
+        log = KeyedLog(spark, f"{path}{number}", scan.end_states(df, keys, order, aggs).schema)
+        before = log.read(bid, df.select(scan.key_column(keys)).distinct())
+        if held is not None:
+            held.append(before := before.persist())
         log.write(bid, scan.end_states(df, keys, order, aggs, initial=before), gone)
         return scan.running(df, keys, order, aggs, keep=keep, initial=before)
     return scan_rows
@@ -226,12 +236,14 @@ def _count_windows(name, sf, spark, places, number, full):
 
         def write(bdf, bid):
             rows = bdf.select(*cols).persist()
+            held = [rows]
             try:
-                here = places(rows, state_scan(spark, os.path.join(run.root, "state"), bid))
+                here = places(rows, state_scan(spark, os.path.join(run.root, "state"), bid, held=held))
                 key = scan.key_column(["id"])
                 log = KeyedLog(spark, os.path.join(run.root, "waiting"), here.groupBy(key).agg(packed).schema)
                 keys = rows.select(key).distinct()
-                here = here.unionByName(log.read(bid, keys).select(F.inline("waiting")))
+                here = here.unionByName(log.read(bid, keys).select(F.inline("waiting"))).persist()
+                held.append(here)
                 windows.fired(here, ["id"], number, full).write.mode("overwrite").parquet(H.batch_folder(run, bid))
                 done = spark.read.schema(run.schema).parquet(H.batch_folder(run, bid)).select(key, number)
                 left = here.withColumn(scan.KEY, key).join(done, [scan.KEY, number], "left_anti")
@@ -239,7 +251,8 @@ def _count_windows(name, sf, spark, places, number, full):
                 none = F.array().cast(log.schema["waiting"].dataType)
                 log.write(bid, keys.join(lists, scan.KEY, "left").withColumn("waiting", F.coalesce("waiting", none)))
             finally:
-                rows.unpersist()
+                for x in held:
+                    x.unpersist()
         return H.foreach_batch(src, run, name, write)
     run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False)
     return H.read_batches(spark, run).drop("batch")
@@ -678,12 +691,15 @@ def s_late_allowed_stream(spark, sf):
         def write(bdf, bid):
             was = ledger.read(bid - 1)["top"]
             rows = bdf.select(*rows_cols).persist()
+            held = [rows]
             try:
                 top = max((x for x in (was, rows.agg(F.max("ts")).first()[0]) if x is not None), default=None)
                 ledger.write(bid, {"top": top})
                 wm, wm_was = progress(top), progress(was)
-                here = marked(rows, was)
-                before = log.read(bid, here.select(scan.key_column(keys)))
+                here = marked(rows, was).persist()
+                held.append(here)
+                before = log.read(bid, here.select(scan.key_column(keys)).distinct()).persist()
+                held.append(before)
                 end = F.col(f"{scan.KEY}.win_end")
                 # a window whose allowed lateness is over is never read again
                 log.write(bid, scan.end_states(here, keys, order, aggs, initial=before), passed(wm, end + P.LATENESS_S))
@@ -693,7 +709,8 @@ def s_late_allowed_stream(spark, sf):
                 fires = first_firings(log.read(bid + 1).where(passed(wm, end) & ~passed(wm_was, end)))
                 again.unionByName(fires).write.mode("overwrite").parquet(H.batch_folder(run, bid))
             finally:
-                rows.unpersist()
+                for x in held:
+                    x.unpersist()
         return H.foreach_batch(src, run, "late_allowed_stream", write)
     run = H.replay(spark, "late_allowed", data, "arrival", N_BATCHES, start, flush=False)
     fired = H.read_batches(spark, run)
