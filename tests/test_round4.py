@@ -1,15 +1,23 @@
-"""Two scans for any number of triggers, buckets by rows, states without an order."""
+"""Whole replicas, two scans for any number of triggers, buckets by rows, states without an order."""
 
 import duckdb
 from pyspark.sql import functions as F
 
 from sensorflow.operators import scan, windows
 from sensorflow.operators.scan import BUCKET, Agg, end_states, running, with_buckets
+from sensorflow.plans import catalog
 from sensorflow.session import scratch_path
 from sensorflow.streaming import catalog as C
 from tests.test_states import events
 
 
+def test_replicas_hold_all_sensor_rows(spark):
+    """The facts are replicated, not a small dimension."""
+    path = events(spark, scratch_path(spark, "replicas"), [(i, 100 * i, i % 3, "view", 1.0) for i in range(37)])
+    got = {r.replica: (r.cnt, r.misplaced) for r in catalog.QUERIES["part_replicate"](spark, path).collect()}
+    assert got == {i: (37, 0) for i in range(4)}
+
+
 def test_triggers_share_two_scans(spark):
     """Four triggers take two scans, not six, and fire as each does by itself."""
     df = spark.createDataFrame([(i, f"k{i % 3}" if i % 5 else None, (i * 37) % 101 if i % 7 else None) for i in range(120)],
