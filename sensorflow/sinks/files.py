@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from sensorflow.session import remove_path, scratch_path
 from sensorflow.sources.tables import sensor_line
 
 BUCKET_FORMAT = "yyyy-MM-dd HH"
+RENAMES = 8
 
 
 def bucketed_lines(df: DataFrame, time_col: str = "t") -> DataFrame:
@@ -73,22 +75,38 @@ def write_rolled_text(lines: DataFrame, path: str) -> str:
     """Writes (bucket, file, value) as ``path/bucket=<bucket>/<file>``.
 
     Spark writes below ``_staging``, which readers pass over, one folder per file; each file then gets
-    its name by a rename.  A second run with the same rows puts the same files in place."""
+    its name by a rename.  A second run with the same rows puts the same files in place.  Tasks put what they
+    commit in place themselves (committer version 2: nothing in ``_staging`` is read before the job has ended);
+    ``RENAMES`` files of a bucket are renamed at a time."""
     spark = lines.sparkSession
     staging = f"{path}/_staging"
     # all rows of a file go to one task: a file is bounded by its limit
     (lines.repartition("bucket", "file").write.mode("overwrite").partitionBy("bucket", "file")
-     .option("maxRecordsPerFile", 0).text(staging))
-    Path = spark._jvm.org.apache.hadoop.fs.Path
+     .option("maxRecordsPerFile", 0).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(staging))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    Path = hadoop.Path
     fs = Path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in fs.globStatus(Path(f"{staging}/bucket=*/file=*/part-*")):
-        folder = found.getPath().getParent()
-        target = Path(f"{path}/{folder.getParent().getName()}")
-        fs.mkdirs(target)
-        to = Path(target, folder.getName().removeprefix("file="))
-        fs.delete(to, False)
-        if not fs.rename(found.getPath(), to):
-            raise RuntimeError(f"could not put {to} in place")
+
+    def found(pattern: str):
+        return hadoop.FileUtil.stat2Paths(fs.globStatus(Path(pattern)))
+
+    def put(files, first: int, target: str, anew: bool) -> None:
+        for i in range(first, len(files), RENAMES):
+            file = files[i]
+            to = Path(f"{target}/{file.toString().split('/')[-2].removeprefix('file=')}")
+            if not anew:
+                fs.delete(to, False)
+            if not fs.rename(file, to):
+                raise RuntimeError(f"could not put {to} in place")
+
+    with ThreadPoolExecutor(RENAMES) as pool:
+        for folder in found(f"{staging}/bucket=*"):
+            target = Path(f"{path}/{folder.getName()}")
+            anew = not fs.exists(target)
+            fs.mkdirs(target)
+            files = found(f"{folder.toString()}/file=*/part-*")
+            for done in [pool.submit(put, files, i, target.toString(), anew) for i in range(RENAMES)]:
+                done.result()
     remove_path(spark, staging)
     return path
 

@@ -1,4 +1,4 @@
-"""Whole replicas, two scans for any number of triggers, buckets by rows, states without an order."""
+"""Whole replicas, two scans for any number of triggers, buckets by rows, states without an order, renames in bulk."""
 
 import duckdb
 from pyspark.sql import functions as F
@@ -7,6 +7,7 @@ from sensorflow.operators import scan, windows
 from sensorflow.operators.scan import BUCKET, Agg, end_states, running, with_buckets
 from sensorflow.plans import catalog
 from sensorflow.session import scratch_path
+from sensorflow.sinks import files
 from sensorflow.streaming import catalog as C
 from tests.test_states import events
 
@@ -83,3 +84,15 @@ def test_stream_of_triggers_equals_sql(spark):
     want = con.execute(C.STREAM_ORACLE["win_global_trigger_stream"])
     cols = [c[0] for c in want.description]
     assert sorted(map(repr, want.fetchall())) == sorted(repr(tuple(r)) for r in out.select(*cols).collect())
+
+
+def test_rolled_files_take_few_calls(spark, monkeypatch):
+    """A second run replaces the files; names with odd characters are kept as Spark writes them."""
+    df = spark.range(400).selectExpr("id AS seq", "id * 60 AS ts")
+    lines = files.rolled_lines(df, files.Rolling("a, b", ".txt", max_bytes=100), line=F.rpad(F.col("seq").cast("string"), 19, "x"))
+    path = files.write_rolled_text(lines, scratch_path(spark, "rolled"))
+    got = {(r.bucket, r.cnt, r.n_bytes) for r in files.read_rolled_files(spark, path).collect()}
+    assert len(got) == 7 and {n for _, _, n in got} == {100}
+    assert files.read_rolled_files(spark, path).count() == 80
+    files.write_rolled_text(lines, path)
+    assert files.read_rolled_files(spark, path).agg(F.sum("cnt")).first()[0] == 400
