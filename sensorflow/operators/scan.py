@@ -215,12 +215,12 @@ def end_states(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]
         out = both.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n"), *[_as(op, FOLD[op](s), kinds[s].dataType).alias(s) for op, _, s in parts]).drop("__n")
     for j, a in enumerate(a for a in aggs if a.kind == "topk"):
         state = f"__t{j}"
-        values = rows.select(KEY, F.col(a.col).alias("__v"))
+        values = rows.select(KEY, F.col(a.col).alias("__value"))
         if initial is not None:
             values = values.union(initial.select(KEY, F.explode(state)))
-        best = Window.partitionBy(KEY).orderBy(F.col("__v").desc())
-        heads = values.where("__v IS NOT NULL").withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= a.k)
-        tops = heads.groupBy(KEY).agg(F.sort_array(F.collect_list("__v"), asc=False).alias(state))
+        best = Window.partitionBy(KEY).orderBy(F.col("__value").desc())
+        heads = values.where("__value IS NOT NULL").withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= a.k)
+        tops = heads.groupBy(KEY).agg(F.sort_array(F.collect_list("__value"), asc=False).alias(state))
         none = F.array().cast(tops.schema[state].dataType)
         out = out.join(tops, KEY, "left").withColumn(state, F.coalesce(state, none))
     return out
@@ -245,19 +245,19 @@ def _levels(rows: DataFrame, window, value: Column, k: int, tag: str) -> tuple[D
 
 def _topk(rows: DataFrame, cols: list[str], order: list[str], a: Agg, initial: DataFrame | None, state: str) -> DataFrame:
     # the k largest of each bucket (at most k rows per key and bucket), run through in bucket order
-    best = Window.partitionBy(KEY, BUCKET).orderBy(F.col("__v").desc())
-    heads = (rows.where(F.col(a.col).isNotNull()).select(KEY, BUCKET, F.col(a.col).alias("__v"))
+    best = Window.partitionBy(KEY, BUCKET).orderBy(F.col("__value").desc())
+    heads = (rows.where(F.col(a.col).isNotNull()).select(KEY, BUCKET, F.col(a.col).alias("__value"))
              .withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= a.k))
     if initial is not None:
-        heads = heads.unionByName(initial.select(KEY, F.lit(BEFORE).alias(BUCKET), F.posexplode(state).alias("__r", "__v"))
+        heads = heads.unionByName(initial.select(KEY, F.lit(BEFORE).alias(BUCKET), F.posexplode(state).alias("__r", "__value"))
                                   .withColumn("__r", F.col("__r") + 1))
     # before its values a bucket meets what the buckets before it hold
-    spots = rows.groupBy(KEY, BUCKET).agg(F.lit(None).cast(heads.schema["__v"].dataType).alias("__v"), F.lit(0).alias("__r"))
+    spots = rows.groupBy(KEY, BUCKET).agg(F.lit(None).cast(heads.schema["__value"].dataType).alias("__value"), F.lit(0).alias("__r"))
     over = Window.partitionBy(KEY).orderBy(BUCKET, "__r")
-    met, _, helds = _levels(heads.unionByName(spots), over, F.col("__v"), a.k, "c")
-    carry = met.where(F.col("__r") == 0).select(KEY, BUCKET, F.explode(F.array(*helds)).alias("__v"))
-    out = _with_carry(rows, cols, [F.col(a.col).alias("__v")], carry)
+    met, _, helds = _levels(heads.unionByName(spots), over, F.col("__value"), a.k, "c")
+    carry = met.where(F.col("__r") == 0).select(KEY, BUCKET, F.explode(F.array(*helds)).alias("__value"))
+    out = _with_carry(rows, cols, [F.col(a.col).alias("__value")], carry)
     inside = Window.partitionBy(KEY, BUCKET).orderBy(ROW, *order)
-    out, names, helds = _levels(out, inside, F.col("__v"), a.k, "r")
+    out, names, helds = _levels(out, inside, F.col("__value"), a.k, "r")
     top = F.array_compact(F.array(*[F.col(n) for n in (helds if a.exclusive else names)])).alias(a.name)
     return out.select(KEY, BUCKET, ROW, *cols, top).where(F.col(ROW) == 1).drop(ROW)
