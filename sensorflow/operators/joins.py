@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.scalar import java_split
-from sensorflow.operators.scan import Agg, running
+from sensorflow.operators.scan import Agg, dealt, running
 
 
 def window_join(left: DataFrame, right: DataFrame, size_s: int, key: str = "id",
@@ -67,9 +67,9 @@ def asof_threshold_alerts(data: DataFrame, config: DataFrame, order: str = "seq"
     the skew-proof running scan, so the config log may be as large as the
     data."""
     d = data.withColumn("__cfg", F.lit(None).cast("int")).withColumn("__is_cfg", F.lit(False))
-    c = config.select(F.col(order), F.col("threshold").alias("__cfg"))
+    c = config.select(F.col(order), F.col("threshold").alias("__cfg"), *dealt(config))
     for col in data.columns:
-        if col not in (order,):
+        if col not in c.columns:
             c = c.withColumn(col, F.lit(None).cast(data.schema[col].dataType))
     c = c.withColumn("__is_cfg", F.lit(True)).select(*d.columns)
     merged = d.unionByName(c)

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.operators.scan import Agg, running
+from sensorflow.operators.scan import Agg, dealt, running
 
 ORDER = ["seq"]
 
@@ -40,7 +40,7 @@ def filter_group_sum(df: DataFrame, threshold: int = 5) -> DataFrame:
 # ---- running (one output row per input row) --------------------------------
 
 def _rows(df: DataFrame) -> DataFrame:
-    return df.select("seq", "id", "ts", "vc")
+    return df.select("seq", "id", "ts", "vc", *dealt(df))
 
 
 def running_reduce(df: DataFrame, order: list[str] = ORDER, scan: Callable = running) -> DataFrame:

@@ -110,7 +110,11 @@ def with_buckets(df: DataFrame, keys: list[str], order: list[str], buckets: int
     A part holds about 1 / ``PARTS`` of the rows wherever they lie, and both ends are parts of
     their own: a far-off place (a sentinel date, an epoch-0 row) widens no bucket but its own.
     Without ``buckets`` there is one for about ``BUCKET_ROWS`` rows, and at most ``BUCKETS``: more would
-    split the keys that are not hot as well, down to a state for every row."""
+    split the keys that are not hot as well, down to a state for every row.
+
+    Rows that come with a bucket (:func:`dealt`: a staged stream's ranges of the same order) keep it."""
+    if BUCKET in df.columns:
+        return df.withColumn(KEY, key_column(keys))
     x = _number(F.col(order[0]), df.schema[order[0]].dataType).cast("double")
     parts = min(PARTS, buckets or BUCKETS)
     ends = 1 / (4 * (buckets or BUCKETS))
@@ -142,31 +146,49 @@ def with_buckets(df: DataFrame, keys: list[str], order: list[str], buckets: int
     return rows.withColumn(BUCKET, F.when(F.col(BUCKET) < 0, F.lit(-1)).otherwise(at)).drop(PLACE, CUTS)
 
 
-def _states(rows: DataFrame, plain: list[Agg], order: list[str], initial: DataFrame | None) -> tuple[DataFrame, list]:
+def dealt(df: DataFrame) -> list[str]:
+    """The bucket column, if the rows come with one: an operator that selects its columns keeps it for its scan."""
+    return [BUCKET] if BUCKET in df.columns else []
+
+
+def _plain(aggs: list[Agg]) -> list[Agg]:
+    return [a for a in aggs if a.kind != "topk"]
+
+
+def bucket_states(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg]) -> DataFrame:
+    """One state per key and bucket of rows that come with a bucket: ``states`` of both :func:`running` and :func:`end_states`."""
+    rows = df if KEY in df.columns else with_buckets(df, keys, order)
+    folds = [(_input(a, rows, order), f"__s{i}") for i, a in enumerate(_plain(aggs))]
+    part = rows.groupBy(KEY, BUCKET).agg(F.count(F.lit(1)).alias("__n"), *[FOLD[op](x).alias(s) for (op, x), s in folds])
+    return part.drop("__n")
+
+
+def _states(rows: DataFrame, plain: list[Agg], order: list[str], initial: DataFrame | None,
+            states: DataFrame | None) -> tuple[DataFrame, list]:
     """One state per key and bucket; states of earlier input stand in a bucket before all others."""
     parts = [(*_input(a, rows, order), f"__s{i}") for i, a in enumerate(plain)]
-    part = rows.groupBy(KEY, BUCKET).agg(F.count(F.lit(1)).alias("__n"), *[FOLD[op](x).alias(s) for op, x, s in parts])
-    part = part.drop("__n")
+    part = bucket_states(rows, [], order, plain) if states is None else states
     if initial is not None:
         part = part.union(initial.select(KEY, F.lit(BEFORE), *[s for _, _, s in parts]))
     return part, parts
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], buckets: int | None = None,
-            keep: bool = False, initial: DataFrame | None = None) -> DataFrame:
+            keep: bool = False, initial: DataFrame | None = None, states: DataFrame | None = None) -> DataFrame:
     """Append the running aggregates ``aggs`` per ``keys`` in ``order``.
 
     ``order`` must be a total order within each key (include a unique column),
     its first column numeric or a time.  The output keeps every input row and
     column.  ``keep=True`` also keeps the key and bucket columns; an input that
     has them is a chained scan and is not dealt again.  ``initial`` holds the
-    keys' states after earlier input, as :func:`end_states` gives them.
+    keys' states after earlier input, as :func:`end_states` gives them, ``states`` the :func:`bucket_states`
+    of these rows if they are at hand.
     """
     cols = [c for c in df.columns if c not in (KEY, BUCKET)]
-    rows = df if BUCKET in df.columns else with_buckets(df, keys, order, buckets)
-    plain = [a for a in aggs if a.kind != "topk"]
+    rows = df if KEY in df.columns else with_buckets(df, keys, order, buckets)
+    plain = _plain(aggs)
     if plain:
-        part, parts = _states(rows, plain, order, initial)
+        part, parts = _states(rows, plain, order, initial, states)
         kinds = part.schema
         # at most ``buckets`` rows per key
         earlier = (Window.partitionBy(KEY).orderBy(BUCKET)
@@ -200,18 +222,21 @@ def _with_carry(rows: DataFrame, cols: list[str], values: list[Column], carry: D
 
 
 def end_states(df: DataFrame, keys: list[str], order: list[str], aggs: list[Agg], buckets: int | None = None,
-               initial: DataFrame | None = None) -> DataFrame:
+               initial: DataFrame | None = None, states: DataFrame | None = None) -> DataFrame:
     """One row per key of ``df`` and ``initial``: its states after all rows, for the next call's ``initial``.
+    With ``states``, the :func:`bucket_states` of the rows, these are folded instead of the rows.
 
     Folds need no order, so ``buckets`` plays no part: partial aggregation takes care of hot keys."""
     rows = df if KEY in df.columns else df.withColumn(KEY, key_column(keys))
-    plain = [a for a in aggs if a.kind != "topk"]
-    parts = [(*_input(a, rows, order), f"__s{i}") for i, a in enumerate(plain)]
-    folds = [FOLD[op](x).alias(s) for op, x, s in parts]
-    out = rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n"), *folds).drop("__n")
-    if initial is not None:
+    parts = [(*_input(a, rows, order), f"__s{i}") for i, a in enumerate(_plain(aggs))]
+    if states is None:
+        folds = [FOLD[op](x).alias(s) for op, x, s in parts]
+        out = rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n"), *folds).drop("__n")
+    else:
+        out = states.select(KEY, *[s for _, _, s in parts])
+    if initial is not None or states is not None:
         kinds = out.schema
-        both = out.union(initial.select(KEY, *[s for _, _, s in parts]))
+        both = out if initial is None else out.union(initial.select(KEY, *[s for _, _, s in parts]))
         out = both.groupBy(KEY).agg(F.count(F.lit(1)).alias("__n"), *[_as(op, FOLD[op](s), kinds[s].dataType).alias(s) for op, _, s in parts]).drop("__n")
     for j, a in enumerate(a for a in aggs if a.kind == "topk"):
         state = f"__t{j}"

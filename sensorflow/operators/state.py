@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.operators.scan import Agg, running
+from sensorflow.operators.scan import Agg, dealt, running
 
 
 def delta_alert(df: DataFrame, limit: int = 10, order: list[str] | None = None,
                 scan: Callable = running) -> DataFrame:
     """Value state holding the previous vc (none -> 0): alert when
     |vc - previous| > limit."""
-    r = scan(df.select("seq", "id", "vc"), ["id"], order or ["seq"],
+    r = scan(df.select("seq", "id", "vc", *dealt(df)), ["id"], order or ["seq"],
              [Agg("prev_vc", "last", "vc", exclusive=True)])
     r = r.withColumn("prev_vc", F.coalesce(F.col("prev_vc"), F.lit(0)))
     hits = r.where(F.abs(F.col("vc") - F.col("prev_vc")) > limit)
@@ -36,7 +36,7 @@ def vc_count_map(df: DataFrame) -> DataFrame:
 
 def vc_count_running(df: DataFrame, order: list[str] | None = None, scan: Callable = running) -> DataFrame:
     """The map entry updated by each record: its count right after the record."""
-    r = scan(df.select("seq", "id", "vc"), ["id", "vc"], order or ["seq"], [Agg("n", "count")])
+    r = scan(df.select("seq", "id", "vc", *dealt(df)), ["id", "vc"], order or ["seq"], [Agg("n", "count")])
     return r.select("seq", "id", "vc", "n")
 
 
@@ -54,7 +54,7 @@ def ttl_last_value(df: DataFrame, ttl_s: int, write_above: int = 10, time_col: s
     order = order or ["seq"]
     if order != ["seq"]:
         raise ValueError("ttl_last_value processes records in seq order")
-    base = df.select("seq", "id", time_col, "vc")
+    base = df.select("seq", "id", time_col, "vc", *dealt(df))
     s1 = scan(base, ["id"], order, [Agg("__prev_t", "last", time_col, exclusive=True)], keep=True)
     s1 = (s1.withColumn("__brk", F.when(F.col("__prev_t").isNotNull() &
                                         (F.col(time_col) - F.col("__prev_t") >= ttl_s), F.col("seq")))

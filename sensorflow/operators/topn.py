@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorflow.operators.scan import Agg, running
+from sensorflow.operators.scan import Agg, dealt, running
 from sensorflow.operators.windows import sliding
 
 
@@ -39,7 +39,7 @@ def running_topk(df: DataFrame, k: int = 3, key: str = "id", value: str = "vc",
                  order: list[str] | None = None, scan: Callable = running) -> DataFrame:
     """At every record, the k largest values of the key so far (descending,
     duplicates kept) -- list state sorted and cut after each add."""
-    r = scan(df.select("seq", key, value), [key], order or ["seq"], [Agg("top", "topk", value, k=k)])
+    r = scan(df.select("seq", key, value, *dealt(df)), [key], order or ["seq"], [Agg("top", "topk", value, k=k)])
     return r.select("seq", key, value, "top")
 
 
@@ -67,7 +67,7 @@ def top_changelog(df: DataFrame, value: str = "vc", key: str = "id", n: int = 2,
     one back (-U) and gives the new one (+U); a record that changes no rank gives nothing.
     The accumulator starts at zeros, so only positive values enter and a repeated maximum
     fills both ranks.  ``pos`` orders the rows of one record."""
-    rows = df.select("seq", key, value).withColumn("__v", F.when(F.col(value) > 0, F.col(value)))
+    rows = df.select("seq", key, value, *dealt(df)).withColumn("__v", F.when(F.col(value) > 0, F.col(value)))
     r = scan(rows, [key], order or ["seq"], [Agg("__before", "topk", "__v", k=n, exclusive=True)])
     after = F.slice(F.sort_array(F.concat("__before", F.array_compact(F.array("__v"))), asc=False), 1, n)
     r = r.where(F.col("__v").isNotNull()).withColumn("__after", after)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.scalar import epoch_ms_format
-from sensorflow.operators.scan import Agg, running
+from sensorflow.operators.scan import Agg, dealt, running
 
 
 def _secs(c: Column) -> Column:
@@ -144,12 +144,16 @@ def sliding_places(df: DataFrame, size: int, slide: int, keys: list[str], order:
     return r.withColumn("fire_no", F.explode(fires))
 
 
+def counted(places: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """Count windows, complete or not: one row each, with the last row number."""
+    return (places.groupBy(*keys, number)
+            .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").cast("bigint").alias("vc_sum"),
+                 F.max("__rn").alias("__last_rn"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")))
+
+
 def fired(places: DataFrame, keys: list[str], number: str, full: Column) -> DataFrame:
     """Count windows that are complete (``full``, over cnt and the last row number): one row each."""
-    g = (places.groupBy(*keys, number)
-         .agg(F.count(F.lit(1)).alias("cnt"), F.sum("vc").cast("bigint").alias("vc_sum"),
-              F.max("__rn").alias("__last_rn"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")))
-    return g.where(full).drop("__last_rn")
+    return counted(places, keys, number).where(full).drop("__last_rn")
 
 
 def count_tumbling(df: DataFrame, size: int, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -234,7 +238,7 @@ def triggers_compared(df: DataFrame, every: int, above: int, scan: Callable = ru
     """Firings of four triggers on the same global window: by count and by condition, keeping and purging."""
     kinds = {"count keep": Trigger(every=every), "count purge": Trigger(every=every, purge=True),
              "condition keep": Trigger(when=F.col("vc") > above), "condition purge": Trigger(when=F.col("vc") > above, purge=True)}
-    fired = global_triggers(df.select("seq", "id", "vc"), ["id"], kinds, scan=scan)
+    fired = global_triggers(df.select("seq", "id", "vc", *dealt(df)), ["id"], kinds, scan=scan)
     return fired.select("trigger", "id", "seq", "firing", "cnt", "vc_sum")
 
 

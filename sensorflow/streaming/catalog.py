@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.scalar import java_split
 from sensorflow.operators import bridge, eventtime, joins, keyed, scan, state, topn, transforms, windows
+from sensorflow.operators.scan import dealt
 from sensorflow.plans import params as P
 from sensorflow.plans.oracle import ORACLE, S
 from sensorflow.session import path_exists, prepare
@@ -152,8 +153,8 @@ def s_broadcast_asof_stream(spark, sf):
     """Dynamic broadcast config on a stream: each row meets the newest threshold
     that came before it, also from an earlier batch (the carried state)."""
     def op(d, scan):
-        data = d.where(~T.is_config()).select("seq", "id", "vc")
-        cfg = d.where(T.is_config()).select("seq", F.col("vc").alias("threshold"))
+        data = d.where(~T.is_config()).select("seq", "id", "vc", *dealt(d))
+        cfg = d.where(T.is_config()).select("seq", F.col("vc").alias("threshold"), *dealt(d))
         return joins.asof_threshold_alerts(data, cfg, scan=scan)
     return _carried("broadcast_asof_stream", sf, spark, op)
 
@@ -174,17 +175,19 @@ CARRIED = ["seq", "id", "kind", "ts", "vc"]
 def _carried(name, sf, spark, op, ttl_s=None):
     """A running scan over a stream: each micro-batch is scanned in two levels, so a
     hot key is spread over its order buckets, and goes on from the states of its keys.
-    Only those states are read and written again.  With ``ttl_s`` the state of a key
+    Only those states are read and written again.  The buckets are the ranges that the
+    stream was staged in, so no batch looks for cuts of its own.  With ``ttl_s`` the state of a key
     whose last row is so far back that no row can find it alive goes at the next merge."""
-    data = _twin_order(spark, sf)
+    data = _twin_order(spark, sf).select(*CARRIED)
+    cols = [*CARRIED, scan.BUCKET]
 
     def start(src, run):
-        run.schema = op(src.sparkSession.createDataFrame([], src.select(*CARRIED).schema), scan.running).schema
+        run.schema = op(src.sparkSession.createDataFrame([], src.select(*cols).schema), scan.running).schema
         clock = Ledger(spark, os.path.join(run.root, "clock"), "now bigint", {"now": None})
 
         def write(bdf, bid):
-            rows = bdf.select(*CARRIED).persist()
-            held = [rows]
+            rows = bdf.select(*cols)
+            held = []
             try:
                 gone = None
                 if ttl_s is not None:
@@ -198,7 +201,7 @@ def _carried(name, sf, spark, op, ttl_s=None):
                 for x in held:
                     x.unpersist()
         return H.foreach_batch(src, run, name, write)
-    run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False)
+    run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False, ranges=True)
     return H.read_batches(spark, run).drop("batch")
 
 
@@ -206,20 +209,29 @@ def state_scan(spark, path, bid, gone=None, held=None):
     """``scan.running`` for batch ``bid`` of a stream: it goes on from the states of the batch's
     keys after earlier batches and writes theirs after this one.  An operator's scans have a log each.
 
-    Both steps read the scan's rows and the states before.  With ``held`` these are computed once: they
-    are persisted and put on that list, for the caller to let go."""
+    Both steps go by the states of the rows' buckets, if they come with one, and the states before.  With
+    ``held`` these are computed once: they are persisted and put on that list, for the caller to let go."""
     numbers = count()
 
+    def once(df):
+        if held is None:
+            return df
+        held.append(df.persist())
+        return held[-1]
+
     def scan_rows(df, keys, order, aggs, keep=False):
         number = next(numbers)
-        if held is not None and scan.BUCKET in df.columns:  # another scan's result
-            held.append(df := df.persist())
+        if scan.KEY in df.columns:  # another scan's result
+            df = once(df)
         log = KeyedLog(spark, f"{path}{number}", scan.end_states(df, keys, order, aggs).schema)
-        before = log.read(bid, df.select(scan.key_column(keys)).distinct())
-        if held is not None:
-            held.append(before := before.persist())
-        log.write(bid, scan.end_states(df, keys, order, aggs, initial=before), gone)
-        return scan.running(df, keys, order, aggs, keep=keep, initial=before)
+        states, before = None, None
+        if scan.BUCKET in df.columns:
+            states = once(scan.bucket_states(df, keys, order, aggs))
+        if log.segments(bid):
+            here = states.select(scan.KEY) if states is not None else df.select(scan.key_column(keys))
+            before = once(log.read(bid, here.distinct()))
+        log.write(bid, scan.end_states(df, keys, order, aggs, initial=before, states=states), gone)
+        return scan.running(df, keys, order, aggs, keep=keep, initial=before, states=states)
     return scan_rows
 
 
@@ -628,7 +640,7 @@ def _classified_stream(spark, sf, name: str, keep_late: bool):
 
         def write(bdf, bid):
             top = ledger.read(bid - 1)["top"]
-            rows = bdf.select(*cols).persist()
+            rows = bdf.select(*cols, scan.BUCKET).persist()
             try:
                 classified(rows, top).write.mode("overwrite").parquet(H.batch_folder(run, bid))
                 seen = [x for x in (top, rows.agg(F.max("ts")).first()[0]) if x is not None]
@@ -636,7 +648,7 @@ def _classified_stream(spark, sf, name: str, keep_late: bool):
                 rows.unpersist()
             ledger.write(bid, {"top": max(seen, default=None)})
         return H.foreach_batch(src, run, name, write)
-    run = H.replay(spark, name, _arrivals(spark, sf), "arrival", N_BATCHES, start, flush=False)
+    run = H.replay(spark, name, _arrivals(spark, sf).select(*cols), "arrival", N_BATCHES, start, flush=False, ranges=True)
     return H.read_batches(spark, run).drop("batch")
 
 

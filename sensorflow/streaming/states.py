@@ -26,6 +26,11 @@ from sensorflow.operators.scan import KEY
 from sensorflow.session import remove_path
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that no Python worker has to be started for."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 class KeyedLog:
     """States of keys: rows of ``key`` (one column, null-safe inside a struct) and state columns."""
 
@@ -68,7 +73,7 @@ class KeyedLog:
         """States after so many batches; ``keys``: one column named like the key, repeats allowed."""
         segments = self.segments(batches)
         if not segments:
-            return self.spark.createDataFrame([], self.schema)
+            return no_rows(self.spark, self.schema)
         return self._newest(segments, keys)
 
     def write(self, batch: int, changed: DataFrame, gone: Column | None = None) -> None:
