@@ -238,8 +238,8 @@ def state_scan(spark, path, bid, gone=None, held=None):
 def _count_windows(name, sf, spark, places, number, full):
     """Count windows on a stream: a batch's complete windows fire; the rows of the others wait as
     a list per key, shorter than the copies of a window's rows, and only the batch's keys' lists are written."""
-    cols = ["seq", "id", "ts", "vc"]
-    data = _twin_order(spark, sf)
+    cols = ["seq", "id", "ts", "vc", scan.BUCKET]
+    data = _twin_order(spark, sf).select(*cols[:-1])
 
     def start(src, run):
         shape = places(spark.createDataFrame([], src.select(*cols).schema), scan.running)
@@ -247,8 +247,8 @@ def _count_windows(name, sf, spark, places, number, full):
         packed = F.collect_list(F.struct(*shape.columns)).alias("waiting")
 
         def write(bdf, bid):
-            rows = bdf.select(*cols).persist()
-            held = [rows]
+            rows = bdf.select(*cols)
+            held = []
             try:
                 here = places(rows, state_scan(spark, os.path.join(run.root, "state"), bid, held=held))
                 key = scan.key_column(["id"])
@@ -256,9 +256,14 @@ def _count_windows(name, sf, spark, places, number, full):
                 keys = rows.select(key).distinct()
                 here = here.unionByName(log.read(bid, keys).select(F.inline("waiting"))).persist()
                 held.append(here)
-                windows.fired(here, ["id"], number, full).write.mode("overwrite").parquet(H.batch_folder(run, bid))
-                done = spark.read.schema(run.schema).parquet(H.batch_folder(run, bid)).select(key, number)
-                left = here.withColumn(scan.KEY, key).join(done, [scan.KEY, number], "left_anti")
+                counts = windows.counted(here, ["id"], number).persist()
+                held.append(counts)
+                counts.where(full).drop("__last_rn").write.mode("overwrite").parquet(H.batch_folder(run, bid))
+                # the windows that wait are few, one or two a key; computed before the join, so that it knows
+                wait = counts.where(~F.coalesce(full, F.lit(False))).select(key, number).persist()
+                held.append(wait)
+                wait.count()
+                left = here.withColumn(scan.KEY, key).join(wait, [scan.KEY, number], "left_semi")
                 lists = left.groupBy(scan.KEY).agg(packed)
                 none = F.array().cast(log.schema["waiting"].dataType)
                 log.write(bid, keys.join(lists, scan.KEY, "left").withColumn("waiting", F.coalesce("waiting", none)))
@@ -266,7 +271,7 @@ def _count_windows(name, sf, spark, places, number, full):
                 for x in held:
                     x.unpersist()
         return H.foreach_batch(src, run, name, write)
-    run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False)
+    run = H.replay(spark, name, data, "seq", N_BATCHES, start, flush=False, ranges=True)
     return H.read_batches(spark, run).drop("batch")
 
 
