@@ -666,8 +666,9 @@ def s_late_side_output_stream(spark, sf):
 def s_late_allowed_stream(spark, sf):
     """Allowed lateness on a stream: a window fires when the watermark passes its
     end and again for every row that is late but allowed; each firing is a row of
-    the sink with the window's value then.  A batch writes the states of its own windows.
-    Windows still open at the end of the input fire there.  The result is the last
+    the sink with the window's value then.  A batch writes the states of its own windows
+    that are not destroyed yet; those that fire are known from these and the waiting ones.
+    Only windows that fire again are scanned row by row.  Windows still open at the end of the input fire there.  The result is the last
     firing of each window."""
     keys = ["id", "win_start", "win_end"]
     on = F.col("status") == "on_time"
@@ -676,7 +677,7 @@ def s_late_allowed_stream(spark, sf):
     names = dict(zip((f"__s{i}" for i in range(len(aggs))), (x.name for x in aggs)))
     order = ["arrival", "seq"]
     rows_cols = ["seq", "id", "ts", "vc", "arrival"]
-    data = _arrivals(spark, sf)
+    data = _arrivals(spark, sf).select(*rows_cols)
 
     def marked(rows, top):
         kept = eventtime.classify_window_lateness(rows, P.WINDOW_S, P.DELAY_S, P.LATENESS_S, order, carry_max=top).where(F.col("status") != "late")
@@ -707,37 +708,50 @@ def s_late_allowed_stream(spark, sf):
 
         def write(bdf, bid):
             was = ledger.read(bid - 1)["top"]
-            rows = bdf.select(*rows_cols).persist()
-            held = [rows]
+            # the staged range goes along as a column and is the bucket of both scans
+            rows = bdf.select(*rows_cols, scan.BUCKET, F.col(scan.BUCKET).alias("range"))
+            held = []
+
+            def once(df):
+                held.append(df.persist())
+                return held[-1]
             try:
                 top = max((x for x in (was, rows.agg(F.max("ts")).first()[0]) if x is not None), default=None)
                 ledger.write(bid, {"top": top})
                 wm, wm_was = progress(top), progress(was)
-                here = marked(rows, was).persist()
-                held.append(here)
-                before = log.read(bid, here.select(scan.key_column(keys)).distinct()).persist()
-                held.append(before)
+                here = once(marked(rows, was).withColumn(scan.KEY, scan.key_column(keys)).withColumnRenamed("range", scan.BUCKET))
+                states = scan.end_states(here, keys, order, aggs)
+                waiting = once(log.read(bid))
+                # a window's states before and in this batch are brought together once: those of its own windows are new
+                parts = states.withColumn("__new", F.lit(1)).union(waiting.withColumn("__new", F.lit(0)))
+                both = once(parts.groupBy(scan.KEY).agg(*[F.sum(s).cast(log.schema[s].dataType).alias(s) for s in names], F.max("__new").alias("__new")))
                 end = F.col(f"{scan.KEY}.win_end")
                 # a window whose allowed lateness is over is never read again
-                log.write(bid, scan.end_states(here, keys, order, aggs, initial=before), passed(wm, end + P.LATENESS_S))
-                again = scan.running(here, keys, order, aggs, initial=before).where("is_re = 1").select(
-                    *keys, "cnt", F.col("vc_sum").cast("bigint"),
-                    (F.col("re") + (F.col("on_cnt") > 0).cast("int")).cast("bigint").alias("firings"))
-                fires = first_firings(log.read(bid + 1).where(passed(wm, end) & ~passed(wm_was, end)))
+                over = passed(wm, end + P.LATENESS_S)
+                log.write(bid, both.where((F.col("__new") == 1) & ~F.coalesce(over, F.lit(False))), over)
+                # computed before the joins, so that they know how few these are
+                late = once(here.where("is_re = 1").select(scan.KEY).distinct())
+                late.count()
+                again = scan.running(here.join(late, scan.KEY, "left_semi"), keys, order, aggs, initial=waiting.join(late, scan.KEY, "left_semi")) \
+                    .where("is_re = 1").select(
+                        *keys, "cnt", F.col("vc_sum").cast("bigint"),
+                        (F.col("re") + (F.col("on_cnt") > 0).cast("int")).cast("bigint").alias("firings"))
+                fires = first_firings(both.where(passed(wm, end) & ~passed(wm_was, end)))
                 again.unionByName(fires).write.mode("overwrite").parquet(H.batch_folder(run, bid))
             finally:
                 for x in held:
                     x.unpersist()
         return H.foreach_batch(src, run, "late_allowed_stream", write)
-    run = H.replay(spark, "late_allowed", data, "arrival", N_BATCHES, start, flush=False)
+    run = H.replay(spark, "late_allowed", data, "arrival", N_BATCHES, start, flush=False, ranges=True)
     fired = H.read_batches(spark, run)
     ledger = ledger_of(run)
     last = _last_batch(spark, ledger) if path_exists(spark, ledger.path) else None
     if last is not None:
         open_ = log_of(run).read(last + 1).where(~passed(progress(ledger.read(last)["top"]), F.col(f"{scan.KEY}.win_end")))
         fired = fired.drop("batch").unionByName(first_firings(open_))
-    return fired.groupBy(*keys).agg(F.max(F.struct("firings", "cnt", "vc_sum")).alias("f")).select(
-        *keys, "f.cnt", "f.vc_sum", "f.firings")
+    # plain numbers, not a maximum of structs, which would sort all firings; a window's firings are numbered
+    return fired.groupBy(*keys).agg(F.max_by("cnt", "firings").alias("cnt"), F.max_by("vc_sum", "firings").alias("vc_sum"),
+                                    F.max("firings").alias("firings"))
 
 
 STREAM_QUERIES = {k[2:]: v for k, v in sorted(globals().items()) if k.startswith("s_") and callable(v)}
