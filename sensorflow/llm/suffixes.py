@@ -45,7 +45,7 @@ PIECE = 32  # suffixes in a piece, on average
 CHUNK_BYTES, CHUNK_DOCS = 2 << 20, 1 << 15
 BUCKET_ENTRIES = 4 << 20
 CHUNKS_PER_FILE_BUCKET = 16
-SLICE = 1 << 19
+SLICE = 1 << 15  # hashed at a time: what stays in a core's own cache
 NO_ID = 2 ** 63 - 1
 
 U = np.uint64
@@ -65,7 +65,7 @@ def _join(a: np.ndarray, b: np.ndarray, family: int) -> np.ndarray:
 
 def _eights(buf: np.ndarray, n: int) -> np.ndarray:
     """The 8 bytes from each of the first n places."""
-    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(buf, 8)[:n]).view(U).ravel()
+    return np.ndarray(n, U, buf, 0, (1,)).copy()
 
 
 def fingerprints(buf: np.ndarray, width: int, family: int = 0) -> np.ndarray:
@@ -85,17 +85,65 @@ def fingerprints(buf: np.ndarray, width: int, family: int = 0) -> np.ndarray:
     return out
 
 
+def fingerprints_at(buf: np.ndarray, place: np.ndarray, width: int, family: int = 0) -> np.ndarray:
+    """``fingerprints`` of ascending places, without the bytes between that none of them reaches."""
+    cut = np.flatnonzero(np.diff(place) >= width) + 1
+    start, count = place[np.concatenate([[0], cut])], np.diff(np.concatenate([[0], cut, [len(place)]]))
+    end = place[np.append(cut, len(place)) - 1] + width
+    near = np.concatenate([buf[s:e] for s, e in zip(start.tolist(), end.tolist())])
+    left_out = start - np.cumsum(end - start) + (end - start)
+    return fingerprints(near, width, family)[place - np.repeat(left_out, count)]
+
+
+# sorting
+
+def _order(key: np.ndarray, *ties: np.ndarray) -> np.ndarray:
+    """``np.lexsort((*ties, key))``, sorted by value: a word holds a key's leading bits and its index."""
+    n = len(key)
+    if n < 2:
+        return np.arange(n)
+    low, index = key.min(), U((n - 1).bit_length())
+    drop = U(max(0, int(key.max() - low).bit_length() + int(index) - 64))
+    word = (key - low) >> drop << index
+    word |= np.arange(n, dtype=U)
+    word.sort()
+    order = (word & ((U(1) << index) - U(1))).view(np.int64)
+    if not drop and not ties:
+        return order
+    word >>= index
+    tied = word[1:] == word[:-1]
+    differ = np.zeros(n - 1, bool)
+    for x in (key, *ties):
+        x = x[order]
+        differ |= x[1:] != x[:-1]
+    differ &= tied
+    if differ.any():  # stretches of one word that are not all alike are sorted in full
+        stretch = np.concatenate([[0], np.cumsum(~tied)])
+        mixed = np.zeros(stretch[-1] + 1, bool)
+        mixed[stretch[1:][differ]] = True
+        at = np.flatnonzero(mixed[stretch])
+        some = order[at]
+        order[at] = some[np.lexsort((*(x[some] for x in ties), key[some]))]
+    return order
+
+
 # packing
 
 def _packed(x: np.ndarray) -> bytes:
-    x = np.ascontiguousarray(x)
-    return zstandard.compress(x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes(), 1)
+    rows = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.itemsize)
+    raw = np.empty((x.itemsize, len(x)), np.uint8)
+    for i in range(x.itemsize):  # many times faster than a transposed copy
+        raw[i] = rows[:, i]
+    return zstandard.compress(raw.tobytes(), 1)
 
 
 def _unpacked(data: bytes, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    raw = np.frombuffer(zstandard.decompress(data), np.uint8)
-    return np.ascontiguousarray(raw.reshape(size, -1).T).view(kind).ravel()
+    raw = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1)
+    rows = np.empty((raw.shape[1], size), np.uint8)
+    for i in range(size):
+        rows[:, i] = raw[i]
+    return rows.view(kind).ravel()
 
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +173,7 @@ class Chunk:
         self.start = self.end - self.sizes
 
     def doc(self, place: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.end, place, side="right")
+        return np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)[place]
 
     def suffixes(self, width: int) -> np.ndarray:
         """Whether ``width`` bytes of the same document begin at a place, for places 0 .. len - width."""
@@ -215,7 +263,7 @@ def _answers(asks: DataFrame, judge: Callable) -> DataFrame:
 
 def _elsewhere(key: np.ndarray, more, docs) -> np.ndarray:
     """Entries that another chunk has too; a chunk lists each once."""
-    order = np.argsort(key, kind="stable")
+    order = _order(key)
     same = key[order][1:] == key[order][:-1]
     out = np.zeros(len(key), bool)
     out[order[1:][same]] = out[order[:-1][same]] = True
@@ -224,13 +272,14 @@ def _elsewhere(key: np.ndarray, more, docs) -> np.ndarray:
 
 def _earlier(key: np.ndarray, more: np.ndarray | None, docs: np.ndarray) -> np.ndarray:
     """Entries that a document with a smaller id has too."""
-    order = np.lexsort((docs, more, key) if more is not None else (docs, key))
+    order = _order(key) if more is None else _order(key, more)
     key, docs = key[order], docs[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
     if more is not None:
-        new[1:] |= more[order][1:] != more[order][:-1]
+        more = more[order]
+        new[1:] |= more[1:] != more[:-1]
     out = np.zeros(len(key), bool)
-    out[order] = docs > docs[new][np.cumsum(new) - 1]
+    out[order] = docs > np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
     return out
 
 
@@ -248,10 +297,10 @@ def _more_bits(entries: int) -> int:
 
 
 def _entries(c: Chunk, place: np.ndarray, hashes: Callable[[int], np.ndarray], bits: int, buckets: int):
-    """Asks for the entries at ``place`` (each distinct one with its smallest document), and what resolves the answers."""
+    """What asks for the entries at ``place`` (each distinct one with its smallest document), and what resolves the answers."""
     key, doc = hashes(0), c.ids[c.doc(place)]
     more = hashes(2) >> U(64 - bits) if bits else None
-    order = np.lexsort((doc, more, key) if bits else (doc, key))
+    order = _order(key, more) if bits else _order(key)
     key, doc = key[order], doc[order]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
@@ -260,26 +309,27 @@ def _entries(c: Chunk, place: np.ndarray, hashes: Callable[[int], np.ndarray], b
         new[1:] |= more[1:] != more[:-1]
     first = np.flatnonzero(new)
     at = np.cumsum(new) - 1
+    least = np.minimum.reduceat(doc, first)
 
     def resolve(said: np.ndarray) -> np.ndarray:
         out = np.zeros(len(key), bool)
-        out[order] = said[at] | (doc > doc[first][at])
+        out[order] = said[at] | (doc > least[at])
         return out
 
-    return _ask(key[first], buckets, more[first] if bits else None, doc[first]), resolve
+    return lambda: _ask(key[first], buckets, more[first] if bits else None, least), resolve
 
 
 # the three rounds, seen from a chunk
 
 def _sample(c: Chunk, bits: int, buckets: int):
-    """Asks for the cover sample, and its places and what the chunk alone knows."""
+    """What asks for the cover sample, and its places and what the chunk alone knows."""
     ok = c.suffixes(SAMPLE)
     covered = np.zeros(len(ok), bool)
     for r in COVER:
         covered[r::PERIOD] = True
     place = np.flatnonzero(ok & covered)
     key = (fingerprints(c.buf, SAMPLE)[place] >> U(64 - bits)) << U(64 - bits)
-    order = np.argsort(key, kind="stable")
+    order = _order(key)
     key, doc = key[order], c.doc(place)[order]
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
@@ -288,23 +338,23 @@ def _sample(c: Chunk, bits: int, buckets: int):
     # stable order: a key's entries are in order of place, so its first and last document tell whether there are two
     last = np.append(first[1:], len(key)) - 1
     two = doc[first] != doc[last] if len(first) else np.empty(0, bool)
-    return _ask(key[first], buckets), place[order], at, two
+    return lambda: _ask(key[first], buckets), place[order], at, two
 
 
 def _open(c: Chunk, places: np.ndarray) -> np.ndarray:
     """Suffixes with one of these samples among the next PERIOD places."""
     ok = c.suffixes(WIDTH)
-    near = np.zeros(len(c.buf) + 2, np.int32)
-    np.add.at(near, np.maximum(places - PERIOD + 1, 0), 1)
-    np.add.at(near, places + 1, -1)
-    return ok & (np.cumsum(near, dtype=np.int32)[:len(ok)] > 0)
+    before = np.zeros(len(c.buf) + 1, np.int32)
+    before[places + 1] = 1
+    np.cumsum(before, out=before)
+    return ok & (before[PERIOD:PERIOD + len(ok)] > before[:len(ok)])
 
 
 def _pieces(c: Chunk, mask: np.ndarray, bits: int, buckets: int):
-    """Asks for whole pieces of the suffixes in ``mask``, where they begin, and what resolves the answers."""
+    """What asks for whole pieces of the suffixes in ``mask``, where they begin, and what resolves the answers."""
     place = np.flatnonzero(mask)
     if not len(place):
-        return [], place, place, lambda said: np.empty(0, bool)
+        return list, place, place, lambda said: np.empty(0, bool)
     cut = np.ones(len(place), bool)
     chosen = (_join(_eights(c.buf, len(c.buf) - 7)[place], U(0), 0) >> U(40)) % U(PIECE) == 0
     doc = c.doc(place)
@@ -313,31 +363,53 @@ def _pieces(c: Chunk, mask: np.ndarray, bits: int, buckets: int):
     within = (np.arange(len(place)) - np.repeat(first, np.diff(np.append(first, len(place))))).astype(U)
 
     def hashes(family: int) -> np.ndarray:
-        h = _join(fingerprints(c.buf, WIDTH, family)[place], within, family)
+        h = _join(fingerprints_at(c.buf, place, WIDTH, family), within, family)
         return _join(np.add.reduceat(h, first), np.diff(np.append(first, len(place))).astype(U), family)
 
-    asks, resolve = _entries(c, place[first], hashes, bits, buckets)
-    return asks, place, first, resolve
+    ask, resolve = _entries(c, place[first], hashes, bits, buckets)
+    return ask, place, first, resolve
 
 
 def _singles(c: Chunk, mask: np.ndarray, bits: int, buckets: int):
     place = np.flatnonzero(mask)
     if not len(place):
-        return [], place, lambda said: np.empty(0, bool)
-    asks, resolve = _entries(c, place, lambda family: fingerprints(c.buf, WIDTH, family)[place], bits, buckets)
-    return asks, place, resolve
+        return list, place, lambda said: np.empty(0, bool)
+    ask, resolve = _entries(c, place, lambda family: fingerprints_at(c.buf, place, WIDTH, family), bits, buckets)
+    return ask, place, resolve
+
+
+CLEANED = "doc_id bigint, n_bytes bigint, spans array<struct<start:bigint,length:bigint>>, kept binary"
+
+
+def _cleaned(c: Chunk, covered: np.ndarray) -> pa.RecordBatch:
+    """The documents of a chunk without the covered bytes."""
+    border = np.zeros(len(c.buf) + 1, bool)
+    border[c.start] = border[c.end] = True
+    from_ = covered.copy()
+    from_[1:] &= border[1:-1] | ~covered[:-1]
+    to = covered.copy()
+    to[:-1] &= border[1:-1] | ~covered[1:]
+    from_, to = np.flatnonzero(from_), np.flatnonzero(to) + 1
+    doc = c.doc(from_)
+    ends = [0, *np.cumsum(np.bincount(doc, minlength=len(c.ids))).tolist()]
+    spans_ = pa.StructArray.from_arrays([pa.array(from_ - c.start[doc], pa.int64()), pa.array(to - from_, pa.int64())], names=["start", "length"])
+    kept = np.concatenate([[0], np.cumsum(~covered)])[np.concatenate([c.start[:1], c.end])].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c.ids), pa.array(c.sizes), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans_),
+         pa.Array.from_buffers(pa.binary(), len(c.ids), [None, pa.py_buffer(kept), pa.py_buffer(c.buf[~covered])])],
+        names=["doc_id", "n_bytes", "spans", "kept"])
 
 
 # the whole
 
-def _over(df: DataFrame, fn: Callable[[dict], dict], schema: str) -> DataFrame:
+def _over(df: DataFrame, fn: Callable[[dict], dict | pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` over each row; a row is a chunk, so a task holds one at a time."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                out = pa.RecordBatch.from_pylist([fn(b.slice(i, 1).to_pylist()[0])], schema=want)
-                yield out
+                out = fn(b.slice(i, 1).to_pylist()[0])
+                yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_pylist([out], schema=want)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
@@ -369,14 +441,14 @@ def spans(docs: DataFrame) -> DataFrame:
         return Chunk(r["ids"], r["sizes"], r["text"])
 
     def first(r: dict) -> dict:
-        return {"chunk": r["chunk"], "asked": _sample(chunk(r), bits1, buckets1)[0]}
+        return {"chunk": r["chunk"], "asked": _sample(chunk(r), bits1, buckets1)[0]()}
 
     said = _answers(_asks_of(_over(chunks, first, f"chunk bigint, {ASKED}")), _elsewhere)
 
     def opened(r: dict) -> dict:
         c = chunk(r)
         _, place, at, two = _sample(c, bits1, buckets1)
-        mask = _open(c, np.sort(place[(two | _said(r["answers"]))[at]]) if len(place) else place)
+        mask = _open(c, place[(two | _said(r["answers"]))[at]] if len(place) else place)
         return {"chunk": r["chunk"], "open": _pack_mask(mask), "n": int(mask.sum())}
 
     open_ = stored(_over(chunks.join(said, "chunk", "left"), opened, "chunk bigint, open binary, n bigint"), "open")
@@ -386,7 +458,7 @@ def spans(docs: DataFrame) -> DataFrame:
     def second(r: dict) -> dict:
         c = chunk(r)
         mask = _unpack_mask(r["open"], max(0, len(c.buf) - WIDTH + 1))
-        return {"chunk": r["chunk"], "asked": _pieces(c, mask, bits2, buckets2)[0]}
+        return {"chunk": r["chunk"], "asked": _pieces(c, mask, bits2, buckets2)[0]()}
 
     mine = chunks.join(open_.where("n > 0"), "chunk")
     said = _answers(_asks_of(_over(mine, second, f"chunk bigint, {ASKED}")), _earlier)
@@ -405,11 +477,11 @@ def spans(docs: DataFrame) -> DataFrame:
 
     def third(r: dict) -> dict:
         c = chunk(r)
-        return {"chunk": r["chunk"], "asked": _singles(c, _unpack_mask(r["rest"], max(0, len(c.buf) - WIDTH + 1)), bits2, buckets3)[0]}
+        return {"chunk": r["chunk"], "asked": _singles(c, _unpack_mask(r["rest"], max(0, len(c.buf) - WIDTH + 1)), bits2, buckets3)[0]()}
 
     said = _answers(_asks_of(_over(chunks.join(left.where("n > 0"), "chunk"), third, f"chunk bigint, {ASKED}")), _earlier)
 
-    def finished(r: dict) -> dict:
+    def finished(r: dict) -> pa.RecordBatch:
         c = chunk(r)
         covered = np.zeros(len(c.buf), bool)
         if r["gone"] is not None:
@@ -422,18 +494,10 @@ def spans(docs: DataFrame) -> DataFrame:
             edge[at] += 1
             edge[at + WIDTH] -= 1
             covered = np.cumsum(edge, dtype=np.int32)[:-1] > 0
-        out = []
-        raw = c.buf.tobytes()
-        for i, (s, e) in enumerate(zip(c.start.tolist(), c.end.tolist())):
-            from_, to = _runs(covered[s:e])
-            kept = raw[s:e] if not len(from_) else c.buf[s:e][~covered[s:e]].tobytes()
-            out.append({"doc_id": int(c.ids[i]), "n_bytes": e - s, "kept": kept,
-                        "spans": [{"start": int(x), "length": int(y - x)} for x, y in zip(from_, to)]})
-        return {"rows": out}
-
-    rows = "array<struct<doc_id:bigint,n_bytes:bigint,spans:array<struct<start:bigint,length:bigint>>,kept:binary>>"
-    done = _over(chunks.join(left, "chunk", "left").join(said, "chunk", "left"), finished, f"rows {rows}")
-    return done.select(F.inline("rows")).withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+        return _cleaned(c, covered)
+
+    done = _over(chunks.join(left, "chunk", "left").join(said, "chunk", "left"), finished, CLEANED)
+    return done.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,3 +106,57 @@ def test_fingerprints_depend_on_every_byte():
             other[60 + k] ^= 1
             changed = np.flatnonzero(suffixes.fingerprints(other, width) != h)
             assert changed.tolist() == list(range(60 + k - width + 1, 60 + k + 1))[:]
+
+
+@pytest.mark.parametrize("top", [3, 1 << 20, 1 << 64])
+def test_order_is_that_of_a_full_sort(top):
+    """Keys with many ties, keys that fit beside an index, keys that share the leading bits kept of them."""
+    rng = np.random.default_rng(5)
+    key = rng.integers(0, top, 5000, dtype=np.uint64, endpoint=False) if top < 1 << 64 else rng.integers(0, 1 << 64, 5000, dtype=np.uint64)
+    near = np.concatenate([key, key ^ np.uint64(1), key[:700], np.array([0, 2 ** 64 - 1], np.uint64)])
+    tie = rng.integers(0, 3, len(near))
+    for k, t in ((near, tie), (key, tie[:5000]), (key[:1], tie[:1]), (key[:0], tie[:0]), (near, np.zeros(len(near), np.int64))):
+        assert suffixes._order(k).tolist() == np.argsort(k, kind="stable").tolist()
+        assert suffixes._order(k, t).tolist() == np.lexsort((t, k)).tolist()
+
+
+def test_fingerprints_of_some_places():
+    buf = np.random.default_rng(4).integers(0, 256, 3000, dtype=np.uint8)
+    for place in ([0], [2950], [0, 49, 99, 150], [7, 57, 107, 158, 900, 901, 2950], range(2951)):
+        place = np.array(place)
+        assert suffixes.fingerprints_at(buf, place, W, 2).tolist() == suffixes.fingerprints(buf, W, 2)[place].tolist()
+
+
+def chunk(texts):
+    return suffixes.Chunk(suffixes._packed(np.arange(len(texts))), suffixes._packed(np.array([len(t) for t in texts])),
+                          suffixes.zstandard.compress(b"".join(texts)))
+
+
+def test_answers_are_read_without_asking_again(monkeypatch):
+    """The second look at a chunk packs no entries and sorts none that have nothing equal (CPU seconds of op12_suffix_dedup)."""
+    c = chunk([random.Random(i).randbytes(4000) for i in range(5)])
+    mask = c.suffixes(W)
+    full, packed = [], []
+    lexsort = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, **k: full.append(len(keys[0])) or lexsort(keys, **k))
+    monkeypatch.setattr(suffixes, "_packed", lambda x: packed.append(len(x)))
+    entries = int(mask.sum())
+    for resolve in (suffixes._singles(c, mask, 0, 1)[-1], suffixes._singles(c, mask, 20, 1)[-1]):
+        assert not resolve(np.zeros(entries, bool)).any()
+    suffixes._pieces(c, mask, 0, 1)
+    suffixes._sample(c, 40, 1)
+    assert sum(full) == 0
+    assert packed == []
+
+
+def test_removed_runs_end_with_their_document():
+    c = chunk([b"", b"abcd", b"", b"efgh", b"ij", b""])
+    for covered, spans, kept in (("1111111111", [[], [(0, 4)], [], [(0, 4)], [(0, 2)], []], [b""] * 6),
+                                 ("0011100110", [[], [(2, 2)], [], [(0, 1), (3, 1)], [(0, 1)], []], [b"", b"ab", b"", b"fg", b"j", b""]),
+                                 ("0000000000", [[]] * 6, [b"", b"abcd", b"", b"efgh", b"ij", b""])):
+        got = suffixes._cleaned(c, np.array([x == "1" for x in covered])).to_pylist()
+        assert [[(x["start"], x["length"]) for x in r["spans"]] for r in got] == spans
+        assert [r["kept"] for r in got] == kept
+        assert [(r["doc_id"], r["n_bytes"]) for r in got] == list(enumerate([0, 4, 0, 4, 2, 0]))
+    empty = suffixes._cleaned(chunk([b"", b""]), np.zeros(0, bool)).to_pylist()
+    assert empty == [{"doc_id": i, "n_bytes": 0, "spans": [], "kept": b""} for i in range(2)]
