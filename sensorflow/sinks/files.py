@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +20,9 @@ from sensorflow.sources.tables import sensor_line
 
 BUCKET_FORMAT = "yyyy-MM-dd HH"
 RENAMES = 8
+# what Spark writes in place of no value, and of these characters, in the name of a folder
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+ESCAPED = {c: f"%{c:02X}" for c in [*range(1, 32), *map(ord, "\"#%'*/:=?\\{[]^"), 127]}
 
 
 def bucketed_lines(df: DataFrame, time_col: str = "t") -> DataFrame:
@@ -71,40 +80,103 @@ def rolled_lines(df: DataFrame, rolling: Rolling, time_col: str = "ts", order: l
     return r.select("bucket", name.alias("file"), "value")
 
 
+def _escaped(value: str | None) -> str:
+    return value.translate(ESCAPED) if value else NO_VALUE
+
+
+def _named_files(staging: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's work on rows (bucket, file, line with its end) that lie file by file: ``staging/bucket=<bucket>/<file>``.
+    Gives how many files there are.  A file has its name once it is whole; another attempt puts the same one in its place."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        temp, name, out, n, made = f"{staging}/_{uuid.uuid4().hex}", None, None, 0, set()
+
+        def close() -> None:
+            out.close()
+            folder = f"{staging}/bucket={_escaped(name[0])}"
+            if folder not in made:
+                try:
+                    os.mkdir(folder)
+                except FileExistsError:
+                    pass
+                made.add(folder)
+            os.replace(temp, f"{folder}/{_escaped(name[1])}")
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            bucket, file, line = b.columns
+            runs = [pc.run_end_encode(c) for c in (bucket, file)]
+            ends = np.union1d(*(r.run_ends.to_numpy() for r in runs))
+            wide = np.int64 if pa.types.is_large_binary(line.type) else np.int32
+            _, offsets, data = line.buffers()
+            offsets, data = np.frombuffer(offsets, wide)[line.offset:].tolist(), memoryview(data or b"")
+            start = 0
+            for end in ends.tolist():
+                mine = bucket[start].as_py(), file[start].as_py()
+                if out is None or mine != name:
+                    if out is not None:
+                        close()
+                    name, out, n = mine, open(temp, "wb"), n + 1
+                out.write(data[offsets[start]:offsets[end]])
+                start = end
+        if out is not None:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    return work
+
+
 def write_rolled_text(lines: DataFrame, path: str) -> str:
     """Writes (bucket, file, value) as ``path/bucket=<bucket>/<file>``.
 
-    Spark writes below ``_staging``, which readers pass over, one folder per file; each file then gets
-    its name by a rename.  A second run with the same rows puts the same files in place.  Tasks put what they
+    Files are first written below ``_staging``, which readers pass over.  In a file system that tasks reach by path they get
+    their names there (Hadoop starts a ``chmod`` or two for every file it creates in one), and a bucket is put in place
+    by one rename.  Elsewhere Spark writes one folder per file, and each file gets its name by a rename: tasks put what they
     commit in place themselves (committer version 2: nothing in ``_staging`` is read before the job has ended);
-    ``RENAMES`` files of a bucket are renamed at a time."""
+    ``RENAMES`` files of a bucket are renamed at a time.  A second run with the same rows puts the same files in place."""
     spark = lines.sparkSession
     staging = f"{path}/_staging"
-    # all rows of a file go to one task: a file is bounded by its limit
-    (lines.repartition("bucket", "file").write.mode("overwrite").partitionBy("bucket", "file")
-     .option("maxRecordsPerFile", 0).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(staging))
     hadoop = spark._jvm.org.apache.hadoop.fs
     Path = hadoop.Path
     fs = Path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    named = fs.getUri().getScheme() == "file"
+    # all rows of a file go to one task: a file is bounded by its limit
+    dealt = lines.repartition("bucket", "file")
+    if named:
+        remove_path(spark, staging)
+        fs.mkdirs(Path(staging))
+        (dealt.sortWithinPartitions("bucket", "file")
+         .select("bucket", "file", F.concat(F.coalesce("value", F.lit("")), F.lit("\n")).cast("binary").alias("line"))
+         .mapInArrow(_named_files(Path(staging).toUri().getPath()), "n bigint").write.format("noop").mode("overwrite").save())
+    else:
+        (dealt.write.mode("overwrite").partitionBy("bucket", "file")
+         .option("maxRecordsPerFile", 0).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(staging))
 
     def found(pattern: str):
         return hadoop.FileUtil.stat2Paths(fs.globStatus(Path(pattern)))
 
+    def move(file, to) -> None:
+        if not fs.rename(file, to):
+            raise RuntimeError(f"could not put {to} in place")
+
     def put(files, first: int, target: str, anew: bool) -> None:
         for i in range(first, len(files), RENAMES):
             file = files[i]
-            to = Path(f"{target}/{file.toString().split('/')[-2].removeprefix('file=')}")
+            to = Path(f"{target}/{file.toString().split('/')[-1 if named else -2].removeprefix('file=')}")
             if not anew:
                 fs.delete(to, False)
-            if not fs.rename(file, to):
-                raise RuntimeError(f"could not put {to} in place")
+            move(file, to)
 
     with ThreadPoolExecutor(RENAMES) as pool:
         for folder in found(f"{staging}/bucket=*"):
             target = Path(f"{path}/{folder.getName()}")
             anew = not fs.exists(target)
+            if named and anew:
+                move(folder, target)
+                continue
             fs.mkdirs(target)
-            files = found(f"{folder.toString()}/file=*/part-*")
+            files = found(f"{folder.toString()}/{'*' if named else 'file=*/part-*'}")
             for done in [pool.submit(put, files, i, target.toString(), anew) for i in range(RENAMES)]:
                 done.result()
     remove_path(spark, staging)
